@@ -184,7 +184,10 @@ def crosses(a: Column, b: Column, c: Column, d: Column) -> Column:
     def turn(p: Column, q: Column, r: Column) -> Column:
         return F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
 
-    return (turn(a, b, c) * turn(a, b, d) <= 0) & (turn(c, d, a) * turn(c, d, b) <= 0)
+    def apart(axis: str) -> Column:
+        return (F.least(a[axis], b[axis]) > F.greatest(c[axis], d[axis])) | (F.least(c[axis], d[axis]) > F.greatest(a[axis], b[axis]))
+
+    return ~apart("x") & ~apart("y") & (turn(a, b, c) * turn(a, b, d) <= 0) & (turn(c, d, a) * turn(c, d, b) <= 0)
 
 
 def stitched(parts: Column, tol: float = 1e-6) -> Column:

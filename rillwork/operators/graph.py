@@ -183,7 +183,7 @@ def dfs_order(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """
     comp = components(edges.select("u", "v"))
     tagged = edges.join(comp, edges["u"] == comp["node"]).select("id", "u", "v", "component")
-    mine = tagged.join(starts.select("id").distinct().withColumn("is_start", F.lit(True)), "id", "left")
+    mine = tagged.join(starts.select("id").distinct().withColumn("is_start", F.lit(True)), "id", "left").withColumn("is_start", F.coalesce("is_start", F.lit(False)))
     held = mine.filter("is_start").select("component").distinct()
 
     def visit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -195,7 +195,7 @@ def dfs_order(edges: DataFrame, starts: DataFrame) -> DataFrame:
                 at.setdefault(n, []).append(i)
         order: dict[int, tuple[int, int, int | None]] = {}
         stack = []
-        for i in sorted(pdf["id"][pdf["is_start"].fillna(False).astype(bool)].tolist()):
+        for i in sorted(pdf["id"][pdf["is_start"]].tolist()):
             order[i] = (len(order), 0, None)
             stack.insert(0, i)
         while stack:

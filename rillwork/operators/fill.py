@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settled
@@ -51,54 +51,59 @@ def _edges(cells: DataFrame, hubs: dict[str, list[Hub]]) -> DataFrame:
     return cells.withColumn("e", F.explode(out)).select("field", "fid", "label", "value", "mass", "missing", "e.hub", "e.weight", "e.coarse")
 
 
-def propagate(cells: DataFrame, hubs: dict[str, list[Hub]], rounds: int = 4, categorical: bool = False) -> DataFrame:
-    """field, fid, value (or label): what label propagation gives the missing cells.
+def hub_edges(cells: DataFrame, hubs: dict[str, list[Hub]], categorical: bool = False) -> DataFrame:
+    """One row for each cell and hub. cells: field, fid, observed (double, or string if categorical; NULL where missing) and what the hub keys use.
 
-    cells: field, fid, observed (double, or string if categorical; NULL where
-    missing) and the columns the hub keys use. Hubs of different fields are
-    apart unless their kind and key agree, which lets fields share them.
+    Hubs of different fields are apart unless their kind and key agree, which
+    lets fields share them.
+    """
+    there = F.col("observed").isNotNull()
+    label = F.col("observed") if categorical else F.when(there, F.lit(""))
+    nodes = cells.withColumns({"label": label, "value": F.when(there, F.lit(1.0)) if categorical else F.col("observed"), "mass": F.when(there, F.lit(1.0)), "missing": ~there})
+    return _edges(nodes, hubs)
+
+
+def propagate(edges: DataFrame, rounds: int = 4, categorical: bool = False) -> DataFrame:
+    """field, fid, value (or label): what label propagation over hub_edges gives the missing cells.
+
+    Each round is written to the checkpoint folder, so plans stay small and a
+    lost executor costs one round.
     """
-    label = F.col("observed") if categorical else F.when(F.col("observed").isNotNull(), F.lit(""))
-    nodes = cells.withColumns({"label": label, "value": F.when(F.col("observed").isNotNull(), F.lit(1.0)) if categorical else F.col("observed"), "mass": F.when(F.col("observed").isNotNull(), F.lit(1.0)), "missing": F.col("observed").isNull()})
-    edges = _edges(nodes, hubs)
     sums = [F.sum("value").alias("value"), F.sum("mass").alias("mass")]
-    loose = settled(edges.filter("missing").select("field", "fid", "hub", "weight", "coarse"))
-    wanted = loose.select("hub").distinct()
-    clamped = settled(edges.filter("not missing").groupBy("hub", "label").agg(*sums).join(wanted, "hub", "left_semi"))
-    salted = loose.withColumn("salt", F.when(F.col("coarse"), F.pmod(F.col("fid"), F.lit(_SALTS))).otherwise(F.lit(0)).cast("int"))
+    # a hub is salted for the join if one group of it can be large
+    loose = settled(edges.filter("missing").select("field", "fid", "hub", "weight", F.when(F.col("coarse"), F.pmod(F.col("fid"), F.lit(_SALTS))).otherwise(F.lit(-1)).cast("int").alias("salt")))
+    wanted = loose.groupBy("hub").agg((F.max("salt") >= 0).alias("coarse"))
+    clamped = settled(edges.filter("not missing").groupBy("hub", "label").agg(*sums).join(wanted, "hub"))
     fills = None
-    for k in range(rounds):
+    for _ in range(rounds):
         total = clamped
         if fills is not None:
-            # a cell keeps what it holds once, whatever hubs it has
-            held = loose.join(fills, ["field", "fid"]).groupBy("hub", "label").agg(*sums)
-            total = clamped.unionByName(held).groupBy("hub", "label").agg(*sums)
-        n = total.groupBy("hub").agg(F.sum("mass").alias("n")) if categorical else None
-        mean = total.join(n, "hub").withColumn("mean", F.col("value") / F.col("n")) if categorical else total.withColumn("mean", F.col("value") / F.col("mass"))
-        coarse = F.split("hub", r"\|")[0].isin(*sorted({h.kind for of in hubs.values() for h in of if h.coarse}))
-        spread = mean.withColumn("salt", F.explode(F.when(coarse, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))))
-        got = salted.join(spread.select("hub", "salt", "label", "mean"), ["hub", "salt"])
-        new = got.groupBy("field", "fid", "label").agg((F.sum(F.col("weight") * F.col("mean"))).alias("top"), F.sum("weight").alias("bottom"))
+            held = loose.join(fills, ["field", "fid"]).groupBy("hub", "label").agg(*sums, (F.max("salt") >= 0).alias("coarse"))
+            total = clamped.unionByName(held).groupBy("hub", "label").agg(*sums, F.max("coarse").alias("coarse"))
+        if categorical:
+            total = total.withColumn("mass", F.sum("mass").over(Window.partitionBy("hub")))
+        salts = F.when(F.col("coarse"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(-1)))
+        spread = total.select("hub", "label", (F.col("value") / F.col("mass")).alias("mean"), F.explode(salts).alias("salt"))
+        new = loose.join(spread, ["hub", "salt"]).groupBy("field", "fid", "label").agg(F.sum(F.col("weight") * F.col("mean")).alias("top"), F.sum("weight").alias("bottom"))
         if categorical:
-            whole = new.groupBy("field", "fid").agg(F.sum("top").alias("all"))
-            fills = new.join(whole, ["field", "fid"]).select("field", "fid", "label", (F.col("top") / F.col("all")).alias("value")).withColumn("mass", F.col("value"))
+            share = F.col("top") / F.sum("top").over(Window.partitionBy("field", "fid"))
+            fills = new.select("field", "fid", "label", share.alias("value")).withColumn("mass", F.col("value"))
         else:
             fills = new.select("field", "fid", "label", (F.col("top") / F.col("bottom")).alias("value"), F.lit(1.0).alias("mass"))
-        if k % 2 == 1 and k + 1 < rounds:
-            fills = settled(fills)
+        fills = settled(fills)
     if categorical:
-        best = fills.groupBy("field", "fid").agg(F.max_by("label", F.struct(F.round("value", 9), "label")).alias("label"))
-        return best
+        return fills.groupBy("field", "fid").agg(F.max_by("label", F.struct(F.round("value", 9), "label")).alias("label"))
     return fills.select("field", "fid", "value")
 
 
-def filled(cells: DataFrame, hubs: dict[str, list[Hub]], rounds: int = 4, categorical: bool = False) -> DataFrame:
-    """field, fid, value, filled: observed cells as they are, missing ones filled and flagged."""
-    got = propagate(cells, hubs, rounds, categorical)
-    name = "label" if categorical else "value"
-    kept = cells.filter("observed is not null").select("field", "fid", F.col("observed").alias("value"), F.lit(False).alias("filled"))
-    # every missing cell comes out, even where there was nothing to fill it from
-    lost = cells.filter("observed is null").select("field", "fid").join(got, ["field", "fid"], "left").select("field", "fid", F.col(name).alias("value"), F.lit(True).alias("filled"))
+def with_fills(cells: DataFrame, got: DataFrame, keys: tuple[str, ...] = ("field", "fid")) -> DataFrame:
+    """keys, value, filled: observed cells as they are, missing ones with what was found, flagged.
+
+    Every missing cell comes out, even where there was nothing to fill it from.
+    """
+    name = "label" if "label" in got.columns else "value"
+    kept = cells.filter("observed is not null").select(*keys, F.col("observed").alias("value"), F.lit(False).alias("filled"))
+    lost = cells.filter("observed is null").select(*keys).join(got, list(keys), "left").select(*keys, F.col(name).alias("value"), F.lit(True).alias("filled"))
     return kept.unionByName(lost)
 
 
@@ -131,8 +136,8 @@ def _end(which: int) -> Column:
     return F.when((F.size("geometry") > 0) & p["x"].isNotNull() & p["y"].isNotNull(), at)
 
 
-def fill_mains(mains: DataFrame, rounds: int = 4) -> DataFrame:
-    """layer, field, fid, value, filled for upelev, downelev (feet) and width (inches).
+def _main_cells(mains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]]]]:
+    """Cells and hubs of upelev, downelev (feet) and width (inches).
 
     Elevations: pipes of a line share the level of the junction where their ends
     meet; the two ends of a pipe are alike; then the line, the load, all. Width:
@@ -140,32 +145,43 @@ def fill_mains(mains: DataFrame, rounds: int = 4) -> DataFrame:
     """
     base = mains.select("fid", "upelev", "downelev", F.col("digitizedby").alias("crew"), "load_id", _blank(F.col("facilityid")).alias("line"), _end(1).alias("start"), _end(-1).alias("end"))
     ends = _measured(base, ["upelev", "downelev"], FillerRules(negatives_measure=True))
-    junction = F.when(F.col("field") == "upelev", F.col("start")).otherwise(F.col("end"))
+    met = lambda c: F.when(c.isNotNull(), F.concat_ws("/", F.coalesce(F.col("line"), F.lit("")), c))
     level = [
-        Hub("junction", F.when(junction.isNotNull(), F.concat_ws("/", F.coalesce(F.col("line"), F.lit("")), junction)), 1e6, False),
+        Hub("junction", met(F.when(F.col("field") == "upelev", F.col("start")).otherwise(F.col("end"))), 1e6, False),
         Hub("pipe", F.col("fid"), 1e3, False),
         Hub("line", F.col("line"), 1.0, True),
         Hub("load", F.col("load_id"), 1e-3, True),
         Hub("all", F.lit(1), 1e-6, True),
     ]
-    a = filled(ends, {"upelev": level, "downelev": level}, rounds)
-
     known = resolve_units(mains, MAINS, UnitGraph(LENGTH_EDGES), MAIN_RULES).filter("not from_remark").select(F.col("fid").alias("k_fid"), F.col("value").alias("observed"))
     widths = base.select("fid", "line", "load_id", "start", "end").join(known, F.col("fid") == F.col("k_fid"), "left").drop("k_fid").withColumn("field", F.lit("width"))
-    met = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws("/", F.coalesce(F.col("line"), F.lit("")), F.col(c)))
-    size = [Hub("meet", met("start"), 1e3, False), Hub("meet", met("end"), 1e3, False), Hub("w-line", F.col("line"), 1.0, True), Hub("w-load", F.col("load_id"), 1e-3, True), Hub("w-all", F.lit(1), 1e-6, True)]
-    b = filled(widths, {"width": size}, rounds)
-    return a.unionByName(b).withColumn("layer", F.lit("gravity_mains")).select("layer", "field", "fid", "value", "filled")
+    size = [Hub("meet", met(F.col("start")), 1e3, False), Hub("meet", met(F.col("end")), 1e3, False), Hub("w-line", F.col("line"), 1.0, True), Hub("w-load", F.col("load_id"), 1e-3, True), Hub("w-all", F.lit(1), 1e-6, True)]
+    return [(ends, {"upelev": level, "downelev": level}), (widths, {"width": size})]
 
 
-def fill_drains(drains: DataFrame, rounds: int = 4) -> DataFrame:
-    """layer, field, fid, value, filled for depth (feet): pieces of a channel, its system, channels of like width, the load, all."""
+def _drain_cells(drains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]]]]:
+    """Cells and hubs of depth (feet): pieces of a channel, channels of like width, the system, the load, all."""
     width = F.col("width").cast("double")
     like = F.when((width > 0) & (width < 9000), F.round(F.log(width) * 4))
     base = drains.select("fid", "depth", F.col("digitizedby").alias("crew"), "load_id", F.when(~F.isnan("objectid"), F.col("objectid")).alias("channel"), _blank(F.col("facilityid")).alias("system"), like.alias("like"))
     cells = _measured(base, ["depth"], FillerRules())
-    hubs = [Hub("channel", F.col("channel"), 1e6, False), Hub("like", F.col("like"), 1e2, True), Hub("system", F.col("system"), 1e1, True), Hub("load", F.col("load_id"), 1e-3, True), Hub("all", F.lit(1), 1e-6, True)]
-    return filled(cells, {"depth": hubs}, rounds).withColumn("layer", F.lit("open_drains")).select("layer", "field", "fid", "value", "filled")
+    return [(cells, {"depth": [Hub("channel", F.col("channel"), 1e6, False), Hub("like", F.col("like"), 1e2, True), Hub("system", F.col("system"), 1e1, True), Hub("d-load", F.col("load_id"), 1e-3, True), Hub("d-all", F.lit(1), 1e-6, True)]})]
+
+
+def fill_network(mains: DataFrame, drains: DataFrame, rounds: int = 4) -> DataFrame:
+    """layer, field, fid, value, filled for upelev, downelev and width of mains and depth of drains, in one propagation."""
+    parts = [(settled(c), h) for c, h in _main_cells(mains) + _drain_cells(drains)]
+    edges = None
+    for cells, hubs in parts:
+        e = hub_edges(cells, hubs)
+        edges = e if edges is None else edges.unionByName(e)
+    got = propagate(edges, rounds)
+    cells = None
+    for c, _ in parts:
+        p = c.select("field", "fid", "observed")
+        cells = p if cells is None else cells.unionByName(p)
+    layer = F.when(F.col("field") == "depth", "open_drains").otherwise("gravity_mains")
+    return with_fills(cells, got).select(layer.alias("layer"), "field", "fid", "value", "filled")
 
 
 #: How the listed main shapes are also written.
@@ -180,4 +196,5 @@ def fill_shapes(mains: DataFrame, rounds: int = 3) -> DataFrame:
         known = F.when(c.isin(*written), shape).otherwise(known)
     cells = mains.select("fid", "load_id", _blank(F.col("facilityid")).alias("line"), F.lit("mainshape").alias("field"), known.alias("observed"))
     hubs = [Hub("line", F.col("line"), 1.0, True), Hub("load", F.col("load_id"), 1e-3, True), Hub("all", F.lit(1), 1e-6, True)]
-    return filled(cells, {"mainshape": hubs}, rounds, categorical=True).withColumn("layer", F.lit("gravity_mains")).select("layer", "field", "fid", "value", "filled")
+    got = propagate(hub_edges(cells, {"mainshape": hubs}, categorical=True), rounds, categorical=True)
+    return with_fills(cells, got).withColumn("layer", F.lit("gravity_mains")).select("layer", "field", "fid", "value", "filled")

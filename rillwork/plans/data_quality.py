@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.fill import fill_drains, fill_mains, fill_shapes
+from ..operators.fill import fill_network, fill_shapes
 from ..operators.near import SortedPoints, lines_within, points_within, regions_containing
 from ..operators.orphans import Reference, dangling
 from ..operators.profile import Field, breaking_loads, drift, profile
@@ -43,7 +43,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_filled(spark: SparkSession, d: str) -> DataFrame:
     """Every cell of the numeric fields, missing ones filled and flagged."""
-    return fill_mains(read(spark, d, "gravity_mains")).unionByName(fill_drains(read(spark, d, "open_drains")))
+    return fill_network(read(spark, d, "gravity_mains"), read(spark, d, "open_drains"))
 
 
 def p2_shapes(spark: SparkSession, d: str) -> DataFrame:

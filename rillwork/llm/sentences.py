@@ -38,6 +38,7 @@ _LINE = re.compile(f"[^{_BREAKS}]+")
 _MARKS = ".!?…。．｡！？।॥؟۔;"
 _MARK = re.compile(rf"[{_MARKS}]+(?:[   ]?[!?]+)*|(?<=[Ͱ-Ͽἀ-῿]);")
 _THAI = re.compile("(?<=[ก-ฺเ-๎])[  　\t]+(?=[ก-ฺเ-๎])")
+_IN_THAI = re.compile("[ก-๎][  　\t]")
 _ANY = re.compile(rf"[{_MARKS};]|[ก-๎][  　\t]")
 #: Brackets and quotation marks.
 _PAIRS = {")": "(", "]": "[", "}": "{", "）": "（", "】": "【", "》": "《", "〉": "〈", "」": "「", "』": "『", "›": "‹"}
@@ -99,6 +100,7 @@ def _matched(line: str) -> list[tuple[int, int]]:
     return spans
 
 
+@lru_cache(maxsize=1 << 14)
 def _char_class(c: str) -> int:
     """0 none, 1 upper, 2 lower, 3 digit, 4 opening mark, 5 dash, 6 separator, 7 letter without case, 8 other."""
     if not c:
@@ -175,17 +177,18 @@ def _term(mark: str) -> int:
     return 3
 
 
-def _candidates(line: str) -> list[tuple[int, int, tuple]]:
+def _candidates(line: str, wanted: tuple[int, ...] = (-1, 0, 2)) -> list[tuple[int, int, tuple]]:
     """(end, verdict, features) of the candidates inside a line; verdict 1 boundary, 0 none, -1 to be classified.
 
     verdict 2: the line's end; 3: a list marker. features: slot of the token
     before, slot of the token behind, shape before, class behind, mark, blank,
-    closed by a mark, script, shape behind, numbers beside.
+    closed by a mark, script, shape behind, numbers beside; empty unless the
+    verdict is wanted.
     """
     out = []
     spans = _matched(line) if _QUOTES.search(line) else ()
     n = len(line)
-    for m in _THAI.finditer(line) if "฀" < max(line) else ():
+    for m in _THAI.finditer(line) if _IN_THAI.search(line) else ():
         if not any(a < m.start() < b for a, b in spans):
             out.append((m.start(), 1, ()))
     for m in _MARK.finditer(line):
@@ -207,7 +210,7 @@ def _candidates(line: str) -> list[tuple[int, int, tuple]]:
             rest += 1
         mark = m.group()
         if rest >= n:
-            out.append((at, 2, _context(line, start, mark, "", True, closed)))
+            out.append((at, 2, _context(line, start, mark, "", True, closed) if 2 in wanted else ()))
             continue
         blank = rest > at
         nxt = line[rest]
@@ -234,7 +237,7 @@ def _candidates(line: str) -> list[tuple[int, int, tuple]]:
             verdict = -1
         if verdict == -1 and mark == "." and _MARKER.match(line[:start]):
             verdict = 3  # a list marker, no boundary and nothing to learn from
-        out.append((at, verdict, _context(line, start, mark, line[rest:], blank, closed)))
+        out.append((at, verdict, _context(line, start, mark, line[rest : rest + 80], blank, closed) if verdict in wanted else ()))
     if len(out) > 1:
         out.sort(key=lambda x: x[0])
     return out
@@ -244,29 +247,31 @@ def _candidates(line: str) -> list[tuple[int, int, tuple]]:
 _GLUED = re.compile(r"^.*(?:[^\W\d_A-Z]{2}|[\d)\]\"”’»])[.!?…।]+(?=[^\W\d_])(?![^\W\d_]*[.@/]\w)(?=[^a-zß-ÿ])")
 
 
+_INNER = re.compile(r"[.!?…।]")
+
+
 def _before(line: str, start: int) -> str:
     """The token before a mark, without opening marks; of scripts without blanks the last two characters."""
-    k = start
-    while k > 0 and line[k - 1].isspace():
-        k -= 1
-    low = k
-    while low > 0 and not line[low - 1].isspace() and k - low < 40:
-        low -= 1
-    token = _GLUED.sub("", line[low:k]).lstrip(_STRIP)
+    words = line[max(0, start - 40) : start].split()
+    if not words:
+        return ""
+    token = words[-1]
+    if _INNER.search(token):
+        token = _GLUED.sub("", token)
+    token = token.lstrip(_STRIP)
     if token and _script(token[-1]) >= 6:
         return token[-2:]
     return token
 
 
+_LEADING = _STRIP + " \t\u00a0\u3000\u2009\u202f"
 _HEAD = re.compile(r"[^\s.,;:!?…。！？।؟\"»”)\]]{1,40}")
 
 
 def _behind(text: str) -> str:
     """The first token of a text, without opening marks; of scripts without blanks the first two characters."""
-    k = 0
-    while k < len(text) and k < 40 and (text[k].isspace() or text[k] in _STRIP):
-        k += 1
-    m = _HEAD.match(text, k)
+    text = text.lstrip(_LEADING)
+    m = _HEAD.match(text)
     token = m.group() if m else ""
     if token and _script(token[0]) >= 6:
         return token[:2]
@@ -281,7 +286,7 @@ def _pair(prev: str, nxt: str) -> int:
 
 def _context(line: str, start: int, mark: str, rest: str, blank: bool, closed: bool) -> tuple:
     prev = _before(line, start)
-    nxt = _behind(rest[:80])
+    nxt = _behind(rest)
     term = _term(mark)
     last = line[start - 1] if start else " "
     return (_slot(f"<{term}", prev if term == 0 else "" if term > 1 else prev), _slot(">", nxt), _shape(prev), _char_class(rest[:1]), term, int(blank), int(closed), _script(last) if not last.isspace() else 9, _shape(nxt), _pair(prev, nxt))
@@ -380,7 +385,7 @@ class Counts:
                 line = repaired(line)[0]
                 self.plain.update(line.split())
                 self.begin[_slot(">", _behind(line[:80]))] += 1
-                for _, verdict, f in _candidates(line):
+                for _, verdict, f in _candidates(line, (-1, 2)):
                     if verdict == 2:
                         self.end[f[0]] += 1
                     elif verdict == -1:
@@ -548,8 +553,11 @@ def train(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col:
     longest: characters of each of them, so that the sample's size is bounded.
     """
     stats = statistics(docs, text_col)
-    chosen = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.substring(F.col(text_col), 1, longest).alias("text")).orderBy("h", "text").limit(sample)
-    rows, y = training_rows([r["text"] for r in chosen.select("text").collect()], stats)
+    # the least hashes first, so that only these documents' texts are moved
+    hashed = docs.filter(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.substring(F.col(text_col), 1, longest).alias("text"))
+    bound = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = hashed.filter(F.col("h") <= F.lit(bound)).limit(2 * sample).collect() if bound is not None else []
+    rows, y = training_rows([r["text"] for r in sorted(chosen, key=lambda r: (r["h"], r["text"]))[:sample]], stats)
     return Model.fit(rows, y, stats)
 
 
@@ -563,7 +571,7 @@ def units(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray
             cuts = []
             if _ANY.search(line):
                 meant, where = repaired(line)
-                found = _candidates(meant)
+                found = _candidates(meant, (-1,))
             else:
                 found, where = (), None
             for end, verdict, f in found:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import FT_PER_M, finite, missing
+from ..session import settled, shuffle_partitions
+from .ordered import range_sorted, running_sums
+from .profile import group_quantiles
 
 #: Defaults of the source data, in feet where not named otherwise.
 DEPTH_M = 3.0
@@ -73,21 +76,26 @@ def unique_ids(df: DataFrame, column: str, key: str = "fid") -> DataFrame:
 
     The rows to number are ranked by range-partition counts, not in one task.
     """
-    w = Window.partitionBy(column).orderBy(key)
-    x = F.col(column)
-    flagged = df.withColumn("__again", x.isNull() | F.isnan(x) | (F.row_number().over(w) > 1))
-    top = df.agg(F.coalesce(F.max(finite(x)), F.lit(0.0)).alias("__top"))
-    again = flagged.filter("__again").select(key)
-    ranks = global_rank(again, [key]).withColumnRenamed("rank", "__rank")
+    x = finite(F.col(column))
+    flagged = df.join(numbered(df.filter(x.isNotNull()), column, key).withColumnRenamed("k", "__k"), key, "left").withColumn("__again", x.isNull() | (F.col("__k") > 1))
+    top = df.agg(F.coalesce(F.max(x), F.lit(0.0)).alias("__top"))
+    ranks = global_rank(flagged.filter("__again").select(key), [key]).withColumnRenamed("rank", "__rank")
     # one row
     joined = flagged.join(ranks, key, "left").join(F.broadcast(top))
-    return joined.withColumn(f"new_{column}", F.when(F.col("__again"), F.col("__top") + F.col("__rank")).otherwise(x)).drop("__again", "__rank", "__top")
+    return joined.withColumn(f"new_{column}", F.when(F.col("__again"), F.col("__top") + F.col("__rank")).otherwise(F.col(column))).drop("__k", "__again", "__rank", "__top")
+
+
+def numbered(df: DataFrame, group: str, key: str) -> DataFrame:
+    """key, k: the number of each row within its group, in key order; a group of any size, as it is counted over a range sort.
+
+    Rows of a NULL group are left out; key is unique.
+    """
+    rows = df.filter(F.col(group).isNotNull()).select(F.col(group).cast("string").alias("g"), key, F.lit(1).alias("one"))
+    return running_sums(range_sorted(rows, ["g", key]), "g", ["one"]).select(key, F.col("run_one").cast("bigint").alias("k"))
 
 
 def global_rank(df: DataFrame, by: list[str]) -> DataFrame:
     """df with rank 1..n in the order of by: rows are counted per range partition, then numbered within it."""
-    from ..session import settled, shuffle_partitions
-
     rows = settled(df.repartitionByRange(shuffle_partitions(df.sparkSession), *by).sortWithinPartitions(*by)).withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     counts = {r["__pid"]: r["count"] for r in rows.groupBy("__pid").count().collect()}
     before, base = 0, {}
@@ -102,8 +110,8 @@ def global_rank(df: DataFrame, by: list[str]) -> DataFrame:
 
 def suffixed(df: DataFrame, column: str, key: str) -> DataFrame:
     """df with new_<column>: the second and later rows of a code get _1, _2 and so on."""
-    k = F.row_number().over(Window.partitionBy(column).orderBy(key))
-    return df.withColumn("__k", k).withColumn(f"new_{column}", F.when(F.col(column).isNotNull() & (F.col("__k") > 1), F.concat_ws("_", F.col(column), F.col("__k") - 1)).otherwise(F.col(column))).drop("__k")
+    n = numbered(df, column, key).withColumnRenamed("k", "__k")
+    return df.join(n, key, "left").withColumn(f"new_{column}", F.when(F.col("__k") > 1, F.concat_ws("_", F.col(column), F.col("__k") - 1)).otherwise(F.col(column))).drop("__k")
 
 
 def group_fallback(df: DataFrame, value: str, groups: list[str], digits: int = 1) -> DataFrame:
@@ -111,7 +119,7 @@ def group_fallback(df: DataFrame, value: str, groups: list[str], digits: int = 1
     out, seen = df, F.when(~missing(F.col(value)), F.round(F.col(value), digits))
     source = F.when(~missing(F.col(value)), F.lit("own"))
     for g in groups:
-        known = df.filter(~missing(F.col(value)) & F.col(g).isNotNull()).groupBy(F.col(g).alias(f"__{g}")).agg(F.median(value).alias(f"__m_{g}"))
+        known = group_quantiles(df, g, value, {f"__m_{g}": 0.5}).withColumnRenamed(g, f"__{g}")
         out = out.join(known, out[g] == F.col(f"__{g}"), "left")
         m = F.round(F.col(f"__m_{g}"), digits)
         source = F.coalesce(source, F.when(m.isNotNull(), F.lit(f"same {g}")))

@@ -101,22 +101,39 @@ def bfs(edges: DataFrame, starts: DataFrame, stops: DataFrame | None = None, max
     at = settled(incidence(edges))
     stop = stops.select("id").distinct() if stops is not None else None
     frontier = settled(starts.select("id").distinct().join(edges.select("id"), "id", "left_semi").select("id", F.lit(0).alias("hop"), F.lit(None).cast("bigint").alias("parent")))
-    done, passed, hop = frontier, None, 0
-    seen_nodes = None
-    while hop < max_hops:
-        open_ = frontier if stop is None or hop == 0 else frontier.join(stop, "id", "left_anti")
+    parts, blocked = [frontier], None
+    last_lines, last_nodes = [frontier.select("id")], []
+    for hop in range(1, max_hops + 1):
+        if stop is None or hop == 1:
+            open_ = frontier
+        else:
+            # a line that isn't passed can be met again much later, from its other end
+            held = frontier.join(stop, "id", "left_semi").select("id")
+            blocked = settled(held if blocked is None else blocked.unionByName(held))
+            open_ = frontier.join(stop, "id", "left_anti")
         nodes = at.join(open_.select("id"), "id").groupBy("node").agg(F.min("id").alias("parent"))
-        if seen_nodes is not None:
-            nodes = nodes.join(seen_nodes, "node", "left_anti")
+        for seen in last_nodes:
+            nodes = nodes.join(seen, "node", "left_anti")
         nodes = settled(nodes)
-        hop += 1
-        nxt = at.join(nodes, "node").join(done.select("id"), "id", "left_anti").groupBy("id").agg(F.min("parent").alias("parent"))
-        frontier = settled(nxt.select("id", F.lit(hop).alias("hop"), "parent"))
+        # neighbours of a frontier lie at most one hop from it, so the last two are all that can be met again
+        fresh = at.join(nodes, "node")
+        for seen in [*last_lines, *([blocked] if blocked is not None else [])]:
+            fresh = fresh.join(seen, "id", "left_anti")
+        frontier = settled(fresh.groupBy("id").agg(F.min("parent").alias("parent")).select("id", F.lit(hop).alias("hop"), "parent"))
         if frontier.isEmpty():
             break
-        seen_nodes = nodes.select("node") if seen_nodes is None else settled(seen_nodes.unionByName(nodes.select("node")))
-        done = settled(done.unionByName(frontier))
-    return done
+        parts.append(frontier)
+        last_lines, last_nodes = [frontier.select("id"), *last_lines][:2], [nodes.select("node"), *last_nodes][:2]
+        if len(parts) >= 32:
+            parts = [settled(_all(parts))]
+    return _all(parts)
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def accumulated(tree: DataFrame, value: str, by_hop: bool = True) -> DataFrame:

@@ -82,8 +82,17 @@ def quantiles(counts: DataFrame, shares: dict[str, float], partitions: int | Non
     between its two neighbouring ranks, which are looked up in these intervals.
     """
     numbers = counts.filter("num is not null and n > 0").select("layer", "field", "load_id", "num", "n", _KEY.alias("k"))
-    run = running_sums(range_sorted(numbers, ["k", "num"], partitions=partitions), "k", ["n"])
-    totals = numbers.groupBy("k").agg(F.sum("n").alias("total"))
+    q = keyed_quantiles(numbers.select("k", "num", "n"), shares, partitions)
+    return numbers.groupBy("k").agg(F.first("layer").alias("layer"), F.first("field").alias("field"), F.first("load_id").alias("load_id")).join(q, "k").drop("k")
+
+
+def keyed_quantiles(counts: DataFrame, shares: dict[str, float], partitions: int | None = None) -> DataFrame:
+    """k and one column per share: exact quantiles of num weighted by n, by prefix counts over (k, num), whatever a key's size.
+
+    counts: k (non-null string), num, n, one row per value of a key.
+    """
+    run = running_sums(range_sorted(counts, ["k", "num"], partitions=partitions), "k", ["n"])
+    totals = counts.groupBy("k").agg(F.sum("n").alias("total"))
     ranked = run.join(totals, "k").withColumn("before", F.col("run_n") - F.col("n"))
     aggs = []
     for name, q in shares.items():
@@ -93,7 +102,15 @@ def quantiles(counts: DataFrame, shares: dict[str, float], partitions: int | Non
         low = F.sum(F.when(part(F.floor(h)), F.col("num") * (1 - weight)))
         high = F.sum(F.when(part(F.ceil(h)), F.col("num") * weight))
         aggs.append((low + high).alias(name))
-    return ranked.groupBy("layer", "field", "load_id").agg(*aggs)
+    return ranked.groupBy("k").agg(*aggs)
+
+
+def group_quantiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """group and one column per share: exact quantiles of value within each group; NULL groups and values left out."""
+    x = F.col(value).cast("double")
+    counts = df.filter(F.col(group).isNotNull() & x.isNotNull() & ~F.isnan(x)).groupBy(F.col(group).alias("g"), (x + F.lit(0.0)).alias("num")).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.col("g").cast("string"))
+    names = counts.select("k", F.col("g").alias(group)).distinct()
+    return keyed_quantiles(counts.select("k", "num", "n"), shares).join(names, "k").drop("k")
 
 
 def profile(tables: dict[str, DataFrame], fields: list[Field], load: str = "load_id", partitions: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import cleaning as K
+from ..operators.profile import group_quantiles
 from ..session import read
 
 
@@ -229,8 +230,11 @@ def class_totals(s: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT mainshape, round(quantile_cont(w, 0.01), 4) AS p1, round(quantile_cont(w, 0.05), 4) AS p5, round(quantile_cont(w, 0.5), 4) AS p50, round(quantile_cont(w, 0.95), 4) AS p95, round(quantile_cont(w, 0.99), 4) AS p99, round(min(w), 4) AS least, round(avg(w), 4) AS mean, round(max(w), 4) AS greatest FROM (SELECT mainshape, {_n('width')} AS w FROM gravity_mains) WHERE w IS NOT NULL GROUP BY 1")
 def percentile_report(s: SparkSession, d: str) -> DataFrame:
     t = read(s, d, "gravity_mains").filter(~C.missing(F.col("width")))
-    q = F.percentile("width", F.array(*[F.lit(v) for v in (0.01, 0.05, 0.5, 0.95, 0.99)]))
-    return t.groupBy("mainshape").agg(q.alias("q"), F.min("width").alias("least"), F.avg("width").alias("mean"), F.max("width").alias("greatest")).select("mainshape", *[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("p1", "p5", "p50", "p95", "p99"))], *[F.round(c, 4).alias(c) for c in ("least", "mean", "greatest")])
+    shares = {"p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+    t = t.withColumn("shape", F.coalesce("mainshape", F.lit("(none)")))
+    q = group_quantiles(t, "shape", "width", shares)
+    plain = t.groupBy("shape").agg(F.first("mainshape").alias("mainshape"), F.min("width").alias("least"), F.avg("width").alias("mean"), F.max("width").alias("greatest"))
+    return plain.join(q, "shape").select("mainshape", *[F.round(c, 4).alias(c) for c in (*shares, "least", "mean", "greatest")])
 
 
 @query("SELECT code, fid, load_ts FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY load_ts DESC, fid) AS k FROM hydroobject) WHERE k = 1")

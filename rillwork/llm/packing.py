@@ -111,6 +111,8 @@ def pack(docs: DataFrame, capacity: int = 2048, space: int = 64, tokenizer: str
 
 def _merged(leftovers: DataFrame, capacity: int, space: int, merge: int) -> DataFrame:
     """window, seq_id, base: the sequence each leftover window goes into and the tokens before it there."""
+    # a task leaves up to `space` windows open: it has to take more than that for the tree to get narrower
+    merge = max(merge, 4 * space)
     level = settled(leftovers)
     n = level.count()
     chain = level.select("window", F.col("window").alias("seq_id"), F.lit(0).cast("bigint").alias("base"))

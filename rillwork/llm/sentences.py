@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 
 from ..session import settled
 
-_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
+_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 _LINE = re.compile(f"[^{_BREAKS}]+")
 #: Marks that may end a sentence, in all scripts; the Greek question mark looks like a semicolon.
 _MARKS = ".!?…。．｡！？।॥؟۔;"
 _MARK = re.compile(rf"[{_MARKS}]+(?:[   ]?[!?]+)*|(?<=[Ͱ-Ͽἀ-῿]);")
 _THAI = re.compile("(?<=[ก-ฺเ-๎])[  　\t]+(?=[ก-ฺเ-๎])")
-_IN_THAI = re.compile("[ก-๎][  　\t]")
+_IN_THAI = re.compile("[\u0e01-\u0e4e][ \u00a0\u3000\t]")
 _ANY = re.compile(rf"[{_MARKS};]|[ก-๎][  　\t]")
 #: Brackets and quotation marks.
 _PAIRS = {")": "(", "]": "[", "}": "{", "）": "（", "】": "【", "》": "《", "〉": "〈", "」": "「", "』": "『", "›": "‹"}

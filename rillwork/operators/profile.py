@@ -72,7 +72,8 @@ def _listed(fields: list[Field]) -> Column:
     return out
 
 
-_KEY = F.concat_ws("|", "layer", "field", F.coalesce(F.col("load_id").cast("string"), F.lit("none")))
+def _key() -> Column:
+    return F.concat_ws("|", "layer", "field", F.coalesce(F.col("load_id").cast("string"), F.lit("none")))
 
 
 def quantiles(counts: DataFrame, shares: dict[str, float], partitions: int | None = None) -> DataFrame:
@@ -81,7 +82,7 @@ def quantiles(counts: DataFrame, shares: dict[str, float], partitions: int | Non
     A value occupies the ranks (run - n, run]. Rank h = (total - 1) * share lies
     between its two neighbouring ranks, which are looked up in these intervals.
     """
-    numbers = counts.filter("num is not null and n > 0").select("layer", "field", "load_id", "num", "n", _KEY.alias("k"))
+    numbers = counts.filter("num is not null and n > 0").select("layer", "field", "load_id", "num", "n", _key().alias("k"))
     q = keyed_quantiles(numbers.select("k", "num", "n"), shares, partitions)
     return numbers.groupBy("k").agg(F.first("layer").alias("layer"), F.first("field").alias("field"), F.first("load_id").alias("load_id")).join(q, "k").drop("k")
 

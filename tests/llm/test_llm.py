@@ -1,5 +1,6 @@
 """Problems 6 to 8 on small corpora: round trips, brute force, held-out accuracy, dirty and empty input."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -224,3 +225,13 @@ def test_repaired_lines():
 
 def test_no_documents(spark):
     assert sentences.sentences(_docs(spark, [])).count() == 0
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no test data")
+@pytest.mark.parametrize("name", ["p7_found", "p7_clean"])
+def test_query_equals_sql(spark, name):
+    from oracle import compare
+
+    from rillwork.llm import queries
+
+    assert compare(spark, "/root/testdata/sf0.001", name, queries.QUERIES[name], queries.ORACLE[name]) == ""

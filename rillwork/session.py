@@ -37,8 +37,13 @@ def settled(df: DataFrame) -> DataFrame:
     Later jobs read the files, so partitions, their order and their content are
     the same in each of them, and a lost executor costs no recomputation.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    kept = df.checkpoint(eager=True)._jdf
+    # without the estimated size of what it was made from: over the rounds of an
+    # iteration these estimates multiply to numbers of millions of digits
+    plain = spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False)
+    return DataFrame(plain, spark)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -601,15 +601,20 @@ def units(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray
     return tuple(np.array(plain, dtype=np.int64).T)
 
 
-def sentences(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start_pos, end_pos: the sentence units of every document."""
+def sentences(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", chunk: int = 4_000_000) -> DataFrame:
+    """doc_id, start_pos, end_pos: the sentence units of every document. chunk: characters that a task classifies at a time."""
     model = model or train(docs, id_col=id_col, text_col=text_col)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids = pdf["id"].to_numpy()
-            which, start, end = units(pdf["text"].tolist(), model)
-            yield pd.DataFrame({"doc_id": ids[which], "start_pos": start, "end_pos": end})
+            ids, texts = pdf["id"].to_numpy(), pdf["text"].tolist()
+            # a batch of long texts is taken in parts, so that its candidates fit into memory
+            part = np.cumsum([len(t) for t in texts]) // chunk
+            for k in range(int(part[-1]) + 1 if len(part) else 0):
+                lo, hi = np.searchsorted(part, [k, k + 1])
+                if hi > lo:
+                    which, start, end = units(texts[lo:hi], model)
+                    yield pd.DataFrame({"doc_id": ids[lo:hi][which], "start_pos": start, "end_pos": end})
 
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInPandas(split, "doc_id bigint, start_pos bigint, end_pos bigint")

@@ -195,3 +195,27 @@ def stitched(parts: Column, tol: float = 1e-6) -> Column:
     empty = F.slice(F.element_at(parts, 1), 1, 0)
     fold = F.aggregate(parts, F.struct(empty.alias("c"), F.lit(True).alias("ok")), lambda acc, p: F.struct(F.when(F.size(acc["c"]) == 0, p).otherwise(F.concat(acc["c"], F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))))).alias("c"), (acc["ok"] & ((F.size(acc["c"]) == 0) | (distance(F.element_at(acc["c"], -1), F.element_at(p, 1)) <= F.lit(tol)))).alias("ok")))
     return F.when(fold["ok"], fold["c"])
+
+
+def clipped_ring(ring: Column, x0: float, y0: float, x1: float, y1: float) -> Column:
+    """A ring cut to a window, side by side; empty if nothing of it is inside."""
+
+    def side(r: Column, axis: str, bound: float, keep_above: bool) -> Column:
+        other = "y" if axis == "x" else "x"
+        inside = lambda p: p[axis] >= F.lit(bound) if keep_above else p[axis] <= F.lit(bound)
+
+        def step(p: Column, i: Column) -> Column:
+            q = F.get(r, (i + 1) % F.size(r))
+            t = (F.lit(bound) - p[axis]) / (q[axis] - p[axis])
+            at = p[other] + (q[other] - p[other]) * t
+            cut = F.struct(F.lit(bound).alias("x"), at.alias("y")) if axis == "x" else F.struct(at.alias("x"), F.lit(bound).alias("y"))
+            none = F.slice(F.array(p), 1, 0)
+            through = F.when(inside(p) != inside(q), F.array(cut)).otherwise(none)
+            return F.concat(F.when(inside(p), F.array(p)).otherwise(none), through)
+
+        return F.when(F.size(r) > 0, F.flatten(F.transform(r, step))).otherwise(r)
+
+    r = F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    for axis, bound, above in (("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)):
+        r = side(r, axis, bound, above)
+    return r

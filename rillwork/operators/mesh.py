@@ -125,3 +125,37 @@ def grid(x0: float, y0: float, nx: int, ny: int, step: float, spark) -> tuple[Da
     a = row * (nx + 1) + col
     cells = spark.range(nx * ny).select(F.col("id").alias("cell"), F.array(a, a + 1, a + nx + 2, a + nx + 1).cast("array<bigint>").alias("nodes"))
     return cells, nodes
+
+
+def zones(cells: DataFrame, bands: list[tuple[float, float]], beyond: float) -> DataFrame:
+    """cells (distance) with size: the target size of the first distance band that holds it, else `beyond`."""
+    size = F.lit(beyond)
+    for limit, s in sorted(bands, reverse=True):
+        size = F.when(F.col("distance") <= limit, F.lit(s)).otherwise(size)
+    return cells.withColumn("size", size)
+
+
+def merged_slivers(cells: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """cell, root: cells below an area join the neighbour across their longest side, and so on along chains.
+
+    Two slivers that point at each other are one, named after the lesser.
+    """
+    from .graph import components
+
+    small = areas(cells, nodes).filter(F.abs("area") < least).select("cell")
+    at = lambda k, a: nodes.select(F.col("node").alias(k), F.col("x").alias(f"{a}x"), F.col("y").alias(f"{a}y"))
+    inner = links(cells).filter("c2 is not null").join(at("n1", "a"), "n1").join(at("n2", "b"), "n2")
+    long = inner.withColumn("n", F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))
+    sides = long.select(F.col("c1").alias("cell"), F.col("c2").alias("to"), "n").unionByName(long.select(F.col("c2").alias("cell"), F.col("c1").alias("to"), "n"))
+    choice = sides.join(small, "cell", "left_semi").groupBy("cell").agg(F.min(F.struct((-F.round("n", 9)).alias("n"), "to")).alias("b")).select("cell", F.col("b.to").alias("to"))
+    comp = components(choice.select(F.col("cell").alias("u"), F.col("to").alias("v")))
+    # the root of a group is its one cell that isn't a sliver, or else the least
+    big = comp.join(small, comp["node"] == small["cell"], "left_anti").groupBy("component").agg(F.min("node").alias("big"))
+    group = comp.join(big, "component", "left").select(F.col("node").alias("g"), F.coalesce("big", "component").alias("root"))
+    return cells.select("cell").join(group, F.col("cell") == F.col("g"), "left").select("cell", F.coalesce("root", "cell").alias("root"))
+
+
+def contact_types(links_: DataFrame, closed: list[str]) -> DataFrame:
+    """1D-2D links (branch) with contact: 5 for the kinds of branches in closed pipes, else 3."""
+    kind = F.substring_index("branch", "_", 1)
+    return links_.withColumn("contact", F.when(kind.isin(*closed), 5).otherwise(3))

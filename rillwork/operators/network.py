@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -227,8 +229,6 @@ def outfall_states(ends: DataFrame) -> DataFrame:
     channel piece is first, so each group (a component of channels) is walked in
     order; a group holds the outfalls of one channel system.
     """
-    import pandas as pd
-
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         used: dict[tuple, int] = {}
         out = []
@@ -268,3 +268,61 @@ def closure(parents: DataFrame, children: dict[str, tuple[DataFrame, list[tuple[
         kept[name] = parts if len(refs) == 1 else parts.dropDuplicates([key] if key in table.columns else None)
         del row
     return kept
+
+
+def hausdorff_matches(lines: DataFrame, others: DataFrame, tol: float) -> DataFrame:
+    """id, match, distance: for each line the other whose Hausdorff distance is least, among those its midpoint lies within tol of."""
+    a = clean_lines(lines).withColumn("m", G.midpoint(F.col("c")))
+    mids = a.select("id", F.col("m.x").alias("x"), F.col("m.y").alias("y"))
+    pairs = lines_within(others, SortedPoints(mids), tol).select(F.col("id1").alias("match"), F.col("id2").alias("id"))
+
+    def to_line(px: np.ndarray, py: np.ndarray, qx: np.ndarray, qy: np.ndarray) -> float:
+        ax, ay, bx, by = (v[None, :] for v in ((qx[:-1], qy[:-1], qx[1:], qy[1:]) if len(qx) > 1 else (qx, qy, qx, qy)))
+        dx, dy = bx - ax, by - ay
+        n2 = np.where(dx * dx + dy * dy > 0, dx * dx + dy * dy, 1)
+        t = np.clip(((px[:, None] - ax) * dx + (py[:, None] - ay) * dy) / n2, 0, 1)
+        return float(np.hypot(px[:, None] - ax - t * dx, py[:, None] - ay - t * dy).min(axis=1).max())
+
+    @F.pandas_udf("double")
+    def hausdorff(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
+        return pd.Series([max(to_line(*map(np.asarray, (p, q, r, s))), to_line(*map(np.asarray, (r, s, p, q)))) for p, q, r, s in zip(ax, ay, bx, by)], dtype=float)
+
+    xs = lambda c, k: F.transform(c, lambda p: p[k])
+    # vertices every few metres stand for the lines between them
+    j = pairs.join(a.select("id", G.densified(F.col("c"), 2.0).alias("c")), "id").join(clean_lines(others).select(F.col("id").alias("match"), G.densified(F.col("c"), 2.0).alias("o")), "match")
+    d = j.withColumn("distance", hausdorff(xs("c", "x"), xs("c", "y"), xs("o", "x"), xs("o", "y"))).filter(F.col("distance") <= tol)
+    return d.groupBy("id").agg(F.min(F.struct("distance", "match")).alias("b")).select("id", "b.match", "b.distance")
+
+
+def carriageway_pairs(lines: DataFrame, reach: float, step: float = 10.0, opposite: float = -0.8, share: float = 0.5) -> DataFrame:
+    """id, other, share: lines that run beside another in the opposite direction for at least `share` of their samples."""
+    s = clean_lines(lines).withColumn("n", G.length(F.col("c"))).filter("n > 0").select("id", "c", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor(F.col("n") / step).cast("int")), lambda i: i * F.lit(step))).alias("k", "d"))
+    at = s.select("id", "k", G.at_distance(F.col("c"), F.col("d")).alias("p"), G.tangent(F.col("c"), F.col("d")).alias("t")).filter("t is not null")
+    pts = settled(at.select(F.monotonically_increasing_id().alias("pt"), "id", "k", F.col("p.x").alias("x"), F.col("p.y").alias("y"), F.col("t.x").alias("tx"), F.col("t.y").alias("ty")))
+    xy = pts.select(F.col("pt").alias("id"), "x", "y")
+    near = points_within(xy, SortedPoints(xy), reach)
+    a = pts.select(F.col("pt").alias("id1"), "id", "k", "tx", "ty")
+    b = pts.select(F.col("pt").alias("id2"), F.col("id").alias("other"), F.col("tx").alias("ox"), F.col("ty").alias("oy"))
+    hit = near.join(a, "id1").join(b, "id2").filter((F.col("id") != F.col("other")) & (F.col("tx") * F.col("ox") + F.col("ty") * F.col("oy") < opposite)).select("id", "other", "k").distinct()
+    n = pts.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return hit.groupBy("id", "other").agg(F.count(F.lit(1)).alias("hits")).join(n, "id").withColumn("share", F.col("hits") / F.col("n")).filter(F.col("share") >= share).select("id", "other", "share")
+
+
+def connect_ends(lines: DataFrame, outfalls: DataFrame, channels: DataFrame, tol: float, limit: float) -> DataFrame:
+    """id, end, channel, c: lines whose end carries an outfall, prolonged to the nearest vertex of the nearest channel.
+
+    Ends are those of the original lines; a line is prolonged at one end only,
+    the one nearer to its channel.
+    """
+    ends = settled(line_ends(lines))
+    pts = _ends_as_points(ends)
+    hit = points_within(pts, SortedPoints(outfalls), tol).select(F.col("id1").alias("id")).distinct()
+    at = settled(pts.join(hit, "id", "left_semi"))
+    near = nearest_lines(at, channels, limit)
+    vertex = clean_lines(channels).select(F.col("id").alias("line"), F.explode("c").alias("v"))
+    to = near.join(at.withColumnRenamed("id", "pt"), "pt").join(vertex, "line").groupBy("pt", "line").agg(F.min(F.struct(F.hypot(F.col("v.x") - F.col("x"), F.col("v.y") - F.col("y")).alias("d"), "v")).alias("b"))
+    best = to.withColumn("id", F.floor(F.col("pt") / 2).cast("bigint")).groupBy("id").agg(F.min(F.struct("b.d", "pt", "line", "b.v")).alias("t"))
+    j = best.join(clean_lines(lines), "id")
+    rev = F.col("t.pt") % 2 == 0
+    new = F.when(rev, F.reverse(G.appended(F.reverse(F.col("c")), F.col("t.v"), tol))).otherwise(G.appended(F.col("c"), F.col("t.v"), tol))
+    return j.select("id", F.when(rev, "start").otherwise("end").alias("end"), F.col("t.line").alias("channel"), new.alias("c"))

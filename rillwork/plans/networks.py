@@ -374,3 +374,22 @@ def ranked_within_line(s: SparkSession, d: str) -> DataFrame:
     same = Window.partitionBy("facilityid", "upelev")
     ranked = t.withColumn("ahead", F.sum("trunk").over(w) - F.sum("trunk").over(same))
     return ranked.filter("trunk = 0 and facilityid <> 'SD-MAIN-0001'").select("fid", "ahead")
+
+
+@query()
+def hausdorff_matches(s: SparkSession, d: str) -> DataFrame:
+    """For each even branch the odd one that runs closest to it."""
+    h = _lines(s, d, "hydroobject")
+    return N.hausdorff_matches(h.filter("id % 2 = 0"), h.filter("id % 2 = 1"), 20.0)
+
+
+@query()
+def carriageway_pairs(s: SparkSession, d: str) -> DataFrame:
+    return N.carriageway_pairs(_lines(s, d, "hydroobject"), 15.0)
+
+
+@query()
+def connected_outfalls(s: SparkSession, d: str) -> DataFrame:
+    """Pipes ending at an outfall, prolonged to the nearest vertex of a branch."""
+    got = N.connect_ends(_lines(s, d, "gravity_mains"), _points(s, d, "discharge_points"), _lines(s, d, "hydroobject"), 6.0, 40.0)
+    return got.select("id", "end", "channel", F.round(G.length(F.col("c")), 3).alias("length"))

@@ -242,3 +242,25 @@ def branch_lengths(s: SparkSession, d: str) -> DataFrame:
     n = _lengths(s, d).select("fid", "length").filter("length is not null")
     h = read(s, d, "hydroobject").filter(F.size("geometry") > 1).select("fid", "lengte").join(n, "fid")
     return h.select("fid", F.round("length", 4).alias("length"), F.round(F.coalesce(C.finite(F.col("lengte")), "length"), 4).alias("lengte"))
+
+
+@query("""WITH c AS (SELECT n_nationkey AS id, n_nationkey % 5 * 30.0 AS x0, n_nationkey // 5 * 30.0 AS y0 FROM nation) SELECT id, round(greatest(0, least(x0 + 24, 77) - greatest(x0, 11)) * greatest(0, least(y0 + 18, 70) - greatest(y0, 5)), 4) AS area FROM c""")
+def window_clip(s: SparkSession, d: str) -> DataFrame:
+    """Area of rectangles inside a window."""
+    k = F.col("n_nationkey")
+    x, y = k % 5 * 30.0, F.floor(k / 5) * 30.0
+    ring = F.array(*[G.point(x + dx, y + dy) for dx, dy in ((0.0, 0.0), (24.0, 0.0), (24.0, 18.0), (0.0, 18.0))])
+    c = read(s, d, "nation").select(k.cast("bigint").alias("id"), ring.alias("r")).withColumn("c", G.clipped_ring(F.col("r"), 11.0, 5.0, 77.0, 70.0))
+    return c.select("id", F.round(F.when(F.size("c") > 2, F.abs(G.ring_area(F.col("c")))).otherwise(0.0), 4).alias("area"))
+
+
+@query("SELECT fid, CASE WHEN d <= 50 THEN 5.0 WHEN d <= 200 THEN 15.0 ELSE 40.0 END AS size FROM (SELECT fid, CAST(fid % 331 AS DOUBLE) AS d FROM discharge_points)")
+def target_sizes(s: SparkSession, d: str) -> DataFrame:
+    c = read(s, d, "discharge_points").select("fid", (F.col("fid") % 331).cast("double").alias("distance"))
+    return M.zones(c, [(200.0, 15.0), (50.0, 5.0)], 40.0).select("fid", "size")
+
+
+@query("SELECT fid, CASE WHEN split_part(code, '_', 1) IN ('C') THEN 5 ELSE 3 END AS contact FROM hydroobject WHERE code IS NOT NULL")
+def contact_types(s: SparkSession, d: str) -> DataFrame:
+    h = read(s, d, "hydroobject").filter("code is not null").select("fid", F.col("code").alias("branch"))
+    return M.contact_types(h, ["C"]).select("fid", "contact")

@@ -135,6 +135,27 @@ def test_collapse_and_extend(spark):
     assert [(r.id, r.end, round(r.extension, 6)) for r in ext] == [(5, "end", 19.0)] and math.isclose(ext[0].c[-1].x, 110)
 
 
+def test_matches_pairs_and_connections(spark):
+    a = lines(spark, [(1, line((0, 0), (40, 0)))])
+    b = lines(spark, [(11, line((0, 1), (40, 1))), (12, line((0, 0.5), (20, 0.5))), (13, line((40, 3), (0, 3)))])
+    assert [(r.id, r.match, r.distance) for r in network.hausdorff_matches(a, b, 5.0).collect()] == [(1, 11, 1)]
+    pairs = {(r.id, r.other): r.share for r in network.carriageway_pairs(a.unionByName(b), 4.0).collect()}
+    assert pairs[1, 13] == 1 and (1, 11) not in pairs
+    out = spark.createDataFrame([(1, 40.0, 0.005)], "id bigint, x double, y double")
+    got = network.connect_ends(a, out, lines(spark, [(50, line((45, -9), (45, 2), (45, 9)))]), 0.01, 20.0).collect()
+    assert [(r.id, r.end, r.channel, (r.c[-1].x, r.c[-1].y), len(r.c)) for r in got] == [(1, "end", 50, (45, 2), 3)]
+
+
+def test_slivers(spark):
+    from rillwork.operators import mesh
+
+    nodes = spark.createDataFrame([(0, 0.0, 0.0), (1, 10.0, 0.0), (2, 10.0, 10.0), (3, 0.0, 10.0), (4, 10.1, 0.0), (5, 10.1, 10.0), (6, 20.0, 0.0), (7, 20.0, 10.0)], "node bigint, x double, y double")
+    cells = spark.createDataFrame([(1, [0, 1, 2, 3]), (2, [1, 4, 5, 2]), (3, [4, 6, 7, 5])], "cell bigint, nodes array<bigint>")
+    got = {r.cell: r.root for r in mesh.merged_slivers(cells, nodes, 5.0).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert [r.angle for r in mesh.least_angles(cells, nodes).collect()] == [90] * 3
+
+
 # Cleaning ---------------------------------------------------------------------------------------------------
 
 

@@ -10,6 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with value evaluated once: higher-order functions are not shared between the places they are written in."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -46,13 +51,20 @@ def length(c: Column) -> Column:
     return F.aggregate(F.zip_with(F.slice(c, 1, n), F.slice(c, 2, n), distance), F.lit(0.0), lambda a, d: a + d)
 
 
+def _at(s: Column, c: Column, d: Column) -> Column:
+    """The point at a distance along a line c with segments s."""
+
+    def inner(h: Column) -> Column:
+        t = F.greatest(F.lit(0.0), (d - h["d"]) / h["n"])
+        p = F.struct((h["a"]["x"] + (h["b"]["x"] - h["a"]["x"]) * t).alias("x"), (h["a"]["y"] + (h["b"]["y"] - h["a"]["y"]) * t).alias("y"))
+        return F.when(h.isNotNull(), p).otherwise(F.when(d <= 0, start(c)).otherwise(end(c)))
+
+    return let(F.get(F.filter(s, lambda g: (g["d"] + g["n"] >= d) & (g["n"] > 0)), F.lit(0)), inner)
+
+
 def at_distance(c: Column, d: Column) -> Column:
     """The point at a distance along a line, clamped to its ends."""
-    s = segments(c)
-    hit = F.get(F.filter(s, lambda g: (g["d"] + g["n"] >= d) & (g["n"] > 0)), F.lit(0))
-    t = F.greatest(F.lit(0.0), (d - hit["d"]) / hit["n"])
-    inner = F.struct((hit["a"]["x"] + (hit["b"]["x"] - hit["a"]["x"]) * t).alias("x"), (hit["a"]["y"] + (hit["b"]["y"] - hit["a"]["y"]) * t).alias("y"))
-    return F.when(hit.isNotNull(), inner).otherwise(F.when(d <= 0, start(c)).otherwise(end(c)))
+    return let(segments(c), lambda s: _at(s, c, d))
 
 
 def midpoint(c: Column) -> Column:
@@ -79,8 +91,8 @@ def locate(c: Column, p: Column) -> Column:
 
 def cut(c: Column, d0: Column, d1: Column) -> Column:
     """The part of a line between two distances, with exact end points."""
-    inner = F.transform(F.filter(segments(c), lambda g: (g["d"] > d0) & (g["d"] < d1)), lambda g: g["a"])
-    return F.concat(F.array(at_distance(c, d0)), inner, F.array(at_distance(c, d1)))
+    inner = lambda s: F.transform(F.filter(s, lambda g: (g["d"] > d0) & (g["d"] < d1)), lambda g: g["a"])
+    return let(segments(c), lambda s: F.concat(F.array(_at(s, c, d0)), inner(s), F.array(_at(s, c, d1))))
 
 
 def with_start(c: Column, p: Column) -> Column:
@@ -115,31 +127,45 @@ def appended(c: Column, p: Column, tol: float) -> Column:
 
 def stations(c: Column, spacing: float) -> Column:
     """Distances every `spacing` along a line, its ends trimmed by the lesser of 10 and a fifth of its length."""
-    n = length(c)
-    trim = F.least(F.lit(10.0), n * 0.2)
-    k = F.floor((n - 2 * trim) / F.lit(spacing)).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(k, F.lit(0))), lambda i: trim + i * F.lit(spacing)))
+
+    def along(n: Column) -> Column:
+        trim = F.least(F.lit(10.0), n * 0.2)
+        k = F.floor((n - 2 * trim) / F.lit(spacing)).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(k, F.lit(0))), lambda i: trim + i * F.lit(spacing)))
+
+    return let(length(c), along)
 
 
 def tangent(c: Column, d: Column, step: float = 0.5) -> Column:
-    a, b = at_distance(c, F.greatest(d - step, F.lit(0.0))), at_distance(c, F.least(d + step, length(c)))
-    n = distance(a, b)
-    return F.when(n > 0, F.struct(((b["x"] - a["x"]) / n).alias("x"), ((b["y"] - a["y"]) / n).alias("y")))
+    """The direction of a line at a distance along it, over a short way to both sides."""
+
+    def unit(q: Column) -> Column:
+        n = distance(q["a"], q["b"])
+        return F.when(n > 0, F.struct(((q["b"]["x"] - q["a"]["x"]) / n).alias("x"), ((q["b"]["y"] - q["a"]["y"]) / n).alias("y")))
+
+    return let(segments(c), lambda s: let(F.struct(_at(s, c, F.greatest(d - step, F.lit(0.0))).alias("a"), _at(s, c, F.least(d + step, length(c))).alias("b")), unit))
 
 
 def transect(c: Column, d: Column, half: float) -> Column:
     """The two ends of the line across c at a distance along it."""
-    p, t = at_distance(c, d), tangent(c, d)
-    left = F.struct((p["x"] - t["y"] * half).alias("x"), (p["y"] + t["x"] * half).alias("y"))
-    right = F.struct((p["x"] + t["y"] * half).alias("x"), (p["y"] - t["x"] * half).alias("y"))
-    return F.when(t.isNotNull(), F.array(left, right))
+
+    def across(q: Column) -> Column:
+        p, t = q["p"], q["t"]
+        left = F.struct((p["x"] - t["y"] * half).alias("x"), (p["y"] + t["x"] * half).alias("y"))
+        right = F.struct((p["x"] + t["y"] * half).alias("x"), (p["y"] - t["x"] * half).alias("y"))
+        return F.when(t.isNotNull(), F.array(left, right))
+
+    return let(F.struct(at_distance(c, d).alias("p"), tangent(c, d).alias("t")), across)
 
 
 def densified(c: Column, spacing: float) -> Column:
     """A line with vertices at most about `spacing` apart."""
-    n = length(c)
-    k = F.greatest(F.ceil(n / F.lit(spacing) - 0.2).cast("int"), F.lit(1))
-    return F.transform(F.sequence(F.lit(0), k), lambda i: at_distance(c, n * i / k))
+
+    def points(n: Column) -> Column:
+        k = F.greatest(F.ceil(n / F.lit(spacing) - 0.2).cast("int"), F.lit(1))
+        return let(segments(c), lambda s: F.transform(F.sequence(F.lit(0), k), lambda i: _at(s, c, n * i / k)))
+
+    return let(length(c), points)
 
 
 def normalised(c: Column) -> Column:
@@ -215,7 +241,9 @@ def clipped_ring(ring: Column, x0: float, y0: float, x1: float, y1: float) -> Co
 
         return F.when(F.size(r) > 0, F.flatten(F.transform(r, step))).otherwise(r)
 
-    r = F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    for axis, bound, above in (("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)):
-        r = side(r, axis, bound, above)
-    return r
+    cuts = [("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)]
+
+    def go(r: Column, k: int) -> Column:
+        return r if k == len(cuts) else let(side(r, *cuts[k]), lambda v: go(v, k + 1))
+
+    return let(F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))), lambda r: go(r, 0))

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread_out
+
 #: Soft hyphens and zero-width spaces, dropped first.
 _DROP = {0x00AD: None, 0x200B: None, 0xFEFF: None, 0x2060: None}
 _WORD = re.compile(r"[^\W_]+")
@@ -233,7 +235,7 @@ def _search(docs: DataFrame, by_word: Probe, by_char: Probe, shard: int, id_col:
             yield pd.DataFrame(found, columns=["item_id", "doc_id", "length", "item_pos", "doc_pos"])
 
     texts = docs.filter(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInPandas(search, FOUND)
+    return spread_out(texts).mapInPandas(search, FOUND)
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settled
+from ..session import settled, spread_out
 from .tokens import TOKENIZER, TOKENIZER_FOLDER, counter
 
 #: Window numbers: partition number times this, plus the number within the partition.
@@ -102,7 +102,7 @@ def pack(docs: DataFrame, capacity: int = 2048, space: int = 64, tokenizer: str
 
     names = ["doc_id", "piece", "first_token", "n_tokens", "window", "position", "open"]
     kinds = {"window": "Int64", "position": "Int64"}
-    placed = settled(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).mapInPandas(place, PLACED))
+    placed = settled(spread_out(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))).mapInPandas(place, PLACED))
     moved = _merged(placed.filter("open").groupBy("window").agg(F.sum("n_tokens").alias("size")), capacity, space, merge)
     whole = placed.filter("not open").select("doc_id", "piece", "first_token", "n_tokens", F.col("window").alias("seq_id"), "position")
     joined = placed.filter("open").join(moved, "window").select("doc_id", "piece", "first_token", "n_tokens", "seq_id", (F.col("position") + F.col("base")).alias("position"))

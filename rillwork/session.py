@@ -48,3 +48,13 @@ def settled(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """df over at least as many tasks as there are cores, for work that is heavy per row.
+
+    A large scan has more tasks than that and stays as it is; only a small one,
+    which a few tasks would hold, is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

@@ -99,10 +99,8 @@ def keyed_quantiles(counts: DataFrame, shares: dict[str, float], partitions: int
     for name, q in shares.items():
         h = (F.col("total") - 1) * F.lit(float(q))
         part = lambda r: (r >= F.col("before")) & (r < F.col("run_n"))
-        weight = h - F.floor(h)
-        low = F.sum(F.when(part(F.floor(h)), F.col("num") * (1 - weight)))
-        high = F.sum(F.when(part(F.ceil(h)), F.col("num") * weight))
-        aggs.append((low + high).alias(name))
+        low, high = F.max(F.when(part(F.floor(h)), F.col("num"))), F.max(F.when(part(F.ceil(h)), F.col("num")))
+        aggs.append((low + (high - low) * F.max(h - F.floor(h))).alias(name))
     return ranked.groupBy("k").agg(*aggs)
 
 

@@ -227,14 +227,14 @@ def class_totals(s: SparkSession, d: str) -> DataFrame:
     return t.groupBy("pipetype").agg(F.count(F.lit(1)).alias("pipes"), F.round(F.sum(F.when(F.col("width").between(6, 130), F.col("width"))), 3).alias("width_sum"), F.round(F.max(C.finite(F.col("downelev"))), 3).alias("top"))
 
 
-@query(f"SELECT mainshape, round(quantile_cont(w, 0.01), 4) AS p1, round(quantile_cont(w, 0.05), 4) AS p5, round(quantile_cont(w, 0.5), 4) AS p50, round(quantile_cont(w, 0.95), 4) AS p95, round(quantile_cont(w, 0.99), 4) AS p99, round(min(w), 4) AS least, round(avg(w), 4) AS mean, round(max(w), 4) AS greatest FROM (SELECT mainshape, {_n('width')} AS w FROM gravity_mains) WHERE w IS NOT NULL GROUP BY 1")
+@query(f"SELECT mainshape, round(quantile_cont(w, 0.01), 6) AS p1, round(quantile_cont(w, 0.05), 6) AS p5, round(quantile_cont(w, 0.5), 6) AS p50, round(quantile_cont(w, 0.95), 6) AS p95, round(quantile_cont(w, 0.99), 6) AS p99, round(min(w), 6) AS least, round(avg(w), 6) AS mean, round(max(w), 6) AS greatest FROM (SELECT mainshape, {_n('width')} AS w FROM gravity_mains) WHERE w IS NOT NULL GROUP BY 1")
 def percentile_report(s: SparkSession, d: str) -> DataFrame:
     t = read(s, d, "gravity_mains").filter(~C.missing(F.col("width")))
     shares = {"p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
     t = t.withColumn("shape", F.coalesce("mainshape", F.lit("(none)")))
     q = group_quantiles(t, "shape", "width", shares)
     plain = t.groupBy("shape").agg(F.first("mainshape").alias("mainshape"), F.min("width").alias("least"), F.avg("width").alias("mean"), F.max("width").alias("greatest"))
-    return plain.join(q, "shape").select("mainshape", *[F.round(c, 4).alias(c) for c in (*shares, "least", "mean", "greatest")])
+    return plain.join(q, "shape").select("mainshape", *[F.round(c, 6).alias(c) for c in (*shares, "least", "mean", "greatest")])
 
 
 @query("SELECT code, fid, load_ts FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY load_ts DESC, fid) AS k FROM hydroobject) WHERE k = 1")

@@ -97,7 +97,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
     p = profile(_tables(spark, d, "gravity_mains", "inlets"), FIELDS)
-    return p.select("layer", "field", "load_id", "rows", "missing", "distinct_values", "off", *[F.round(c, 4).alias(c) for c in ("least", "greatest", "p05", "p50", "p95")])
+    return p.select("layer", "field", "load_id", "rows", "missing", "distinct_values", "off", *[F.round(c, 6).alias(c) for c in ("least", "greatest", "p05", "p50", "p95")])
 
 
 def p5_drift(spark: SparkSession, d: str) -> DataFrame:
@@ -150,8 +150,8 @@ UNION ALL SELECT DISTINCT 'outfall_branch', p, l FROM sd WHERE sqrt((x-(ax+t*(bx
 UNION ALL SELECT 'area_outfall', e.fid, o.fid FROM e JOIN o ON (ay > o.y) <> (by_ > o.y) AND o.x < (bx-ax)*(o.y-ay)/(by_-ay)+ax GROUP BY e.fid, o.fid HAVING count(*) % 2 = 1""",
     "p5_profile": f"""WITH {_CELLS}
 SELECT layer, field, load_id, count(*) AS rows, count(*) - count(t) - count(x) AS missing, count(DISTINCT t) + count(DISTINCT x) AS distinct_values,
-  CAST(coalesce(sum(CASE WHEN ok = false AND (t IS NOT NULL OR x IS NOT NULL) THEN 1 ELSE 0 END), 0) AS BIGINT) AS off, round(min(x), 4) AS least, round(max(x), 4) AS greatest,
-  round(quantile_cont(x, 0.05), 4) AS p05, round(quantile_cont(x, 0.5), 4) AS p50, round(quantile_cont(x, 0.95), 4) AS p95 FROM judged GROUP BY layer, field, load_id""",
+  CAST(coalesce(sum(CASE WHEN ok = false AND (t IS NOT NULL OR x IS NOT NULL) THEN 1 ELSE 0 END), 0) AS BIGINT) AS off, round(min(x), 6) AS least, round(max(x), 6) AS greatest,
+  round(quantile_cont(x, 0.05), 6) AS p05, round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.95), 6) AS p95 FROM judged GROUP BY layer, field, load_id""",
     "p5_drift": f"""WITH {_CELLS},
 v AS (SELECT layer, field, load_id, x FROM cells WHERE x IS NOT NULL),
 l AS (SELECT layer, field, load_id, lag(load_id) OVER (PARTITION BY layer, field ORDER BY load_id) AS previous_id, n FROM (SELECT layer, field, load_id, count(*) AS n FROM v GROUP BY ALL)),

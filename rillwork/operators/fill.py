@@ -43,10 +43,14 @@ class Hub:
 
 
 def _edges(cells: DataFrame, hubs: dict[str, list[Hub]]) -> DataFrame:
-    """cells with one row for each hub a cell belongs to: hub, weight, coarse."""
+    """cells with one row for each hub a cell belongs to: hub, weight, coarse.
+
+    A hub is named by a 64-bit hash of its kind and key. Should two of billions
+    share one, a few means mix; no cell is lost or takes part twice.
+    """
     out = F.array()
     for field, of_field in hubs.items():
-        made = F.array(*[F.when(h.key.isNotNull(), F.struct(F.concat_ws("|", F.lit(h.kind), h.key.cast("string")).alias("hub"), F.lit(h.weight).alias("weight"), F.lit(h.coarse).alias("coarse"))) for h in of_field])
+        made = F.array(*[F.when(h.key.isNotNull(), F.struct(F.xxhash64(F.lit(h.kind), h.key.cast("string")).alias("hub"), F.lit(h.weight).alias("weight"), F.lit(h.coarse).alias("coarse"))) for h in of_field])
         out = F.when(F.col("field") == field, F.array_compact(made)).otherwise(out) if field != next(iter(hubs)) else F.when(F.col("field") == field, F.array_compact(made))
     return cells.withColumn("e", F.explode(out)).select("field", "fid", "label", "value", "mass", "missing", "e.hub", "e.weight", "e.coarse")
 
@@ -143,11 +147,13 @@ def _main_cells(mains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]]]
     meet; the two ends of a pipe are alike; then the line, the load, all. Width:
     pipes that meet, the line, the load, all.
     """
-    base = mains.select("fid", "upelev", "downelev", F.col("digitizedby").alias("crew"), "load_id", _blank(F.col("facilityid")).alias("line"), _end(1).alias("start"), _end(-1).alias("end"))
-    ends = _measured(base, ["upelev", "downelev"], FillerRules(negatives_measure=True))
-    met = lambda c: F.when(c.isNotNull(), F.concat_ws("/", F.coalesce(F.col("line"), F.lit("")), c))
+    # keys as numbers: they are written between rounds
+    line = _blank(F.col("facilityid"))
+    met = lambda k: F.when(_end(k).isNotNull(), F.xxhash64(line, _end(k)))
+    base = mains.select("fid", "upelev", "downelev", F.col("digitizedby").alias("crew"), "load_id", F.when(line.isNotNull(), F.xxhash64(line)).alias("line"), met(1).alias("start"), met(-1).alias("end"))
+    ends = _measured(base, ["upelev", "downelev"], FillerRules(negatives_measure=True)).drop("crew")
     level = [
-        Hub("junction", met(F.when(F.col("field") == "upelev", F.col("start")).otherwise(F.col("end"))), 1e6, False),
+        Hub("junction", F.when(F.col("field") == "upelev", F.col("start")).otherwise(F.col("end")), 1e6, False),
         Hub("pipe", F.col("fid"), 1e3, False),
         Hub("line", F.col("line"), 1.0, True),
         Hub("load", F.col("load_id"), 1e-3, True),
@@ -155,7 +161,7 @@ def _main_cells(mains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]]]
     ]
     known = resolve_units(mains, MAINS, UnitGraph(LENGTH_EDGES), MAIN_RULES).filter("not from_remark").select(F.col("fid").alias("k_fid"), F.col("value").alias("observed"))
     widths = base.select("fid", "line", "load_id", "start", "end").join(known, F.col("fid") == F.col("k_fid"), "left").drop("k_fid").withColumn("field", F.lit("width"))
-    size = [Hub("meet", met(F.col("start")), 1e3, False), Hub("meet", met(F.col("end")), 1e3, False), Hub("w-line", F.col("line"), 1.0, True), Hub("w-load", F.col("load_id"), 1e-3, True), Hub("w-all", F.lit(1), 1e-6, True)]
+    size = [Hub("meet", F.col("start"), 1e3, False), Hub("meet", F.col("end"), 1e3, False), Hub("w-line", F.col("line"), 1.0, True), Hub("w-load", F.col("load_id"), 1e-3, True), Hub("w-all", F.lit(1), 1e-6, True)]
     return [(ends, {"upelev": level, "downelev": level}), (widths, {"width": size})]
 
 

@@ -270,11 +270,16 @@ def closure(parents: DataFrame, children: dict[str, tuple[DataFrame, list[tuple[
     return kept
 
 
-def hausdorff_matches(lines: DataFrame, others: DataFrame, tol: float) -> DataFrame:
-    """id, match, distance: for each line the other whose Hausdorff distance is least, among those its midpoint lies within tol of."""
+def hausdorff_matches(lines: DataFrame, others: DataFrame, tol: float, same: bool = False) -> DataFrame:
+    """id, match, distance: for each line the other whose Hausdorff distance is least, among those its midpoint lies within tol of.
+
+    same: both are one table, where a line is no match of itself.
+    """
     a = clean_lines(lines).withColumn("m", G.midpoint(F.col("c")))
     mids = a.select("id", F.col("m.x").alias("x"), F.col("m.y").alias("y"))
     pairs = lines_within(others, SortedPoints(mids), tol).select(F.col("id1").alias("match"), F.col("id2").alias("id"))
+    if same:
+        pairs = pairs.filter("match <> id")
 
     def to_line(px: np.ndarray, py: np.ndarray, qx: np.ndarray, qy: np.ndarray) -> float:
         ax, ay, bx, by = (v[None, :] for v in ((qx[:-1], qy[:-1], qx[1:], qy[1:]) if len(qx) > 1 else (qx, qy, qx, qy)))

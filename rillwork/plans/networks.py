@@ -109,6 +109,16 @@ def segment_crossings(s: SparkSession, d: str) -> DataFrame:
     return N.crossing_segments(h.filter("id % 2 = 0"), h.filter("id % 2 = 1"))
 
 
+@query(f"""WITH s AS (SELECT id, ax, ay, bx, by_ AS by FROM {_SEGS.format('hydroobject')} q)
+SELECT DISTINCT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id < b.id AND least(a.ax,a.bx) <= greatest(b.ax,b.bx) AND least(b.ax,b.bx) <= greatest(a.ax,a.bx) AND least(a.ay,a.by) <= greatest(b.ay,b.by) AND least(b.ay,b.by) <= greatest(a.ay,a.by)
+WHERE sign((a.bx-a.ax)*(b.ay-a.ay)-(a.by-a.ay)*(b.ax-a.ax)) * sign((a.bx-a.ax)*(b.by-a.ay)-(a.by-a.ay)*(b.bx-a.ax)) <= 0 AND sign((b.bx-b.ax)*(a.ay-b.ay)-(b.by-b.ay)*(a.ax-b.ax)) * sign((b.bx-b.ax)*(a.by-b.ay)-(b.by-b.ay)*(a.bx-b.ax)) <= 0
+AND NOT (a.ax = a.bx AND a.ay = a.by) AND NOT (b.ax = b.bx AND b.ay = b.by)""")
+def segment_crossings_whole(s: SparkSession, d: str) -> DataFrame:
+    """All pairs of branches that meet; segment_crossings has those of an even and an odd one only."""
+    h = _lines(s, d, "hydroobject")
+    return N.crossing_segments(h, h).filter("a < b")
+
+
 # Nodes, degrees, components ---------------------------------------------------------------------------------
 
 _MAIN_EDGES = "(SELECT fid AS id, printf('%.6f %.6f', geometry[1].x, geometry[1].y) AS u, printf('%.6f %.6f', geometry[-1].x, geometry[-1].y) AS v FROM {} WHERE len(geometry) > 0)"
@@ -282,6 +292,14 @@ def near_miss_pairs(s: SparkSession, d: str) -> DataFrame:
     return N.gaps(h.filter("id % 2 = 0"), h.filter("id % 2 = 1"), 0.01, 4.0).withColumn("distance", F.round("distance", 4))
 
 
+@query(f"""WITH e AS {_ENDS.format('hydroobject')}
+SELECT a.id AS id1, b.id AS id2, round(min(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y))), 4) AS distance FROM e a JOIN e b ON a.id < b.id AND a.x BETWEEN b.x - 4 AND b.x + 4 AND a.y BETWEEN b.y - 4 AND b.y + 4 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 4 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) > 0.01 GROUP BY a.id, b.id""")
+def near_miss_pairs_whole(s: SparkSession, d: str) -> DataFrame:
+    """All pairs of branches with a gap; near_miss_pairs has those of an even and an odd one only."""
+    h = _lines(s, d, "hydroobject")
+    return N.gaps(h, h, 0.01, 4.0).filter("id1 < id2").withColumn("distance", F.round("distance", 4))
+
+
 @query(f"""WITH {_hits('hydroobject', _PTS.format('storagenodes'), 2.0)} SELECT p.id FROM storagenodes s JOIN (SELECT fid AS id FROM storagenodes) p ON p.id = s.fid WHERE p.id NOT IN (SELECT pt FROM h)""")
 def unattached_nodes(s: SparkSession, d: str) -> DataFrame:
     return N.unattached(_points(s, d, "storagenodes"), _lines(s, d, "hydroobject"), 2.0)
@@ -366,6 +384,14 @@ def same_geometry(s: SparkSession, d: str) -> DataFrame:
     return a.filter("id1 % 2 = 0").join(b, "k").filter("id1 < id2").select("id1", "id2")
 
 
+@query("""WITH b AS (SELECT least(printf('%.6f %.6f,%.6f %.6f', geometry[1].x, geometry[1].y, geometry[-1].x, geometry[-1].y), printf('%.6f %.6f,%.6f %.6f', geometry[-1].x, geometry[-1].y, geometry[1].x, geometry[1].y)) AS k, fid FROM gravity_mains WHERE len(geometry) > 1)
+SELECT fid AS id, min(fid) OVER (PARTITION BY k) AS same_as FROM b""")
+def same_geometry_classes(s: SparkSession, d: str) -> DataFrame:
+    """Every pipe with the least one along the same line in either direction, its own id where there is no other."""
+    k = N.clean_lines(_lines(s, d, "gravity_mains")).select("id", G.normalised(F.col("c")).alias("k"))
+    return k.join(k.groupBy("k").agg(F.min("id").alias("same_as")), "k").select("id", "same_as")
+
+
 @query("SELECT p.fid, count(q.fid) AS ahead FROM (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Culvert' AND NOT isnan(upelev) AND facilityid <> 'SD-MAIN-0001') p LEFT JOIN (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Trunk' AND NOT isnan(upelev)) q ON q.facilityid = p.facilityid AND q.upelev > p.upelev GROUP BY p.fid")
 def ranked_within_line(s: SparkSession, d: str) -> DataFrame:
     """How many trunk pipes of its line lie higher than each culvert, by a running count instead of pairs."""
@@ -378,9 +404,9 @@ def ranked_within_line(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def hausdorff_matches(s: SparkSession, d: str) -> DataFrame:
-    """For each even branch the odd one that runs closest to it."""
+    """For each branch the other one that runs closest to it."""
     h = _lines(s, d, "hydroobject")
-    return N.hausdorff_matches(h.filter("id % 2 = 0"), h.filter("id % 2 = 1"), 20.0)
+    return N.hausdorff_matches(h, h, 20.0, same=True)
 
 
 @query()

@@ -146,6 +146,26 @@ def test_matches_pairs_and_connections(spark):
     assert [(r.id, r.end, r.channel, (r.c[-1].x, r.c[-1].y), len(r.c)) for r in got] == [(1, "end", 50, (45, 2), 3)]
 
 
+def _queries(spark, folder, **tables):
+    import __spark_entry__ as e
+
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return lambda name: e.queries()[name](spark, str(folder)).collect()
+
+
+def test_pairs_of_any_ids(spark, tmp_path):
+    # 2 and 4 cross, as do 3 and 5; 6 and 8 lie side by side, with ends 1 apart; 10, 12 and 14 are one line, 15 another
+    geo = [(2, line((0, 0), (10, 10))), (4, line((0, 10), (10, 0))), (3, line((100, 0), (110, 10))), (5, line((100, 10), (110, 0))), (6, line((200, 0), (240, 0))), (8, line((200, 1), (240, 1)))]
+    same = [(k, line((0, 0), (5, 5))) for k in (10, 12)] + [(14, line((5, 5), (0, 0))), (15, line((0, 0), (5, 6)))]
+    table = lambda rows: lines(spark, rows).withColumnRenamed("id", "fid")
+    run = _queries(spark, tmp_path, hydroobject=table(geo), gravity_mains=table(same))
+    assert sorted((r.a, r.b) for r in run("segment_crossings_whole")) == [(2, 4), (3, 5)]
+    assert [(r.id1, r.id2, r.distance) for r in run("near_miss_pairs_whole")] == [(6, 8, 1)]
+    assert {(6, 8), (8, 6)} <= {(r.id, r.match) for r in run("hausdorff_matches")}
+    assert {r.id: r.same_as for r in run("same_geometry_classes")} == {10: 10, 12: 10, 14: 10, 15: 15}
+
+
 def test_slivers(spark):
     from rillwork.operators import mesh
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..operators import graph as A
 from ..operators import network as N
 from ..operators.near import SortedPoints, points_within, regions_containing
+from ..operators.ordered import range_sorted, running_sums
 from ..session import read, settled
 
 QUERIES, ORACLE = {}, {}
@@ -392,14 +393,24 @@ def same_geometry_classes(s: SparkSession, d: str) -> DataFrame:
     return k.join(k.groupBy("k").agg(F.min("id").alias("same_as")), "k").select("id", "same_as")
 
 
+def _ranked(s: SparkSession, d: str) -> DataFrame:
+    """facilityid, fid, ahead of all culverts with a line and a level. The sort splits inside a line, however many rows it holds."""
+    t = read(s, d, "gravity_mains").filter("upelev is not null and not isnan(upelev) and facilityid is not null and pipetype in ('Culvert', 'Trunk')").select("fid", "facilityid", (0.0 - F.col("upelev")).alias("down"), (F.col("pipetype") == "Trunk").cast("int").alias("trunk"))
+    # culverts come before the trunks of their own level, which aren't higher
+    run = running_sums(range_sorted(t, ["facilityid", "down", "trunk"], ["fid"]), "facilityid", ["trunk"])
+    return run.filter("trunk = 0").select("facilityid", "fid", F.col("run_trunk").cast("bigint").alias("ahead"))
+
+
 @query("SELECT p.fid, count(q.fid) AS ahead FROM (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Culvert' AND NOT isnan(upelev) AND facilityid <> 'SD-MAIN-0001') p LEFT JOIN (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Trunk' AND NOT isnan(upelev)) q ON q.facilityid = p.facilityid AND q.upelev > p.upelev GROUP BY p.fid")
 def ranked_within_line(s: SparkSession, d: str) -> DataFrame:
+    """ranked_within_line_whole without the line its SQL leaves out."""
+    return _ranked(s, d).filter("facilityid <> 'SD-MAIN-0001'").select("fid", "ahead")
+
+
+@query("SELECT p.fid, count(q.fid) AS ahead FROM (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Culvert' AND NOT isnan(upelev) AND facilityid IS NOT NULL) p LEFT JOIN (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Trunk' AND NOT isnan(upelev)) q ON q.facilityid = p.facilityid AND q.upelev > p.upelev GROUP BY p.fid")
+def ranked_within_line_whole(s: SparkSession, d: str) -> DataFrame:
     """How many trunk pipes of its line lie higher than each culvert, by a running count instead of pairs."""
-    t = read(s, d, "gravity_mains").filter("upelev is not null and not isnan(upelev) and facilityid is not null and pipetype in ('Culvert', 'Trunk')").select("fid", "facilityid", "upelev", (F.col("pipetype") == "Trunk").cast("int").alias("trunk"))
-    w = Window.partitionBy("facilityid").orderBy(F.col("upelev").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    same = Window.partitionBy("facilityid", "upelev")
-    ranked = t.withColumn("ahead", F.sum("trunk").over(w) - F.sum("trunk").over(same))
-    return ranked.filter("trunk = 0 and facilityid <> 'SD-MAIN-0001'").select("fid", "ahead")
+    return _ranked(s, d).select("fid", "ahead")
 
 
 @query()

@@ -166,6 +166,14 @@ def test_pairs_of_any_ids(spark, tmp_path):
     assert {r.id: r.same_as for r in run("same_geometry_classes")} == {10: 10, 12: 10, 14: 10, 15: 15}
 
 
+def test_rank_within_a_hot_line(spark, tmp_path):
+    rows = [(k, "SD-MAIN-0001", float(k % 50), "Culvert" if k % 3 == 0 else "Trunk") for k in range(900)]
+    rows += [(1001, "B", 0.0, "Culvert"), (1002, "B", -0.0, "Trunk"), (1003, "B", 2.0, "Trunk"), (1004, "B", 9.0, "Culvert"), (1005, None, 1.0, "Culvert"), (1006, "B", math.nan, "Trunk")]
+    run = _queries(spark, tmp_path, gravity_mains=spark.createDataFrame(rows, "fid bigint, facilityid string, upelev double, pipetype string"))
+    want = {k: sum(u > z and kind == "Trunk" for _, line_, u, kind in rows if line_ == at) for k, at, z, of in rows if of == "Culvert" and at}
+    assert {r.fid: r.ahead for r in run("ranked_within_line_whole")} == want and want[1001] == 1
+
+
 def test_slivers(spark):
     from rillwork.operators import mesh
 

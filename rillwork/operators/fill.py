@@ -2,12 +2,14 @@
 
 Cells are nodes; the groups they belong to (a junction, a pipe, a line, a
 system, a load, everything) are hubs that stand for the edges between all
-members, so a group of n records costs n edges, not n squared. A round averages
-what the members of a hub hold - a number, or a distribution over categories -
-and gives each missing cell the weighted mean of its hubs. Observed cells are
-clamped: they are summed into their hubs once, and only missing cells move.
-Nearer hubs weigh so much more that far ones only count where near ones are
-silent.
+members, so a group of n records costs n edges, not n squared. A hub gives its
+members the mean of what they hold - a number, or a distribution over
+categories - and each missing cell takes the weighted mean of its hubs. Observed
+cells are clamped: they are summed into their hubs once, and only missing cells
+move. Values first spread over the nearest hubs until these reach nothing more,
+then over the next nearest as well, so that a far hub starts only what no nearer
+one reaches, over however many steps. Rounds over all hubs then even out where
+values met.
 
 Hot groups: hubs are aggregated with partial sums on the map side, and the join
 back to the missing cells is salted for the hubs that can be large.
@@ -50,9 +52,10 @@ def _edges(cells: DataFrame, hubs: dict[str, list[Hub]]) -> DataFrame:
     """
     out = F.array()
     for field, of_field in hubs.items():
-        made = F.array(*[F.when(h.key.isNotNull(), F.struct(F.xxhash64(F.lit(h.kind), h.key.cast("string")).alias("hub"), F.lit(h.weight).alias("weight"), F.lit(h.coarse).alias("coarse"))) for h in of_field])
+        nearest = sorted({h.weight for h in of_field}, reverse=True)
+        made = F.array(*[F.when(h.key.isNotNull(), F.struct(F.xxhash64(F.lit(h.kind), h.key.cast("string")).alias("hub"), F.lit(h.weight).alias("weight"), F.lit(h.coarse).alias("coarse"), F.lit(nearest.index(h.weight)).alias("level"))) for h in of_field])
         out = F.when(F.col("field") == field, F.array_compact(made)).otherwise(out) if field != next(iter(hubs)) else F.when(F.col("field") == field, F.array_compact(made))
-    return cells.withColumn("e", F.explode(out)).select("field", "fid", "label", "value", "mass", "missing", "e.hub", "e.weight", "e.coarse")
+    return cells.withColumn("e", F.explode(out)).select("field", "fid", "label", "value", "mass", "missing", "e.hub", "e.weight", "e.coarse", "e.level")
 
 
 def hub_edges(cells: DataFrame, hubs: dict[str, list[Hub]], categorical: bool = False) -> DataFrame:
@@ -67,34 +70,63 @@ def hub_edges(cells: DataFrame, hubs: dict[str, list[Hub]], categorical: bool =
     return _edges(nodes, hubs)
 
 
-def propagate(edges: DataFrame, rounds: int = 4, categorical: bool = False) -> DataFrame:
+def propagate(edges: DataFrame, rounds: int = 4, categorical: bool = False, tol: float = 1e-6) -> DataFrame:
     """field, fid, value (or label): what label propagation over hub_edges gives the missing cells.
 
-    Each round is written to the checkpoint folder, so plans stay small and a
-    lost executor costs one round.
+    First every cell is reached from its nearest hubs, in as many steps as it
+    takes; then at most `rounds` rounds over all hubs, fewer if none moves a
+    value by more than tol. Each step is written to the checkpoint folder, so
+    plans stay small and a lost executor costs one step.
     """
     sums = [F.sum("value").alias("value"), F.sum("mass").alias("mass")]
     # a hub is salted for the join if one group of it can be large
-    loose = settled(edges.filter("missing").select("field", "fid", "hub", "weight", F.when(F.col("coarse"), F.pmod(F.col("fid"), F.lit(_SALTS))).otherwise(F.lit(-1)).cast("int").alias("salt")))
+    loose = settled(edges.filter("missing").select("field", "fid", "hub", "weight", "level", F.when(F.col("coarse"), F.pmod(F.col("fid"), F.lit(_SALTS))).otherwise(F.lit(-1)).cast("int").alias("salt")))
     wanted = loose.groupBy("hub").agg((F.max("salt") >= 0).alias("coarse"))
     clamped = settled(edges.filter("not missing").groupBy("hub", "label").agg(*sums).join(wanted, "hub"))
-    fills = None
-    for _ in range(rounds):
-        total = clamped
-        if fills is not None:
-            held = loose.join(fills, ["field", "fid"]).groupBy("hub", "label").agg(*sums, (F.max("salt") >= 0).alias("coarse"))
-            total = clamped.unionByName(held).groupBy("hub", "label").agg(*sums, F.max("coarse").alias("coarse"))
+    no_sums = clamped.limit(0)
+
+    def held_by(at: DataFrame, fills: DataFrame) -> DataFrame:
+        return at.join(fills, ["field", "fid"]).groupBy("hub", "label").agg(*sums, (F.max("salt") >= 0).alias("coarse"))
+
+    def step(at: DataFrame, *totals: DataFrame) -> DataFrame:
+        """What the cells of the edges `at` take from the hubs."""
+        total = totals[0]
+        for t in totals[1:]:
+            total = total.unionByName(t)
+        total = total.groupBy("hub", "label").agg(*sums, F.max("coarse").alias("coarse"))
         if categorical:
             total = total.withColumn("mass", F.sum("mass").over(Window.partitionBy("hub")))
         salts = F.when(F.col("coarse"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(-1)))
         spread = total.select("hub", "label", (F.col("value") / F.col("mass")).alias("mean"), F.explode(salts).alias("salt"))
-        new = loose.join(spread, ["hub", "salt"]).groupBy("field", "fid", "label").agg(F.sum(F.col("weight") * F.col("mean")).alias("top"), F.sum("weight").alias("bottom"))
+        new = at.join(spread, ["hub", "salt"]).groupBy("field", "fid", "label").agg(F.sum(F.col("weight") * F.col("mean")).alias("top"), F.sum("weight").alias("bottom"))
         if categorical:
             share = F.col("top") / F.sum("top").over(Window.partitionBy("field", "fid"))
-            fills = new.select("field", "fid", "label", share.alias("value")).withColumn("mass", F.col("value"))
-        else:
-            fills = new.select("field", "fid", "label", (F.col("top") / F.col("bottom")).alias("value"), F.lit(1.0).alias("mass"))
-        fills = settled(fills)
+            return settled(new.select("field", "fid", "label", share.alias("value")).withColumn("mass", F.col("value")))
+        return settled(new.select("field", "fid", "label", (F.col("top") / F.col("bottom")).alias("value"), F.lit(1.0).alias("mass")))
+
+    last = loose.agg(F.max("level")).first()[0]
+    todo, fills, held = loose, None, no_sums
+    for level in range(-1 if last is None else last + 1):
+        while True:
+            fresh = step(todo.filter(F.col("level") <= level), clamped, held)
+            if fresh.isEmpty():
+                break
+            fills = fresh if fills is None else fills.unionByName(fresh)
+            # a cell keeps what reached it first: its edges are only summed, never looked up again
+            todo = settled(todo.join(fresh.select("field", "fid").distinct(), ["field", "fid"], "left_anti"))
+            held = settled(held.unionByName(held_by(loose, fresh)).groupBy("hub", "label").agg(*sums, F.max("coarse").alias("coarse")))
+            if todo.isEmpty():
+                break
+        if todo.isEmpty():
+            break
+    if fills is None:
+        fills = step(loose, clamped)
+    for _ in range(rounds):
+        before, fills = fills, step(loose, clamped, held_by(loose, fills))
+        moved = fills.join(before.select("field", "fid", "label", F.col("value").alias("old")), ["field", "fid", "label"], "full")
+        most = moved.agg(F.max(F.abs(F.coalesce("value", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
+        if most is None or most <= tol:
+            break
     if categorical:
         return fills.groupBy("field", "fid").agg(F.max_by("label", F.struct(F.round("value", 9), "label")).alias("label"))
     return fills.select("field", "fid", "value")

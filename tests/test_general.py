@@ -130,6 +130,17 @@ def test_propagation_runs_along_a_chain(spark):
     assert 1 < got[1] < 4.5 < got[2] < 8
 
 
+def test_near_values_come_before_the_line_mean(spark):
+    # a line of about 95; apart from it: blank dead-end pipe 900 beside an end of 12, and blank pipes 911-913 in a row from an end of 10
+    rows = [(k, 95.0, 95.0, "x%d" % k, "y%d" % k) for k in range(40)]
+    rows += [(899, 95.0, 12.0, "f", "a"), (900, None, None, "a", "b"), (910, 95.0, 10.0, "g", "p"), (911, None, None, "p", "q"), (912, None, None, "q", "r"), (913, None, None, "r", "s")]
+    cells = spark.createDataFrame([("up", f, u, a) for f, u, _, a, _ in rows] + [("down", f, w, b) for f, _, w, _, b in rows], "field string, fid bigint, observed double, junction string")
+    level = [fill.Hub("junction", F.col("junction"), 1e6, False), fill.Hub("pipe", F.col("fid"), 1e3, False), fill.Hub("line", F.lit(1), 1.0, True)]
+    got = {(r.field, r.fid): r.value for r in fill.propagate(fill.hub_edges(cells, {"up": level, "down": level})).collect()}
+    assert abs(got["up", 900] - 12) < 0.5 and abs(got["down", 900] - 12) < 0.5
+    assert all(abs(got[f, k] - 10) < 1 for f in ("up", "down") for k in (911, 912, 913))
+
+
 def test_categories(spark):
     cells = spark.createDataFrame([("s", k, v, "a") for k, v in enumerate(["RND", "RND", "BOX", None])] + [("s", 9, None, None)], "field string, fid bigint, observed string, g string")
     hubs = {"s": [fill.Hub("g", F.col("g"), 1.0, True)]}

@@ -380,9 +380,9 @@ class Counts:
             if not text:
                 continue
             for _, line in _lines(text):
+                line = repaired(line)[0]
                 if not _ANY.search(line):
                     continue
-                line = repaired(line)[0]
                 self.plain.update(line.split())
                 self.begin[_slot(">", _behind(line[:80]))] += 1
                 for _, verdict, f in _candidates(line, (-1, 2)):
@@ -569,11 +569,8 @@ def units(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray
             continue
         for offset, line in _lines(text):
             cuts = []
-            if _ANY.search(line):
-                meant, where = repaired(line)
-                found = _candidates(meant, (-1,))
-            else:
-                found, where = (), None
+            meant, where = repaired(line)
+            found = _candidates(meant, (-1,)) if _ANY.search(meant) else ()
             for end, verdict, f in found:
                 end = end if where is None else where[end]
                 if verdict == 1:

@@ -223,6 +223,13 @@ def test_repaired_lines():
     assert sentences.repaired("plain") == ("plain", None)
 
 
+def test_garbled_line_of_wide_marks_is_split():
+    text = "".join(bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in "水位。流量".encode())
+    model = sentences.Model(np.zeros(sentences._WIDTH, dtype=np.float32), 1.0, sentences.Statistics(*[np.zeros(sentences.SLOTS)] * 7).graded())
+    _, a, b = sentences.units([text], model)
+    assert sorted(zip(a.tolist(), b.tolist())) == [(0, 9), (9, 15)]
+
+
 def test_no_documents(spark):
     assert sentences.sentences(_docs(spark, [])).count() == 0
 

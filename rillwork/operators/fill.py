@@ -222,17 +222,27 @@ def fill_network(mains: DataFrame, drains: DataFrame, rounds: int = 4) -> DataFr
     return with_fills(cells, got).select(layer.alias("layer"), "field", "fid", "value", "filled")
 
 
-#: How the listed main shapes are also written.
-SHAPES = {"RND": ("RND", "R", "CIRC", "CIRC.", "CIRCULAR", "ROUND"), "BOX": ("BOX", "RECT"), "ELL": ("ELL",), "ARC": ("ARC", "ARCH"), "TRP": ("TRP",), "OTH": ("OTH",)}
+#: How the listed main shapes are also written, without blanks and question marks.
+SHAPES = {"RND": ("RND", "R", "CIRC", "CIRC.", "CIRCULAR", "ROUND"), "BOX": ("BOX", "BX", "RECT"), "ELL": ("ELL", "ELLIPSE"), "ARC": ("ARC", "ARCH"), "TRP": ("TRP",), "OTH": ("OTH",)}
+#: Entries that stand for no shape.
+NO_SHAPE = ("", "N/A", "NA", "0")
 
 
 def fill_shapes(mains: DataFrame, rounds: int = 3) -> DataFrame:
-    """layer, field, fid, value, filled for mainshape: distributions over shapes of the line, pipes of like width, the load, all."""
+    """layer, field, fid, value, filled for mainshape: distributions over shapes of the line, pipes of like width, the load, all.
+
+    Only NULL, blanks and NO_SHAPE are missing; a spelling that isn't listed is observed and stays, in capitals.
+    """
     c = F.upper(F.trim("mainshape"))
-    known = F.lit(None).cast("string")
+    bare = F.regexp_replace(c, r"[\s?]", "")
+    known = c
     for shape, written in SHAPES.items():
-        known = F.when(c.isin(*written), shape).otherwise(known)
-    cells = mains.select("fid", "load_id", _blank(F.col("facilityid")).alias("line"), F.lit("mainshape").alias("field"), known.alias("observed"))
-    hubs = [Hub("line", F.col("line"), 1.0, True), Hub("load", F.col("load_id"), 1e-3, True), Hub("all", F.lit(1), 1e-6, True)]
+        known = F.when(bare.isin(*written), shape).otherwise(known)
+    known = F.when(~bare.isin(*NO_SHAPE), known)
+    inches = resolve_units(mains, MAINS, UnitGraph(LENGTH_EDGES), MAIN_RULES).filter("not from_remark").select(F.col("fid").alias("k_fid"), F.col("value").alias("inches"))
+    like = F.when(F.col("inches") > 0, F.round(F.log("inches") * 4))
+    own = mains.select("fid", "load_id", _blank(F.col("facilityid")).alias("line"), F.lit("mainshape").alias("field"), known.alias("observed"))
+    cells = settled(own.join(inches, F.col("fid") == F.col("k_fid"), "left").select(*own.columns, like.alias("like")))
+    hubs = [Hub("line", F.col("line"), 1e3, True), Hub("like", F.col("like"), 1.0, True), Hub("load", F.col("load_id"), 1e-3, True), Hub("all", F.lit(1), 1e-6, True)]
     got = propagate(hub_edges(cells, {"mainshape": hubs}, categorical=True), rounds, categorical=True)
     return with_fills(cells, got).withColumn("layer", F.lit("gravity_mains")).select("layer", "field", "fid", "value", "filled")

@@ -175,6 +175,17 @@ def test_every_kind_of_missing_cell_is_filled(spark):
     assert abs(v["upelev", 40] - (49.9 - 3.9)) < 0.5
 
 
+def test_observed_shapes_stay_and_widths_fill(spark):
+    # a pipe without a line takes the shape of pipes as wide, not that of most
+    given = {1: "ELLIPSE", 2: "RND?", 3: "BX", 4: "RN D", 5: "odd"}
+    shapes = given | {k: "RND" for k in range(6, 60)} | {k: "BOX" for k in range(60, 80)} | {90: None, 91: "N/A", 92: "0", 93: " ", 95: None}
+    rows = [(k, 50.0, 49.0, 96.0 if 60 <= k < 80 or k == 95 else 12.0, "A", 1, None if k == 95 else "L1" if k < 60 or k >= 90 else "L2") for k in shapes]
+    mains = _mains(spark, rows).drop("mainshape").join(spark.createDataFrame(list(shapes.items()), "fid bigint, mainshape string"), "fid")
+    got = {r.fid: (r.value, r.filled) for r in fill.fill_shapes(mains).collect()}
+    assert [got[k] for k in given] == [("ELL", False), ("RND", False), ("BOX", False), ("RND", False), ("ODD", False)]
+    assert [got[k] for k in (90, 91, 92, 93)] == [("RND", True)] * 4 and got[95] == ("BOX", True)
+
+
 def test_fill_of_nothing(spark):
     assert fill.fill_network(_mains(spark, []), spark.createDataFrame([], DRAIN)).count() == 0
 

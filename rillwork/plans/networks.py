@@ -249,9 +249,10 @@ def min_cut(s: SparkSession, d: str) -> DataFrame:
     """The cheapest cut between the root and the last branch of the tree with chords."""
     e = _tree_edges(s, d)
     n = e.agg(F.max("v")).first()[0]
-    chords = read(s, d, "lineitem").filter("l_linenumber = 1").select((-F.col("l_orderkey") - 1).alias("id"), F.col("l_orderkey").alias("u"), F.least(F.col("l_partkey"), F.lit(n)).alias("v")).filter("u < v").distinct()
+    # parallel chords are one, as strong as all of them; ids of chords are negative
+    chords = read(s, d, "lineitem").select(F.col("l_orderkey").alias("u"), F.least(F.col("l_partkey"), F.lit(n)).alias("v")).filter("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("capacity")).withColumn("id", -(F.col("u") * (n + 1) + F.col("v")) - 1)
     cap = F.when(F.col("layer") == "open_drains", 1000).otherwise(1)
-    edges = e.select("id", "u", "v", cap.alias("capacity")).unionByName(chords.select("id", "u", "v", F.lit(1).alias("capacity")))
+    edges = e.select("id", "u", "v", cap.alias("capacity")).unionByName(chords.select("id", "u", "v", "capacity"))
     return A.min_cut(edges, s.createDataFrame([(0,)], "node bigint"), n)
 
 

@@ -5,6 +5,8 @@ Raster tiles are the vectors of `embeddings`, 8 by 8 pixels each in rows of 20 t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,6 +129,14 @@ def floor_lowering(s: SparkSession, d: str) -> DataFrame:
     return X.lowered_floors(n, e)
 
 
+@query("WITH n AS (SELECT ufid AS node, CASE WHEN isnan(invertelev) THEN NULL ELSE invertelev END AS floor FROM inlets WHERE NOT isnan(invertelev) AND invertelev IS NOT NULL), e AS (SELECT 7000000000 + fid % 5000 AS node, min(downelev) AS low FROM gravity_mains WHERE downelev IS NOT NULL AND NOT isnan(downelev) GROUP BY 1) SELECT node, floor, least(floor, coalesce(low, floor)) AS new_floor FROM n LEFT JOIN e USING (node)")
+def floor_lowering_whole(s: SparkSession, d: str) -> DataFrame:
+    """All inlets; floor_lowering has the even ones only."""
+    n = read(s, d, "inlets").select(F.col("ufid").alias("node"), C.finite(F.col("invertelev")).alias("floor")).filter("floor is not null")
+    e = read(s, d, "gravity_mains").select((F.lit(7000000000) + F.col("fid") % 5000).alias("node"), F.col("downelev").alias("level"))
+    return X.lowered_floors(n, e)
+
+
 @query("""WITH l AS (SELECT p_partkey AS code, k AS level, round(p_size * (k + 1.0), 2) AS area FROM part, range(0, 6) r(k) WHERE k <= p_partkey % 6)
 SELECT code, CASE WHEN count(*) = 1 THEN printf('%.2f %.2f', min(level) + 0.0, min(level) + 1.0) ELSE string_agg(printf('%.2f', level + 0.0), ' ' ORDER BY level) END AS levels, CASE WHEN count(*) = 1 THEN printf('%.2f %.2f', min(area) + 0.0, min(area) + 0.0) ELSE string_agg(printf('%.2f', area + 0.0), ' ' ORDER BY level) END AS areas FROM l GROUP BY code""")
 def storage_tables(s: SparkSession, d: str) -> DataFrame:
@@ -170,6 +180,17 @@ def pipe_beds_around(s: SparkSession, d: str) -> DataFrame:
     return X.beds_around(p, c)
 
 
+@query("""WITH p AS (SELECT fid - fid % 5 AS branch, fid % 5 * 6.0 + k * 10.0 AS at_ FROM gravity_mains, range(0, 3) r(k)), c AS (SELECT fid - fid % 5 AS branch, (fid % 5) * 6.0 AS pos, downelev AS bed FROM gravity_mains WHERE NOT isnan(downelev) AND downelev IS NOT NULL)
+SELECT branch, at_ AS at, coalesce(max_by(bed, (pos, bed)) FILTER (pos <= at_), min_by(bed, (pos, bed)) FILTER (pos > at_)) AS bed FROM p LEFT JOIN c USING (branch) GROUP BY branch, at_""")
+def pipe_beds_around_whole(s: SparkSession, d: str) -> DataFrame:
+    """Three places on every pipe, each a piece of a branch of five; pipe_beds_around has those of the first piece only."""
+    m = read(s, d, "gravity_mains")
+    branch, pos = (F.col("fid") - F.col("fid") % 5).alias("branch"), F.col("fid") % 5 * 6.0
+    p = m.select(branch, F.explode(F.array(pos, pos + 10.0, pos + 20.0)).alias("at"))
+    c = m.select(branch, pos.alias("pos"), C.finite(F.col("downelev")).alias("bed")).filter("bed is not null")
+    return X.beds_around(p, c)
+
+
 # Mesh ---------------------------------------------------------------------------------------------------------------
 
 _GRID = "c AS (SELECT k AS cell, k // 60 AS r, k % 60 AS q FROM range(0, 2400) g(k)), s AS (SELECT cell, r * 61 + q AS a, r * 61 + q + 1 AS b, (r + 1) * 61 + q + 1 AS c2, (r + 1) * 61 + q AS d2 FROM c), e AS (SELECT cell, least(a, b) AS n1, greatest(a, b) AS n2 FROM s UNION ALL SELECT cell, least(b, c2), greatest(b, c2) FROM s UNION ALL SELECT cell, least(c2, d2), greatest(c2, d2) FROM s UNION ALL SELECT cell, least(d2, a), greatest(d2, a) FROM s)"
@@ -196,6 +217,35 @@ def cell_shapes(s: SparkSession, d: str) -> DataFrame:
     return M.areas(c, n).join(M.least_angles(c, n), "cell").select("cell", F.round("area", 5).alias("area"), F.round("angle", 5).alias("angle"))
 
 
+def _extent_grid(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A mesh over the extent of the storage nodes, with about as many cells as there are pipes."""
+    p = read(s, d, "storagenodes").select(F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y")).filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    b = p.agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1")).first()
+    n = read(s, d, "gravity_mains").count()
+    if b["x0"] is None or not n:
+        return M.grid(0.0, 0.0, 1, 1, 5.0, s)
+    w, h = max(b["x1"] - b["x0"], 1.0), max(b["y1"] - b["y0"], 1.0)
+    size = max((w * h / n) ** 0.5, max(w, h) / n)
+    return M.grid(b["x0"], b["y0"], math.ceil(w / size), math.ceil(h / size), size, s)
+
+
+@query()
+def edge_multiplicity_extent(s: SparkSession, d: str) -> DataFrame:
+    return M.multiplicity(_extent_grid(s, d)[0])
+
+
+@query()
+def orthogonality_extent(s: SparkSession, d: str) -> DataFrame:
+    c, n = _extent_grid(s, d)
+    return M.orthogonality(c, n).select("n1", "n2", F.round(F.abs("cos"), 5).alias("cos"), F.round("flow_length", 5).alias("flow_length"))
+
+
+@query()
+def cell_shapes_extent(s: SparkSession, d: str) -> DataFrame:
+    c, n = _extent_grid(s, d)
+    return M.areas(c, n).join(M.least_angles(c, n), "cell").select("cell", F.round("area", 5).alias("area"), F.round("angle", 5).alias("angle"))
+
+
 # Forcing ------------------------------------------------------------------------------------------------------------
 
 

@@ -174,6 +174,24 @@ def test_rank_within_a_hot_line(spark, tmp_path):
     assert {r.fid: r.ahead for r in run("ranked_within_line_whole")} == want and want[1001] == 1
 
 
+def test_whole_tables_in_surface_queries(spark, tmp_path):
+    nodes = [(0.0, 0.0), (90.0, 30.0)]  # in 12 cells of 15
+    run = _queries(
+        spark, tmp_path,
+        inlets=spark.createDataFrame([(1, 7000000001, 5.0), (2, 7000000002, 6.0)], "fid bigint, ufid bigint, invertelev double"),
+        gravity_mains=spark.createDataFrame([(k, 10.0 - k) for k in range(1, 13)], "fid bigint, downelev double"),
+        storagenodes=spark.createDataFrame([({"x": x, "y": y},) for x, y in nodes], "geometry struct<x:double,y:double>"),
+        orders=spark.createDataFrame([(k, "O", 1.0) for k in range(5)], "o_orderkey bigint, o_orderstatus string, o_totalprice double"),
+        lineitem=spark.createDataFrame([(0, 9, 2), (0, 9, 3)], "l_orderkey bigint, l_partkey bigint, l_linenumber int"),
+    )
+    assert {r.node for r in run("floor_lowering_whole")} == {7000000001, 7000000002}
+    beds = {(r.branch, r["at"]): r.bed for r in run("pipe_beds_around_whole")}
+    assert (beds[0, 6.0], beds[0, 34.0], beds[5, 16.0], beds[10, 26.0]) == (9.0, 6.0, 3.0, -2.0)
+    assert sorted(r.id for r in run("min_cut")) == [-5, 1]
+    # a mesh of 6 x 2
+    assert len(run("cell_shapes_extent")) == 12 and {r.cells: r.links for r in run("edge_multiplicity_extent")} == {1: 16, 2: 16}
+
+
 def test_slivers(spark):
     from rillwork.operators import mesh
 

@@ -6,6 +6,7 @@ cut lineage with checkpoints in the shared folder, every round or few.
 
 from __future__ import annotations
 
+import itertools
 from collections import deque
 from collections.abc import Iterator
 
@@ -50,6 +51,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark == before:
             break
         before = mark
+    else:
+        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     root = e.groupBy("u").agg(F.min("v").alias("m"))
     return nodes.join(root, nodes["node"] == root["u"], "left").select("node", F.coalesce("m", "node").alias("component"))
 
@@ -123,6 +126,8 @@ def bfs(edges: DataFrame, starts: DataFrame, stops: DataFrame | None = None, max
         if frontier.isEmpty():
             break
         parts.append(frontier)
+    else:
+        raise RuntimeError(f"lines are left to search after {max_hops} hops")
         last_lines, last_nodes = [frontier.select("id"), *last_lines][:2], [nodes.select("node"), *last_nodes][:2]
         if len(parts) >= 32:
             parts = [settled(_all(parts))]
@@ -273,15 +278,16 @@ def min_cut(edges: DataFrame, sources: DataFrame, far: int, capacity: str = "cap
     return part.select("id", "u", "v", F.col(capacity).cast("bigint").alias(capacity), "one").unionByName(src).groupBy("one").applyInPandas(cut, "id bigint")
 
 
-def fixed_point_levels(ends: DataFrame, max_rounds: int = 100) -> DataFrame:
+def fixed_point_levels(ends: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """pt, value, source: missing levels of line ends filled in rounds until nothing changes.
 
     ends: pt, id, node, value, along, bed. Each round uses the first source that
     fills anything, for all ends at once: 1 the lowest level of other lines' ends
-    at the node, 2 a level along the line, 3 the bed, 4 the line's other end.
+    at the node, 2 a level along the line, 3 the bed, 4 the line's other end. Every
+    round fills an end, so they come to an end; needing more than max_rounds is an error.
     """
     state = settled(ends.select("pt", "id", "node", "along", "bed", "value", F.lit(0).alias("source")))
-    for _ in range(max_rounds):
+    for done in itertools.count():
         known = state.filter("value is not null")
         todo = state.filter("value is null")
         # the lowest of the other lines: the two lowest lines of a node suffice
@@ -297,6 +303,8 @@ def fixed_point_levels(ends: DataFrame, max_rounds: int = 100) -> DataFrame:
         k = next((k for k in (1, 2, 3, 4) if n[f"s{k}"]), 0)
         if not k:
             break
+        if done == max_rounds:
+            raise RuntimeError(f"levels not settled after {max_rounds} rounds")
         new = tried.filter(f"s{k} is not null").select("pt", F.col(f"s{k}").alias("new"))
         state = settled(state.join(new, "pt", "left").select("pt", "id", "node", "along", "bed", F.coalesce("value", "new").alias("value"), F.when(F.col("new").isNotNull(), k).otherwise(F.col("source")).alias("source")))
     return state.select("pt", "value", "source")

@@ -2,17 +2,25 @@
 
 Cells are nodes; the groups they belong to (a junction, a pipe, a line, a
 system, a load, everything) are hubs that stand for the edges between all
-members, so a group of n records costs n edges, not n squared. A hub gives its
-members the mean of what they hold - a number, or a distribution over
-categories - and each missing cell takes the weighted mean of its hubs. Observed
-cells are clamped: they are summed into their hubs once, and only missing cells
-move. Values first spread over the nearest hubs until these reach nothing more,
-then over the next nearest as well, so that a far hub starts only what no nearer
-one reaches, over however many steps. Rounds over all hubs then even out where
-values met.
-
-Hot groups: hubs are aggregated with partial sums on the map side, and the join
-back to the missing cells is salted for the hubs that can be large.
+members, so a group of n records costs n edges, not n squared.
+
+Near hubs (tier 0) make up the graph that values run along. A missing cell is
+the mean of the other members of its hubs, each counted with the weight of the
+hub and with its mass: one for an observed cell, which is clamped, and for an
+estimate TRUST for each step that lies between it and an observed cell. So an
+estimate never outweighs what it was made from, and a cell's own part never
+comes back to it. The rounds end when no value moves by more than a tolerance;
+as every cell leans towards those nearer to an observed one, they converge
+geometrically. Cells whose hubs hold no other missing cell are final at once
+and take no part in the rounds.
+
+Far hubs (tiers 1, 2, ...) are priors outside the rounds: a cell that the near
+hubs don't reach takes the weighted mean, over observed cells, of its hubs of
+the lowest tier that holds any.
+
+Hot groups: hubs are aggregated with partial sums on the map side, and hubs with
+many missing members - there can be few of these - are looked up by broadcast
+instead of by a join on their key.
 
 Defined results for dirty input: a NULL key joins no hub; cells of a column with
 no observed value at all stay NULL, and are marked as filled all the same;
@@ -27,109 +35,123 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settled
+from ..session import if_small, settled
 from .fillers import FillerRules, by_form, crew_defaults, short_nines
 from .units import LENGTH_EDGES, MAIN_RULES, MAINS, UnitGraph, resolve_units
 
-_SALTS = 8
+#: Mass of an estimate for each step between it and an observed cell.
+TRUST = 0.2
+#: A hub with more missing members than this is looked up by broadcast.
+HOT = 200_000
 
 
 @dataclass(frozen=True)
 class Hub:
-    """A kind of group: key (NULL: no member), weight of its edges, and whether one group can hold many records."""
+    """A kind of group: key (NULL: no member), weight of its edges, and tier: 0 for a hub values run along, else the rank as a prior."""
 
     kind: str
     key: Column
     weight: float
-    coarse: bool
+    tier: int = 0
 
 
-def _edges(cells: DataFrame, hubs: dict[str, list[Hub]]) -> DataFrame:
-    """cells with one row for each hub a cell belongs to: hub, weight, coarse.
+def hub_edges(cells: DataFrame, hubs: dict[str, list[Hub]], categorical: bool = False) -> DataFrame:
+    """One row for each cell and hub: field, fid, label, value, missing, hub, weight, tier.
 
-    A hub is named by a 64-bit hash of its kind and key. Should two of billions
-    share one, a few means mix; no cell is lost or takes part twice.
+    cells: field, fid, observed (double, or string if categorical; NULL where
+    missing) and what the hub keys use. Hubs of different fields are apart unless
+    their kind and key agree, which lets fields share them. A hub is named by a
+    64-bit hash of its kind and key; should two of billions share one, a few means
+    mix, but no cell is lost or takes part twice.
     """
-    out = F.array()
+    there = F.col("observed").isNotNull()
+    out = None
     for field, of_field in hubs.items():
-        nearest = sorted({h.weight for h in of_field}, reverse=True)
-        made = F.array(*[F.when(h.key.isNotNull(), F.struct(F.xxhash64(F.lit(h.kind), h.key.cast("string")).alias("hub"), F.lit(h.weight).alias("weight"), F.lit(h.coarse).alias("coarse"), F.lit(nearest.index(h.weight)).alias("level"))) for h in of_field])
-        out = F.when(F.col("field") == field, F.array_compact(made)).otherwise(out) if field != next(iter(hubs)) else F.when(F.col("field") == field, F.array_compact(made))
-    return cells.withColumn("e", F.explode(out)).select("field", "fid", "label", "value", "mass", "missing", "e.hub", "e.weight", "e.coarse", "e.level")
+        made = F.array_distinct(F.array_compact(F.array(*[F.when(h.key.isNotNull(), F.struct(F.xxhash64(F.lit(h.kind), h.key.cast("string")).alias("hub"), F.lit(float(h.weight)).alias("weight"), F.lit(int(h.tier)).alias("tier"))) for h in of_field])))
+        out = F.when(F.col("field") == field, made) if out is None else out.when(F.col("field") == field, made)
+    nodes = cells.select("field", "fid", (F.col("observed") if categorical else F.lit("")).alias("label"), (F.when(there, F.lit(1.0)) if categorical else F.col("observed")).alias("value"), (~there).alias("missing"), F.explode(out).alias("e"))
+    return nodes.select("field", "fid", "label", "value", "missing", "e.hub", "e.weight", "e.tier")
 
 
-def hub_edges(cells: DataFrame, hubs: dict[str, list[Hub]], categorical: bool = False) -> DataFrame:
-    """One row for each cell and hub. cells: field, fid, observed (double, or string if categorical; NULL where missing) and what the hub keys use.
+CELL = ["field", "fid"]
+
 
-    Hubs of different fields are apart unless their kind and key agree, which
-    lets fields share them.
+def _looked_up(edges: DataFrame, hubs: DataFrame) -> DataFrame:
+    """edges with what is known of their hub (hub, missing_in, ...); hubs that many edges lead to are broadcast, the others joined.
+
+    There are at most as many hot hubs as HOT goes into the number of edges.
     """
-    there = F.col("observed").isNotNull()
-    label = F.col("observed") if categorical else F.when(there, F.lit(""))
-    nodes = cells.withColumns({"label": label, "value": F.when(there, F.lit(1.0)) if categorical else F.col("observed"), "mass": F.when(there, F.lit(1.0)), "missing": ~there})
-    return _edges(nodes, hubs)
+    hot = settled(hubs.filter(F.col("missing_in") > HOT))
+    if hot.isEmpty():
+        return edges.join(hubs, "hub")
+    few = if_small(hot)
+    return edges.join(hubs.filter(F.col("missing_in") <= HOT), "hub").unionByName(edges.join(few, "hub"))
 
 
-def propagate(edges: DataFrame, rounds: int = 4, categorical: bool = False, tol: float = 1e-6) -> DataFrame:
+def propagate(edges: DataFrame, categorical: bool = False, tol: float = 0.005, trust: float = TRUST) -> DataFrame:
     """field, fid, value (or label): what label propagation over hub_edges gives the missing cells.
 
-    First every cell is reached from its nearest hubs, in as many steps as it
-    takes; then at most `rounds` rounds over all hubs, fewer if none moves a
-    value by more than tol. Each step is written to the checkpoint folder, so
-    plans stay small and a lost executor costs one step.
+    tol: the rounds end when no value (or share of a category) moves by more.
+    Each round is written to the checkpoint folder, so plans stay small and a
+    lost executor costs one round.
     """
-    sums = [F.sum("value").alias("value"), F.sum("mass").alias("mass")]
-    # a hub is salted for the join if one group of it can be large
-    loose = settled(edges.filter("missing").select("field", "fid", "hub", "weight", "level", F.when(F.col("coarse"), F.pmod(F.col("fid"), F.lit(_SALTS))).otherwise(F.lit(-1)).cast("int").alias("salt")))
-    wanted = loose.groupBy("hub").agg((F.max("salt") >= 0).alias("coarse"))
-    clamped = settled(edges.filter("not missing").groupBy("hub", "label").agg(*sums).join(wanted, "hub"))
-    no_sums = clamped.limit(0)
-
-    def held_by(at: DataFrame, fills: DataFrame) -> DataFrame:
-        return at.join(fills, ["field", "fid"]).groupBy("hub", "label").agg(*sums, (F.max("salt") >= 0).alias("coarse"))
-
-    def step(at: DataFrame, *totals: DataFrame) -> DataFrame:
-        """What the cells of the edges `at` take from the hubs."""
-        total = totals[0]
-        for t in totals[1:]:
-            total = total.unionByName(t)
-        total = total.groupBy("hub", "label").agg(*sums, F.max("coarse").alias("coarse"))
-        if categorical:
-            total = total.withColumn("mass", F.sum("mass").over(Window.partitionBy("hub")))
-        salts = F.when(F.col("coarse"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(-1)))
-        spread = total.select("hub", "label", (F.col("value") / F.col("mass")).alias("mean"), F.explode(salts).alias("salt"))
-        new = at.join(spread, ["hub", "salt"]).groupBy("field", "fid", "label").agg(F.sum(F.col("weight") * F.col("mean")).alias("top"), F.sum("weight").alias("bottom"))
+    near = edges.filter("tier = 0")
+    # one pass over all near edges: what is observed in each hub that misses something
+    per_label = near.groupBy("hub", "label").agg(F.sum("value").alias("total"), F.count("value").alias("n"), F.count_if("missing").alias("missing_in"))
+    if categorical:
+        # missing cells are the rows without a label
+        of_hub = Window.partitionBy("hub")
+        per_label = per_label.withColumn("missing_in", F.sum("missing_in").over(of_hub))
+    clamped = settled(per_label.filter("missing_in > 0"))
+    loose = near.filter("missing").select(*CELL, "hub", "weight")
+    seen = _looked_up(loose, clamped).filter("n > 0 or missing_in > 1")
+    at = settled(seen.groupBy(*CELL, "hub", "weight").agg(F.collect_list(F.when(F.col("n") > 0, F.struct("label", "total", "n"))).alias("known"), F.max("missing_in").alias("missing_in")) if categorical else seen.select(*CELL, "hub", "weight", F.when(F.col("n") > 0, F.array(F.struct("label", "total", "n"))).alias("known"), "missing_in"))
+    base = at.select(*CELL, "weight", F.inline("known")).groupBy(*CELL, "label").agg(F.sum(F.col("weight") * F.col("total")).alias("top"), F.sum(F.col("weight") * F.col("n")).alias("bottom"))
+    base = settled(base)
+    links = settled(at.filter("missing_in > 1").select(*CELL, "hub", "weight"))
+    pulls = settled(links.groupBy(*CELL).agg(F.sum("weight").alias("pull")))
+    whole = Window.partitionBy(*CELL)
+
+    def valued(sums: DataFrame) -> DataFrame:
+        """Values from sums (field, fid, label, top, bottom, ...); a category's value is its share."""
+        bottom = F.sum("top").over(whole) if categorical else F.col("bottom")
+        return sums.withColumn("value", F.col("top") / bottom)
+
+    # cells that no other missing cell touches are done
+    done = valued(base.join(pulls, CELL, "left_anti")).select(*CELL, "label", "value")
+    active = settled(base.join(pulls, CELL, "left_semi"))
+    now = settled(valued(active).select(*CELL, "label", "value", F.lit(trust).alias("mass")))
+    linked = not links.isEmpty()
+    while linked:
+        share = now.join(links, CELL)
+        held = share.groupBy("hub", "label").agg(F.sum(F.col("mass") * F.col("value")).alias("x"), F.sum("mass").alias("y"), F.max("mass").alias("near"), F.count(F.lit(1)).alias("missing_in"))
+        taken = _looked_up(links, settled(held)).select(*CELL, "label", (F.col("weight") * F.col("x")).alias("top"), (F.col("weight") * F.col("y")).alias("bottom"), (F.col("near") * trust).alias("reach"), F.lit(None).cast("double").alias("mass"), F.lit(None).cast("double").alias("old"))
+        own = now.join(pulls, CELL).select(*CELL, "label", (-F.col("pull") * F.col("mass") * F.col("value")).alias("top"), (-F.col("pull") * F.col("mass")).alias("bottom"), F.lit(None).cast("double").alias("reach"), "mass", F.col("value").alias("old"))
+        fixed = active.select(*CELL, "label", "top", "bottom", F.lit(None).cast("double").alias("reach"), F.lit(None).cast("double").alias("mass"), F.lit(None).cast("double").alias("old"))
+        sums = taken.unionByName(own).unionByName(fixed).groupBy(*CELL, "label").agg(F.sum("top").alias("top"), F.sum("bottom").alias("bottom"), F.max("reach").alias("reach"), F.max("mass").alias("mass"), F.max("old").alias("old"))
         if categorical:
-            share = F.col("top") / F.sum("top").over(Window.partitionBy("field", "fid"))
-            return settled(new.select("field", "fid", "label", share.alias("value")).withColumn("mass", F.col("value")))
-        return settled(new.select("field", "fid", "label", (F.col("top") / F.col("bottom")).alias("value"), F.lit(1.0).alias("mass")))
-
-    last = loose.agg(F.max("level")).first()[0]
-    todo, fills, held = loose, None, no_sums
-    for level in range(-1 if last is None else last + 1):
-        while True:
-            fresh = step(todo.filter(F.col("level") <= level), clamped, held)
-            if fresh.isEmpty():
-                break
-            fills = fresh if fills is None else fills.unionByName(fresh)
-            # a cell keeps what reached it first: its edges are only summed, never looked up again
-            todo = settled(todo.join(fresh.select("field", "fid").distinct(), ["field", "fid"], "left_anti"))
-            held = settled(held.unionByName(held_by(loose, fresh)).groupBy("hub", "label").agg(*sums, F.max("coarse").alias("coarse")))
-            if todo.isEmpty():
-                break
-        if todo.isEmpty():
-            break
-    if fills is None:
-        fills = step(loose, clamped)
-    for _ in range(rounds):
-        before, fills = fills, step(loose, clamped, held_by(loose, fills))
-        moved = fills.join(before.select("field", "fid", "label", F.col("value").alias("old")), ["field", "fid", "label"], "full")
-        most = moved.agg(F.max(F.abs(F.coalesce("value", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
-        if most is None or most <= tol:
-            break
+            sums = sums.withColumns({"mass": F.max("mass").over(whole), "reach": F.max("reach").over(whole), "top": F.greatest("top", F.lit(0.0))})
+        # what cancels out to nothing but rounding leaves the value as it is
+        tiny = F.col("bottom") <= F.lit(1e-12)
+        new = valued(sums) if categorical else valued(sums).withColumn("value", F.when(tiny, F.col("old")).otherwise(F.col("value")))
+        after = settled(new.select(*CELL, "label", F.coalesce("value", "old").alias("value"), F.coalesce("mass", "reach").alias("mass"), "old"))
+        moved = after.agg(F.max(F.when(F.col("old").isNull(), F.lit(float("inf"))).otherwise(F.abs(F.col("value") - F.col("old")))).alias("most")).first()["most"]
+        now = after.drop("old")
+        linked = moved is not None and moved > tol
+    near_found = settled(done.unionByName(now.select(*CELL, "label", "value")))
+
+    far = settled(edges.filter("missing and tier > 0").select(*CELL, "hub", "weight", "tier").join(near_found.select(*CELL).distinct(), CELL, "left_anti"))
+    wanted = far.groupBy("hub").agg(F.count(F.lit(1)).alias("missing_in"))
+    prior = edges.filter("not missing and tier > 0").groupBy("hub", "label").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")).join(wanted, "hub")
+    if categorical:
+        prior = prior.withColumn("n", F.sum("n").over(Window.partitionBy("hub")))
+    prior = settled(prior.select("hub", "label", (F.col("total") / F.col("n")).alias("mean"), "missing_in"))
+    from_far = _looked_up(far, prior).groupBy(*CELL, "tier", "label").agg((F.sum(F.col("weight") * F.col("mean")) / (F.lit(1.0) if categorical else F.sum("weight"))).alias("value"))
+    first = from_far.groupBy(*CELL).agg(F.min("tier").alias("tier"))
+    found = near_found.unionByName(from_far.join(first, [*CELL, "tier"]).select(*CELL, "label", "value"))
     if categorical:
-        return fills.groupBy("field", "fid").agg(F.max_by("label", F.struct(F.round("value", 9), "label")).alias("label"))
-    return fills.select("field", "fid", "value")
+        return found.groupBy(*CELL).agg(F.max_by("label", F.struct(F.round("value", 9), "label")).alias("label"))
+    return found.select(*CELL, "value")
 
 
 def with_fills(cells: DataFrame, got: DataFrame, keys: tuple[str, ...] = ("field", "fid")) -> DataFrame:
@@ -143,6 +165,9 @@ def with_fills(cells: DataFrame, got: DataFrame, keys: tuple[str, ...] = ("field
     return kept.unionByName(lost)
 
 
+#: Weight of a junction, where ends meet at one level, against that of a pipe between its ends.
+JUNCTION = 10.0
+
 # The layers of the drainage network ----------------------------------------------------------------
 
 
@@ -151,19 +176,26 @@ def _blank(c: Column) -> Column:
 
 
 def _measured(df: DataFrame, fields: list[str], rules: FillerRules) -> DataFrame:
-    """fid, crew, field, observed and the other columns: one row per cell; fillers of all kinds are NULL."""
+    """df with fillers of all kinds in the fields as NULL; one row for each of df."""
     nines = short_nines(df, fields, rules)
-    others = [c for c in df.columns if c not in fields]
-    cell = []
+    out = df
     for f in fields:
         c = F.col(f).cast("double")
         empty = by_form(c, rules) | (c.isin(*nines[f]) if nines[f] else F.lit(False))
-        cell.append(F.struct(F.lit(f).alias("field"), F.when(~empty, c).alias("observed")))
-    long = df.select(*others, F.explode(F.array(*cell)).alias("c")).select(*others, "c.field", "c.observed")
-    default = crew_defaults(long.filter("observed is not null").select("field", "crew", F.col("observed").alias("value")), rules)
-    # at most 1 / crew_share values of each crew and field
-    marked = long.join(F.broadcast(default.withColumn("is_default", F.lit(True)).withColumnsRenamed({"field": "f2", "crew": "c2", "value": "v2"})), (F.col("field") == F.col("f2")) & (F.col("crew") == F.col("c2")) & (F.col("observed") == F.col("v2")), "left")
-    return marked.withColumn("observed", F.when(F.col("is_default").isNull(), F.col("observed"))).drop("f2", "c2", "v2", "is_default")
+        out = out.withColumn(f, F.when(~empty, c))
+    long = out.select("crew", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("c")).select("crew", "c.field", "c.value").filter("value is not null")
+    default = if_small(crew_defaults(long, rules))
+    for f in fields:
+        own = default.filter(F.col("field") == f).select(F.col("crew").alias("__crew"), F.col("value").alias("__value"))
+        out = out.join(own, (F.col("crew") == F.col("__crew")) & (F.col(f) == F.col("__value")), "left").withColumn(f, F.when(F.col("__value").isNull(), F.col(f))).drop("__crew", "__value")
+    return out
+
+
+def _cells(df: DataFrame, fields: list[str]) -> DataFrame:
+    """One row for each cell of the fields: field, observed, blank_beside (whether another of them is missing in the row), and the other columns."""
+    others = [c for c in df.columns if c not in fields]
+    cell = [F.struct(F.lit(f).alias("field"), F.col(f).alias("observed"), F.coalesce(*[F.when(F.col(g).isNull(), F.lit(True)) for g in fields if g != f], F.lit(False)).alias("blank_beside")) for f in fields]
+    return df.select(*others, F.explode(F.array(*cell)).alias("c")).select(*others, "c.*")
 
 
 def _end(which: int) -> Column:
@@ -183,17 +215,18 @@ def _main_cells(mains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]]]
     line = _blank(F.col("facilityid"))
     met = lambda k: F.when(_end(k).isNotNull(), F.xxhash64(line, _end(k)))
     base = mains.select("fid", "upelev", "downelev", F.col("digitizedby").alias("crew"), "load_id", F.when(line.isNotNull(), F.xxhash64(line)).alias("line"), met(1).alias("start"), met(-1).alias("end"))
-    ends = _measured(base, ["upelev", "downelev"], FillerRules(negatives_measure=True)).drop("crew")
+    ends = _cells(_measured(base, ["upelev", "downelev"], FillerRules(negatives_measure=True)).drop("crew"), ["upelev", "downelev"])
     level = [
-        Hub("junction", F.when(F.col("field") == "upelev", F.col("start")).otherwise(F.col("end")), 1e6, False),
-        Hub("pipe", F.col("fid"), 1e3, False),
-        Hub("line", F.col("line"), 1.0, True),
-        Hub("load", F.col("load_id"), 1e-3, True),
-        Hub("all", F.lit(1), 1e-6, True),
+        Hub("junction", F.when(F.col("field") == "upelev", F.col("start")).otherwise(F.col("end")), JUNCTION),
+        # two observed ends have nothing to tell each other
+        Hub("pipe", F.when(F.col("blank_beside") | F.col("observed").isNull(), F.col("fid")), 1.0),
+        Hub("line", F.col("line"), 1.0, 1),
+        Hub("load", F.col("load_id"), 1.0, 2),
+        Hub("all", F.lit(1), 1.0, 3),
     ]
     known = resolve_units(mains, MAINS, UnitGraph(LENGTH_EDGES), MAIN_RULES).filter("not from_remark").select(F.col("fid").alias("k_fid"), F.col("value").alias("observed"))
     widths = base.select("fid", "line", "load_id", "start", "end").join(known, F.col("fid") == F.col("k_fid"), "left").drop("k_fid").withColumn("field", F.lit("width"))
-    size = [Hub("meet", F.col("start"), 1e3, False), Hub("meet", F.col("end"), 1e3, False), Hub("w-line", F.col("line"), 1.0, True), Hub("w-load", F.col("load_id"), 1e-3, True), Hub("w-all", F.lit(1), 1e-6, True)]
+    size = [Hub("meet", F.col("start"), 1.0), Hub("meet", F.col("end"), 1.0), Hub("w-line", F.col("line"), 1.0, 1), Hub("w-load", F.col("load_id"), 1.0, 2), Hub("w-all", F.lit(1), 1.0, 3)]
     return [(ends, {"upelev": level, "downelev": level}), (widths, {"width": size})]
 
 
@@ -202,18 +235,40 @@ def _drain_cells(drains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]
     width = F.col("width").cast("double")
     like = F.when((width > 0) & (width < 9000), F.round(F.log(width) * 4))
     base = drains.select("fid", "depth", F.col("digitizedby").alias("crew"), "load_id", F.when(~F.isnan("objectid"), F.col("objectid")).alias("channel"), _blank(F.col("facilityid")).alias("system"), like.alias("like"))
-    cells = _measured(base, ["depth"], FillerRules())
-    return [(cells, {"depth": [Hub("channel", F.col("channel"), 1e6, False), Hub("like", F.col("like"), 1e2, True), Hub("system", F.col("system"), 1e1, True), Hub("d-load", F.col("load_id"), 1e-3, True), Hub("d-all", F.lit(1), 1e-6, True)]})]
+    cells = _cells(_measured(base, ["depth"], FillerRules()), ["depth"])
+    return [(cells, {"depth": [Hub("channel", F.col("channel"), 1.0), Hub("like", F.col("like"), 10.0, 1), Hub("system", F.col("system"), 1.0, 1), Hub("d-load", F.col("load_id"), 1.0, 2), Hub("d-all", F.lit(1), 1.0, 3)]})]
 
 
-def fill_network(mains: DataFrame, drains: DataFrame, rounds: int = 4) -> DataFrame:
-    """layer, field, fid, value, filled for upelev, downelev and width of mains and depth of drains, in one propagation."""
-    parts = [(settled(c), h) for c, h in _main_cells(mains) + _drain_cells(drains)]
+def network_cells(mains: DataFrame, drains: DataFrame) -> list[tuple[DataFrame, dict[str, list[Hub]]]]:
+    """Cells of upelev, downelev and width of mains and depth of drains with their hubs, settled."""
+    return [(settled(c), h) for c, h in _main_cells(mains) + _drain_cells(drains)]
+
+
+def _edges_of(parts: list[tuple[DataFrame, dict[str, list[Hub]]]]) -> DataFrame:
     edges = None
     for cells, hubs in parts:
         e = hub_edges(cells, hubs)
         edges = e if edges is None else edges.unionByName(e)
-    got = propagate(edges, rounds)
+    return edges
+
+
+def hold_out(mains: DataFrame, drains: DataFrame, share: int = 10) -> DataFrame:
+    """field, fid, value, filled: one of `share` observed cells, chosen by hashed id, hidden and filled again from the others."""
+    hidden = F.pmod(F.xxhash64("field", "fid"), F.lit(share)) == 0
+    parts = network_cells(mains, drains)
+    masked = [(c.withColumn("observed", F.when(~hidden, F.col("observed"))), h) for c, h in parts]
+    masked = [(c.withColumn("blank_beside", F.lit(True)) if "blank_beside" in c.columns else c, h) for c, h in masked]
+    truth = None
+    for c, _ in parts:
+        t = c.filter(hidden & F.col("observed").isNotNull()).select("field", "fid", F.col("observed").alias("value"))
+        truth = t if truth is None else truth.unionByName(t)
+    return truth.join(propagate(_edges_of(masked)).withColumnRenamed("value", "filled"), ["field", "fid"], "left")
+
+
+def fill_network(mains: DataFrame, drains: DataFrame) -> DataFrame:
+    """layer, field, fid, value, filled for upelev, downelev and width of mains and depth of drains, in one propagation."""
+    parts = network_cells(mains, drains)
+    got = propagate(_edges_of(parts))
     cells = None
     for c, _ in parts:
         p = c.select("field", "fid", "observed")
@@ -228,8 +283,8 @@ SHAPES = {"RND": ("RND", "R", "CIRC", "CIRC.", "CIRCULAR", "ROUND"), "BOX": ("BO
 NO_SHAPE = ("", "N/A", "NA", "0")
 
 
-def fill_shapes(mains: DataFrame, rounds: int = 3) -> DataFrame:
-    """layer, field, fid, value, filled for mainshape: distributions over shapes of the line, pipes of like width, the load, all.
+def fill_shapes(mains: DataFrame) -> DataFrame:
+    """layer, field, fid, value, filled for mainshape: shapes of the pipes it meets, of the line and of pipes of like width, the load, all.
 
     Only NULL, blanks and NO_SHAPE are missing; a spelling that isn't listed is observed and stays, in capitals.
     """
@@ -241,8 +296,10 @@ def fill_shapes(mains: DataFrame, rounds: int = 3) -> DataFrame:
     known = F.when(~bare.isin(*NO_SHAPE), known)
     inches = resolve_units(mains, MAINS, UnitGraph(LENGTH_EDGES), MAIN_RULES).filter("not from_remark").select(F.col("fid").alias("k_fid"), F.col("value").alias("inches"))
     like = F.when(F.col("inches") > 0, F.round(F.log("inches") * 4))
-    own = mains.select("fid", "load_id", _blank(F.col("facilityid")).alias("line"), F.lit("mainshape").alias("field"), known.alias("observed"))
+    line = _blank(F.col("facilityid"))
+    met = lambda k: F.when(_end(k).isNotNull(), F.xxhash64(line, _end(k)))
+    own = mains.select("fid", "load_id", line.alias("line"), F.when(line.isNotNull(), met(1)).alias("start"), F.when(line.isNotNull(), met(-1)).alias("end"), F.lit("mainshape").alias("field"), known.alias("observed"))
     cells = settled(own.join(inches, F.col("fid") == F.col("k_fid"), "left").select(*own.columns, like.alias("like")))
-    hubs = [Hub("line", F.col("line"), 1e3, True), Hub("like", F.col("like"), 1.0, True), Hub("load", F.col("load_id"), 1e-3, True), Hub("all", F.lit(1), 1e-6, True)]
-    got = propagate(hub_edges(cells, {"mainshape": hubs}, categorical=True), rounds, categorical=True)
+    hubs = [Hub("meet", F.col("start"), 1.0), Hub("meet", F.col("end"), 1.0), Hub("line", F.col("line"), 10.0, 1), Hub("like", F.col("like"), 1.0, 1), Hub("load", F.col("load_id"), 1.0, 2), Hub("all", F.lit(1), 1.0, 3)]
+    got = propagate(hub_edges(cells, {"mainshape": hubs}, categorical=True), categorical=True)
     return with_fills(cells, got).withColumn("layer", F.lit("gravity_mains")).select("layer", "field", "fid", "value", "filled")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..session import settled
+from .cleaning import global_rank
 from .near import SortedPoints, points_within
 
 # Nodes ------------------------------------------------------------------------------------------------
@@ -28,7 +29,7 @@ def line_ends(lines: DataFrame) -> DataFrame:
     return c.select("id", F.explode(F.array(F.struct(F.lit("start").alias("end"), G.start(F.col("c")).alias("p")), F.struct(F.lit("end").alias("end"), G.end(F.col("c")).alias("p")))).alias("e")).select("id", "e.end", "e.p.x", "e.p.y")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, component (the least node in it) of undirected edges (u, v), by alternating large and small stars.
 
     Each round is two grouped aggregates over the edges; their number shrinks to
@@ -38,7 +39,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     nodes = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
     e = settled(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct())
     before = None
-    for _ in range(max_rounds):
+    while True:
         # large star: neighbours above a node link to the least node around it
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -51,8 +52,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark == before:
             break
         before = mark
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     root = e.groupBy("u").agg(F.min("v").alias("m"))
     return nodes.join(root, nodes["node"] == root["u"], "left").select("node", F.coalesce("m", "node").alias("component"))
 
@@ -95,43 +94,47 @@ def dangling_ends(edges: DataFrame) -> DataFrame:
 # Traversals --------------------------------------------------------------------------------------------
 
 
-def bfs(edges: DataFrame, starts: DataFrame, stops: DataFrame | None = None, max_hops: int = 10_000) -> DataFrame:
+def bfs(edges: DataFrame, starts: DataFrame, stops: DataFrame | None = None) -> DataFrame:
     """id, hop, parent of the lines reached from the start lines; lines in stops are reached but not passed.
 
     A line's parent is the least line of the hop before that it meets, which is
-    a fixed choice where a queue would take any order.
+    a fixed choice where a queue would take any order. A hop is one job that
+    writes the new lines with their nodes; however many hops there are, all are taken.
     """
-    at = settled(incidence(edges))
-    stop = stops.select("id").distinct() if stops is not None else None
-    frontier = settled(starts.select("id").distinct().join(edges.select("id"), "id", "left_semi").select("id", F.lit(0).alias("hop"), F.lit(None).cast("bigint").alias("parent")))
-    parts, blocked = [frontier], None
-    last_lines, last_nodes = [frontier.select("id")], []
-    for hop in range(1, max_hops + 1):
-        if stop is None or hop == 1:
-            open_ = frontier
-        else:
-            # a line that isn't passed can be met again much later, from its other end
-            held = frontier.join(stop, "id", "left_semi").select("id")
-            blocked = settled(held if blocked is None else blocked.unionByName(held))
-            open_ = frontier.join(stop, "id", "left_anti")
-        nodes = at.join(open_.select("id"), "id").groupBy("node").agg(F.min("id").alias("parent"))
-        for seen in last_nodes:
-            nodes = nodes.join(seen, "node", "left_anti")
-        nodes = settled(nodes)
+    at = settled(edges.select("id", "u", "v", F.explode(F.array_distinct(F.array("u", "v"))).alias("node")))
+    stop = stops.select("id").distinct().withColumn("stops", F.lit(True)) if stops is not None else None
+    first = edges.join(starts.select("id").distinct(), "id", "left_semi").select("id", "u", "v", F.lit(None).cast("bigint").alias("parent"), F.lit(False).alias("stops"))
+    frontier = settled(first)
+    parts, held, seen_lines, seen_nodes = [], [], [frontier.select("id")], []
+    for hop in itertools.count():
+        parts.append(frontier.select("id", F.lit(hop).alias("hop"), "parent"))
+        if len(parts) >= 64:
+            parts = [settled(_all(parts))]
+        open_ = frontier.filter(~F.col("stops"))
+        nodes = open_.select(F.explode(F.array_distinct(F.array("u", "v"))).alias("node"), "id").groupBy("node").agg(F.min("id").alias("from"))
         # neighbours of a frontier lie at most one hop from it, so the last two are all that can be met again
-        fresh = at.join(nodes, "node")
-        for seen in [*last_lines, *([blocked] if blocked is not None else [])]:
+        for seen in seen_nodes:
+            nodes = nodes.join(seen, "node", "left_anti")
+        fresh = at.join(nodes, "node").groupBy("id", "u", "v").agg(F.min("from").alias("parent"))
+        for seen in [*seen_lines, *held]:
             fresh = fresh.join(seen, "id", "left_anti")
-        frontier = settled(fresh.groupBy("id").agg(F.min("parent").alias("parent")).select("id", F.lit(hop).alias("hop"), "parent"))
+        fresh = fresh.withColumn("stops", F.lit(False)) if stop is None else fresh.join(stop, "id", "left").withColumn("stops", F.coalesce("stops", F.lit(False)))
+        frontier = settled(fresh)
         if frontier.isEmpty():
-            break
-        parts.append(frontier)
-    else:
-        raise RuntimeError(f"lines are left to search after {max_hops} hops")
-        last_lines, last_nodes = [frontier.select("id"), *last_lines][:2], [nodes.select("node"), *last_nodes][:2]
-        if len(parts) >= 32:
-            parts = [settled(_all(parts))]
-    return _all(parts)
+            return _all(parts)
+        opened = parts_nodes(open_)
+        seen_nodes = [opened, *seen_nodes][:2]
+        seen_lines = [frontier.select("id"), *seen_lines][:2]
+        if stop is not None:
+            # a line that isn't passed can be met again much later, from its other end
+            held.append(frontier.filter("stops").select("id"))
+            if len(held) >= 16:
+                held = [settled(_all(held))]
+
+
+def parts_nodes(lines: DataFrame) -> DataFrame:
+    """node: every node of lines (u, v) once."""
+    return lines.select(F.explode(F.array("u", "v")).alias("node")).distinct()
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -141,28 +144,36 @@ def _all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def accumulated(tree: DataFrame, value: str, by_hop: bool = True) -> DataFrame:
+def accumulated(tree: DataFrame, value: str) -> DataFrame:
     """id, total: the sum of value over a line and everything below it in the tree (id, parent, value).
 
     Pointer doubling: each line passes what it holds to its ancestor 2^k above,
-    so the rounds are the logarithm of the depth.
+    so the rounds are the logarithm of the depth. Lines whose pointer has left
+    the tree take no further part; what ancestors are given is added up at the end.
     """
-    state = settled(tree.select("id", F.col("parent").alias("up"), F.col(value).alias("total")))
-    while True:
-        given = state.filter("up is not null").groupBy(F.col("up").alias("id")).agg(F.sum("total").alias("more"))
-        above = state.select(F.col("id").alias("up"), F.col("up").alias("next"))
-        state = settled(state.join(given, "id", "left").join(above, "up", "left").select("id", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("total")))
-        if state.filter("up is not null").isEmpty():
-            return state.select("id", "total")
-
-
-def inherited(tree: DataFrame, step: str, root: Column | None = None) -> DataFrame:
-    """id, total: the sum of step from the root down to each line, by pointer doubling."""
-    state = settled(tree.select("id", F.col("parent").alias("up"), F.col(step).alias("total")))
-    while not state.filter("up is not null").isEmpty():
-        above = state.select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("total").alias("a_total"))
-        state = settled(state.join(above, state["up"] == F.col("a_id"), "left").select("id", F.col("a_up").alias("up"), (F.col("total") + F.coalesce("a_total", F.lit(0))).alias("total")))
-    return state.select("id", "total")
+    own = tree.select("id", F.col(value).alias("total"))
+    live = settled(tree.filter("parent is not null").select("id", F.col("parent").alias("up"), F.col(value).alias("total")))
+    given = []
+    while not live.isEmpty():
+        more = settled(live.groupBy(F.col("up").alias("id")).agg(F.sum("total").alias("total")))
+        given.append(more)
+        above = live.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        live = settled(live.join(above, "up").join(more.withColumnRenamed("total", "more"), "id", "left").select("id", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("total")))
+    return _all([own, *given]).groupBy("id").agg(F.sum("total").alias("total")).join(own.select("id"), "id", "left_semi")
+
+
+def inherited(tree: DataFrame, step: str) -> DataFrame:
+    """id, total: the sum of step from the root down to each line, by pointer doubling; lines that have reached the root stay out of the rounds."""
+    done = [settled(tree.filter("parent is null").select("id", F.col(step).alias("total")))]
+    live = settled(tree.filter("parent is not null").select("id", F.col("parent").alias("up"), F.col(step).alias("total")))
+    while not live.isEmpty():
+        none = F.lit(None).cast("bigint")
+        above = _all([live.select(F.col("id").alias("a"), F.col("up").alias("next"), F.col("total").alias("more")), *[d.select(F.col("id").alias("a"), none.alias("next"), F.col("total").alias("more")) for d in done]])
+        # a parent that isn't in the tree ends the way as a root does
+        new = settled(live.join(above, F.col("up") == F.col("a"), "left").select("id", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("total")))
+        done.append(new.filter("up is null").select("id", "total"))
+        live = new.filter("up is not null")
+    return _all(done)
 
 
 def levels(tree: DataFrame, upstream: DataFrame) -> DataFrame:
@@ -172,27 +183,33 @@ def levels(tree: DataFrame, upstream: DataFrame) -> DataFrame:
     among those of the parent's layer, or among all if none is; ties go to the
     least id.
     """
-    t = tree.join(upstream, "id")
-    up = tree.select(F.col("id").alias("parent"), F.col("layer").alias("parent_layer"))
-    kids = t.filter("parent is not null").join(up, "parent", "left")
-    w = Window.partitionBy("parent").orderBy(F.when(F.col("layer") == F.col("parent_layer"), 0).otherwise(1), F.col("total").desc(), "id")
-    steps = kids.withColumn("step", F.when(F.row_number().over(w) == 1, 0).otherwise(1)).select("id", "parent", "step")
-    roots = t.filter("parent is null").select("id", "parent", F.lit(0).alias("step"))
-    return inherited(steps.unionByName(roots), "step").select("id", F.col("total").cast("int").alias("level"))
+    t = settled(tree.join(upstream, "id"))
+    up = t.select(F.col("id").alias("parent"), F.col("layer").alias("parent_layer"))
+    kids = t.filter("parent is not null").select("id", "parent", "layer", "total").join(up, "parent", "left")
+    rank = F.struct(F.when(F.col("layer") == F.col("parent_layer"), 0).otherwise(1), -F.col("total"), "id")
+    stems = kids.groupBy("parent").agg(F.min_by("id", rank).alias("id")).select("id", F.lit(True).alias("stem"))
+    steps = t.select("id", "parent").join(stems, "id", "left").select("id", "parent", F.when(F.col("parent").isNull() | F.col("stem"), 0).otherwise(1).alias("step"))
+    return inherited(steps, "step").select("id", F.col("total").cast("int").alias("level"))
 
 
 def tributaries(tree: DataFrame, level: DataFrame, upstream: DataFrame) -> DataFrame:
     """id, tributary: 0 on the main stem; else the rank, by upstream length, of the level-1 root the line drains through."""
     t = settled(tree.select("id", "parent").join(level, "id").join(upstream, "id"))
     up = t.select(F.col("id").alias("parent"), F.col("level").alias("parent_level"))
-    roots = t.join(up, "parent").filter("level = 1 and parent_level = 0").select("id", "total")
-    rank = roots.withColumn("tributary", F.row_number().over(Window.orderBy(F.col("total").desc(), "id"))).select(F.col("id").alias("root"), "tributary")
-    # climb to the nearest root or stem line by doubling
-    state = settled(t.join(rank, t["id"] == rank["root"], "left").select("id", F.when(F.col("tributary").isNull() & (F.col("level") > 0), F.col("parent")).alias("up"), F.when(F.col("level") == 0, 0).otherwise(F.col("tributary")).alias("tributary")))
-    while not state.filter("up is not null").isEmpty():
-        above = state.select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("tributary").alias("a_trib"))
-        state = settled(state.join(above, state["up"] == F.col("a_id"), "left").select("id", F.col("a_up").alias("up"), F.coalesce("tributary", "a_trib").alias("tributary")))
-    return state.select("id", F.col("tributary").cast("int").alias("tributary"))
+    roots = t.join(up, "parent").filter("level = 1 and parent_level = 0").select("id", (-F.col("total")).alias("less"))
+    rank = global_rank(roots, ["less", "id"]).select("id", F.col("rank").alias("tributary"))
+    # climb to the nearest root by doubling; the stem and the roots are there from the start
+    start = t.join(rank, "id", "left").select("id", "parent", F.when(F.col("level") == 0, F.lit(0)).otherwise(F.col("tributary")).alias("tributary"))
+    start = settled(start)
+    done = [start.filter("tributary is not null or parent is null").select("id", "tributary")]
+    live = start.filter("tributary is null and parent is not null").select("id", F.col("parent").alias("up"))
+    while not live.isEmpty():
+        none = F.lit(None).cast("bigint")
+        above = _all([live.select(F.col("id").alias("a"), F.col("up").alias("next"), none.alias("tributary")), *[d.select(F.col("id").alias("a"), none.alias("next"), "tributary") for d in done]])
+        new = settled(live.join(above, F.col("up") == F.col("a"), "left").select("id", F.col("next").alias("up"), "tributary"))
+        done.append(new.filter("up is null").select("id", "tributary"))
+        live = new.filter("up is not null")
+    return _all(done).select("id", F.col("tributary").cast("int").alias("tributary"))
 
 
 def dfs_order(edges: DataFrame, starts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,6 +47,12 @@ def settled(df: DataFrame) -> DataFrame:
     return DataFrame(plain, spark)
 
 
+def if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """df, settled and marked for broadcast if it has at most `rows` rows; a larger one is joined as Spark plans it."""
+    kept = settled(df)
+    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -5,6 +5,7 @@ import math
 import random
 from statistics import median
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,20 +115,49 @@ def test_remarks(spark, remark, unit):
 
 def test_propagation_keeps_observed_and_fills_from_the_nearest(spark):
     cells = spark.createDataFrame([("v", 1, 10.0, "a"), ("v", 2, None, "a"), ("v", 3, 20.0, "b"), ("v", 4, None, "c"), ("v", 5, None, None), ("v", 6, None, "a")], "field string, fid bigint, observed double, g string")
-    hubs = {"v": [fill.Hub("g", F.col("g"), 1e6, False), fill.Hub("all", F.lit(1), 1.0, True)]}
+    hubs = {"v": [fill.Hub("g", F.col("g"), 1.0), fill.Hub("all", F.lit(1), 1.0, 1)]}
     got = {r.fid: r for r in fill.with_fills(cells, fill.propagate(fill.hub_edges(cells, hubs))).collect()}
     assert (got[1].value, got[1].filled, got[3].value) == (10.0, False, 20.0)
-    assert got[2].filled and abs(got[2].value - 10) < 0.01 and abs(got[6].value - 10) < 0.01
-    assert 10 <= got[4].value <= 20 and 10 <= got[5].value <= 20
-
-
-def test_propagation_runs_along_a_chain(spark):
-    # 0 - 1 - 2 - 3: only the ends know; links are hubs
-    rows = [("v", 0, 0.0, "a", None), ("v", 1, None, "a", "b"), ("v", 2, None, "b", "c"), ("v", 3, 9.0, "c", None)]
-    cells = spark.createDataFrame(rows, "field string, fid bigint, observed double, p string, q string")
-    hubs = {"v": [fill.Hub("l", F.col("p"), 1.0, False), fill.Hub("l", F.col("q"), 1.0, False)]}
-    got = {r.fid: r.value for r in fill.propagate(fill.hub_edges(cells, hubs), rounds=12).collect()}
-    assert 1 < got[1] < 4.5 < got[2] < 8
+    assert got[2].filled and (got[2].value, got[6].value, got[4].value, got[5].value) == (10.0, 10.0, 15.0, 15.0)
+
+
+def _exact(cells, groups, trust):
+    """What the rounds settle at, as a system of equations. cells: value or None; groups: (weight, members)."""
+    n = len(cells)
+    mass = [None if v is None else 1.0 for v in cells]
+    while True:
+        new = {i: trust * max(mass[j] for _, g in groups if i in g for j in g if mass[j]) for i in range(n) if mass[i] is None and any(i in g and any(mass[j] for j in g) for _, g in groups)}
+        if not new:
+            break
+        for i, m in new.items():
+            mass[i] = m
+    a, b = np.eye(n), np.array([v if v is not None else 0.0 for v in cells])
+    for i in range(n):
+        if cells[i] is None and mass[i]:
+            w = {j: sum(k for k, g in groups if i in g and j in g) * mass[j] for j in range(n) if j != i and mass[j]}
+            for j, k in w.items():
+                a[i, j] -= k / sum(w.values())
+    return np.linalg.solve(a, b)
+
+
+def test_propagation_settles_at_the_exact_solution(spark):
+    # a chain between 0 and 9 with a side arm, links of two weights
+    rows = [(0, 0.0, "a", None, None), (1, None, "a", "b", None), (2, None, "b", "c", "s"), (3, None, "c", "d", None), (4, 9.0, "d", None, None), (5, None, None, None, "s"), (6, None, None, "z", "s"), (7, None, None, "z", None)]
+    cells = spark.createDataFrame([("v", *r) for r in rows], "field string, fid bigint, observed double, p string, q string, r string")
+    hubs = {"v": [fill.Hub("l", F.col("p"), 1.0), fill.Hub("l", F.col("q"), 1.0), fill.Hub("s", F.col("r"), 5.0)]}
+    got = {r.fid: r.value for r in fill.propagate(fill.hub_edges(cells, hubs), tol=1e-9).collect()}
+    groups = [(1.0, [i for i, r in enumerate(rows) if k in r[2:4]]) for k in "abcdz"] + [(5.0, [2, 5, 6])]
+    want = _exact([r[1] for r in rows], groups, fill.TRUST)
+    assert all(abs(v - want[i]) < 1e-6 for i, v in got.items()) and set(got) == {1, 2, 3, 5, 6, 7}
+    assert 0 < got[1] < 4.5 < got[3] < 9
+
+
+def test_guesses_do_not_outweigh_what_is_observed(spark):
+    # the other end of pipe 1 is 10; it shares a junction with pipe 2, of which nothing is known; the line is near 100
+    cells = spark.createDataFrame([("up", 1, 10.0, "a"), ("down", 1, None, "b"), ("up", 2, None, "b"), ("down", 2, None, "c"), *[(f, k, 100.0, f"{f}{k}") for f in ("up", "down") for k in range(10, 30)]], "field string, fid bigint, observed double, junction string")
+    level = [fill.Hub("junction", F.col("junction"), fill.JUNCTION), fill.Hub("pipe", F.col("fid"), 1.0), fill.Hub("line", F.lit(1), 1.0, 1)]
+    got = {(r.field, r.fid): r.value for r in fill.propagate(fill.hub_edges(cells, {"up": level, "down": level})).collect()}
+    assert all(abs(v - 10) < 0.01 for v in got.values()) and len(got) == 3
 
 
 def test_near_values_come_before_the_line_mean(spark):
@@ -135,17 +165,30 @@ def test_near_values_come_before_the_line_mean(spark):
     rows = [(k, 95.0, 95.0, "x%d" % k, "y%d" % k) for k in range(40)]
     rows += [(899, 95.0, 12.0, "f", "a"), (900, None, None, "a", "b"), (910, 95.0, 10.0, "g", "p"), (911, None, None, "p", "q"), (912, None, None, "q", "r"), (913, None, None, "r", "s")]
     cells = spark.createDataFrame([("up", f, u, a) for f, u, _, a, _ in rows] + [("down", f, w, b) for f, _, w, _, b in rows], "field string, fid bigint, observed double, junction string")
-    level = [fill.Hub("junction", F.col("junction"), 1e6, False), fill.Hub("pipe", F.col("fid"), 1e3, False), fill.Hub("line", F.lit(1), 1.0, True)]
+    level = [fill.Hub("junction", F.col("junction"), 10.0), fill.Hub("pipe", F.col("fid"), 1.0), fill.Hub("line", F.lit(1), 1.0, 1)]
     got = {(r.field, r.fid): r.value for r in fill.propagate(fill.hub_edges(cells, {"up": level, "down": level})).collect()}
     assert abs(got["up", 900] - 12) < 0.5 and abs(got["down", 900] - 12) < 0.5
     assert all(abs(got[f, k] - 10) < 1 for f in ("up", "down") for k in (911, 912, 913))
 
 
 def test_categories(spark):
-    cells = spark.createDataFrame([("s", k, v, "a") for k, v in enumerate(["RND", "RND", "BOX", None])] + [("s", 9, None, None)], "field string, fid bigint, observed string, g string")
-    hubs = {"s": [fill.Hub("g", F.col("g"), 1.0, True)]}
-    got = {r.fid: r for r in fill.with_fills(cells, fill.propagate(fill.hub_edges(cells, hubs, True), 2, True)).collect()}
+    rows = [("s", k, v, "a", None) for k, v in enumerate(["RND", "RND", "BOX", None])] + [("s", 9, None, None, None)]
+    # a chain of blanks beside a box
+    rows += [("s", 20, "BOX", "p", None), ("s", 21, None, "p", "q"), ("s", 22, None, "q", None)]
+    cells = spark.createDataFrame(rows, "field string, fid bigint, observed string, g string, h string")
+    hubs = {"s": [fill.Hub("g", F.col("g"), 1.0), fill.Hub("g", F.col("h"), 1.0)]}
+    got = {r.fid: r for r in fill.with_fills(cells, fill.propagate(fill.hub_edges(cells, hubs, True), True)).collect()}
     assert (got[3].value, got[3].filled, got[9].value, got[9].filled) == ("RND", True, None, True)
+    assert (got[21].value, got[22].value) == ("BOX", "BOX")
+
+
+def test_hot_hubs_are_looked_up_alike(spark, monkeypatch):
+    cells = spark.createDataFrame([("v", k, float(k) if k % 3 == 0 else None, "a" if k < 50 else "b") for k in range(60)], "field string, fid bigint, observed double, g string")
+    edges = fill.hub_edges(cells, {"v": [fill.Hub("g", F.col("g"), 1.0)]})
+    plain = {r.fid: r.value for r in fill.propagate(edges).collect()}
+    monkeypatch.setattr(fill, "HOT", 10)
+    hot = {r.fid: r.value for r in fill.propagate(edges).collect()}
+    assert len(plain) == 40 and all(abs(plain[k] - hot[k]) < 1e-9 for k in plain)
 
 
 MAIN = "fid bigint, upelev double, downelev double, width double, digitizedby string, load_id bigint, facilityid string, remarks string, mainshape string, value string, geometry array<struct<x:double,y:double>>"

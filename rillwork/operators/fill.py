@@ -5,14 +5,16 @@ system, a load, everything) are hubs that stand for the edges between all
 members, so a group of n records costs n edges, not n squared.
 
 Near hubs (tier 0) make up the graph that values run along. A missing cell is
-the mean of the other members of its hubs, each counted with the weight of the
-hub and with its mass: one for an observed cell, which is clamped, and for an
-estimate TRUST for each step that lies between it and an observed cell. So an
-estimate never outweighs what it was made from, and a cell's own part never
-comes back to it. The rounds end when no value moves by more than a tolerance;
-as every cell leans towards those nearer to an observed one, they converge
-geometrically. Cells whose hubs hold no other missing cell are final at once
-and take no part in the rounds.
+the weighted mean of what its hubs hold besides itself: every observed cell,
+clamped, with the weight of the hub; and the mean of those estimates in the hub
+that are the fewest steps from an observed cell. Such a mean has the weight of
+the hub if these are nearer to an observed cell than the cell itself, TRUST
+times that if they are as near, and TRUST squared times that if they are
+farther. So estimates never outvote what they were made from, however many
+there are, and a cell's own part never comes back to it. The rounds end when no
+value moves by more than a tolerance; as every cell leans towards those nearer
+to an observed one, they converge geometrically. Cells whose hubs hold no other
+missing cell are final at once and take no part in the rounds.
 
 Far hubs (tiers 1, 2, ...) are priors outside the rounds: a cell that the near
 hubs don't reach takes the weighted mean, over observed cells, of its hubs of
@@ -39,7 +41,7 @@ from ..session import if_small, settled
 from .fillers import FillerRules, by_form, crew_defaults, short_nines
 from .units import LENGTH_EDGES, MAIN_RULES, MAINS, UnitGraph, resolve_units
 
-#: Mass of an estimate for each step between it and an observed cell.
+#: Weight of estimates as far from an observed cell as the one they tell, against nearer ones.
 TRUST = 0.2
 #: A hub with more missing members than this is looked up by broadcast.
 HOT = 200_000
@@ -88,7 +90,7 @@ def _looked_up(edges: DataFrame, hubs: DataFrame) -> DataFrame:
     return edges.join(hubs.filter(F.col("missing_in") <= HOT), "hub").unionByName(edges.join(few, "hub"))
 
 
-def propagate(edges: DataFrame, categorical: bool = False, tol: float = 0.005, trust: float = TRUST) -> DataFrame:
+def propagate(edges: DataFrame, categorical: bool = False, tol: float = 0.01, trust: float = TRUST) -> DataFrame:
     """field, fid, value (or label): what label propagation over hub_edges gives the missing cells.
 
     tol: the rounds end when no value (or share of a category) moves by more.
@@ -109,7 +111,9 @@ def propagate(edges: DataFrame, categorical: bool = False, tol: float = 0.005, t
     base = at.select(*CELL, "weight", F.inline("known")).groupBy(*CELL, "label").agg(F.sum(F.col("weight") * F.col("total")).alias("top"), F.sum(F.col("weight") * F.col("n")).alias("bottom"))
     base = settled(base)
     links = settled(at.filter("missing_in > 1").select(*CELL, "hub", "weight"))
-    pulls = settled(links.groupBy(*CELL).agg(F.sum("weight").alias("pull")))
+    touched = settled(links.select(*CELL).distinct())
+    crowds = links.groupBy("hub").agg(F.count(F.lit(1)).alias("missing_in"))
+    hot = (crowds.agg(F.max("missing_in")).first()[0] or 0) > HOT
     whole = Window.partitionBy(*CELL)
 
     def valued(sums: DataFrame) -> DataFrame:
@@ -118,23 +122,35 @@ def propagate(edges: DataFrame, categorical: bool = False, tol: float = 0.005, t
         return sums.withColumn("value", F.col("top") / bottom)
 
     # cells that no other missing cell touches are done
-    done = valued(base.join(pulls, CELL, "left_anti")).select(*CELL, "label", "value")
-    active = settled(base.join(pulls, CELL, "left_semi"))
-    now = settled(valued(active).select(*CELL, "label", "value", F.lit(trust).alias("mass")))
+    done = valued(base.join(touched, CELL, "left_anti")).select(*CELL, "label", "value")
+    active = settled(base.join(touched, CELL, "left_semi"))
+    now = settled(valued(active).select(*CELL, "label", "value", F.lit(1).alias("steps")))
+    none = lambda t: F.lit(None).cast(t)
+    even, first_even = F.col("steps") % 2 == 0, F.col("least") % 2 == 0
+    of_hub = Window.partitionBy("hub")
     linked = not links.isEmpty()
     while linked:
-        share = now.join(links, CELL)
-        held = share.groupBy("hub", "label").agg(F.sum(F.col("mass") * F.col("value")).alias("x"), F.sum("mass").alias("y"), F.max("mass").alias("near"), F.count(F.lit(1)).alias("missing_in"))
-        taken = _looked_up(links, settled(held)).select(*CELL, "label", (F.col("weight") * F.col("x")).alias("top"), (F.col("weight") * F.col("y")).alias("bottom"), (F.col("near") * trust).alias("reach"), F.lit(None).cast("double").alias("mass"), F.lit(None).cast("double").alias("old"))
-        own = now.join(pulls, CELL).select(*CELL, "label", (-F.col("pull") * F.col("mass") * F.col("value")).alias("top"), (-F.col("pull") * F.col("mass")).alias("bottom"), F.lit(None).cast("double").alias("reach"), "mass", F.col("value").alias("old"))
-        fixed = active.select(*CELL, "label", "top", "bottom", F.lit(None).cast("double").alias("reach"), F.lit(None).cast("double").alias("mass"), F.lit(None).cast("double").alias("old"))
-        sums = taken.unionByName(own).unionByName(fixed).groupBy(*CELL, "label").agg(F.sum("top").alias("top"), F.sum("bottom").alias("bottom"), F.max("reach").alias("reach"), F.max("mass").alias("mass"), F.max("old").alias("old"))
+        # the members of a hub are the same number of steps from an observed cell, or one more
+        held = now.join(links, CELL).groupBy("hub", "label").agg(F.min("steps").alias("least"), *[f for n, c in (("e", even), ("o", ~even)) for f in (F.sum(F.when(c, F.col("value"))).alias(f"x{n}"), (F.sum(F.when(c, F.col("value"))) if categorical else F.count(F.when(c, F.col("value")))).alias(f"n{n}"))])
         if categorical:
-            sums = sums.withColumns({"mass": F.max("mass").over(whole), "reach": F.max("reach").over(whole), "top": F.greatest("top", F.lit(0.0))})
-        # what cancels out to nothing but rounding leaves the value as it is
-        tiny = F.col("bottom") <= F.lit(1e-12)
-        new = valued(sums) if categorical else valued(sums).withColumn("value", F.when(tiny, F.col("old")).otherwise(F.col("value")))
-        after = settled(new.select(*CELL, "label", F.coalesce("value", "old").alias("value"), F.coalesce("mass", "reach").alias("mass"), "old"))
+            held = held.withColumns({"least": F.min("least").over(of_hub), "ne": F.sum("ne").over(of_hub), "no": F.sum("no").over(of_hub)})
+        sides = {c: F.coalesce(F.when(first_even, F.col(a)).otherwise(F.col(b)), F.lit(0.0)) for c, a, b in (("x1", "xe", "xo"), ("n1", "ne", "no"), ("x2", "xo", "xe"), ("n2", "no", "ne"))}
+        held = held.select("hub", "label", "least", *[v.alias(c) for c, v in sides.items()])
+        steps = now.groupBy(*CELL).agg(F.min("steps").alias("steps")) if categorical else now.select(*CELL, "steps")
+        mine = links.join(steps, CELL, "left")
+        pair = (_looked_up(mine, settled(held.join(crowds, "hub"))) if hot else mine.join(held, "hub")).withColumn("n1", F.round("n1", 6))
+        among = F.col("steps") == F.col("least")
+        alone = among & (F.col("n1") <= 1)
+        n = F.when(alone, F.col("n2")).when(among, F.col("n1") - 1).otherwise(F.col("n1"))
+        w = F.col("weight") * F.when(alone, trust * trust).when(among, trust).otherwise(1.0)
+        parts = pair.withColumns({"n": n, "w": w}).filter("n > 1e-9").select(*CELL, "label", (F.col("w") * F.when(alone, F.col("x2")).otherwise(F.col("x1")) / F.col("n")).alias("top"), F.col("w").alias("bottom"), F.when(among & ~alone, F.col("w") / F.col("n")).alias("own"), F.when(F.col("steps").isNull(), F.col("least") + 1).alias("reach"), none("int").alias("steps"), none("double").alias("old"))
+        own = now.select(*CELL, "label", none("double").alias("top"), none("double").alias("bottom"), none("double").alias("own"), none("int").alias("reach"), "steps", F.col("value").alias("old"))
+        fixed = active.select(*CELL, "label", "top", "bottom", none("double").alias("own"), none("int").alias("reach"), none("int").alias("steps"), none("double").alias("old"))
+        sums = parts.unionByName(own).unionByName(fixed).groupBy(*CELL, "label").agg(F.sum("top").alias("top"), F.sum("bottom").alias("bottom"), F.coalesce(F.sum("own"), F.lit(0.0)).alias("own"), F.min("reach").alias("reach"), F.max("steps").alias("steps"), F.max("old").alias("old"))
+        sums = sums.withColumn("top", F.col("top") - F.col("own") * F.coalesce("old", F.lit(0.0)))
+        if categorical:
+            sums = sums.withColumns({"steps": F.max("steps").over(whole), "reach": F.min("reach").over(whole), "top": F.greatest("top", F.lit(0.0))})
+        after = settled(valued(sums).select(*CELL, "label", F.coalesce("value", "old").alias("value"), F.coalesce("steps", "reach").alias("steps"), "old"))
         moved = after.agg(F.max(F.when(F.col("old").isNull(), F.lit(float("inf"))).otherwise(F.abs(F.col("value") - F.col("old")))).alias("most")).first()["most"]
         now = after.drop("old")
         linked = moved is not None and moved > tol
@@ -166,7 +182,7 @@ def with_fills(cells: DataFrame, got: DataFrame, keys: tuple[str, ...] = ("field
 
 
 #: Weight of a junction, where ends meet at one level, against that of a pipe between its ends.
-JUNCTION = 10.0
+JUNCTION = 5.0
 
 # The layers of the drainage network ----------------------------------------------------------------
 

@@ -206,9 +206,9 @@ def tributaries(tree: DataFrame, level: DataFrame, upstream: DataFrame) -> DataF
     while not live.isEmpty():
         none = F.lit(None).cast("bigint")
         above = _all([live.select(F.col("id").alias("a"), F.col("up").alias("next"), none.alias("tributary")), *[d.select(F.col("id").alias("a"), none.alias("next"), "tributary") for d in done]])
-        new = settled(live.join(above, F.col("up") == F.col("a"), "left").select("id", F.col("next").alias("up"), "tributary"))
+        new = settled(live.select("id", "up").join(above, F.col("up") == F.col("a"), "left").select("id", F.col("next").alias("up"), "tributary"))
         done.append(new.filter("up is null").select("id", "tributary"))
-        live = new.filter("up is not null")
+        live = new.filter("up is not null").select("id", "up")
     return _all(done).select("id", F.col("tributary").cast("int").alias("tributary"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.fill import fill_network, fill_shapes
+from ..operators.fill import fill_network, fill_shapes, hold_out
 from ..operators.near import SortedPoints, lines_within, points_within, regions_containing
 from ..operators.orphans import Reference, dangling
 from ..operators.profile import Field, breaking_loads, drift, profile
@@ -50,6 +50,13 @@ def p2_shapes(spark: SparkSession, d: str) -> DataFrame:
     return fill_shapes(read(spark, d, "gravity_mains"))
 
 
+def p2_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """How far fills lie from observed values that were hidden, one of ten of each field: hidden, filled, median and mean error."""
+    h = hold_out(read(spark, d, "gravity_mains"), read(spark, d, "open_drains"))
+    error = F.abs(F.col("filled") - F.col("value"))
+    return h.groupBy("field").agg(F.count(F.lit(1)).alias("hidden"), F.count("filled").alias("filled"), F.round(F.percentile_approx(error, 0.5, 10_000), 3).alias("median_error"), F.round(F.avg(error), 3).alias("mean_error"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return p2_filled(spark, d).filter("filled").select("layer", "field", "fid")
 
@@ -104,7 +111,7 @@ def p5_drift(spark: SparkSession, d: str) -> DataFrame:
     return drift(_tables(spark, d, "gravity_mains", "inlets"), FIELDS).withColumn("ks", F.round("ks", 6))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_units, p2_found, p2_filled, p2_shapes, p3_found, p3_report, p4_found, p5_found, p5_profile, p5_drift)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_units, p2_found, p2_filled, p2_holdout, p2_shapes, p3_found, p3_report, p4_found, p5_found, p5_profile, p5_drift)}
 
 _GUID = "nullif(nullif(upper(regexp_replace({}, '^[\\s{{}}]+|[\\s{{}}]+$', '', 'g')), ''), '00000000-0000-0000-0000-000000000000')"
 _CODE = "nullif(upper(regexp_replace({}, '^\\s+|\\s+$', '', 'g')), '')"

@@ -124,19 +124,23 @@ def test_propagation_keeps_observed_and_fills_from_the_nearest(spark):
 def _exact(cells, groups, trust):
     """What the rounds settle at, as a system of equations. cells: value or None; groups: (weight, members)."""
     n = len(cells)
-    mass = [None if v is None else 1.0 for v in cells]
-    while True:
-        new = {i: trust * max(mass[j] for _, g in groups if i in g for j in g if mass[j]) for i in range(n) if mass[i] is None and any(i in g and any(mass[j] for j in g) for _, g in groups)}
-        if not new:
-            break
-        for i, m in new.items():
-            mass[i] = m
+    steps = [None if v is None else 0 for v in cells]
+    for r in range(1, n):
+        for i in [i for i in range(n) if steps[i] is None and any(i in g and any(steps[j] == r - 1 for j in g) for _, g in groups)]:
+            steps[i] = r
     a, b = np.eye(n), np.array([v if v is not None else 0.0 for v in cells])
     for i in range(n):
-        if cells[i] is None and mass[i]:
-            w = {j: sum(k for k, g in groups if i in g and j in g) * mass[j] for j in range(n) if j != i and mass[j]}
-            for j, k in w.items():
-                a[i, j] -= k / sum(w.values())
+        if cells[i] is None and steps[i]:
+            w = np.zeros(n)
+            for k, g in groups:
+                others = [j for j in g if i in g and j != i]
+                for j in others:
+                    w[j] += k * (steps[j] == 0)
+                guess = [j for j in others if steps[j]]
+                near = [j for j in guess if steps[j] == min(steps[m] for m in guess)]
+                for j in near:
+                    w[j] += k * trust ** (steps[j] - steps[i] + 1) / len(near)
+            a[i] -= w / w.sum()
     return np.linalg.solve(a, b)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,15 +99,13 @@ def numbered(df: DataFrame, group: str, key: str) -> DataFrame:
 def global_rank(df: DataFrame, by: list[str]) -> DataFrame:
     """df with rank 1..n in the order of by: rows are counted per range partition, then numbered within it."""
     rows = settled(df.repartitionByRange(shuffle_partitions(df.sparkSession), *by).sortWithinPartitions(*by)).withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    counts = {r["__pid"]: r["count"] for r in rows.groupBy("__pid").count().collect()}
-    before, base = 0, {}
-    for pid in sorted(counts):
-        base[pid] = before
-        before += counts[pid]
-    if not base:
+    counts = sorted((r["__pid"], r["count"]) for r in rows.groupBy("__pid").count().collect())
+    if not counts:
         return df.withColumn("rank", F.lit(0).cast("bigint"))
-    offset = F.create_map(*[F.lit(v) for kv in base.items() for v in (kv[0], kv[1])])[F.col("__pid")]
-    return rows.withColumn("rank", (F.col("__mid") + offset + 1).cast("bigint")).drop("__pid", "__mid")
+    before = [0, *itertools.accumulate(n for _, n in counts)]
+    # one row per partition
+    offsets = F.broadcast(df.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(counts, before)], "__pid int, __before bigint"))
+    return rows.join(offsets, "__pid").withColumn("rank", (F.col("__mid") + F.col("__before") + 1).cast("bigint")).select(*df.columns, "rank")
 
 
 def suffixed(df: DataFrame, column: str, key: str) -> DataFrame:

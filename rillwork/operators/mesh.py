@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .profile import keyed_quantiles
+
 
 def rings(cells: DataFrame, nodes: DataFrame) -> DataFrame:
     """cell, n, ring: the corner points of each cell in order."""
@@ -58,47 +58,52 @@ def least_angles(cells: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def centres(cells: DataFrame, nodes: DataFrame) -> DataFrame:
-    """cell, x, y: circumcentre of triangles, relaxed point of equal edge distance for others, kept inside the cell."""
-
-    def centre(xs: list[float], ys: list[float]) -> tuple[float, float]:
-        x, y = np.asarray(xs, dtype=float), np.asarray(ys, dtype=float)
-        ox, oy = x[0], y[0]
-        x, y = x - ox, y - oy
-        mx, my = x.mean(), y.mean()
-        cx, cy = mx, my
-        nx, ny = np.roll(x, -1), np.roll(y, -1)
-        if len(x) == 3:
-            d = 2 * (x[1] * y[2] - x[2] * y[1])
-            if d:
-                a, b = x[1] ** 2 + y[1] ** 2, x[2] ** 2 + y[2] ** 2
-                cx, cy = (y[2] * a - y[1] * b) / d, (x[1] * b - x[2] * a) / d
-        else:
-            n = np.hypot(nx - x, ny - y)
-            ok = n > 0
-            tx, ty = np.where(ok, (nx - x) / np.where(ok, n, 1), 0), np.where(ok, (ny - y) / np.where(ok, n, 1), 0)
-            hx, hy = (x + nx) / 2, (y + ny) / 2
-            for _ in range(100):
-                along = (cx - hx) * tx + (cy - hy) * ty
-                cx, cy = cx - 0.1 * (along * tx).sum(), cy - 0.1 * (along * ty).sum()
-        with np.errstate(divide="ignore", invalid="ignore"):
-            inside = (((y > cy) != (ny > cy)) & (cx < (nx - x) * (cy - y) / (ny - y) + x)).sum() % 2 == 1
-            if not inside:
-                # back along the line from the vertex mean to the first side it crosses
-                rx, ry = cx - mx, cy - my
-                den = rx * (ny - y) - ry * (nx - x)
-                s = ((x - mx) * (ny - y) - (y - my) * (nx - x)) / den
-                t = ((x - mx) * ry - (y - my) * rx) / den
-                hit = s[(den != 0) & (s >= 0) & (s <= 1) & (t >= 0) & (t <= 1)]
-                if len(hit):
-                    cx, cy = mx + hit[0] * rx, my + hit[0] * ry
-        return cx + ox, cy + oy
-
-    @F.pandas_udf("struct<x:double,y:double>")
-    def udf(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([centre(a, b) for a, b in zip(xs, ys)], columns=["x", "y"])
-
+    """cell, x, y: circumcentre of triangles, the point closest to the perpendicular bisectors of all sides for others, kept inside the cell.
+
+    A point c lies on the bisector of a side with midpoint m and unit tangent t
+    where (c - m) . t = 0; the sum of squares of these over all sides is least
+    where a 2 x 2 system of sums over sides holds. (Relaxing towards it with 100
+    steps of a tenth ends within 0.1 % of the cell's size unless the least
+    eigenvalue of the system is below 0.7, that is, unless the sides are nearly
+    parallel.) A centre outside is moved along the line from the vertex mean to
+    where this leaves the cell, found by clipping that line with the half plane of
+    each side; cells are convex. Cells whose sides are all parallel, or that have
+    no area, take their vertex mean.
+    """
     r = rings(cells, nodes).filter("n >= 3")
-    return r.select("cell", udf(F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])).alias("c")).select("cell", "c.x", "c.y")
+    o = F.element_at("ring", 1)
+    local = r.select("cell", "n", o["x"].alias("ox"), o["y"].alias("oy"), F.transform("ring", lambda p: F.struct((p["x"] - o["x"]).alias("x"), (p["y"] - o["y"]).alias("y"))).alias("p"))
+
+    def side(p, i):
+        q = F.get("p", (i + 1) % F.col("n"))
+        ex, ey = q["x"] - p["x"], q["y"] - p["y"]
+        return F.struct(p["x"].alias("x"), p["y"].alias("y"), ex.alias("ex"), ey.alias("ey"), (p["x"] * q["y"] - q["x"] * p["y"]).alias("twice"), (ex * ex + ey * ey).alias("n2"), (ex * (p["x"] + ex / 2) + ey * (p["y"] + ey / 2)).alias("em"))
+
+    sides = local.withColumn("s", F.transform("p", side))
+    total = lambda f: F.aggregate(F.transform("s", f), F.lit(0.0), lambda a, v: a + v)
+    per = lambda f: total(lambda s: F.when(s["n2"] > 0, f(s) / s["n2"]).otherwise(0.0))
+    sums = sides.select(
+        "cell", "n", "ox", "oy", "p", "s",
+        (total(lambda s: s["x"]) / F.col("n")).alias("mx"), (total(lambda s: s["y"]) / F.col("n")).alias("my"), F.signum(total(lambda s: s["twice"])).alias("turn"),
+        per(lambda s: s["ex"] * s["ex"]).alias("a"), per(lambda s: s["ex"] * s["ey"]).alias("b"), per(lambda s: s["ey"] * s["ey"]).alias("d"), per(lambda s: s["ex"] * s["em"]).alias("f"), per(lambda s: s["ey"] * s["em"]).alias("g"),
+    )
+    # of a triangle the bisectors of two sides from the first corner suffice
+    p, q = F.element_at("p", 2), F.element_at("p", 3)
+    three = F.col("n") == 3
+    terms = {"a": p["x"], "b": p["y"], "c": q["x"], "d": q["y"], "f": (p["x"] * p["x"] + p["y"] * p["y"]) / 2, "g": (q["x"] * q["x"] + q["y"] * q["y"]) / 2}
+    system = sums.withColumn("c", F.col("b")).withColumns({k: F.when(three, v).otherwise(F.col(k)) for k, v in terms.items()})
+    det = F.col("a") * F.col("d") - F.col("b") * F.col("c")
+    solved = system.withColumn("det", det).withColumn("ok", (F.abs("det") > 1e-12 * (F.col("a") * F.col("a") + F.col("d") * F.col("d") + F.col("b") * F.col("b"))) & (F.col("turn") != 0))
+    way = solved.withColumns({"rx": F.when(F.col("ok"), (F.col("f") * F.col("d") - F.col("g") * F.col("b")) / F.col("det") - F.col("mx")).otherwise(0.0), "ry": F.when(F.col("ok"), (F.col("a") * F.col("g") - F.col("c") * F.col("f")) / F.col("det") - F.col("my")).otherwise(0.0)})
+
+    def leaves(s):
+        """The share of the way at which it leaves the half plane of a side; NULL if it doesn't."""
+        towards = (F.col("rx") * s["ey"] - F.col("ry") * s["ex"]) * F.col("turn")
+        room = ((s["x"] - F.col("mx")) * s["ey"] - (s["y"] - F.col("my")) * s["ex"]) * F.col("turn")
+        return F.when(towards > 0, F.greatest(room, F.lit(0.0)) / towards)
+
+    share = F.least(F.lit(1.0), F.coalesce(F.array_min(F.transform("s", leaves)), F.lit(1.0)))
+    return way.withColumn("share", share).select("cell", (F.col("ox") + F.col("mx") + F.col("share") * F.col("rx")).alias("x"), (F.col("oy") + F.col("my") + F.col("share") * F.col("ry")).alias("y"))
 
 
 def orthogonality(cells: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -113,9 +118,12 @@ def orthogonality(cells: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def quality(values: DataFrame, column: str) -> DataFrame:
-    """p1, p5, p50, p95, p99, mean, greatest of a column; exact."""
-    q = F.percentile(column, F.array(*[F.lit(v) for v in (0.01, 0.05, 0.5, 0.95, 0.99)]))
-    return values.agg(q.alias("q"), F.avg(column).alias("mean"), F.max(column).alias("greatest")).select(*[F.col("q")[k].alias(n) for k, n in enumerate(("p1", "p5", "p50", "p95", "p99"))], "mean", "greatest")
+    """p1, p5, p50, p95, p99, mean, greatest of a column; exact, by prefix counts over a range sort."""
+    x = values.filter(F.col(column).isNotNull() & ~F.isnan(column)).select(F.lit("all").alias("k"), (F.col(column) + F.lit(0.0)).alias("num"))
+    q = keyed_quantiles(x.groupBy("k", "num").agg(F.count(F.lit(1)).alias("n")), {"p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99})
+    rest = values.agg(F.avg(column).alias("mean"), F.max(column).alias("greatest"))
+    # one row each
+    return rest.join(F.broadcast(q), F.lit(True), "left").select("p1", "p5", "p50", "p95", "p99", "mean", "greatest")
 
 
 def grid(x0: float, y0: float, nx: int, ny: int, step: float, spark) -> tuple[DataFrame, DataFrame]:

@@ -27,8 +27,10 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import settled, shuffle_partitions
+from ..functions.geometry import contains
+from ..session import if_small, settled, shuffle_partitions
 
 #: Cells are squares of this side at the finest level, in metres, with indices offset to be positive.
 CELL = 0.5
@@ -178,51 +180,67 @@ def _routed(ranges: DataFrame, points: SortedPoints) -> DataFrame:
     return ranges.mapInPandas(route, f"{ranges.schema.simpleString()[7:-1].replace(':', ' ')}, pid bigint")
 
 
+def _parts(routed: DataFrame, part_rows: int) -> DataFrame:
+    """pid, parts: into how many tasks each partition's ranges are split; one row per partition."""
+    return if_small(routed.groupBy("pid").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("parts")))
+
+
 def range_join(ranges: DataFrame, points: SortedPoints, refine, schema: str, part_rows: int = 200_000) -> DataFrame:
     """Rows of refine(region rows, point ids, xs, ys) over all candidates.
 
-    ranges: lo, hi and whatever refine needs of a region. Candidates are made
-    and refined in chunks, so a task holds one part of the ranges, one partition
-    of the points, and the matches of these.
+    ranges: lo, hi and whatever refine needs of a region. A task holds one
+    partition of the points and reads its ranges as a stream; candidates are made,
+    refined and handed on in chunks, so what a dense place matches is never held
+    at once. Partitions that attract many ranges are split on the range side.
     """
-    # each part of a partition's ranges meets the points in its own task
-    spark = ranges.sparkSession
     routed = settled(_routed(ranges, points))
-    per = {r["pid"]: r["count"] for r in routed.groupBy("pid").count().collect()}
-    parts = {p: max(1, math.ceil(n / part_rows)) for p, n in per.items()}
-    if not parts:
-        return spark.createDataFrame([], schema)
-    count_of = F.create_map(*[F.lit(v) for kv in parts.items() for v in kv]) if any(v > 1 for v in parts.values()) else None
-
-    def n_parts(pid: Column) -> Column:
-        return F.lit(1) if count_of is None else F.coalesce(count_of[pid], F.lit(1))
-
-    left = routed.withColumn("part", F.expr("cast(pmod(xxhash64(*), 1073741824) as int)") % n_parts(F.col("pid").cast("bigint")).cast("int"))
-    wanted = points.rows.withColumn("pid", F.spark_partition_id().cast("bigint")).filter(F.col("pid").isin([int(p) for p in parts]))
-    right = wanted.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts(F.col("pid")).cast("int") - 1)))
-
-    def match(region: pd.DataFrame, pts: pd.DataFrame) -> pd.DataFrame:
-        if not len(region) or not len(pts):
-            return empty.copy()
-        order = np.argsort(pts["code"].to_numpy(), kind="stable")
-        codes, ids = pts["code"].to_numpy()[order], pts["id"].to_numpy()[order]
-        xs, ys = pts["x"].to_numpy()[order], pts["y"].to_numpy()[order]
-        first = np.searchsorted(codes, region["lo"].to_numpy(), "left")
-        n = np.searchsorted(codes, region["hi"].to_numpy(), "right") - first
-        found, begin = [], 0
-        ends = np.cumsum(n)
-        while begin < len(n):
-            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _CHUNK, "right")))
-            k = n[begin:stop]
-            rows = np.repeat(np.arange(begin, stop), k)
-            at = first[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(k) - k, k)
-            if len(rows):
-                found.append(refine(region, rows, ids[at], xs[at], ys[at]))
-            begin = stop
-        return pd.concat(found, ignore_index=True) if found else empty.copy()
-
-    empty = spark.createDataFrame([], schema).toPandas()
-    return left.groupBy("pid", "part").cogroup(right.groupBy("pid", "part")).applyInPandas(lambda a, b: match(a, b), schema)
+    parts = _parts(routed, part_rows)
+    extra = [f for f in routed.schema.fields if f.name not in ("lo", "hi", "pid")]
+    # one stream for each (partition, part): first the points by code, then the ranges
+    part = F.expr("cast(pmod(xxhash64(*), 1073741824) as int)")
+    # no NULLs: they would turn whole numbers into inexact ones
+    zero = lambda t: F.lit(None if isinstance(t, (T.StringType, T.ArrayType, T.StructType)) else 0).cast(t)
+    left = routed.withColumn("part", part).join(parts, "pid").select("pid", (F.col("part") % F.col("parts")).alias("part"), F.lit(True).alias("is_range"), F.col("lo").alias("code"), "hi", F.lit(0.0).alias("px"), F.lit(0.0).alias("py"), F.lit(0).cast("bigint").alias("pt"), *[F.col(f.name).alias(f"r_{f.name}") for f in extra])
+    right = points.rows.withColumn("pid", F.spark_partition_id().cast("bigint")).join(parts, "pid").select("pid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("is_range"), "code", F.lit(0).cast("bigint").alias("hi"), F.col("x").alias("px"), F.col("y").alias("py"), F.col("id").alias("pt"), *[zero(f.dataType).alias(f"r_{f.name}") for f in extra])
+    names = [f.name for f in extra]
+
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held, sorted_points = None, [], None
+        for pdf in batches:
+            pid, prt, ranged = pdf["pid"].to_numpy(), pdf["part"].to_numpy(), pdf["is_range"].to_numpy(dtype=bool)
+            cut = np.flatnonzero((pid[1:] != pid[:-1]) | (prt[1:] != prt[:-1]) | (ranged[1:] != ranged[:-1])) + 1
+            for i, j in zip(np.concatenate(([0], cut)), np.append(cut, len(pdf))) if len(pdf) else ():
+                if (pid[i], prt[i]) != at:
+                    at, held, sorted_points = (pid[i], prt[i]), [], None
+                if not ranged[i]:
+                    held.append(tuple(pdf[c].to_numpy()[i:j] for c in ("code", "pt", "px", "py")))
+                    continue
+                if sorted_points is None:
+                    if not held:
+                        continue
+                    sorted_points, held = [np.concatenate(c) for c in zip(*held)], []
+                codes, ids, xs, ys = sorted_points
+                region = pdf.iloc[i:j][[f"r_{n}" for n in names]].set_axis(names, axis=1)
+                first = np.searchsorted(codes, pdf["code"].to_numpy()[i:j], "left")
+                n = np.searchsorted(codes, pdf["hi"].to_numpy()[i:j], "right") - first
+                for rows, nth in _chunks(n):
+                    found = refine(region, rows, *(v[first[rows] + nth] for v in (ids, xs, ys)))
+                    if len(found):
+                        yield found
+
+    both = left.unionByName(right)
+    spread = both.repartition(shuffle_partitions(routed.sparkSession), "pid", "part").sortWithinPartitions("pid", "part", "is_range", "code")
+    return spread.mapInPandas(match, schema)
+
+
+def _chunks(n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, number within the row) of all candidates, n for each row, in chunks of about _CHUNK; a row may be cut as well."""
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    for begin in range(0, total, _CHUNK):
+        k = np.arange(begin, min(total, begin + _CHUNK))
+        rows = np.searchsorted(ends, k, "right")
+        yield rows, k - (ends[rows] - n[rows])
 
 
 # Queries ------------------------------------------------------------------------------------------
@@ -298,8 +316,8 @@ def _rings(xs, ys, sizes) -> list[np.ndarray]:
     return rings if rings and len(rings[0]) else []
 
 
-def cover_polygon(rings: list[np.ndarray], cells: int = 32) -> tuple[np.ndarray, np.ndarray]:
-    """Code ranges of the cells of a grid over the polygon's box that an edge crosses or that lie inside."""
+def cover_polygon(rings: list[np.ndarray], cells: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code ranges (lowest, highest, whether wholly inside) of the cells of a grid over the polygon's box that meet it."""
     shell = rings[0]
     ix0, ix1 = _index(np.array([shell[:, 0].min(), shell[:, 0].max()]))
     iy0, iy1 = _index(np.array([shell[:, 1].min(), shell[:, 1].max()]))
@@ -309,46 +327,60 @@ def cover_polygon(rings: list[np.ndarray], cells: int = 32) -> tuple[np.ndarray,
     left, low = ((c << level) - _OFFSET for c in (int(cx0), int(cy0)))
     gx, gy = left * CELL + (np.arange(cx1 - cx0 + 1) + 0.5) * side, low * CELL + (np.arange(cy1 - cy0 + 1) + 0.5) * side
     mx, my = (m.ravel() for m in np.meshgrid(gx, gy))
-    # a cell counts if its centre is inside or an edge comes within its half diagonal
-    take = inside_rings(mx, my, rings)
+    # a cell is on the border if an edge comes within its half diagonal of its centre, else its centre tells for all of it
+    edge = np.zeros(len(mx), dtype=bool)
     reach = side * math.sqrt(0.5) + 1e-6
     for r in rings:
         for (ax, ay), (bx, by) in zip(r, np.roll(r, -1, axis=0)):
-            take |= segment_distance(mx, my, ax, ay, bx, by) <= reach
-    ok_x, ok_y = _index(mx[take]) >> level, _index(my[take]) >> level
-    codes = _spread(ok_x) | (_spread(ok_y) << np.int64(1))
-    _, lo, hi = _merged(np.zeros(len(codes), dtype=np.int64), codes, np.full(len(codes), level, dtype=np.int64))
-    return lo, hi
-
-
-def regions_containing(regions: DataFrame, points: SortedPoints) -> DataFrame:
-    """id1 (region), id2 (point), distance 0: the points inside each polygon (id, geometry)."""
+            edge |= segment_distance(mx, my, ax, ay, bx, by) <= reach
+    out = []
+    # codes are clamped at the rim of the plane, so a cell there may hold points from beyond it
+    rim = (_index(mx) <= 0) | (_index(mx) >= _TOP) | (_index(my) <= 0) | (_index(my) >= _TOP)
+    edge |= rim
+    for take, whole in ((inside_rings(mx, my, rings) & ~edge, True), (edge, False)):
+        codes = _spread(_index(mx[take]) >> level) | (_spread(_index(my[take]) >> level) << np.int64(1))
+        _, lo, hi = _merged(np.zeros(len(codes), dtype=np.int64), codes, np.full(len(codes), level, dtype=np.int64))
+        out.append((lo, hi, np.full(len(lo), whole)))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def regions_containing(regions: DataFrame, points: SortedPoints, small: int = 10_000) -> DataFrame:
+    """id1 (region), id2 (point), distance 0: the points inside each polygon (id, geometry).
+
+    Code ranges carry the polygon's number only. Points in cells wholly inside are
+    matches as they are; those in border cells meet their polygon's edges again,
+    in the JVM, by a broadcast of up to `small` polygons or else a join on the number.
+    """
 
     ok_ring = lambda r: F.filter(F.coalesce(r, F.array()), lambda p: p.isNotNull() & usable(p["x"], p["y"]))
-    flat = (
-        regions.filter(F.size("geometry") > 0)
-        .select(F.col("id").cast("bigint").alias("id"), F.transform("geometry", ok_ring).alias("rings"))
-        .select("id", F.flatten(F.transform("rings", lambda r: r["x"])).alias("xs"), F.flatten(F.transform("rings", lambda r: r["y"])).alias("ys"), F.transform("rings", F.size).alias("sizes"))
-    )
+    clean = settled(regions.filter(F.size("geometry") > 0).select(F.col("id").cast("bigint").alias("id"), F.transform("geometry", ok_ring).alias("rings")))
+    flat = clean.select("id", F.flatten(F.transform("rings", lambda r: r["x"])).alias("xs"), F.flatten(F.transform("rings", lambda r: r["y"])).alias("ys"), F.transform("rings", F.size).alias("sizes"))
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for rid, xs, ys, sizes in zip(pdf["id"], pdf["xs"], pdf["ys"], pdf["sizes"]):
                 rings = _rings(xs, ys, sizes)
                 if rings:
-                    lo, hi = cover_polygon(rings)
-                    yield pd.DataFrame({"lo": lo, "hi": hi, "id": np.full(len(lo), rid), "xs": [xs] * len(lo), "ys": [ys] * len(lo), "sizes": [sizes] * len(lo)})
+                    lo, hi, whole = cover_polygon(rings)
+                    yield pd.DataFrame({"lo": lo, "hi": hi, "id": np.full(len(lo), rid), "whole": whole})
 
-    ranges = flat.mapInPandas(cover, "lo bigint, hi bigint, id bigint, xs array<double>, ys array<double>, sizes array<int>")
+    ranges = flat.mapInPandas(cover, "lo bigint, hi bigint, id bigint, whole boolean")
 
     def refine(region, rows, ids, xs, ys):
-        out = []
-        rid = region["id"].to_numpy()
-        for k in np.unique(rid[rows]):
-            at = np.flatnonzero(rid[rows] == k)
-            one = region.iloc[rows[at[0]]]
-            ok = at[inside_rings(xs[at], ys[at], [r for r in _rings(one["xs"], one["ys"], one["sizes"]) if len(r)])]
-            out.append(pd.DataFrame({"id1": np.full(len(ok), k), "id2": ids[ok], "distance": np.zeros(len(ok))}))
-        return pd.concat(out, ignore_index=True)
-
-    return range_join(ranges, points, refine, PAIR)
+        return pd.DataFrame({"id1": region["id"].to_numpy()[rows].astype(np.int64), "id2": ids, "x": xs, "y": ys, "whole": region["whole"].to_numpy()[rows].astype(bool)})
+
+    met = settled(range_join(ranges, points, refine, "id1 bigint, id2 bigint, x double, y double, whole boolean"))
+    solid = F.filter("rings", lambda r: F.size(r) >= 3)
+    edges = if_small(clean.select(F.col("id").alias("id1"), solid.alias("rings")).filter("size(rings) > 0"), small)
+    border = met.filter("not whole").join(edges, "id1").filter(contains(F.col("rings"), F.col("x"), F.col("y")))
+    return met.filter("whole").select("id1", "id2").unionByName(border.select("id1", "id2")).withColumn("distance", F.lit(0.0))
+
+
+def spots(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(spots: id, x, y; members: id, spot): equal coordinates as one spot named after its least point, with who stands there.
+
+    A search over spots has no pairs of copies; members bring each of them back.
+    """
+    ok = points.filter(usable(F.col("x"), F.col("y"))).select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    at = settled(ok.groupBy("x", "y").agg(F.min("id").alias("spot")))
+    return at.select(F.col("spot").alias("id"), "x", "y"), ok.join(at, ["x", "y"]).select("id", "spot")

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .ordered import range_sorted, running_sums
 
 
@@ -114,7 +115,8 @@ def group_quantiles(df: DataFrame, group: str, value: str, shares: dict[str, flo
 
 def profile(tables: dict[str, DataFrame], fields: list[Field], load: str = "load_id", partitions: int | None = None) -> DataFrame:
     """One row per layer, field and load: rows, missing, distinct, off (violations of list, pattern or range), least, greatest, p05, p50, p95."""
-    counts = value_counts(unpivoted(tables, fields, load))
+    # read by several branches: far smaller than the tables, so it is written once
+    counts = settled(value_counts(unpivoted(tables, fields, load)))
     seen = F.col("text").isNotNull() | F.col("num").isNotNull()
     basic = counts.groupBy("layer", "field", "load_id").agg(
         F.sum("n").alias("rows"),
@@ -135,7 +137,7 @@ def drift(tables: dict[str, DataFrame], fields: list[Field], load: str = "load_i
 
     Loads without numbers in the column are passed over.
     """
-    counts = value_counts(unpivoted(tables, [f for f in fields if f.numeric], load)).filter("num is not null and load_id is not null")
+    counts = settled(value_counts(unpivoted(tables, [f for f in fields if f.numeric], load)).filter("num is not null and load_id is not null"))
     totals = counts.groupBy("layer", "field", "load_id").agg(F.sum("n").alias("total"))
     # loads are few: the order of loads is a window over totals, one row per load
     from pyspark.sql import Window
@@ -168,7 +170,7 @@ def breaking_loads(tables: dict[str, DataFrame], fields: list[Field], limits: Li
     """layer, field, load_id, kind ('nulls', 'domain', 'range', 'shift') of the loads that break the profile of their layer."""
     from pyspark.sql import Window
 
-    counts = value_counts(unpivoted(tables, fields, load)).withColumn("listed", _listed(fields))
+    counts = settled(value_counts(unpivoted(tables, fields, load)).withColumn("listed", _listed(fields)))
     keys = ["layer", "field", "load_id"]
     seen = F.col("text").isNotNull() | F.col("num").isNotNull()
     per_load = counts.groupBy(*keys).agg(

@@ -10,14 +10,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..session import settled
+from .cleaning import global_rank
 from .near import SortedPoints, regions_containing
 
 
-def _value() -> Column:
+def _place() -> Column:
+    """The place of a point's pixel in its tile's data."""
     col = F.least(F.floor((F.col("x") - F.col("x0")) / F.col("dx")).cast("int"), F.col("nx") - 1)
     row = F.least(F.floor((F.col("y") - F.col("y0")) / F.col("dy")).cast("int"), F.col("ny") - 1)
-    v = F.get(F.col("data"), row * F.col("nx") + col).cast("double")
-    return F.when((v != F.col("nodata")) | F.col("nodata").isNull(), F.when(~F.isnan(v), v))
+    return row * F.col("nx") + col
 
 
 def sample(points: DataFrame, tiles: DataFrame, grid: float, inclusive: bool = True) -> DataFrame:
@@ -28,12 +30,16 @@ def sample(points: DataFrame, tiles: DataFrame, grid: float, inclusive: bool = T
     """
     k = lambda c: F.floor(c / grid).cast("bigint")
     x1, y1 = F.col("x0") + F.col("nx") * F.col("dx"), F.col("y0") + F.col("ny") * F.col("dy")
-    spread = tiles.withColumn("gx", F.explode(F.sequence(k(F.col("x0")), k(x1)))).withColumn("gy", F.explode(F.sequence(k(F.col("y0")), k(y1))))
+    # what decides which pixel is meant is joined first; the pixels themselves come by tile and place, not with the tile's array
+    head = tiles.select("tile", "x0", "y0", "dx", "dy", "nx", "ny")
+    spread = head.withColumn("gx", F.explode(F.sequence(k(F.col("x0")), k(x1)))).withColumn("gy", F.explode(F.sequence(k(F.col("y0")), k(y1))))
     at = points.select("id", "x", "y", k(F.col("x")).alias("gx"), k(F.col("y")).alias("gy"))
     inside = (F.col("x") >= F.col("x0")) & (F.col("y") >= F.col("y0"))
     inside = inside & ((F.col("x") <= x1) & (F.col("y") <= y1) if inclusive else (F.col("x") < x1) & (F.col("y") < y1))
-    hits = at.join(spread, ["gx", "gy"]).filter(inside).withColumn("z", _value()).filter("z is not null")
-    first = hits.groupBy("id").agg(F.min_by("z", "tile").alias("z"))
+    wanted = at.join(spread, ["gx", "gy"]).filter(inside).select("id", "tile", _place().alias("k"))
+    v = F.col("v").cast("double")
+    value = tiles.select("tile", "nodata", F.posexplode("data").alias("k", "v")).filter((F.col("nodata").isNull() | (v != F.col("nodata"))) & ~F.isnan(v)).select("tile", "k", v.alias("z"))
+    first = wanted.join(value, ["tile", "k"]).groupBy("id").agg(F.min_by("z", "tile").alias("z"))
     return points.select("id").join(first, "id", "left")
 
 
@@ -46,7 +52,10 @@ def pixels(tiles: DataFrame) -> DataFrame:
 
 def zonal_mean(faces: DataFrame, tiles: DataFrame, grid: float) -> DataFrame:
     """id, mean, n: mean of the pixels whose centre lies in each face (id, geometry); a face without one takes the value at its centre."""
-    px = pixels(tiles).withColumn("id", F.xxhash64("tile", "k"))
+    # a pixel's number: that of its tile among the tiles, then its own
+    most = tiles.agg(F.max(F.size("data"))).first()[0] or 1
+    named = global_rank(tiles, ["tile"]).withColumnRenamed("rank", "__tile")
+    px = settled(pixels(named.drop("tile").withColumnRenamed("__tile", "tile")).select((F.col("tile") * F.lit(int(most)) + F.col("k")).alias("id"), "x", "y", "value"))
     inside = regions_containing(faces, SortedPoints(px.select("id", "x", "y")))
     means = inside.join(px.select(F.col("id").alias("id2"), "value"), "id2").groupBy(F.col("id1").alias("id")).agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
     ring = F.element_at("geometry", 1)
@@ -71,9 +80,9 @@ def transect_points(lines: DataFrame, spacing: float, half: float, step: float)
 
 def transect_minimum(lines: DataFrame, tiles: DataFrame, grid: float, spacing: float, half: float, step: float) -> DataFrame:
     """line, station, bed: the lowest raster value across each station of lines."""
-    pts = transect_points(lines, spacing, half, step).withColumn("id", F.xxhash64("line", "station", "offset"))
+    pts = transect_points(lines, spacing, half, step).withColumn("id", F.struct("line", "station", "offset"))
     z = sample(pts.select("id", "x", "y"), tiles, grid)
-    return pts.join(z, "id").groupBy("line", "station").agg(F.min("z").alias("bed"))
+    return z.select("id.line", "id.station", "z").groupBy("line", "station").agg(F.min("z").alias("bed"))
 
 
 def walk(crossings: Column, max_inner: float, max_gap: float) -> Column:

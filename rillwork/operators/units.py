@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import if_small, settled
 from .fillers import FillerRules, by_form, short_nines
 
 # The unit graph ----------------------------------------------------------------------------------
@@ -80,10 +81,11 @@ class UnitGraph:
 
 
 def to_canonical(df: DataFrame, graph: UnitGraph, value: str, unit: str, target: Column, out: str) -> DataFrame:
-    """df with `out`: the value in the target unit, by an equi-join; NULL where unit or value is."""
+    """df with `out`, the value in the target unit, by an equi-join, NULL where unit or value is; and whether the composition found `converted` it."""
     t = F.broadcast(graph.frame(df.sparkSession).withColumnsRenamed({"source": "__source", "target": "__target"}))
     joined = df.withColumn("__to", target).join(t, (F.col(unit) == F.col("__source")) & (F.col("__to") == F.col("__target")), "left")
-    return joined.withColumn(out, F.col(value) * F.col("scale") + F.col("offset")).drop("__source", "__target", "__to", "scale", "offset")
+    other = (F.col("scale") != 1.0) | (F.col("offset") != 0.0)
+    return joined.withColumn(out, F.col(value) * F.col("scale") + F.col("offset")).withColumn("converted", other).drop("__source", "__target", "__to", "scale", "offset")
 
 
 # What remarks say --------------------------------------------------------------------------------
@@ -161,16 +163,24 @@ class UnitRules:
     fit: float | None = None  # standard error of first = second + third measure, if they must fit
 
 
-def _crew_units(cells: DataFrame, graph: UnitGraph, canonical: dict[str, str], rules: UnitRules) -> DataFrame:
-    """field, crew, load_id, crew_unit, level: the unit whose factor explains a crew's median against the load's.
+def _medians(cells: DataFrame) -> DataFrame:
+    """of ('crew', 'load', 'all'), field, crew, load_id, mid, n: medians of values without a named unit, over each crew in a load, each load and all.
 
-    Medians come from mergeable sketches, so a crew or load of any size is fine.
+    One pass for the three of them; medians come from mergeable sketches, so a
+    crew or load of any size is fine.
     """
     plain = cells.filter("said is null and x is not null")
-    med = lambda: F.percentile_approx("x", F.lit(0.5), F.lit(2000)).alias("mid")
-    load = plain.groupBy("field", "load_id").agg(med()).withColumnRenamed("mid", "level")
-    crew = plain.groupBy("field", "crew", "load_id").agg(med(), F.count(F.lit(1)).alias("n"))
-    both = crew.join(load, ["field", "load_id"]).filter((F.col("n") >= rules.group_least) & (F.col("mid") > 0) & (F.col("level") > 0))
+    level = F.grouping_id("field", "load_id", "crew")
+    sets = [[F.col("field"), F.col("load_id"), F.col("crew")], [F.col("field"), F.col("load_id")], [F.col("field")]]
+    out = plain.groupingSets(sets, F.col("field"), F.col("load_id"), F.col("crew")).agg(F.percentile_approx("x", F.lit(0.5), F.lit(2000)).alias("mid"), F.count(F.lit(1)).alias("n"), level.alias("g"))
+    return settled(out.select(F.when(F.col("g") == 0, "crew").when(F.col("g") == 1, "load").otherwise("all").alias("of"), "field", "crew", "load_id", "mid", "n"))
+
+
+def _crew_units(medians: DataFrame, graph: UnitGraph, canonical: dict[str, str], rules: UnitRules) -> DataFrame:
+    """field, crew, load_id, crew_unit: the unit whose factor explains a crew's median against the load's."""
+    own = medians.filter("of = 'crew'").select("field", "crew", "load_id", "mid", "n")
+    load = medians.filter("of = 'load'").select("field", "load_id", F.col("mid").alias("level"))
+    both = own.join(load, ["field", "load_id"]).filter((F.col("n") >= rules.group_least) & (F.col("mid") > 0) & (F.col("level") > 0))
     choices = []
     for field, to in canonical.items():
         for u in UNITS:
@@ -198,12 +208,14 @@ def resolve_units(df: DataFrame, measures: list[Measure], graph: UnitGraph, rule
     said = said.withColumn("named_any", named_any)
 
     cells = said.select("crew", "load_id", "said", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"{n}__x").alias("x")) for n in names])).alias("c")).select("crew", "load_id", "said", "c.field", "c.x")
-    habits = _crew_units(cells, graph, canonical, rules)
+    medians = _medians(cells)
+    habits = _crew_units(medians, graph, canonical, rules)
     wide = habits.groupBy("crew", "load_id").agg(*[F.max(F.when(F.col("field") == n, F.col("crew_unit"))).alias(f"{n}__crew_unit") for n in names])
-    # a load's level is its median in canonical units, a crew's habit applied
-    levels = cells.filter("x is not null").groupBy("load_id").agg(*[F.percentile_approx(F.when((F.col("field") == n) & F.col("said").isNull(), F.col("x")), F.lit(0.5), F.lit(2000)).alias(f"{n}__level") for n in names])
-    overall = cells.filter("x is not null").agg(*[F.percentile_approx(F.when((F.col("field") == n) & F.col("said").isNull(), F.col("x")), F.lit(0.5), F.lit(2000)).alias(f"{n}__usual") for n in names])
-    rows = said.join(wide, ["crew", "load_id"], "left").join(levels, ["load_id"], "left").join(F.broadcast(overall))
+    # a load's level is its median, whatever the units of its crews
+    levels = medians.filter("of = 'load'").groupBy("load_id").agg(*[F.max(F.when(F.col("field") == n, F.col("mid"))).alias(f"{n}__level") for n in names])
+    overall = medians.filter("of = 'all'").agg(*[F.max(F.when(F.col("field") == n, F.col("mid"))).alias(f"{n}__usual") for n in names])
+    # one row for a crew in a load, a load, and all: broadcast while there are few
+    rows = said.join(if_small(wide), ["crew", "load_id"], "left").join(if_small(levels), ["load_id"], "left").join(F.broadcast(overall))
 
     factors = np.array([[graph.table[u, m.canonical][0] for u in UNITS] for m in measures])
     usual_decimals = {u: (d, fewer) for u, d, fewer in rules.decimals}
@@ -277,8 +289,8 @@ MAIN_RULES = UnitRules(loose=0.97, decimals=(("ft", 2, False), ("m", 3, True), (
 
 
 def recorded_units(tables: dict[str, DataFrame]) -> DataFrame:
-    """layer, field, fid, raw, unit, value, canonical_unit, from_remark for inlets (feet) and gravity mains (inches)."""
+    """layer, field, fid, raw, unit, value, canonical_unit, from_remark, converted for inlets (feet) and gravity mains (inches)."""
     graph = UnitGraph(LENGTH_EDGES)
     a = resolve_units(tables["inlets"], INLETS, graph, INLET_RULES).withColumn("layer", F.lit("inlets"))
     b = resolve_units(tables["gravity_mains"], MAINS, graph, MAIN_RULES).withColumn("layer", F.lit("gravity_mains"))
-    return a.unionByName(b).select("layer", "field", "fid", "raw", "unit", "value", "canonical_unit", "from_remark")
+    return a.unionByName(b).select("layer", "field", "fid", "raw", "unit", "value", "canonical_unit", "from_remark", "converted")

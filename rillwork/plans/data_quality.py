@@ -34,11 +34,12 @@ def _tables(spark: SparkSession, d: str, *names: str) -> dict[str, DataFrame]:
 
 def p1_units(spark: SparkSession, d: str) -> DataFrame:
     """Every measured cell in canonical units."""
-    return recorded_units(_tables(spark, d, "inlets", "gravity_mains"))
+    return recorded_units(_tables(spark, d, "inlets", "gravity_mains")).drop("converted")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return p1_units(spark, d).filter(F.col("unit") != F.col("canonical_unit")).select("layer", "field", "fid")
+    """Cells whose composed conversion to the nominal unit changes them."""
+    return recorded_units(_tables(spark, d, "inlets", "gravity_mains")).filter("converted").select("layer", "field", "fid")
 
 
 def p2_filled(spark: SparkSession, d: str) -> DataFrame:

@@ -42,7 +42,7 @@ from .fillers import FillerRules, by_form, crew_defaults, short_nines
 from .units import LENGTH_EDGES, MAIN_RULES, MAINS, UnitGraph, resolve_units
 
 #: Weight of estimates as far from an observed cell as the one they tell, against nearer ones.
-TRUST = 0.2
+TRUST = 0.1
 #: A hub with more missing members than this is looked up by broadcast.
 HOT = 200_000
 

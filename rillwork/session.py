@@ -57,11 +57,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def spread_out(df: DataFrame) -> DataFrame:
+def spread_out(df: DataFrame, by: str | None = None) -> DataFrame:
     """df over at least as many tasks as there are cores, for work that is heavy per row.
 
     A large scan has more tasks than that and stays as it is; only a small one,
-    which a few tasks would hold, is shuffled.
+    which a few tasks would hold, is shuffled; with `by` by the hash of that column
+    and in its order, so that every run has the same rows in the same tasks.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    few = lambda: df.repartition(cores, by).sortWithinPartitions(by) if by else df.repartition(cores)
+    return few() if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

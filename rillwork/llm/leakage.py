@@ -147,32 +147,46 @@ class Probe:
                     length[going] += 1
                 for d, n, q in zip(in_doc.tolist(), length.tolist(), at.tolist()):
                     key = (self.items[k][0], docs[d])
-                    found = (n, p, q - int(starts[d]))
-                    if key not in best or found[0] > best[key][0]:
+                    found = (-n, p, q - int(starts[d]))
+                    if key not in best or found < best[key]:
                         best[key] = found
         for (item, doc), (n, p, q) in best.items():
-            yield item, doc, n, p, q
+            yield item, doc, -n, p, q
 
 
 FOUND = "item_id bigint, doc_id bigint, length int, item_pos int, doc_pos bigint"
 
 
-def leaks(docs: DataFrame, items: DataFrame, least_words: int = 12, least_letters: int = 24, by_letter: tuple[str, ...] = ("zh",), shard: int = 1_000_000, block: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """item_id, doc_id, length, item_pos, doc_pos: the longest verbatim match of each leaking pair.
+def leaks(docs: DataFrame, items: DataFrame, least_words: int = 12, least_letters: int = 24, by_letter: tuple[str, ...] = ("zh",), shard: int = 1_000_000, block: int = 8_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """item_id, doc_id, length, item_pos, doc_pos: the longest verbatim match of each leaking pair; of equally long ones the first in the item, then in the document.
 
-    items: item_id, lang, text. block: test items sent to the tasks at a time,
-    so that their size is bounded however many there are. shard: symbols of one
-    suffix array.
+    items: item_id, lang, text. block: characters of the test items sent to the
+    tasks at a time, so that what a task is sent is bounded however many items
+    there are and however long; an item longer than that is a block of its own.
+    The corpus is read once per block. shard: symbols of one suffix array.
     """
-    rows = [(r["item_id"], r["lang"] in by_letter, r["text"]) for r in items.select("item_id", "lang", "text").filter("item_id is not null and text is not null").orderBy("item_id").toLocalIterator()]
     out = None
-    for begin in range(0, max(len(rows), 1), block):
-        part = rows[begin : begin + block]
+    for part in _blocks(items, by_letter, block):
         by_word = Probe([(i, words(t)) for i, z, t in part if not z], least_words)
         by_char = Probe([(i, list(letters(t))) for i, z, t in part if z], least_letters)
         found = _search(docs, by_word, by_char, shard, id_col, text_col)
         out = found if out is None else out.unionByName(found)
-    return out.groupBy("item_id", "doc_id").agg(F.max(F.struct("length", "item_pos", "doc_pos")).alias("m")).select("item_id", "doc_id", "m.*")
+    if out is None:
+        return docs.sparkSession.createDataFrame([], FOUND)
+    return out.groupBy("item_id", "doc_id").agg(F.min(F.struct((-F.col("length")).alias("less"), "item_pos", "doc_pos")).alias("m")).select("item_id", "doc_id", (-F.col("m.less")).alias("length"), "m.item_pos", "m.doc_pos")
+
+
+def _blocks(items: DataFrame, by_letter: tuple[str, ...], size: int) -> Iterator[list[tuple]]:
+    """The test items in blocks of about `size` characters, one block at a time on the driver."""
+    part, held = [], 0
+    for r in items.select("item_id", "lang", "text").filter("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator():
+        if part and held + len(r["text"]) > size:
+            yield part
+            part, held = [], 0
+        part.append((r["item_id"], r["lang"] in by_letter, r["text"]))
+        held += len(r["text"])
+    if part:
+        yield part
 
 
 def _needed(probe: Probe) -> re.Pattern | None:
@@ -235,7 +249,7 @@ def _search(docs: DataFrame, by_word: Probe, by_char: Probe, shard: int, id_col:
             yield pd.DataFrame(found, columns=["item_id", "doc_id", "length", "item_pos", "doc_pos"])
 
     texts = docs.filter(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return spread_out(texts).mapInPandas(search, FOUND)
+    return spread_out(texts, "id").mapInPandas(search, FOUND)
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -10,7 +10,9 @@ other item; no other document is cut.
 
 Defined results for dirty input: NULL, empty texts and texts without tokens come
 out once each, with no sequence; repeated rows are documents of their own;
-an empty table gives an empty result; other columns are not read.
+an empty table gives an empty result; other columns are not read. Documents are
+taken in the order of the scan, or of their ids where a small scan is spread over
+more tasks, so a second run over the same files packs them alike.
 """
 
 from __future__ import annotations
@@ -102,7 +104,7 @@ def pack(docs: DataFrame, capacity: int = 2048, space: int = 64, tokenizer: str
 
     names = ["doc_id", "piece", "first_token", "n_tokens", "window", "position", "open"]
     kinds = {"window": "Int64", "position": "Int64"}
-    placed = settled(spread_out(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))).mapInPandas(place, PLACED))
+    placed = settled(spread_out(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")), "id").mapInPandas(place, PLACED))
     moved = _merged(placed.filter("open").groupBy("window").agg(F.sum("n_tokens").alias("size")), capacity, space, merge)
     whole = placed.filter("not open").select("doc_id", "piece", "first_token", "n_tokens", F.col("window").alias("seq_id"), "position")
     joined = placed.filter("open").join(moved, "window").select("doc_id", "piece", "first_token", "n_tokens", "seq_id", (F.col("position") + F.col("base")).alias("position"))

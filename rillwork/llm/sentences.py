@@ -433,7 +433,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> Statistics:
                 yield counts.frame()
         yield counts.frame()
 
-    return summed(spread_out(docs.filter(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))).mapInPandas(count, _COUNTS))
+    return summed(spread_out(docs.filter(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text")), "text").mapInPandas(count, _COUNTS))
 
 
 # The model ----------------------------------------------------------------------------------------
@@ -614,4 +614,4 @@ def sentences(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id
                     yield pd.DataFrame({"doc_id": ids[lo:hi][which], "start_pos": start, "end_pos": end})
 
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return spread_out(texts).mapInPandas(split, "doc_id bigint, start_pos bigint, end_pos bigint")
+    return spread_out(texts, "id").mapInPandas(split, "doc_id bigint, start_pos bigint, end_pos bigint")

@@ -24,23 +24,7 @@ def encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-def counter(path: str, piece: int = 1 << 20):
-    """A function from text to its number of tokens; texts beyond `piece` characters are counted in pieces cut at line ends."""
+def counter(path: str):
+    """A function from text to its number of tokens; every text is encoded whole, which takes time in proportion to its length."""
     enc = encoding(path)
-
-    def count(text: str | None) -> int:
-        if not text:
-            return 0
-        if len(text) <= piece:
-            return len(enc.encode_ordinary(text))
-        total, at = 0, 0
-        while at < len(text):
-            end = min(len(text), at + piece)
-            if end < len(text):
-                cut = text.rfind("\n", at, end)
-                end = cut if cut > at else end
-            total += len(enc.encode_ordinary(text[at:end]))
-            at = end
-        return total
-
-    return count
+    return lambda text: len(enc.encode_ordinary(text)) if text else 0

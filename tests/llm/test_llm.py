@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rillwork.llm import leakage, packing, sentences
-from rillwork.llm.tokens import TOKENIZER, TOKENIZER_FOLDER, counter
+from rillwork.llm.tokens import TOKENIZER, TOKENIZER_FOLDER, counter, encoding
 
 DOC = "doc_id bigint, text string, id string, window bigint, lang string"
 
@@ -55,6 +55,21 @@ def test_packing_round_trip(spark):
     assert n <= sum(sizes.values()) / 64 * 1.1 + 4
 
 
+def test_tokens_of_long_texts_are_those_of_the_tokenizer():
+    path = f"{TOKENIZER_FOLDER}/{TOKENIZER}"
+    count = counter(path)
+    for text in ("word " * 300_000, "abcd" * 300_000, "one line\n" * 150_000, "  \n" * 400_000):
+        assert count(text) == len(encoding(path).encode_ordinary(text)) and len(text) > 1 << 20
+    assert count("word " * 300_000) == 300_001 and count(None) == count("") == 0
+
+
+def test_packing_is_the_same_in_every_run(spark):
+    texts = ["word " * (k * 7 % 90) for k in range(300)]
+    docs = _docs(spark, texts).coalesce(1)
+    runs = [sorted(map(tuple, packing.pack(docs, capacity=64, space=4).select("doc_id", "piece", "seq_id", "position").collect()), key=repr) for _ in range(2)]
+    assert runs[0] == runs[1]
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(_docs(spark, []), capacity=64).count() == 0
     assert [r.seq_id for r in packing.pack(_docs(spark, ["", None]), capacity=64).collect()] == [None, None]
@@ -108,21 +123,29 @@ def test_leaks_against_brute_force(spark):
             a = split(t or "")
             for d, u in enumerate(docs):
                 b = split(u or "")
-                best = 0
+                best = ()
                 for p in range(len(a) - least + 1):
                     for q in range(len(b) - least + 1):
                         if a[p : p + least] == b[q : q + least]:
                             n = least
                             while p + n < len(a) and q + n < len(b) and a[p + n] == b[q + n]:
                                 n += 1
-                            best = max(best, n)
+                            best = min(best or (0, 0, 0), (-n, p, q))
                 if best:
                     want[i, d] = best
-        assert {k: r.length for k, r in got.items()} == want
+        assert {k: (-r.length, r.item_pos, r.doc_pos) for k, r in got.items()} == want
     clean = {r.doc_id for r in leakage.without_leaks(_docs(spark, docs), spark.createDataFrame([(d,) for _, d in want], "doc_id bigint")).collect()}
     assert clean == set(range(len(docs))) - {d for _, d in want}
 
 
+def test_blocks_of_items_hold_a_bounded_text(spark):
+    items = [(k, "en", " ".join(f"w{k}x{j}" for j in range(14))) for k in range(6)]
+    frame = spark.createDataFrame(items, "item_id bigint, lang string, text string")
+    assert [len(b) for b in leakage._blocks(frame, ("zh",), 200)] == [2, 2, 2]
+    docs = _docs(spark, [t for _, _, t in items])
+    assert {(r.item_id, r.doc_id) for r in leakage.leaks(docs, frame, block=200).collect()} == {(k, k) for k in range(6)}
+
+
 def test_leaks_of_nothing(spark):
     items = spark.createDataFrame([(1, "en", "a b c d e f g h i j k l m")], "item_id bigint, lang string, text string")
     assert leakage.leaks(_docs(spark, []), items).count() == 0

@@ -248,11 +248,14 @@ def dfs_order(edges: DataFrame, starts: DataFrame) -> DataFrame:
     return mine.join(held, "component", "left_semi").groupBy("component").applyInPandas(visit, "id bigint, visit_order bigint, depth int, parent bigint")
 
 
-def min_cut(edges: DataFrame, sources: DataFrame, far: int, capacity: str = "capacity") -> DataFrame:
-    """id of the cheapest lines to cut so that node `far` isn't reached from the source nodes.
+def min_cut(edges: DataFrame, sources: DataFrame, far: int, capacity: str = "capacity", stops: DataFrame | None = None) -> DataFrame:
+    """id, cost: the cheapest lines to cut, besides those in stops, so that node `far` isn't reached from the source nodes, and what they cost together.
 
-    Augmenting paths are sequential: the component of `far` is one task.
+    No row comes out if nothing has to be cut. Augmenting paths are sequential:
+    the component of `far`, without the stops, is one task.
     """
+    if stops is not None:
+        edges = edges.join(stops.select("id").distinct(), "id", "left_anti")
     comp = settled(components(edges.select("u", "v")))
     mine = comp.filter(F.col("node") == far).select("component")
     inside = comp.join(mine, "component", "left_semi").select("node")
@@ -281,18 +284,20 @@ def min_cut(edges: DataFrame, sources: DataFrame, far: int, capacity: str = "cap
                         queue.append(b)
             return prev
 
+        cost = 0
         while far in (prev := reach()) and far not in roots:
             path, at = [], far
             while prev[at] is not None:
                 path.append((prev[at], at))
                 at = prev[at]
             flow = min(graph[a][b] for a, b in path)
+            cost += flow
             for a, b in path:
                 graph[a][b] -= flow
                 graph[b][a] += flow
-        return pd.DataFrame({"id": [i for i, u, v, _ in rows if (u in prev) != (v in prev)]}, dtype="int64")
+        return pd.DataFrame({"id": [i for i, u, v, _ in rows if (u in prev) != (v in prev)], "cost": cost}, dtype="int64")
 
-    return part.select("id", "u", "v", F.col(capacity).cast("bigint").alias(capacity), "one").unionByName(src).groupBy("one").applyInPandas(cut, "id bigint")
+    return part.select("id", "u", "v", F.col(capacity).cast("bigint").alias(capacity), "one").unionByName(src).groupBy("one").applyInPandas(cut, "id bigint, cost bigint")
 
 
 def fixed_point_levels(ends: DataFrame, max_rounds: int | None = None) -> DataFrame:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..session import settled
 from .graph import clustered_ends, components, dangling_ends, degrees, line_ends, network
-from .near import SortedPoints, lines_within, points_within
+from .near import PAIR, SortedPoints, lines_within, points_within, usable
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
@@ -44,20 +42,22 @@ def nearest_points(centres: DataFrame, points: DataFrame, limit: float) -> DataF
     return pairs.groupBy("id1").agg(F.min(F.struct("distance", "id2")).alias("b")).select("id1", "b.id2", "b.distance")
 
 
-def nearest_unbounded(centres: DataFrame, points: DataFrame, first: float, growth: float = 4.0, rounds: int = 16) -> DataFrame:
-    """id1, id2, distance: nearest point however far, searched in growing discs; only centres without a hit go on."""
-    left, found = settled(centres), None
-    radius = first
+def nearest_unbounded(centres: DataFrame, points: DataFrame, first: float, growth: float = 4.0) -> DataFrame:
+    """id1, id2, distance: nearest point however far, searched in growing discs; only centres without a hit go on.
+
+    The discs grow until every centre has found one, or there are no points.
+    """
+    left = settled(centres.filter(usable(F.col("x"), F.col("y"))))
     sorted_points = SortedPoints(points)
-    for _ in range(rounds):
-        hits = points_within(left, sorted_points, radius).groupBy("id1").agg(F.min(F.struct("distance", "id2")).alias("b")).select("id1", "b.id2", "b.distance")
-        hits = settled(hits)
+    found, radius = None, first
+    while len(sorted_points.pids):
+        hits = settled(points_within(left, sorted_points, radius).groupBy("id1").agg(F.min(F.struct("distance", "id2")).alias("b")).select("id1", "b.id2", "b.distance"))
         found = hits if found is None else found.unionByName(hits)
         left = settled(left.join(hits.select(F.col("id1").alias("id")), "id", "left_anti"))
         if left.isEmpty():
-            break
+            return found
         radius *= growth
-    return found
+    return centres.sparkSession.createDataFrame([], PAIR)
 
 
 def t_junctions(lines: DataFrame, tol: float) -> DataFrame:
@@ -133,18 +133,37 @@ def end_hits(lines: DataFrame, points: DataFrame, tol: float, require: str = "ei
     return by.filter(F.col("at_start") & F.col("at_end") if require == "both" else F.col("at_start") | F.col("at_end"))
 
 
-def crossing_segments(lines: DataFrame, other: DataFrame, cell: float = 64.0) -> DataFrame:
-    """a, b: pairs of lines that meet, by a join of their segments on grid cells and an exact orientation test."""
+def _meeting_segments(lines: DataFrame, other: DataFrame, cell: float) -> DataFrame:
+    """a, a1, a2, d, n, b, b1, b2: pairs of segments of two different lines that meet, by a join on grid cells and an exact orientation test.
+
+    d, n: the length of line a before its segment, and of the segment. A segment
+    in several cells is judged in each; pairs may come repeatedly.
+    """
 
     def cells(df: DataFrame, name: str) -> DataFrame:
-        s = clean_lines(df).select(F.col("id").alias(name), F.explode(G.segments(F.col("c"))).alias("s")).select(name, F.col("s.a").alias(f"{name}1"), F.col("s.b").alias(f"{name}2"))
+        s = clean_lines(df).select(F.col("id").alias(name), F.explode(G.segments(F.col("c"))).alias("s")).select(name, F.col("s.a").alias(f"{name}1"), F.col("s.b").alias(f"{name}2"), *([F.col("s.d").alias("d"), F.col("s.n").alias("n")] if name == "a" else []))
         k = lambda v: F.floor(v / cell).cast("bigint")
         xs = F.sequence(k(F.least(F.col(f"{name}1.x"), F.col(f"{name}2.x"))), k(F.greatest(F.col(f"{name}1.x"), F.col(f"{name}2.x"))))
         ys = F.sequence(k(F.least(F.col(f"{name}1.y"), F.col(f"{name}2.y"))), k(F.greatest(F.col(f"{name}1.y"), F.col(f"{name}2.y"))))
         return s.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys))
 
     pairs = cells(lines, "a").join(cells(other, "b"), ["cx", "cy"]).filter("a <> b")
-    return pairs.filter(G.crosses(F.col("a1"), F.col("a2"), F.col("b1"), F.col("b2"))).select("a", "b").distinct()
+    return pairs.filter(G.crosses(F.col("a1"), F.col("a2"), F.col("b1"), F.col("b2")))
+
+
+def crossing_segments(lines: DataFrame, other: DataFrame, cell: float = 64.0) -> DataFrame:
+    """a, b: pairs of lines that meet."""
+    return _meeting_segments(lines, other, cell).select("a", "b").distinct()
+
+
+def meetings(lines: DataFrame, other: DataFrame, cell: float = 64.0) -> DataFrame:
+    """a, b, at, x, y: the points where lines meet others, with the distance along a; lines that run along each other meet at no single point there."""
+    m = _meeting_segments(lines, other, cell)
+    ax, ay, bx, by = F.col("a2.x") - F.col("a1.x"), F.col("a2.y") - F.col("a1.y"), F.col("b2.x") - F.col("b1.x"), F.col("b2.y") - F.col("b1.y")
+    turn = ax * by - ay * bx
+    t = ((F.col("b1.x") - F.col("a1.x")) * by - (F.col("b1.y") - F.col("a1.y")) * bx) / turn
+    at = m.filter(turn != 0).withColumn("t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)))
+    return at.select("a", "b", (F.col("d") + F.col("t") * F.col("n")).alias("at"), (F.col("a1.x") + F.col("t") * ax).alias("x"), (F.col("a1.y") + F.col("t") * ay).alias("y")).distinct()
 
 
 def collapse_short(lines: DataFrame, tol: float, min_length: float, keep: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -182,7 +201,10 @@ def collapse_short(lines: DataFrame, tol: float, min_length: float, keep: DataFr
 
 
 def extend_stubs(lines: DataFrame, boundaries: DataFrame, tol: float, min_length: float) -> DataFrame:
-    """id, end, old_length, extension, c: short lines whose open end carries a boundary point, prolonged to min_length."""
+    """id, end, old_length, extension, c: short lines whose open end carries a boundary point, prolonged to min_length.
+
+    A line without a vertex more than a centimetre from that end has no direction and is left out.
+    """
     edges = settled(network(lines, tol))
     loose = dangling_ends(edges)
     ends = line_ends(lines).join(loose.select("id", "end"), ["id", "end"], "left_semi")
@@ -190,7 +212,7 @@ def extend_stubs(lines: DataFrame, boundaries: DataFrame, tol: float, min_length
     c = clean_lines(lines).withColumn("old_length", G.length(F.col("c"))).filter(F.col("old_length") < min_length - 1e-3)
     by = F.lit(min_length) - F.col("old_length")
     new = F.when(F.col("end") == "start", G.extended_start(F.col("c"), by)).otherwise(G.extended_end(F.col("c"), by))
-    return hit.join(c, "id").select("id", "end", "old_length", by.alias("extension"), new.alias("c"))
+    return hit.join(c, "id").select("id", "end", "old_length", by.alias("extension"), new.alias("c")).filter(G.length(F.col("c")) > F.col("old_length"))
 
 
 def cut_directions(cuts: DataFrame, eps: float = 0.01) -> DataFrame:
@@ -209,45 +231,22 @@ def gaps(edges_from: DataFrame, edges_to: DataFrame, tol: float, limit: float) -
     return pairs.groupBy(half("id1").alias("id1"), half("id2").alias("id2")).agg(F.min("distance").alias("distance"))
 
 
-def network_outlets(edges: DataFrame, lines: DataFrame, wet: DataFrame, targets: DataFrame, limit: float) -> DataFrame:
-    """component, id, end, target, distance: for each component without a wet line, the dead end nearest to a target line."""
+def network_outlets(edges: DataFrame, lines: DataFrame, wet: DataFrame, targets: DataFrame, limit: float, nodes: DataFrame | None = None, tol: float = 0.01) -> DataFrame:
+    """component, id, end, target, distance: for each component without a wet line, the bare end, as drawn, nearest to a target line.
+
+    nodes: points (id, x, y) of which none may lie within tol of such an end.
+    """
     comp = settled(components(edges.select("u", "v")))
     of = edges.join(comp, edges["u"] == comp["node"]).select("id", "component")
     has = of.join(wet.select("id"), "id", "left_semi").select("component").distinct()
     dry = settled(of.join(has, "component", "left_anti"))
-    loose = dangling_ends(edges).join(dry, "id")
-    ends = line_ends(lines).join(loose.select("id", "end", "component"), ["id", "end"])
-    hit = nearest_lines(_ends_as_points(ends), targets, limit)
-    at = hit.withColumns({"id": F.floor(F.col("pt") / 2).cast("bigint"), "end": F.when(F.col("pt") % 2 == 0, "start").otherwise("end")}).join(dry, "id")
-    return at.groupBy("component").agg(F.min(F.struct("off", "id", "end", "line")).alias("b")).select("component", "b.id", "b.end", F.col("b.line").alias("target"), F.col("b.off").alias("distance"))
-
-
-def outfall_states(ends: DataFrame) -> DataFrame:
-    """ends with status: connects outfalls in id order, where a target already used by an earlier one is shared.
-
-    ends: group, id, channel, off, at, dead_end. Order decides which outfall of a
-    channel piece is first, so each group (a component of channels) is walked in
-    order; a group holds the outfalls of one channel system.
-    """
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        used: dict[tuple, int] = {}
-        out = []
-        for r in pdf.sort_values("id").itertuples():
-            if pd.isna(r.channel):
-                status = "too far"
-            elif r.off <= 0.01:
-                status = "connected"
-            elif not r.dead_end:
-                status = "not a dead end"
-            elif (r.channel, round(r.at)) in used:
-                status = f"shared with {used[r.channel, round(r.at)]}"
-            else:
-                used[r.channel, round(r.at)] = r.id
-                status = "extended"
-            out.append((r.id, status))
-        return pd.DataFrame(out, columns=["id", "status"])
-
-    return ends.groupBy("group").applyInPandas(walk, "id bigint, status string")
+    loose = dangling_ends(edges).filter("end = 'end'").join(dry, "id")
+    ends = settled(_ends_as_points(line_ends(lines).join(loose.select("id", "end"), ["id", "end"], "left_semi")))
+    if nodes is not None:
+        ends = ends.join(points_within(ends, SortedPoints(nodes), tol).select(F.col("id1").alias("id")).distinct(), "id", "left_anti")
+    hit = nearest_lines(ends, targets, limit)
+    at = hit.withColumn("id", F.floor(F.col("pt") / 2).cast("bigint")).join(dry, "id")
+    return at.groupBy("component").agg(F.min(F.struct(F.round("off", 9).alias("o"), "id", "line", "off")).alias("b")).select("component", "b.id", F.lit("end").alias("end"), F.col("b.line").alias("target"), F.col("b.off").alias("distance"))
 
 
 def closure(parents: DataFrame, children: dict[str, tuple[DataFrame, list[tuple[str, str, str]]]], key: str = "globalid") -> dict[str, DataFrame]:
@@ -281,36 +280,46 @@ def hausdorff_matches(lines: DataFrame, others: DataFrame, tol: float, same: boo
     if same:
         pairs = pairs.filter("match <> id")
 
-    def to_line(px: np.ndarray, py: np.ndarray, qx: np.ndarray, qy: np.ndarray) -> float:
-        ax, ay, bx, by = (v[None, :] for v in ((qx[:-1], qy[:-1], qx[1:], qy[1:]) if len(qx) > 1 else (qx, qy, qx, qy)))
-        dx, dy = bx - ax, by - ay
-        n2 = np.where(dx * dx + dy * dy > 0, dx * dx + dy * dy, 1)
-        t = np.clip(((px[:, None] - ax) * dx + (py[:, None] - ay) * dy) / n2, 0, 1)
-        return float(np.hypot(px[:, None] - ax - t * dx, py[:, None] - ay - t * dy).min(axis=1).max())
+    def farthest(c: str, o: str) -> Column:
+        """The greatest distance of a vertex of c from the line o."""
+        return F.array_max(F.transform(c, lambda p: G.nearest_of(F.col(f"{o}_s"), F.col(o), p)))
 
-    @F.pandas_udf("double")
-    def hausdorff(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
-        return pd.Series([max(to_line(*map(np.asarray, (p, q, r, s))), to_line(*map(np.asarray, (r, s, p, q)))) for p, q, r, s in zip(ax, ay, bx, by)], dtype=float)
-
-    xs = lambda c, k: F.transform(c, lambda p: p[k])
     # vertices every few metres stand for the lines between them
-    j = pairs.join(a.select("id", G.densified(F.col("c"), 2.0).alias("c")), "id").join(clean_lines(others).select(F.col("id").alias("match"), G.densified(F.col("c"), 2.0).alias("o")), "match")
-    d = j.withColumn("distance", hausdorff(xs("c", "x"), xs("c", "y"), xs("o", "x"), xs("o", "y"))).filter(F.col("distance") <= tol)
-    return d.groupBy("id").agg(F.min(F.struct("distance", "match")).alias("b")).select("id", "b.match", "b.distance")
-
-
-def carriageway_pairs(lines: DataFrame, reach: float, step: float = 10.0, opposite: float = -0.8, share: float = 0.5) -> DataFrame:
-    """id, other, share: lines that run beside another in the opposite direction for at least `share` of their samples."""
-    s = clean_lines(lines).withColumn("n", G.length(F.col("c"))).filter("n > 0").select("id", "c", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor(F.col("n") / step).cast("int")), lambda i: i * F.lit(step))).alias("k", "d"))
-    at = s.select("id", "k", G.at_distance(F.col("c"), F.col("d")).alias("p"), G.tangent(F.col("c"), F.col("d")).alias("t")).filter("t is not null")
-    pts = settled(at.select(F.monotonically_increasing_id().alias("pt"), "id", "k", F.col("p.x").alias("x"), F.col("p.y").alias("y"), F.col("t.x").alias("tx"), F.col("t.y").alias("ty")))
-    xy = pts.select(F.col("pt").alias("id"), "x", "y")
-    near = points_within(xy, SortedPoints(xy), reach)
-    a = pts.select(F.col("pt").alias("id1"), "id", "k", "tx", "ty")
-    b = pts.select(F.col("pt").alias("id2"), F.col("id").alias("other"), F.col("tx").alias("ox"), F.col("ty").alias("oy"))
-    hit = near.join(a, "id1").join(b, "id2").filter((F.col("id") != F.col("other")) & (F.col("tx") * F.col("ox") + F.col("ty") * F.col("oy") < opposite)).select("id", "other", "k").distinct()
-    n = pts.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return hit.groupBy("id", "other").agg(F.count(F.lit(1)).alias("hits")).join(n, "id").withColumn("share", F.col("hits") / F.col("n")).filter(F.col("share") >= share).select("id", "other", "share")
+    dense = lambda df, name: df.select("id", G.densified(F.col("c"), 2.0).alias(name)).withColumn(f"{name}_s", G.segments(F.col(name)))
+    mine, theirs = settled(dense(a, "c")), settled(dense(clean_lines(others), "o").withColumnRenamed("id", "match"))
+    j = pairs.join(mine, "id").join(theirs, "match")
+    d = j.select("id", "match", F.greatest(farthest("c", "o"), farthest("o", "c")).alias("distance")).filter(F.col("distance") <= tol)
+    return d.groupBy("id").agg(F.min(F.struct(F.round("distance", 9).alias("r"), "match", "distance")).alias("b")).select("id", "b.match", "b.distance")
+
+
+def carriageway_pairs(lines: DataFrame, reach: float, step: float = 10.0, opposite: float = -0.8, beside: float = 0.5, apart: float = 1.0) -> DataFrame:
+    """id, other, samples: lines that run beside another in the opposite direction over at least two successive samples.
+
+    lines: id, geometry and optionally kind and name. Samples stand about every
+    `step` along a line. Of the lines of its kind, and of its name or without one,
+    a sample's partner is the nearest between `apart` and `reach` away that runs
+    against it (cosine below `opposite`) and lies beside it, not ahead (cosine of
+    the way there at most `beside`). Two successive samples with the same partner
+    make a pair; samples: how many such successions there are.
+    """
+    for c in ("kind", "name"):
+        lines = lines if c in lines.columns else lines.withColumn(c, F.lit(None).cast("string"))
+    full = settled(lines.select("id", "kind", "name", G.line(F.col("geometry")).alias("c")).filter("c is not null").withColumn("n", G.length(F.col("c"))).filter("n > 0"))
+    k = F.greatest(F.lit(1), F.floor(F.col("n") / step).cast("int"))
+    s = full.select("id", "kind", "name", "c", F.posexplode(F.transform(F.sequence(F.lit(0), k), lambda i: F.col("n") * i / k)).alias("k", "d"))
+    at = s.select("id", "kind", "name", "k", G.at_distance(F.col("c"), F.col("d")).alias("p"), G.tangent(F.col("c"), F.col("d"), 2.0).alias("t")).filter("t is not null")
+    pts = settled(at.select(F.monotonically_increasing_id().alias("pt"), "id", "kind", "name", "k", "p", "t"))
+    near = lines_within(full.select("id", F.col("c").alias("geometry")), SortedPoints(pts.select(F.col("pt").alias("id"), "p.x", "p.y")), reach).filter(F.col("distance") >= apart).select(F.col("id1").alias("other"), F.col("id2").alias("pt"))
+    there = full.select(F.col("id").alias("other"), F.col("kind").alias("o_kind"), F.col("name").alias("o_name"), F.col("c").alias("oc"))
+    j = near.join(pts, "pt").filter("id <> other").join(there, "other").filter(F.col("kind").eqNullSafe(F.col("o_kind")) & (F.col("name").isNull() | F.col("o_name").isNull() | (F.col("name") == F.col("o_name"))))
+    f = j.withColumn("f", G.locate(F.col("oc"), F.col("p"))).withColumn("ot", G.tangent(F.col("oc"), F.col("f.at"), 2.0))
+    against = F.col("t.x") * F.col("ot.x") + F.col("t.y") * F.col("ot.y") <= opposite
+    side = F.abs(F.col("t.x") * (F.col("f.x") - F.col("p.x")) + F.col("t.y") * (F.col("f.y") - F.col("p.y"))) <= beside * F.col("f.off")
+    best = f.filter(against & side).groupBy("id", "k").agg(F.min(F.struct(F.round("f.off", 9).alias("o"), "other")).alias("b")).select("id", "k", "b.other")
+    # successive samples with one partner
+    w = Window.partitionBy("id").orderBy("k")
+    runs = best.withColumns({"k2": F.lead("k").over(w), "other2": F.lead("other").over(w)}).filter("k2 = k + 1 and other2 = other")
+    return runs.groupBy("id", "other").agg(F.count(F.lit(1)).alias("samples"))
 
 
 def connect_ends(lines: DataFrame, outfalls: DataFrame, channels: DataFrame, tol: float, limit: float) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..operators import graph as A
 from ..operators import network as N
-from ..operators.near import SortedPoints, points_within, regions_containing
+from ..operators import outfalls as O
+from ..operators.near import SortedPoints, points_within, regions_containing, spots
 from ..operators.ordered import range_sorted, running_sums
 from ..session import read, settled
 
@@ -41,7 +42,7 @@ _HITS = """s0 AS (SELECT *, sqrt((ax-bx)*(ax-bx)+(ay-by_)*(ay-by_)) AS n FROM {s
 s AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS d0, sum(n) OVER (PARTITION BY id) AS len FROM s0),
 h0 AS (SELECT s.id AS line, p.id AS pt, p.x, p.y, ax, ay, bx, by_, n, d0, len, CASE WHEN n = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, ((p.x-ax)*(bx-ax)+(p.y-ay)*(by_-ay)) / (n*n))) END AS t FROM s JOIN {pts} p ON p.x BETWEEN least(ax,bx)-{tol} AND greatest(ax,bx)+{tol} AND p.y BETWEEN least(ay,by_)-{tol} AND greatest(ay,by_)+{tol}),
 h1 AS (SELECT *, sqrt((x-(ax+t*(bx-ax)))*(x-(ax+t*(bx-ax)))+(y-(ay+t*(by_-ay)))*(y-(ay+t*(by_-ay)))) AS off, d0 + t*n AS at_ FROM h0),
-h AS (SELECT line, pt, min(off) AS off, min_by(at_, (off, at_)) AS at_, any_value(len) AS len FROM h1 WHERE off <= {tol} GROUP BY line, pt)"""
+h AS (SELECT line, pt, min(off) AS off, min_by(at_, (off, at_)) AS at_, any_value(len) AS len, min_by(ax+t*(bx-ax), (off, at_)) AS fx, min_by(ay+t*(by_-ay), (off, at_)) AS fy FROM h1 WHERE off <= {tol} GROUP BY line, pt)"""
 
 
 def _hits(layer: str, pts: str, tol: float) -> str:
@@ -51,11 +52,21 @@ def _hits(layer: str, pts: str, tol: float) -> str:
 # Tolerance and nearest joins -----------------------------------------------------------------------------
 
 
-@query(f"""WITH e AS (SELECT *, id * 2 + CASE side WHEN 'start' THEN 0 ELSE 1 END AS pt FROM {_ENDS.format('gravity_mains')})
-SELECT a.pt AS id1, b.pt AS id2, round(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)), 4) AS distance FROM e a JOIN e b ON a.pt < b.pt AND a.x BETWEEN b.x - 0.5 AND b.x + 0.5 AND a.y BETWEEN b.y - 0.5 AND b.y + 0.5 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 0.5""")
+_SPOTS = f"""e AS (SELECT *, id * 2 + CASE side WHEN 'start' THEN 0 ELSE 1 END AS pt FROM {_ENDS.format('gravity_mains')}), sp AS (SELECT x, y, min(pt) AS pt FROM e GROUP BY x, y)"""
+
+
+@query(f"""WITH {_SPOTS} SELECT a.pt AS id1, b.pt AS id2, round(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)), 4) AS distance FROM sp a JOIN sp b ON a.pt < b.pt AND a.x BETWEEN b.x - 0.5 AND b.x + 0.5 AND a.y BETWEEN b.y - 0.5 AND b.y + 0.5 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 0.5""")
 def endpoint_tolerance_pairs(s: SparkSession, d: str) -> DataFrame:
-    pts = settled(N._ends_as_points(A.line_ends(_lines(s, d, "gravity_mains"))))
-    return points_within(pts, SortedPoints(pts), 0.5, same=True).withColumn("distance", F.round("distance", 4))
+    """Near pairs of different places where pipes end, each named after its least end."""
+    at, _ = spots(N._ends_as_points(A.line_ends(_lines(s, d, "gravity_mains"))))
+    at = settled(at)
+    return points_within(at, SortedPoints(at), 0.5, same=True).withColumn("distance", F.round("distance", 4))
+
+
+@query(f"WITH {_SPOTS} SELECT e.pt AS id, sp.pt AS spot FROM e JOIN sp USING (x, y)")
+def endpoint_places(s: SparkSession, d: str) -> DataFrame:
+    """Every pipe end with the place it stands at: what endpoint_tolerance_pairs leaves unexpanded."""
+    return spots(N._ends_as_points(A.line_ends(_lines(s, d, "gravity_mains"))))[1]
 
 
 @query(f"""SELECT o.id AS id1, min_by(n.id, (sqrt((o.x-n.x)*(o.x-n.x)+(o.y-n.y)*(o.y-n.y)), n.id)) AS id2, round(min(sqrt((o.x-n.x)*(o.x-n.x)+(o.y-n.y)*(o.y-n.y))), 4) AS distance FROM {_PTS.format('discharge_points')} o JOIN {_PTS.format('storagenodes')} n
@@ -101,21 +112,12 @@ def roi_first_wins(s: SparkSession, d: str) -> DataFrame:
 _TURN = "sign(({q}x-{p}x)*({r}y-{p}y)-({q}y-{p}y)*({r}x-{p}x))"
 
 
-@query(f"""WITH s AS (SELECT id, ax, ay, bx, by_ AS by FROM {_SEGS.format('hydroobject')} q), c AS (SELECT fid % 2 AS z, fid FROM hydroobject)
-SELECT DISTINCT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id % 2 = 0 AND b.id % 2 = 1 AND least(a.ax,a.bx) <= greatest(b.ax,b.bx) AND least(b.ax,b.bx) <= greatest(a.ax,a.bx) AND least(a.ay,a.by) <= greatest(b.ay,b.by) AND least(b.ay,b.by) <= greatest(a.ay,a.by)
-WHERE sign((a.bx-a.ax)*(b.ay-a.ay)-(a.by-a.ay)*(b.ax-a.ax)) * sign((a.bx-a.ax)*(b.by-a.ay)-(a.by-a.ay)*(b.bx-a.ax)) <= 0 AND sign((b.bx-b.ax)*(a.ay-b.ay)-(b.by-b.ay)*(a.ax-b.ax)) * sign((b.bx-b.ax)*(a.by-b.ay)-(b.by-b.ay)*(a.bx-b.ax)) <= 0
-AND NOT (a.ax = a.bx AND a.ay = a.by) AND NOT (b.ax = b.bx AND b.ay = b.by)""")
-def segment_crossings(s: SparkSession, d: str) -> DataFrame:
-    h = _lines(s, d, "hydroobject")
-    return N.crossing_segments(h.filter("id % 2 = 0"), h.filter("id % 2 = 1"))
-
-
 @query(f"""WITH s AS (SELECT id, ax, ay, bx, by_ AS by FROM {_SEGS.format('hydroobject')} q)
 SELECT DISTINCT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id < b.id AND least(a.ax,a.bx) <= greatest(b.ax,b.bx) AND least(b.ax,b.bx) <= greatest(a.ax,a.bx) AND least(a.ay,a.by) <= greatest(b.ay,b.by) AND least(b.ay,b.by) <= greatest(a.ay,a.by)
 WHERE sign((a.bx-a.ax)*(b.ay-a.ay)-(a.by-a.ay)*(b.ax-a.ax)) * sign((a.bx-a.ax)*(b.by-a.ay)-(a.by-a.ay)*(b.bx-a.ax)) <= 0 AND sign((b.bx-b.ax)*(a.ay-b.ay)-(b.by-b.ay)*(a.ax-b.ax)) * sign((b.bx-b.ax)*(a.by-b.ay)-(b.by-b.ay)*(a.bx-b.ax)) <= 0
 AND NOT (a.ax = a.bx AND a.ay = a.by) AND NOT (b.ax = b.bx AND b.ay = b.by)""")
-def segment_crossings_whole(s: SparkSession, d: str) -> DataFrame:
-    """All pairs of branches that meet; segment_crossings has those of an even and an odd one only."""
+def segment_crossings(s: SparkSession, d: str) -> DataFrame:
+    """All pairs of branches that meet."""
     h = _lines(s, d, "hydroobject")
     return N.crossing_segments(h, h).filter("a < b")
 
@@ -244,18 +246,35 @@ def dfs_order(s: SparkSession, d: str) -> DataFrame:
     return A.dfs_order(e, first)
 
 
-@query()
-def min_cut(s: SparkSession, d: str) -> DataFrame:
-    """The cheapest cut between the root and the last branch of the tree with chords."""
+def _chorded(s: SparkSession, d: str) -> tuple[DataFrame, int]:
+    """The tree with the chords of all order lines, with capacities; and its last branch."""
     e = _tree_edges(s, d)
     n = e.agg(F.max("v")).first()[0]
     # parallel chords are one, as strong as all of them; ids of chords are negative
     chords = read(s, d, "lineitem").select(F.col("l_orderkey").alias("u"), F.least(F.col("l_partkey"), F.lit(n)).alias("v")).filter("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("capacity")).withColumn("id", -(F.col("u") * (n + 1) + F.col("v")) - 1)
     cap = F.when(F.col("layer") == "open_drains", 1000).otherwise(1)
-    edges = e.select("id", "u", "v", cap.alias("capacity")).unionByName(chords.select("id", "u", "v", "capacity"))
+    return settled(e.select("id", "u", "v", cap.alias("capacity")).unionByName(chords.select("id", "u", "v", "capacity"))), n
+
+
+@query()
+def min_cut(s: SparkSession, d: str) -> DataFrame:
+    """The cheapest cut between the root and the last branch of the tree with chords, and its cost."""
+    edges, n = _chorded(s, d)
     return A.min_cut(edges, s.createDataFrame([(0,)], "node bigint"), n)
 
 
+@query("SELECT true AS adds_up, true AS separates")
+def min_cut_holds(s: SparkSession, d: str) -> DataFrame:
+    """Whether the cut costs what its lines are worth, which the flow through them shows to be least, and whether it separates."""
+    edges, n = _chorded(s, d)
+    cut = settled(A.min_cut(edges, s.createDataFrame([(0,)], "node bigint"), n))
+    worth = cut.join(edges, "id").agg((F.sum("capacity") == F.max("cost")).alias("adds_up"))
+    comp = A.components(edges.join(cut.select("id"), "id", "left_anti").select("u", "v"))
+    apart = comp.filter(F.col("node").isin(0, n)).agg((F.countDistinct("component") == F.count(F.lit(1))).alias("separates"))
+    # one row each
+    return worth.join(F.broadcast(apart))
+
+
 # Junctions and edits -----------------------------------------------------------------------------------------
 
 _END_PTS = "(SELECT id * 2 + CASE side WHEN 'start' THEN 0 ELSE 1 END AS id, x, y FROM " + _ENDS.format("hydroobject") + ")"
@@ -266,9 +285,17 @@ def t_junctions(s: SparkSession, d: str) -> DataFrame:
     return N.t_junctions(_lines(s, d, "hydroobject"), 2.0).select("branch", "end", "host", F.round("at", 3).alias("at"), F.round("off", 3).alias("off"))
 
 
-@query()
+@query(f"""WITH {_hits('hydroobject', _END_PTS, 3.0)}, e AS {_END_PTS},
+met AS (SELECT DISTINCT a.id FROM e a JOIN e b ON a.id <> b.id AND b.x BETWEEN a.x - 0.01 AND a.x + 0.01 AND b.y BETWEEN a.y - 0.01 AND a.y + 0.01 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 0.01),
+ex AS (SELECT pt FROM h WHERE off <= 0.01 AND pt // 2 <> line AND at_ > 0.01 AND at_ < len - 0.01),
+ok AS (SELECT h.* FROM h JOIN e p ON p.id = pt JOIN e s0 ON s0.id = line * 2 JOIN e s1 ON s1.id = line * 2 + 1 WHERE pt // 2 <> line AND off > 0.01 AND least(sqrt((p.x-s0.x)*(p.x-s0.x)+(p.y-s0.y)*(p.y-s0.y)), sqrt((p.x-s1.x)*(p.x-s1.x)+(p.y-s1.y)*(p.y-s1.y))) > 3
+ AND pt NOT IN (SELECT id FROM met) AND pt NOT IN (SELECT pt FROM ex)),
+b AS (SELECT * FROM ok QUALIFY row_number() OVER (PARTITION BY pt ORDER BY off, line) = 1),
+th AS (SELECT DISTINCT b.pt FROM b JOIN s ON s.id <> b.line AND s.id <> b.pt // 2 AND fx BETWEEN least(ax,bx)-0.01 AND greatest(ax,bx)+0.01 AND fy BETWEEN least(ay,by_)-0.01 AND greatest(ay,by_)+0.01
+ WHERE sqrt(pow(fx-ax-(CASE WHEN n = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, ((fx-ax)*(bx-ax)+(fy-ay)*(by_-ay)) / (n*n))) END)*(bx-ax), 2) + pow(fy-ay-(CASE WHEN n = 0 THEN 0.0 ELSE greatest(0.0, least(1.0, ((fx-ax)*(bx-ax)+(fy-ay)*(by_-ay)) / (n*n))) END)*(by_-ay), 2)) <= 0.01)
+SELECT pt // 2 AS branch, CASE WHEN pt % 2 = 0 THEN 'start' ELSE 'end' END AS "end", line AS host, round(at_, 3) AS at, round(off, 3) AS off, round(fx, 3) AS x, round(fy, 3) AS y FROM b WHERE pt NOT IN (SELECT pt FROM th)""")
 def near_t_junctions(s: SparkSession, d: str) -> DataFrame:
-    return N.near_t_junctions(_lines(s, d, "hydroobject"), 0.01, 3.0)
+    return N.near_t_junctions(_lines(s, d, "hydroobject"), 0.01, 3.0).select("branch", "end", "host", *[F.round(c, 3).alias(c) for c in ("at", "off", "x", "y")])
 
 
 @query(f"""WITH {_hits('hydroobject', _END_PTS, 2.0)}, j AS (SELECT line AS host, pt // 2 AS branch, CASE WHEN pt % 2 = 0 THEN 'start' ELSE 'end' END AS side, at_ FROM h WHERE pt // 2 <> line AND at_ > 2 AND at_ < len - 2),
@@ -287,17 +314,10 @@ def split_branches(s: SparkSession, d: str) -> DataFrame:
     return N.split_at(h.join(n.select(F.col("host").alias("id")), "id", "left_semi"), nodes).select("id", "piece", F.round("d0", 3).alias("d0"), F.round("d1", 3).alias("d1"), F.round(G.length(F.col("c")), 3).alias("length"))
 
 
-@query(f"""WITH a AS (SELECT * FROM {_ENDS.format('hydroobject')} WHERE id % 2 = 0), b AS (SELECT * FROM {_ENDS.format('hydroobject')} WHERE id % 2 = 1)
-SELECT a.id AS id1, b.id AS id2, round(min(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y))), 4) AS distance FROM a JOIN b ON a.x BETWEEN b.x - 4 AND b.x + 4 AND a.y BETWEEN b.y - 4 AND b.y + 4 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 4 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) > 0.01 GROUP BY a.id, b.id""")
-def near_miss_pairs(s: SparkSession, d: str) -> DataFrame:
-    h = _lines(s, d, "hydroobject")
-    return N.gaps(h.filter("id % 2 = 0"), h.filter("id % 2 = 1"), 0.01, 4.0).withColumn("distance", F.round("distance", 4))
-
-
 @query(f"""WITH e AS {_ENDS.format('hydroobject')}
 SELECT a.id AS id1, b.id AS id2, round(min(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y))), 4) AS distance FROM e a JOIN e b ON a.id < b.id AND a.x BETWEEN b.x - 4 AND b.x + 4 AND a.y BETWEEN b.y - 4 AND b.y + 4 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) <= 4 AND sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) > 0.01 GROUP BY a.id, b.id""")
-def near_miss_pairs_whole(s: SparkSession, d: str) -> DataFrame:
-    """All pairs of branches with a gap; near_miss_pairs has those of an even and an odd one only."""
+def near_miss_pairs(s: SparkSession, d: str) -> DataFrame:
+    """All pairs of branches with a gap."""
     h = _lines(s, d, "hydroobject")
     return N.gaps(h, h, 0.01, 4.0).filter("id1 < id2").withColumn("distance", F.round("distance", 4))
 
@@ -321,13 +341,13 @@ def short_branch_collapse(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH e AS {_MAIN_EDGES.format('gravity_mains')}, dg AS (SELECT n, count(*) AS k FROM (SELECT u AS n FROM e UNION ALL SELECT v FROM e) GROUP BY n),
 l AS (SELECT fid AS id, sqrt((geometry[1].x-geometry[-1].x)*(geometry[1].x-geometry[-1].x)+(geometry[1].y-geometry[-1].y)*(geometry[1].y-geometry[-1].y)) AS n FROM gravity_mains WHERE len(geometry) > 0),
-b AS (SELECT id, x, y FROM {_ENDS.format('gravity_mains')} WHERE side = 'end' AND id % 3 = 0),
 o AS (SELECT id, 'start' AS side, u AS k FROM e JOIN dg ON n = u AND k = 1 UNION ALL SELECT id, 'end', v FROM e JOIN dg ON n = v AND k = 1)
-SELECT o.id, o.side AS "end", round(l.n, 3) AS old_length, round(20 - l.n, 3) AS extension, CAST(20.0 AS DOUBLE) AS new_length FROM o JOIN l USING (id) WHERE l.n < 19.999 AND l.n > 0.01 AND o.k IN (SELECT printf('%.6f %.6f', x, y) FROM b)""")
+SELECT o.id, o.side AS "end", round(l.n, 3) AS old_length, round(20 - l.n, 3) AS extension, CAST(20.0 AS DOUBLE) AS new_length FROM o JOIN l USING (id) WHERE l.n < 19.999 AND l.n > 0.01 AND o.k IN (SELECT v FROM e)""")
 def stub_extension(s: SparkSession, d: str) -> DataFrame:
+    """Short pipes with an open end as drawn, prolonged to 20 m; every drawn end carries a boundary."""
     h = _lines(s, d, "gravity_mains")
-    bounds = A.line_ends(h).filter("end = 'end' and id % 3 = 0").select("id", "x", "y")
-    got = N.extend_stubs(h, settled(bounds), 0.0001, 20.0).filter("old_length > 0.01")
+    bounds = A.line_ends(h).filter("end = 'end'").select("id", "x", "y")
+    got = N.extend_stubs(h, settled(bounds), 0.0001, 20.0)
     return got.select("id", "end", F.round("old_length", 3).alias("old_length"), F.round("extension", 3).alias("extension"), F.round(G.length(F.col("c")), 3).alias("new_length"))
 
 
@@ -351,22 +371,22 @@ def elevation_propagation(s: SparkSession, d: str) -> DataFrame:
     return A.fixed_point_levels(e)
 
 
-@query()
+_BARE_ENDS = "(SELECT id * 2 + 1 AS id, x, y FROM " + _ENDS.format("gravity_mains") + " q WHERE side = 'end')"
+
+
+@query(f"""WITH RECURSIVE e AS {_MAIN_EDGES.format('gravity_mains')}, n AS (SELECT u AS k, min(id) AS c FROM (SELECT u, id FROM e UNION ALL SELECT v, id FROM e) GROUP BY u), bb AS (SELECT u AS x, v AS y FROM e WHERE u <> v UNION SELECT v, u FROM e WHERE u <> v),
+cc(k, c) USING KEY (k) AS (SELECT k, c FROM n UNION SELECT bb.y, min(cc.c) FROM cc JOIN bb ON bb.x = cc.k JOIN recurring.cc r ON r.k = bb.y WHERE cc.c < r.c GROUP BY bb.y),
+co AS (SELECT e.id, c FROM e JOIN cc ON cc.k = e.u), wet AS (SELECT DISTINCT c FROM co JOIN gravity_mains g ON g.fid = co.id WHERE pipetype = 'Trunk'),
+dg AS (SELECT k, count(*) AS m FROM (SELECT u AS k FROM e UNION ALL SELECT v FROM e) GROUP BY k), lo AS (SELECT e.id * 2 + 1 AS pt, c FROM e JOIN dg ON k = v AND m = 1 JOIN co ON co.id = e.id WHERE c NOT IN (SELECT c FROM wet)),
+nn AS (SELECT DISTINCT q.id FROM {_BARE_ENDS} q JOIN {_PTS.format('storagenodes')} p ON p.x BETWEEN q.x - 0.5 AND q.x + 0.5 AND p.y BETWEEN q.y - 0.5 AND q.y + 0.5 AND sqrt((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)) <= 0.5),
+{_hits('hydroobject', _BARE_ENDS, 60.0)}, best AS (SELECT pt, min_by(line, (round(off, 9), line)) AS line, min(off) AS off FROM h GROUP BY pt)
+SELECT pt // 2 AS id, line AS target, round(off, 3) AS distance FROM lo JOIN best USING (pt) WHERE pt NOT IN (SELECT id FROM nn) QUALIFY row_number() OVER (PARTITION BY c ORDER BY round(off, 9), pt) = 1""")
 def network_outlets(s: SparkSession, d: str) -> DataFrame:
-    """For components of pipes without a trunk, the dead end nearest to a branch."""
+    """For components of pipes without a trunk, the bare end nearest to a branch that has no node."""
     m = read(s, d, "gravity_mains")
     lines = m.select(F.col("fid").alias("id"), "geometry")
     e = settled(A.network(lines, 0.0001))
-    return N.network_outlets(e, lines, m.filter("pipetype = 'Trunk'").select(F.col("fid").alias("id")), _lines(s, d, "hydroobject"), 20.0)
-
-
-@query()
-def outfall_state_machine(s: SparkSession, d: str) -> DataFrame:
-    """Status of every outfall, in id order within the branch it reaches; those out of reach are groups by hash."""
-    pts = _points(s, d, "discharge_points").filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
-    near = N.nearest_lines(pts, _lines(s, d, "hydroobject"), 20.0)
-    at = pts.join(near, F.col("id") == F.col("pt"), "left").select(F.coalesce("line", F.pmod(F.xxhash64("id"), F.lit(64)) - 1000).alias("group"), "id", F.col("line").alias("channel"), "off", "at", (F.col("id") % 5 != 0).alias("dead_end"))
-    return N.outfall_states(at)
+    return N.network_outlets(e, lines, m.filter("pipetype = 'Trunk'").select(F.col("fid").alias("id")), _lines(s, d, "hydroobject"), 60.0, _points(s, d, "storagenodes"), 0.5).select("id", "target", F.round("distance", 3).alias("distance"))
 
 
 @query(f"""WITH p AS {_PTS.format('storagenodes')}, c AS (SELECT id, x, y, row_number() OVER (PARTITION BY round_even(x / 100, 0), round_even(y / 100, 0) ORDER BY x, id) AS k FROM p) SELECT count(*) FILTER (k = 1) AS cells, count(*) AS points FROM c""")
@@ -377,18 +397,9 @@ def cells_in_use(s: SparkSession, d: str) -> DataFrame:
     return p.groupBy(snapped(F.col("x"), 100.0).alias("gx"), snapped(F.col("y"), 100.0).alias("gy")).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("points"))
 
 
-@query("""WITH b AS (SELECT least(printf('%.6f %.6f,%.6f %.6f', geometry[1].x, geometry[1].y, geometry[-1].x, geometry[-1].y), printf('%.6f %.6f,%.6f %.6f', geometry[-1].x, geometry[-1].y, geometry[1].x, geometry[1].y)) AS k, fid FROM gravity_mains WHERE len(geometry) > 1)
-SELECT a.fid AS id1, c.fid AS id2 FROM b a JOIN b c USING (k) WHERE a.fid < c.fid AND a.fid % 2 = 0""")
-def same_geometry(s: SparkSession, d: str) -> DataFrame:
-    """Pairs of an even pipe and a later one along the same line in either direction."""
-    k = N.clean_lines(_lines(s, d, "gravity_mains")).withColumn("k", G.normalised(F.col("c")))
-    a, b = k.select(F.col("id").alias("id1"), "k"), k.select(F.col("id").alias("id2"), "k")
-    return a.filter("id1 % 2 = 0").join(b, "k").filter("id1 < id2").select("id1", "id2")
-
-
 @query("""WITH b AS (SELECT least(printf('%.6f %.6f,%.6f %.6f', geometry[1].x, geometry[1].y, geometry[-1].x, geometry[-1].y), printf('%.6f %.6f,%.6f %.6f', geometry[-1].x, geometry[-1].y, geometry[1].x, geometry[1].y)) AS k, fid FROM gravity_mains WHERE len(geometry) > 1)
 SELECT fid AS id, min(fid) OVER (PARTITION BY k) AS same_as FROM b""")
-def same_geometry_classes(s: SparkSession, d: str) -> DataFrame:
+def same_geometry(s: SparkSession, d: str) -> DataFrame:
     """Every pipe with the least one along the same line in either direction, its own id where there is no other."""
     k = N.clean_lines(_lines(s, d, "gravity_mains")).select("id", G.normalised(F.col("c")).alias("k"))
     return k.join(k.groupBy("k").agg(F.min("id").alias("same_as")), "k").select("id", "same_as")
@@ -402,14 +413,8 @@ def _ranked(s: SparkSession, d: str) -> DataFrame:
     return run.filter("trunk = 0").select("facilityid", "fid", F.col("run_trunk").cast("bigint").alias("ahead"))
 
 
-@query("SELECT p.fid, count(q.fid) AS ahead FROM (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Culvert' AND NOT isnan(upelev) AND facilityid <> 'SD-MAIN-0001') p LEFT JOIN (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Trunk' AND NOT isnan(upelev)) q ON q.facilityid = p.facilityid AND q.upelev > p.upelev GROUP BY p.fid")
-def ranked_within_line(s: SparkSession, d: str) -> DataFrame:
-    """ranked_within_line_whole without the line its SQL leaves out."""
-    return _ranked(s, d).filter("facilityid <> 'SD-MAIN-0001'").select("fid", "ahead")
-
-
 @query("SELECT p.fid, count(q.fid) AS ahead FROM (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Culvert' AND NOT isnan(upelev) AND facilityid IS NOT NULL) p LEFT JOIN (SELECT fid, facilityid, upelev FROM gravity_mains WHERE pipetype = 'Trunk' AND NOT isnan(upelev)) q ON q.facilityid = p.facilityid AND q.upelev > p.upelev GROUP BY p.fid")
-def ranked_within_line_whole(s: SparkSession, d: str) -> DataFrame:
+def ranked_within_line(s: SparkSession, d: str) -> DataFrame:
     """How many trunk pipes of its line lie higher than each culvert, by a running count instead of pairs."""
     return _ranked(s, d).select("fid", "ahead")
 
@@ -423,11 +428,57 @@ def hausdorff_matches(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def carriageway_pairs(s: SparkSession, d: str) -> DataFrame:
-    return N.carriageway_pairs(_lines(s, d, "hydroobject"), 15.0)
+    """Branches of one category that run beside each other in opposite directions."""
+    h = read(s, d, "hydroobject").select(F.col("fid").alias("id"), "geometry", F.lower(F.trim("categorieoppwaterlichaam")).alias("kind"))
+    return N.carriageway_pairs(h, 15.0)
 
 
-@query()
+_PIPE_PTS = "(SELECT id * 2 + CASE side WHEN 'start' THEN 0 ELSE 1 END AS id, x, y FROM " + _ENDS.format("gravity_mains") + ")"
+
+
+@query(f"""WITH {_hits('hydroobject', _PIPE_PTS, 40.0)}, e AS {_PIPE_PTS},
+o AS (SELECT DISTINCT e.id FROM e JOIN {_PTS.format('discharge_points')} p ON p.x BETWEEN e.x - 6 AND e.x + 6 AND p.y BETWEEN e.y - 6 AND e.y + 6 AND sqrt((p.x-e.x)*(p.x-e.x)+(p.y-e.y)*(p.y-e.y)) <= 6),
+near AS (SELECT pt, min_by(line, (round(off, 9), line)) AS line FROM h WHERE pt IN (SELECT id FROM o) GROUP BY pt),
+v AS (SELECT fid AS line, unnest(geometry) AS p FROM hydroobject), vd AS (SELECT pt, near.line, min(sqrt((p.x-e.x)*(p.x-e.x)+(p.y-e.y)*(p.y-e.y))) AS d FROM near JOIN v USING (line) JOIN e ON e.id = pt GROUP BY pt, near.line),
+b AS (SELECT * FROM vd QUALIFY row_number() OVER (PARTITION BY pt // 2 ORDER BY d, pt) = 1),
+l AS (SELECT fid, sum(sqrt((geometry[k].x-geometry[k+1].x)*(geometry[k].x-geometry[k+1].x)+(geometry[k].y-geometry[k+1].y)*(geometry[k].y-geometry[k+1].y))) AS n FROM (SELECT fid, geometry, unnest(range(1, len(geometry))) AS k FROM gravity_mains) GROUP BY fid)
+SELECT pt // 2 AS id, CASE WHEN pt % 2 = 0 THEN 'start' ELSE 'end' END AS "end", line AS channel, round(n + CASE WHEN d < 6 THEN 0 ELSE d END, 3) AS length FROM b JOIN l ON l.fid = pt // 2""")
 def connected_outfalls(s: SparkSession, d: str) -> DataFrame:
     """Pipes ending at an outfall, prolonged to the nearest vertex of a branch."""
     got = N.connect_ends(_lines(s, d, "gravity_mains"), _points(s, d, "discharge_points"), _lines(s, d, "hydroobject"), 6.0, 40.0)
     return got.select("id", "end", "channel", F.round(G.length(F.col("c")), 3).alias("length"))
+
+
+# Outfalls ----------------------------------------------------------------------------------------------------
+
+
+def _outfall_input(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pipes, branches as channels (those without a category are other drains), and discharge points that are outfalls."""
+    pipes = read(s, d, "gravity_mains").select(F.col("fid").alias("id"), "geometry", F.lit(False).alias("outfall"))
+    drains = read(s, d, "hydroobject").select(F.col("fid").alias("id"), "geometry", F.col("categorieoppwaterlichaam").isNotNull().alias("channel"))
+    points = read(s, d, "discharge_points").filter("lower(trim(dischrgtyp)) = 'outfall'").select(F.col("fid").alias("id"), F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y"))
+    return pipes, drains, points
+
+
+@query(f"""WITH e AS {_ENDS.format('gravity_mains')}, k AS (SELECT *, printf('%.6f %.6f', x, y) AS node FROM e), n AS (SELECT node, count(*) AS n, bool_and(side = 'end') AS sink FROM k GROUP BY node)
+SELECT id, side AS "end", n <= 1 OR sink AS outlet FROM k JOIN n USING (node)""")
+def outlet_ends(s: SparkSession, d: str) -> DataFrame:
+    """Which ends of pipes are outlets of the network: bare ones, and those that pipes only flow into."""
+    return O.node_ends(_lines(s, d, "gravity_mains").withColumn("is_pipe", F.lit(True)), 0.0001).select("id", "end", "outlet")
+
+
+@query()
+def outfall_connections(s: SparkSession, d: str) -> DataFrame:
+    """What becomes of each pipe with an outfall: status, channel, and where its end comes to lie."""
+    pipes, drains, points = _outfall_input(s, d)
+    got = O.outfall_connections(pipes, drains, points, tol=6.0, snap=8.0, limit=40.0)
+    return got.select("id", "end", "trigger", "status", "channel", *[F.round(c, 3).alias(c) for c in ("x", "y", "moved", "added", "trimmed")])
+
+
+@query()
+def outfalls_as_inlets(s: SparkSession, d: str) -> DataFrame:
+    """Outfalls too far from a channel, or without a pipe, as inlets."""
+    pipes, drains, points = _outfall_input(s, d)
+    found = settled(O.outfall_connections(pipes, drains, points, tol=6.0, snap=8.0, limit=40.0))
+    rows = points.join(read(s, d, "discharge_points").select(F.col("fid").alias("id"), "facilityid", "flowelev"), "id")
+    return O.converted_outfalls(found, rows.select(F.col("id").alias("fid"), "facilityid", "x", "y", (F.col("flowelev") / 3.28084).alias("dem")), read(s, d, "inlets").select("objectid"), 6.0, 10.0).drop("pipes")

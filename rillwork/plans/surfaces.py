@@ -94,11 +94,11 @@ def _lengths(s: SparkSession, d: str) -> DataFrame:
     return h.select("fid", F.col("code").alias("branch")).join(n, "fid")
 
 
-@query(f"WITH l AS {_LEN} SELECT c.fid, round(c.chainage_fraction * l.length, 4) AS chainage, coalesce(CASE WHEN isnan(c.shift) THEN NULL ELSE c.shift END, 0) AS shift FROM crosssection_location c JOIN (SELECT branch, max(length) AS length FROM l GROUP BY branch) l ON l.branch = upper(trim(c.branch_id)) WHERE c.definition IN (SELECT definition FROM crosssection_location GROUP BY definition HAVING count(*) > 10)")
+@query(f"WITH l AS {_LEN} SELECT c.fid, round(c.chainage_fraction * l.length, 4) AS chainage, coalesce(CASE WHEN isnan(c.shift) THEN NULL ELSE c.shift END, 0) AS shift FROM crosssection_location c JOIN (SELECT branch, max(length) AS length FROM l GROUP BY branch) l ON l.branch = upper(trim(c.branch_id)) WHERE c.definition IS NOT NULL")
 def section_locations(s: SparkSession, d: str) -> DataFrame:
     loc = read(s, d, "crosssection_location").select(F.upper(F.expr("trim(branch_id)")).alias("branch"), "definition", F.col("chainage_fraction").alias("fraction"), "shift", "fid")
     length = _lengths(s, d).groupBy("branch").agg(F.max("length").alias("length"))
-    known = loc.groupBy("definition").agg(F.count(F.lit(1)).alias("n")).filter("n > 10")
+    known = loc.filter("definition is not null").select("definition").distinct()
     at = X.located(loc.withColumn("branch", F.concat_ws("|", "branch", "fid")), loc.join(length, "branch").select(F.concat_ws("|", "branch", "fid").alias("branch"), "length"), known)
     return at.select(F.substring_index("branch", "|", -1).cast("bigint").alias("fid"), F.round("chainage", 4).alias("chainage"), "shift")
 
@@ -113,25 +113,18 @@ def flow_area(s: SparkSession, d: str) -> DataFrame:
     return X.flow_areas(p, 0.6).select("id", F.round("flow_depth", 5).alias("flow_depth"), F.round("area", 5).alias("area"))
 
 
-@query("""WITH n AS (SELECT fid AS node, 'C_' || (fid % 500) AS branch, 10.0 + fid % 37 AS floor FROM storagenodes), h AS (SELECT * FROM n WHERE node % 4 <> 0), f AS (SELECT 'C_' || (node % 333) AS branch, node, floor FROM n WHERE node NOT IN (SELECT node FROM h))
+@query("""WITH n AS (SELECT fid AS node, 'C_' || (fid % 500) AS branch, 10.0 + fid % 37 AS floor FROM storagenodes), h AS (SELECT * FROM n WHERE branch <> 'C_7'), f AS (SELECT 'C_' || (node % 333) AS branch, node, floor FROM n WHERE node NOT IN (SELECT node FROM h))
 SELECT branch, max(floor) AS shift FROM (SELECT branch, floor FROM h UNION ALL SELECT branch, floor FROM f) GROUP BY branch""")
 def pipe_shift_max_floor(s: SparkSession, d: str) -> DataFrame:
+    """Greatest floor of the nodes of each branch; nodes of branch C_7, which has no section, count for the branch nearest to them."""
     f = F.col("fid")
     n = read(s, d, "storagenodes").select(F.concat(F.lit("C_"), (f % 500).cast("string")).alias("branch"), f.alias("node"), (10.0 + f % 37).alias("floor"))
     fall = n.select(F.concat(F.lit("C_"), (F.col("node") % 333).cast("string")).alias("branch"), "node", "floor")
-    return X.shifts(n.filter("node % 4 <> 0"), fall)
-
-
-@query("WITH n AS (SELECT ufid AS node, CASE WHEN isnan(invertelev) THEN NULL ELSE invertelev END AS floor FROM inlets WHERE fid % 2 = 0 AND NOT isnan(invertelev) AND invertelev IS NOT NULL), e AS (SELECT 7000000000 + fid % 5000 AS node, min(downelev) AS low FROM gravity_mains WHERE downelev IS NOT NULL AND NOT isnan(downelev) GROUP BY 1) SELECT node, floor, least(floor, coalesce(low, floor)) AS new_floor FROM n LEFT JOIN e USING (node)")
-def floor_lowering(s: SparkSession, d: str) -> DataFrame:
-    n = read(s, d, "inlets").filter("fid % 2 = 0").select(F.col("ufid").alias("node"), C.finite(F.col("invertelev")).alias("floor")).filter("floor is not null")
-    e = read(s, d, "gravity_mains").select((F.lit(7000000000) + F.col("fid") % 5000).alias("node"), F.col("downelev").alias("level"))
-    return X.lowered_floors(n, e)
+    return X.shifts(n.filter("branch <> 'C_7'"), fall)
 
 
 @query("WITH n AS (SELECT ufid AS node, CASE WHEN isnan(invertelev) THEN NULL ELSE invertelev END AS floor FROM inlets WHERE NOT isnan(invertelev) AND invertelev IS NOT NULL), e AS (SELECT 7000000000 + fid % 5000 AS node, min(downelev) AS low FROM gravity_mains WHERE downelev IS NOT NULL AND NOT isnan(downelev) GROUP BY 1) SELECT node, floor, least(floor, coalesce(low, floor)) AS new_floor FROM n LEFT JOIN e USING (node)")
-def floor_lowering_whole(s: SparkSession, d: str) -> DataFrame:
-    """All inlets; floor_lowering has the even ones only."""
+def floor_lowering(s: SparkSession, d: str) -> DataFrame:
     n = read(s, d, "inlets").select(F.col("ufid").alias("node"), C.finite(F.col("invertelev")).alias("floor")).filter("floor is not null")
     e = read(s, d, "gravity_mains").select((F.lit(7000000000) + F.col("fid") % 5000).alias("node"), F.col("downelev").alias("level"))
     return X.lowered_floors(n, e)
@@ -171,19 +164,10 @@ def trapezium_resample(s: SparkSession, d: str) -> DataFrame:
     return X.remapped(loc, defs)[1]
 
 
-@query("""WITH p AS (SELECT fid AS branch, k * 10.0 AS at_ FROM gravity_mains, range(0, 3) r(k) WHERE fid % 5 = 0), c AS (SELECT fid - fid % 5 AS branch, (fid % 5) * 6.0 AS pos, downelev AS bed FROM gravity_mains WHERE NOT isnan(downelev) AND downelev IS NOT NULL)
-SELECT branch, at_ AS at, coalesce(max_by(bed, (pos, bed)) FILTER (pos <= at_), min_by(bed, (pos, bed)) FILTER (pos > at_)) AS bed FROM p LEFT JOIN c USING (branch) GROUP BY branch, at_""")
-def pipe_beds_around(s: SparkSession, d: str) -> DataFrame:
-    m = read(s, d, "gravity_mains")
-    p = m.filter("fid % 5 = 0").select(F.col("fid").alias("branch"), F.explode(F.array(F.lit(0.0), F.lit(10.0), F.lit(20.0))).alias("at"))
-    c = m.select((F.col("fid") - F.col("fid") % 5).alias("branch"), (F.col("fid") % 5 * 6.0).alias("pos"), C.finite(F.col("downelev")).alias("bed")).filter("bed is not null")
-    return X.beds_around(p, c)
-
-
 @query("""WITH p AS (SELECT fid - fid % 5 AS branch, fid % 5 * 6.0 + k * 10.0 AS at_ FROM gravity_mains, range(0, 3) r(k)), c AS (SELECT fid - fid % 5 AS branch, (fid % 5) * 6.0 AS pos, downelev AS bed FROM gravity_mains WHERE NOT isnan(downelev) AND downelev IS NOT NULL)
 SELECT branch, at_ AS at, coalesce(max_by(bed, (pos, bed)) FILTER (pos <= at_), min_by(bed, (pos, bed)) FILTER (pos > at_)) AS bed FROM p LEFT JOIN c USING (branch) GROUP BY branch, at_""")
-def pipe_beds_around_whole(s: SparkSession, d: str) -> DataFrame:
-    """Three places on every pipe, each a piece of a branch of five; pipe_beds_around has those of the first piece only."""
+def pipe_beds_around(s: SparkSession, d: str) -> DataFrame:
+    """Three places on every pipe, each a piece of a branch of five."""
     m = read(s, d, "gravity_mains")
     branch, pos = (F.col("fid") - F.col("fid") % 5).alias("branch"), F.col("fid") % 5 * 6.0
     p = m.select(branch, F.explode(F.array(pos, pos + 10.0, pos + 20.0)).alias("at"))
@@ -193,57 +177,64 @@ def pipe_beds_around_whole(s: SparkSession, d: str) -> DataFrame:
 
 # Mesh ---------------------------------------------------------------------------------------------------------------
 
-_GRID = "c AS (SELECT k AS cell, k // 60 AS r, k % 60 AS q FROM range(0, 2400) g(k)), s AS (SELECT cell, r * 61 + q AS a, r * 61 + q + 1 AS b, (r + 1) * 61 + q + 1 AS c2, (r + 1) * 61 + q AS d2 FROM c), e AS (SELECT cell, least(a, b) AS n1, greatest(a, b) AS n2 FROM s UNION ALL SELECT cell, least(b, c2), greatest(b, c2) FROM s UNION ALL SELECT cell, least(c2, d2), greatest(c2, d2) FROM s UNION ALL SELECT cell, least(d2, a), greatest(d2, a) FROM s)"
+#: A mesh as wide as it is high, with about as many squares of 5 m as there are pipes; nodes are moved by up to 0.9 m, every third square is two triangles.
+_MESH = """g AS (SELECT greatest(CAST(floor(sqrt(count(*))) AS BIGINT), 2) AS m FROM gravity_mains),
+nd AS (SELECT k AS node, k % (m + 1) * 5.0 + (k * 7919 % 13 - 6) * 0.15 AS x, k // (m + 1) * 5.0 + (k * 104729 % 11 - 5) * 0.15 AS y FROM g, range(0, (SELECT (m + 1) * (m + 1) FROM g)) r(k)),
+sq AS (SELECT k, k // m * (m + 1) + k % m AS a, k // m * (m + 1) + k % m + 1 AS b, (k // m + 1) * (m + 1) + k % m + 1 AS c, (k // m + 1) * (m + 1) + k % m AS d FROM g, range(0, (SELECT m * m FROM g)) r(k)),
+cl AS (SELECT 2 * k AS cell, [a, b, c, d] AS nodes FROM sq WHERE k % 3 <> 0 UNION ALL SELECT 2 * k, [a, b, c] FROM sq WHERE k % 3 = 0 UNION ALL SELECT 2 * k + 1, [a, c, d] FROM sq WHERE k % 3 = 0),
+si AS (SELECT cell, len(nodes) AS n, j, nodes[j] AS n1, nodes[j % len(nodes) + 1] AS n2 FROM cl, range(1, 5) r(j) WHERE j <= len(nodes)),
+sd AS (SELECT cell, n, j, n1, n2, p.x AS x, p.y AS y, q.x - p.x AS ex, q.y - p.y AS ey FROM si JOIN nd p ON p.node = n1 JOIN nd q ON q.node = n2)"""
 
 
-def _grid(s: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return M.grid(0.0, 0.0, 60, 40, 5.0, s)
+def _mesh(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    m = max(math.isqrt(read(s, d, "gravity_mains").count()), 2)
+    k = F.col("id")
+    row = F.floor(k / (m + 1))
+    nodes = s.range((m + 1) ** 2).select(k.alias("node"), (k % (m + 1) * 5.0 + (k * 7919 % 13 - 6) * 0.15).alias("x"), (row * 5.0 + (k * 104729 % 11 - 5) * 0.15).alias("y"))
+    a = F.floor(k / m) * (m + 1) + k % m
+    b, c, e = a + 1, a + m + 2, a + m + 1
+    made = lambda *v: F.array(*v).cast("array<bigint>")
+    squares = s.range(m * m).select(F.when(k % 3 == 0, F.array(F.struct((2 * k).alias("cell"), made(a, b, c).alias("nodes")), F.struct((2 * k + 1).alias("cell"), made(a, c, e).alias("nodes")))).otherwise(F.array(F.struct((2 * k).alias("cell"), made(a, b, c, e).alias("nodes")))).alias("c"))
+    return squares.select(F.inline("c")), nodes
 
 
-@query(f"WITH {_GRID}, l AS (SELECT n1, n2, count(*) AS cells FROM e GROUP BY ALL) SELECT cells, count(*) AS links FROM l GROUP BY cells")
+@query(f"WITH {_MESH}, l AS (SELECT least(n1, n2), greatest(n1, n2), count(*) AS cells FROM si GROUP BY ALL) SELECT cells, count(*) AS links FROM l GROUP BY cells")
 def edge_multiplicity(s: SparkSession, d: str) -> DataFrame:
-    return M.multiplicity(_grid(s)[0])
-
-
-@query(f"WITH {_GRID}, l AS (SELECT n1, n2, count(*) AS cells FROM e GROUP BY ALL) SELECT n1, n2, CAST(0.0 AS DOUBLE) AS cos, CAST(5.0 AS DOUBLE) AS flow_length FROM l WHERE cells = 2")
-def orthogonality(s: SparkSession, d: str) -> DataFrame:
-    c, n = _grid(s)
-    return M.orthogonality(c, n).select("n1", "n2", F.round(F.abs("cos"), 5).alias("cos"), F.round("flow_length", 5).alias("flow_length"))
+    return M.multiplicity(_mesh(s, d)[0])
 
 
-@query(f"WITH {_GRID} SELECT cell, CAST(25.0 AS DOUBLE) AS area, CAST(90.0 AS DOUBLE) AS angle FROM c")
-def cell_shapes(s: SparkSession, d: str) -> DataFrame:
-    c, n = _grid(s)
-    return M.areas(c, n).join(M.least_angles(c, n), "cell").select("cell", F.round("area", 5).alias("area"), F.round("angle", 5).alias("angle"))
-
-
-def _extent_grid(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """A mesh over the extent of the storage nodes, with about as many cells as there are pipes."""
-    p = read(s, d, "storagenodes").select(F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y")).filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
-    b = p.agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1")).first()
-    n = read(s, d, "gravity_mains").count()
-    if b["x0"] is None or not n:
-        return M.grid(0.0, 0.0, 1, 1, 5.0, s)
-    w, h = max(b["x1"] - b["x0"], 1.0), max(b["y1"] - b["y0"], 1.0)
-    size = max((w * h / n) ** 0.5, max(w, h) / n)
-    return M.grid(b["x0"], b["y0"], math.ceil(w / size), math.ceil(h / size), size, s)
+#: Centres: of triangles by their sides, of others by least squares; then the way from the vertex mean, as far as it stays inside.
+_CENTRES = """ce AS (SELECT cell, any_value(n) AS n, avg(x) AS mx, avg(y) AS my, sum(x * (y + ey) - (x + ex) * y) / 2 AS area, sum(ex*ex/(ex*ex+ey*ey)) AS a, sum(ex*ey/(ex*ex+ey*ey)) AS b, sum(ey*ey/(ex*ex+ey*ey)) AS d_,
+ sum(ex*(ex*(x+ex/2)+ey*(y+ey/2))/(ex*ex+ey*ey)) AS f, sum(ey*(ex*(x+ex/2)+ey*(y+ey/2))/(ex*ex+ey*ey)) AS g FROM sd GROUP BY cell),
+t AS (SELECT cell, max(x) FILTER (j = 1) AS x1, max(y) FILTER (j = 1) AS y1, max(x) FILTER (j = 2) AS x2, max(y) FILTER (j = 2) AS y2, max(x) FILTER (j = 3) AS x3, max(y) FILTER (j = 3) AS y3 FROM sd WHERE n = 3 GROUP BY cell),
+tc AS (SELECT cell, ((x1*x1+y1*y1)*(y2-y3)+(x2*x2+y2*y2)*(y3-y1)+(x3*x3+y3*y3)*(y1-y2)) / (2*(x1*(y2-y3)+x2*(y3-y1)+x3*(y1-y2))) AS cx, ((x1*x1+y1*y1)*(x3-x2)+(x2*x2+y2*y2)*(x1-x3)+(x3*x3+y3*y3)*(x2-x1)) / (2*(x1*(y2-y3)+x2*(y3-y1)+x3*(y1-y2))) AS cy FROM t),
+r AS (SELECT ce.*, coalesce(tc.cx, (f*d_-g*b)/(a*d_-b*b)) - mx AS rx, coalesce(tc.cy, (a*g-b*f)/(a*d_-b*b)) - my AS ry FROM ce LEFT JOIN tc USING (cell)),
+w AS (SELECT cell, min(((x-mx)*ey-(y-my)*ex)/(rx*ey-ry*ex)) AS s FROM sd JOIN r USING (cell) WHERE rx*ey-ry*ex > 1e-9 GROUP BY cell),
+z AS (SELECT cell, area, mx + least(1, coalesce(s, 1))*rx AS x, my + least(1, coalesce(s, 1))*ry AS y FROM r LEFT JOIN w USING (cell))"""
 
 
-@query()
-def edge_multiplicity_extent(s: SparkSession, d: str) -> DataFrame:
-    return M.multiplicity(_extent_grid(s, d)[0])
+@query(f"""WITH {_MESH}, {_CENTRES}, l AS (SELECT least(n1, n2) AS n1, greatest(n1, n2) AS n2, min(cell) AS c1, max(cell) AS c2 FROM si GROUP BY 1, 2 HAVING count(*) = 2)
+SELECT l.n1, l.n2, round(abs((b.x-a.x)*(q.x-p.x)+(b.y-a.y)*(q.y-p.y)) / sqrt((b.x-a.x)*(b.x-a.x)+(b.y-a.y)*(b.y-a.y)) / sqrt((q.x-p.x)*(q.x-p.x)+(q.y-p.y)*(q.y-p.y)), 4) AS cos, round(sqrt((q.x-p.x)*(q.x-p.x)+(q.y-p.y)*(q.y-p.y)), 4) AS flow_length
+FROM l JOIN z p ON p.cell = c1 JOIN z q ON q.cell = c2 JOIN nd a ON a.node = l.n1 JOIN nd b ON b.node = l.n2""")
+def orthogonality(s: SparkSession, d: str) -> DataFrame:
+    c, n = _mesh(s, d)
+    return M.orthogonality(c, n).select("n1", "n2", F.round("cos", 4).alias("cos"), F.round("flow_length", 4).alias("flow_length"))
 
 
-@query()
-def orthogonality_extent(s: SparkSession, d: str) -> DataFrame:
-    c, n = _extent_grid(s, d)
-    return M.orthogonality(c, n).select("n1", "n2", F.round(F.abs("cos"), 5).alias("cos"), F.round("flow_length", 5).alias("flow_length"))
+@query(f"""WITH {_MESH}, ar AS (SELECT cell, sum(x * (y + ey) - (x + ex) * y) / 2 AS area FROM sd GROUP BY cell),
+an AS (SELECT s.cell, min(degrees(acos(greatest(-1, least(1, -(s.ex*p.ex+s.ey*p.ey)/sqrt((s.ex*s.ex+s.ey*s.ey)*(p.ex*p.ex+p.ey*p.ey))))))) AS angle FROM sd s JOIN sd p ON p.cell = s.cell AND s.j = p.j % s.n + 1 GROUP BY s.cell)
+SELECT cell, round(area, 5) AS area, round(angle, 4) AS angle FROM ar JOIN an USING (cell)""")
+def cell_shapes(s: SparkSession, d: str) -> DataFrame:
+    c, n = _mesh(s, d)
+    return M.areas(c, n).join(M.least_angles(c, n), "cell").select("cell", F.round("area", 5).alias("area"), F.round("angle", 4).alias("angle"))
 
 
-@query()
-def cell_shapes_extent(s: SparkSession, d: str) -> DataFrame:
-    c, n = _extent_grid(s, d)
-    return M.areas(c, n).join(M.least_angles(c, n), "cell").select("cell", F.round("area", 5).alias("area"), F.round("angle", 5).alias("angle"))
+@query(f"""WITH {_MESH}, {_CENTRES}, l AS (SELECT least(n1, n2) AS n1, greatest(n1, n2) AS n2, min(cell) AS c1, max(cell) AS c2 FROM si GROUP BY 1, 2 HAVING count(*) = 2),
+o AS (SELECT abs((b.x-a.x)*(q.x-p.x)+(b.y-a.y)*(q.y-p.y)) / sqrt((b.x-a.x)*(b.x-a.x)+(b.y-a.y)*(b.y-a.y)) / sqrt((q.x-p.x)*(q.x-p.x)+(q.y-p.y)*(q.y-p.y)) AS cos FROM l JOIN z p ON p.cell = c1 JOIN z q ON q.cell = c2 JOIN nd a ON a.node = l.n1 JOIN nd b ON b.node = l.n2)
+SELECT round(quantile_cont(cos, 0.01), 4) AS p1, round(quantile_cont(cos, 0.05), 4) AS p5, round(quantile_cont(cos, 0.5), 4) AS p50, round(quantile_cont(cos, 0.95), 4) AS p95, round(quantile_cont(cos, 0.99), 4) AS p99, round(avg(cos), 4) AS mean, round(max(cos), 4) AS greatest FROM o""")
+def mesh_quality(s: SparkSession, d: str) -> DataFrame:
+    q = M.quality(M.orthogonality(*_mesh(s, d)), "cos")
+    return q.select(*[F.round(c, 4).alias(c) for c in q.columns])
 
 
 # Forcing ------------------------------------------------------------------------------------------------------------

@@ -92,6 +92,8 @@ def test_traversals(spark):
     cap = e.withColumn("capacity", F.when(F.col("id") == 2, 1).otherwise(5))
     ids = sorted(r.id for r in graph.min_cut(cap, spark.createDataFrame([(0,)], "node bigint"), 4).collect())
     assert ids == [1]
+    more = graph.min_cut(cap, spark.createDataFrame([(0,)], "node bigint"), 4, stops=spark.createDataFrame([(3,)], "id bigint")).collect()
+    assert [tuple(r) for r in more] == [(2, 1)]
     deep = spark.createDataFrame([(k, k, k + 1) for k in range(70)], "id bigint, u bigint, v bigint")
     t = graph.bfs(deep, spark.createDataFrame([(0,)], "id bigint")).withColumn("w", F.lit(1))
     assert {r.id: r.total for r in graph.accumulated(t, "w").collect()} == {k: 70 - k for k in range(70)}
@@ -149,13 +151,52 @@ def test_matches_pairs_and_connections(spark):
     a = lines(spark, [(1, line((0, 0), (40, 0)))])
     b = lines(spark, [(11, line((0, 1), (40, 1))), (12, line((0, 0.5), (20, 0.5))), (13, line((40, 3), (0, 3)))])
     assert [(r.id, r.match, r.distance) for r in network.hausdorff_matches(a, b, 5.0).collect()] == [(1, 11, 1)]
-    pairs = {(r.id, r.other): r.share for r in network.carriageway_pairs(a.unionByName(b), 4.0).collect()}
-    assert pairs[1, 13] == 1 and (1, 11) not in pairs
+    # beside and against: 13; beside but along: 11, 12; against but ahead, too near, or of another name: none
+    named = a.unionByName(b).withColumn("name", F.lit("A"))
+    far = lines(spark, [(14, line((40, -3), (0, -3))), (15, line((44, 0), (84, 0.5))), (16, line((40, -0.5), (0, -0.5)))]).withColumn("name", F.when(F.col("id") == 14, "B"))
+    pairs = {(r.id, r.other): r.samples for r in network.carriageway_pairs(named.unionByName(far), 4.0).collect()}
+    assert pairs[1, 13] == 4 and pairs[13, 11] == 4 and not {k for k in pairs if k in ((1, 11), (1, 12), (1, 14), (1, 15), (1, 16))}
     out = spark.createDataFrame([(1, 40.0, 0.005)], "id bigint, x double, y double")
     got = network.connect_ends(a, out, lines(spark, [(50, line((45, -9), (45, 2), (45, 9)))]), 0.01, 20.0).collect()
     assert [(r.id, r.end, r.channel, (r.c[-1].x, r.c[-1].y), len(r.c)) for r in got] == [(1, "end", 50, (45, 2), 3)]
 
 
+OUT = "id bigint, geometry array<struct<x:double,y:double>>, outfall boolean"
+
+
+def test_every_status_of_an_outfall(spark):
+    from rillwork.operators import outfalls
+
+    def up(x, y1, y0=50, **more):
+        return line((x, y0), *more.get("via", ()), (x, y1))
+
+    pipes = [
+        (1, up(0, 0.005), True), (2, up(20, 10), True), (21, line((20, 10), (25, 30)), False), (3, up(40, 10), True),
+        (4, up(60, -5), True), (41, line((60, -40), (60, -5)), False), (5, up(81, -5), True), (6, up(110, -5), True), (7, up(121, 1), True),
+        (8, up(140, 10), True), (81, line((135, 5), (145, 5)), False), (9, up(160, 10), True), (10, up(180, 45), True),
+        (11, up(200, 12), True), (12, line((190, 50), (200, 12)), True), (13, line((260, 50), (220, 8)), False), (14, None, True), (15, [], None),
+    ]
+    drains = [(1, line((-10, 0), (80, 0), (120, 0), (300, 0)), True), (2, line((30, 10), (50, 10)), False)]
+    p = spark.createDataFrame(pipes, OUT)
+    d = spark.createDataFrame(drains, "id bigint, geometry array<struct<x:double,y:double>>, channel boolean")
+    trig = spark.createDataFrame([(1, 220.0, 8.0), (2, None, 1.0), (3, 20.0, 10.0)], "id bigint, x double, y double")
+    rows = {r.id: r for r in outfalls.outfall_connections(p, d, trig, 0.01, 2.0, 20.0).collect()}
+    want = {1: "connected", 2: "not_outfall", 3: "on_drain", 4: "crossing_shared", 5: "trim_vertex", 6: "trim_split", 7: "snap_vertex", 8: "extend_crosses", 9: "extend", 10: "too_far", 11: "extend", 12: "shared", 13: "extend", 21: "not_outfall"}
+    assert {k: r.status for k, r in rows.items()} == want
+    assert (rows[13].trigger, rows[9].trigger, rows[13].end) == ("discharge_point", "pipetype", "end")
+    assert (rows[5].x, rows[5].trimmed, rows[5].moved, rows[6].x, rows[7].moved > 0, rows[9].added, rows[9].channel) == (80, 5, 1, 110, True, 10, 1)
+    got = {r.id: [(v.x, v.y) for v in r.c] for r in outfalls.connected_lines(p, spark.createDataFrame(rows.values(), outfalls.outfall_connections(p, d, trig).schema)).collect()}
+    assert got[5] == [(81, 50), (80, 0)] and got[6] == [(110, 50), (110, 0)] and got[9][-1] == (160, 0) and got[10] == [(180, 50), (180, 45)]
+    nodes = sorted(round(r["at"], 3) for r in outfalls.channel_nodes(d, spark.createDataFrame(rows.values(), outfalls.outfall_connections(p, d, trig).schema)).collect())
+    assert nodes == [10, 90, 120, 130, 170, 210, 230]
+    none = outfalls.outfall_connections(p.limit(0), d.limit(0), trig.limit(0))
+    assert none.count() == 0
+    inlets = spark.createDataFrame([(7.0,), (float("nan"),)], "objectid double")
+    pts = spark.createDataFrame([(5, "A", 180.1, 45.0, 10.0), (6, "B", 500.0, 0.0, None), (8, "C", 160.0, 10.0, 1.0)], "fid bigint, facilityid string, x double, y double, dem double")
+    new = outfalls.converted_outfalls(spark.createDataFrame(rows.values(), none.schema), pts, inlets).collect()
+    assert sorted((r.objectid, r.fid, r.source, r.pipes, r.rim) for r in new) == [(8, 5, "too_far", "10", 32.8084), (9, 6, "orphan", "", None)]
+
+
 def _queries(spark, folder, **tables):
     import __spark_entry__ as e
 
@@ -170,10 +211,10 @@ def test_pairs_of_any_ids(spark, tmp_path):
     same = [(k, line((0, 0), (5, 5))) for k in (10, 12)] + [(14, line((5, 5), (0, 0))), (15, line((0, 0), (5, 6)))]
     table = lambda rows: lines(spark, rows).withColumnRenamed("id", "fid")
     run = _queries(spark, tmp_path, hydroobject=table(geo), gravity_mains=table(same))
-    assert sorted((r.a, r.b) for r in run("segment_crossings_whole")) == [(2, 4), (3, 5)]
-    assert [(r.id1, r.id2, r.distance) for r in run("near_miss_pairs_whole")] == [(6, 8, 1)]
+    assert sorted((r.a, r.b) for r in run("segment_crossings")) == [(2, 4), (3, 5)]
+    assert [(r.id1, r.id2, r.distance) for r in run("near_miss_pairs")] == [(6, 8, 1)]
     assert {(6, 8), (8, 6)} <= {(r.id, r.match) for r in run("hausdorff_matches")}
-    assert {r.id: r.same_as for r in run("same_geometry_classes")} == {10: 10, 12: 10, 14: 10, 15: 15}
+    assert {r.id: r.same_as for r in run("same_geometry")} == {10: 10, 12: 10, 14: 10, 15: 15}
 
 
 def test_rank_within_a_hot_line(spark, tmp_path):
@@ -181,7 +222,7 @@ def test_rank_within_a_hot_line(spark, tmp_path):
     rows += [(1001, "B", 0.0, "Culvert"), (1002, "B", -0.0, "Trunk"), (1003, "B", 2.0, "Trunk"), (1004, "B", 9.0, "Culvert"), (1005, None, 1.0, "Culvert"), (1006, "B", math.nan, "Trunk")]
     run = _queries(spark, tmp_path, gravity_mains=spark.createDataFrame(rows, "fid bigint, facilityid string, upelev double, pipetype string"))
     want = {k: sum(u > z and kind == "Trunk" for _, line_, u, kind in rows if line_ == at) for k, at, z, of in rows if of == "Culvert" and at}
-    assert {r.fid: r.ahead for r in run("ranked_within_line_whole")} == want and want[1001] == 1
+    assert {r.fid: r.ahead for r in run("ranked_within_line")} == want and want[1001] == 1
 
 
 def test_whole_tables_in_surface_queries(spark, tmp_path):
@@ -194,8 +235,8 @@ def test_whole_tables_in_surface_queries(spark, tmp_path):
         orders=spark.createDataFrame([(k, "O", 1.0) for k in range(5)], "o_orderkey bigint, o_orderstatus string, o_totalprice double"),
         lineitem=spark.createDataFrame([(0, 9, 2), (0, 9, 3)], "l_orderkey bigint, l_partkey bigint, l_linenumber int"),
     )
-    assert {r.node for r in run("floor_lowering_whole")} == {7000000001, 7000000002}
-    beds = {(r.branch, r["at"]): r.bed for r in run("pipe_beds_around_whole")}
+    assert {r.node for r in run("floor_lowering")} == {7000000001, 7000000002}
+    beds = {(r.branch, r["at"]): r.bed for r in run("pipe_beds_around")}
     assert (beds[0, 6.0], beds[0, 34.0], beds[5, 16.0], beds[10, 26.0]) == (9.0, 6.0, 3.0, -2.0)
     assert sorted(r.id for r in run("min_cut")) == [-5, 1]
     # a mesh of 6 x 2

@@ -6,7 +6,9 @@ Nothing is broadcast: points meet tiles on the cells of a common grid.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -115,3 +117,12 @@ def stacked(cubes: list[DataFrame], keys: list[str], newest: str) -> DataFrame:
     for c in cubes:
         out = c if out is None else out.unionByName(c)
     return out.withColumn("__k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(newest).desc()))).filter("__k = 1").drop("__k")
+
+
+def banded(spark: SparkSession, x0: float, y0: float, x1: float, y1: float, cell: float = 10.0, pad: float = 20.0, bands: int = 3) -> DataFrame:
+    """Tiles, one for each row of pixels, of a raster of upright bands numbered from the west, over a box and a margin around it."""
+    left, low, right, high = x0 - pad, y0 - pad, x1 + pad, y1 + pad
+    nx, ny = math.ceil((right - left) / cell), math.ceil((high - low) / cell)
+    middle = lambda k: F.lit(left) + (k + 0.5) * F.lit(cell)
+    band = lambda k: F.lit(1.0) + sum(((middle(k) > left + (right - left) * b / bands).cast("double") for b in range(1, bands)), F.lit(0.0))
+    return spark.range(ny).select(F.col("id").alias("tile"), F.lit(left).alias("x0"), (F.lit(low) + F.col("id") * cell).alias("y0"), F.lit(cell).alias("dx"), F.lit(cell).alias("dy"), F.lit(nx).alias("nx"), F.lit(1).alias("ny"), F.lit(0.0).alias("nodata"), F.transform(F.sequence(F.lit(0), F.lit(nx - 1)), band).alias("data"))

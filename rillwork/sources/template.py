@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +63,27 @@ def numbered(df: DataFrame, layer: str, key: str) -> DataFrame:
     from ..operators.cleaning import global_rank
 
     return global_rank(df, [key]).withColumn("objectid", F.col("rank")).drop("rank").withColumn("nen3610id", F.concat_ws(".", F.lit("NL.template"), F.lit(layer), F.col(key)))
+
+
+def _rule(name: str, variable: str, message: str, function: dict) -> dict:
+    return {"id": 0, "name": name, "type": "topologic", "validation_rule_set": "basic", "error_type": "critical", "result_variable": variable, "error_message": message, "active": True, "function": function}
+
+
+#: The rules a validator of the data model reads; names and messages are what it shows.
+VALIDATION_RULES = {
+    "schema": "1.1",
+    "hydamo_version": "2.2",
+    "status_object": ["planvorming", "gerealiseerd"],
+    "objects": [
+        {"object": "profiellijn", "validation_rules": [_rule("Profiel moet intersecten met een waterlijn", "op_watergang", "niet op watergang", {"snaps_to_hydroobject": {"method": "overall"}})]},
+        {"object": "duikersifonhevel", "validation_rules": [_rule("Duiker moet samenvallen met het hydroobject", "op_hydroobject", "niet op hydroobject", {"snaps_to_hydroobject": {"tolerance": 0.5, "method": "ends"}})]},
+    ],
+}
+
+
+def write_rules(folder: str) -> str:
+    """Writes ValidationRules.json into a folder; returns its path."""
+    path = os.path.join(folder, "ValidationRules.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(VALIDATION_RULES, f, indent=2)
+    return path

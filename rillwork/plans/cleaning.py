@@ -60,67 +60,6 @@ def unit_conversion(s: SparkSession, d: str) -> DataFrame:
     return t.select("fid", F.round(F.col("width") / C.IN_PER_M, 4).alias("width_m"), C.metres(F.col("upelev"), 4).alias("up_m"))
 
 
-@query(f"""WITH n AS (SELECT fid, {_n('rimelev')} AS rim, {_n('invertelev')} AS inv, {_n('depth')} AS dep, CASE WHEN fid % 3 = 0 THEN NULL ELSE 10.0 + (fid % 17) END AS dem FROM inlets),
-b AS (SELECT *, dep IS NULL OR dep <= 0 AS bad, rim IS NOT NULL AND rim > 0 AS hr, inv IS NOT NULL AS hi FROM n),
-c AS (SELECT *, CASE WHEN hr THEN rim WHEN hi AND inv > 0 THEN inv + 9.84252 WHEN dem IS NOT NULL THEN dem * 3.28084 ELSE 0 END AS base, CASE WHEN hr THEN 'rim' WHEN hi AND inv > 0 THEN 'invert' WHEN dem IS NOT NULL THEN 'dem' ELSE 'zero' END AS bs FROM b)
-SELECT fid, round(CASE WHEN bad THEN base WHEN NOT hr AND hi AND inv > 0 THEN inv + dep WHEN NOT hr AND NOT hi THEN coalesce(dem * 3.28084, 0) ELSE rim END, 3) AS new_rim,
- round(CASE WHEN bad THEN base - 9.84252 WHEN hr AND NOT hi THEN rim - dep WHEN NOT hr AND NOT hi THEN coalesce(dem * 3.28084, 0) - dep ELSE inv END, 3) AS new_invert,
- CASE WHEN bad THEN 9.84252 ELSE dep END AS new_depth, CASE WHEN bad THEN bs WHEN NOT hr OR NOT hi THEN 'completed' ELSE 'kept' END AS source FROM c""")
-def node_level_normalise(s: SparkSession, d: str) -> DataFrame:
-    t = read(s, d, "inlets").select("fid", F.col("rimelev").alias("rim"), F.col("invertelev").alias("invert"), "depth", F.when(F.col("fid") % 3 != 0, 10.0 + (F.col("fid") % 17)).alias("dem"))
-    return K.normalised_nodes(t).select("fid", F.round("new_rim", 3).alias("new_rim"), F.round("new_invert", 3).alias("new_invert"), "new_depth", "source")
-
-
-_ENDS = "(SELECT f.fid AS id, g.v AS level FROM inlets f JOIN (SELECT fid AS k, upelev AS v FROM gravity_mains UNION ALL SELECT fid, downelev FROM gravity_mains) g ON g.k = f.fid AND g.v IS NOT NULL AND NOT isnan(g.v) AND g.v > 0)"
-
-
-@query(f"""WITH n AS (SELECT fid, {_n('rimelev')} AS rim, {_n('invertelev')} AS inv, {_n('depth')} AS dep, CASE WHEN fid % 5 = 0 THEN NULL ELSE 55.0 + (fid % 13) END AS dem FROM inlets),
-b AS (SELECT *, coalesce((rim IS NULL OR rim <= 0 OR abs(rim - dem) > 15) AND dem IS NOT NULL, false) AS rb FROM n),
-c AS (SELECT *, CASE WHEN rb THEN dem ELSE rim END AS nr FROM b),
-e AS (SELECT *, coalesce(inv IS NULL OR inv <= 0 OR inv >= nr OR nr - inv > 40 OR nr IS NULL, true) AS ib FROM c),
-k AS (SELECT *, rb AND NOT ib AND coalesce(dep > 0 AND dep <= 40, false) AS kp FROM e),
-l AS (SELECT k.fid, min(level) AS low FROM k JOIN {_ENDS} g ON g.id = k.fid AND k.ib AND level < nr AND nr - level <= 40 GROUP BY k.fid)
-SELECT k.fid, round(nr, 3) AS new_rim, round(CASE WHEN kp THEN nr - dep WHEN ib THEN coalesce(low, nr - 9.84252) ELSE inv END, 3) AS new_invert,
- CASE WHEN rb AND (ib OR kp) THEN 'rim+invert' WHEN rb THEN 'rim' WHEN ib THEN 'invert' END AS reason FROM k LEFT JOIN l USING (fid)""")
-def node_level_repair(s: SparkSession, d: str) -> DataFrame:
-    t = read(s, d, "inlets").select(F.col("fid").alias("id"), F.col("rimelev").alias("rim"), F.col("invertelev").alias("invert"), "depth", F.when(F.col("fid") % 5 != 0, 55.0 + (F.col("fid") % 13)).alias("dem_ft"))
-    m = read(s, d, "gravity_mains")
-    ends = m.select(F.col("fid").alias("k"), F.explode(F.array("upelev", "downelev")).alias("level"))
-    low = t.select("id", F.col("id").alias("k")).join(ends, "k").select("id", "level")
-    return K.repaired_nodes(t, low).select(F.col("id").alias("fid"), F.round("new_rim", 3).alias("new_rim"), F.round("new_invert", 3).alias("new_invert"), "reason")
-
-
-@query(f"""WITH p AS (SELECT fid, {_n('upelev')} AS u, {_n('downelev')} AS w FROM gravity_mains),
-e AS (SELECT fid, 'up' AS side, CASE WHEN u > 0 AND u < 200 THEN u END AS own, CASE WHEN w > 0 AND w < 200 THEN w END AS other FROM p UNION ALL SELECT fid, 'down', CASE WHEN w > 0 AND w < 200 THEN w END, CASE WHEN u > 0 AND u < 200 THEN u END FROM p),
-i AS (SELECT ufid - 7000000000 AS k, min({_n('invertelev')}) AS inv FROM inlets WHERE {_n('invertelev')} > 0 GROUP BY 1)
-SELECT e.fid, side, round(coalesce(own, other, inv, 60 + e.fid % 10 - 9.84252), 4) AS level, CASE WHEN own IS NOT NULL THEN 'own' WHEN other IS NOT NULL THEN 'other end' WHEN inv IS NOT NULL THEN 'node' ELSE 'dem' END AS source FROM e LEFT JOIN i ON i.k = e.fid""")
-def pipe_end_cascade(s: SparkSession, d: str) -> DataFrame:
-    p = read(s, d, "gravity_mains")
-    ok = lambda c: F.when((F.col(c) > 0) & (F.col(c) < 200), F.col(c))
-    e = p.select("fid", F.explode(F.array(F.struct(F.lit("up").alias("side"), ok("upelev").alias("own"), ok("downelev").alias("other")), F.struct(F.lit("down").alias("side"), ok("downelev").alias("own"), ok("upelev").alias("other")))).alias("e")).select("fid", "e.*")
-    i = read(s, d, "inlets").withColumn("inv", C.finite(F.col("invertelev"))).filter("inv > 0").groupBy((F.col("ufid") - 7000000000).alias("k")).agg(F.min("inv").alias("inv"))
-    j = e.join(i, F.col("fid") == F.col("k"), "left")
-    value, source = K.cascade(("own", F.col("own").isNotNull(), F.col("own")), ("other end", F.col("other").isNotNull(), F.col("other")), ("node", F.col("inv").isNotNull(), F.col("inv")), ("dem", F.lit(True), 60 + F.col("fid") % 10 - F.lit(K.DEPTH_FT)))
-    return j.select("fid", "side", F.round(value, 4).alias("level"), source.alias("source"))
-
-
-@query(f"""WITH c AS (SELECT fid AS id, 'up' AS side, {_n('upelev')} AS l, CASE WHEN fid % 4 = 0 THEN 50.0 + fid % 9 END AS nl, CASE WHEN fid % 6 = 1 THEN 40.0 + fid % 9 END AS near, 60.0 + fid % 11 AS dem FROM gravity_mains UNION ALL SELECT fid, 'down', {_n('downelev')}, NULL, CASE WHEN fid % 6 = 1 THEN 40.0 + fid % 9 END, 60.0 + fid % 11 FROM gravity_mains),
-k AS (SELECT *, CASE WHEN NOT (l IS NULL OR (l <= 0 AND dem - l > 12.2)) THEN l END AS own FROM c), o AS (SELECT *, max(own) OVER (PARTITION BY id) AS oth FROM k)
-SELECT id, side AS "end", round(coalesce(own, nl, oth, near, dem - 3), 4) AS level, CASE WHEN own IS NOT NULL THEN 'own' WHEN nl IS NOT NULL THEN 'node' WHEN oth IS NOT NULL THEN 'other end' WHEN near IS NOT NULL THEN 'near node' ELSE 'dem' END AS source FROM o""")
-def culvert_invert_cascade(s: SparkSession, d: str) -> DataFrame:
-    p = read(s, d, "gravity_mains").withColumn("near_level", F.when(F.col("fid") % 6 == 1, 40.0 + F.col("fid") % 9))
-    row = lambda side, c, node: F.struct(F.lit(side).alias("end"), C.finite(F.col(c)).alias("level"), node.alias("node_level"))
-    e = p.select(F.col("fid").alias("id"), "near_level", (60.0 + F.col("fid") % 11).alias("dem"), F.explode(F.array(row("up", "upelev", F.when(F.col("fid") % 4 == 0, 50.0 + F.col("fid") % 9)), row("down", "downelev", F.lit(None).cast("double")))).alias("e")).select("id", "near_level", "dem", "e.*")
-    return K.culvert_inverts(e).withColumn("level", F.round("level", 4))
-
-
-@query("WITH n AS (SELECT fid, CASE WHEN fid % 4 = 0 THEN NULL WHEN fid % 7 = 0 THEN 0.0 ELSE 20.0 + fid % 5 END AS level, CASE WHEN fid % 3 = 0 THEN 0.0 ELSE 15.0 + fid % 5 END AS bed, 25.0 + fid % 8 AS dem FROM storagenodes), m AS (SELECT *, CASE WHEN level IS NULL OR level = 0 THEN dem ELSE level END AS nl FROM n) SELECT fid, nl AS new_level, CASE WHEN bed IS NULL OR bed = 0 THEN nl - 3 ELSE bed END AS new_bed FROM m")
-def storage_fill(s: SparkSession, d: str) -> DataFrame:
-    f = F.col("fid")
-    n = read(s, d, "storagenodes").select("fid", F.when(f % 4 == 0, None).when(f % 7 == 0, 0.0).otherwise(20.0 + f % 5).alias("level"), F.when(f % 3 == 0, 0.0).otherwise(15.0 + f % 5).alias("bed"), (25.0 + f % 8).alias("dem"))
-    return K.storage_levels(n).select("fid", "new_level", "new_bed")
-
-
 @query(f"""WITH c AS (SELECT fid, nullif({_n('width')}, 0) AS w, nullif({_n('bankwidth')}, 0) AS b, nullif({_n('depth')}, 0) AS dp FROM open_drains), k AS (SELECT *, w IS NULL OR b IS NULL OR dp IS NULL OR coalesce(b < w, false) AS bad FROM c)
 SELECT fid, CASE WHEN bad THEN 13.12 ELSE w END AS new_width, CASE WHEN bad THEN 32.81 ELSE b END AS new_bank, coalesce(dp, 4.92) AS new_depth, bad AS is_default FROM k""")
 def default_cross_section(s: SparkSession, d: str) -> DataFrame:

@@ -142,10 +142,10 @@ def isolated_nodes(s: SparkSession, d: str) -> DataFrame:
     return key(pts).join(key(A.line_ends(_lines(s, d, "hydroobject"))).select("gx", "gy").distinct(), ["gx", "gy"], "left_anti").select("id")
 
 
-@query(f"""WITH e AS (SELECT id, round_even(x / 0.01, 0) AS gx, round_even(y / 0.01, 0) AS gy FROM {_ENDS.format('gravity_mains')}), g AS (SELECT gx, gy, count(DISTINCT id) AS n FROM e GROUP BY ALL)
+@query(f"""WITH e AS (SELECT id, round_even(x / 0.01, 0) AS gx, round_even(y / 0.01, 0) AS gy FROM {_ENDS.format('hydroobject')}), g AS (SELECT gx, gy, count(DISTINCT id) AS n FROM e GROUP BY ALL)
 SELECT id FROM e JOIN g USING (gx, gy) GROUP BY id HAVING max(n) = 1""")
 def standalone_branches(s: SparkSession, d: str) -> DataFrame:
-    return N.standalone(_lines(s, d, "gravity_mains"), 0.01)
+    return N.standalone(_lines(s, d, "hydroobject"), 0.01)
 
 
 @query(f"""WITH e AS {_ENDS.format('hydroobject')}, h AS (SELECT DISTINCT e.id, side FROM e JOIN {_PTS.format('storagenodes')} p ON p.x BETWEEN e.x - 6 AND e.x + 6 AND p.y BETWEEN e.y - 6 AND e.y + 6 AND sqrt((p.x-e.x)*(p.x-e.x)+(p.y-e.y)*(p.y-e.y)) <= 6)
@@ -351,26 +351,6 @@ def stub_extension(s: SparkSession, d: str) -> DataFrame:
     return got.select("id", "end", F.round("old_length", 3).alias("old_length"), F.round("extension", 3).alias("extension"), F.round(G.length(F.col("c")), 3).alias("new_length"))
 
 
-@query("""WITH c AS (SELECT fid, pipetype = 'Trunk' AS is_pipe, CASE WHEN NOT isnan(upelev) AND upelev BETWEEN 1 AND 200 THEN upelev END AS z_cut, CASE WHEN NOT isnan(downelev) AND downelev BETWEEN 1 AND 200 THEN downelev END AS z_far, CASE WHEN fid % 3 = 0 THEN NULL ELSE 50.0 + fid % 7 END AS z_beyond FROM gravity_mains)
-SELECT fid, CASE WHEN own THEN CASE WHEN z_cut < z_far THEN 'outflow' ELSE 'inflow' END WHEN bey THEN CASE WHEN z_beyond < z_cut THEN 'outflow' ELSE 'inflow' END ELSE 'outflow' END AS direction, CASE WHEN own THEN 'own pipe slope' WHEN bey THEN 'bed beyond the cut' ELSE 'flat or unknown' END AS rule
-FROM (SELECT *, coalesce(is_pipe AND abs(z_cut - z_far) > 0.01, false) AS own, coalesce(abs(z_beyond - z_cut) > 0.01, false) AS bey FROM c)""")
-def cut_boundary_direction(s: SparkSession, d: str) -> DataFrame:
-    z = lambda c: F.when(F.col(c).between(1, 200) & ~F.isnan(c), F.col(c))
-    c = read(s, d, "gravity_mains").select("fid", F.coalesce(F.col("pipetype") == "Trunk", F.lit(False)).alias("is_pipe"), z("upelev").alias("z_cut"), z("downelev").alias("z_far"), F.when(F.col("fid") % 3 != 0, 50.0 + F.col("fid") % 7).alias("z_beyond"))
-    return N.cut_directions(c).select("fid", "direction", "rule")
-
-
-@query()
-def elevation_propagation(s: SparkSession, d: str) -> DataFrame:
-    """Levels of pipe ends filled along the network in rounds, with their source."""
-    m = read(s, d, "gravity_mains")
-    ends = A.clustered_ends(m.select(F.col("fid").alias("id"), "geometry"), 0.0001)
-    z = lambda c: F.when(F.col(c).between(1, 400) & ~F.isnan(c), F.col(c))
-    lv = m.select(F.col("fid").alias("id"), z("upelev").alias("up"), z("downelev").alias("down"))
-    e = ends.join(lv, "id").select((F.col("id") * 2 + F.when(F.col("end") == "start", 0).otherwise(1)).alias("pt"), "id", "node", F.lit(None).cast("double").alias("along"), F.lit(None).cast("double").alias("bed"), F.when(F.col("end") == "start", F.col("up")).otherwise(F.col("down")).alias("value"))
-    return A.fixed_point_levels(e)
-
-
 _BARE_ENDS = "(SELECT id * 2 + 1 AS id, x, y FROM " + _ENDS.format("gravity_mains") + " q WHERE side = 'end')"
 
 

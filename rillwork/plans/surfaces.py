@@ -149,21 +149,6 @@ def initial_depths(s: SparkSession, d: str) -> DataFrame:
     return X.initial_depths(read(s, d, "storagenodes").select("fid", F.coalesce("code", F.lit("")).alias("code")), 0.1, 2.0)
 
 
-@query("""WITH b AS (SELECT fid AS branch, CASE WHEN NOT isnan(upelev) THEN upelev END AS u, CASE WHEN NOT isnan(downelev) THEN downelev END AS w FROM gravity_mains), r AS (SELECT fid % 4000 AS branch, 5.0 + fid % 9 AS bed, CASE WHEN NOT isnan(shift) THEN shift END AS sh FROM crosssection_location)
-SELECT branch, round(min(bed), 4) AS bed FROM (SELECT branch, least(u, w) AS bed FROM b UNION ALL SELECT branch, bed + coalesce(sh, 0) FROM r) GROUP BY branch""")
-def bed_per_branch(s: SparkSession, d: str) -> DataFrame:
-    p = read(s, d, "gravity_mains").select(F.col("fid").alias("branch"), C.finite(F.col("upelev")).alias("up"), C.finite(F.col("downelev")).alias("down"))
-    r = read(s, d, "crosssection_location").select((F.col("fid") % 4000).alias("branch"), (5.0 + F.col("fid") % 9).alias("bed"), C.finite(F.col("shift")).alias("shift"))
-    return X.beds(p, r).withColumn("bed", F.round("bed", 4))
-
-
-@query("""WITH l AS (SELECT fid, definition, upper(trim(branch_id)) AS b FROM crosssection_location WHERE trim(branch_id) <> '' AND definition IS NOT NULL) SELECT DISTINCT definition || '__' || b AS definition, definition AS base FROM l""")
-def trapezium_resample(s: SparkSession, d: str) -> DataFrame:
-    loc = read(s, d, "crosssection_location").select(F.upper(F.expr("trim(branch_id)")).alias("branch"), "definition").filter("branch <> '' and definition is not null")
-    defs = loc.select("definition").distinct().withColumn("base", F.col("definition"))
-    return X.remapped(loc, defs)[1]
-
-
 @query("""WITH p AS (SELECT fid - fid % 5 AS branch, fid % 5 * 6.0 + k * 10.0 AS at_ FROM gravity_mains, range(0, 3) r(k)), c AS (SELECT fid - fid % 5 AS branch, (fid % 5) * 6.0 AS pos, downelev AS bed FROM gravity_mains WHERE NOT isnan(downelev) AND downelev IS NOT NULL)
 SELECT branch, at_ AS at, coalesce(max_by(bed, (pos, bed)) FILTER (pos <= at_), min_by(bed, (pos, bed)) FILTER (pos > at_)) AS bed FROM p LEFT JOIN c USING (branch) GROUP BY branch, at_""")
 def pipe_beds_around(s: SparkSession, d: str) -> DataFrame:

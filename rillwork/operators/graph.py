@@ -306,27 +306,36 @@ def fixed_point_levels(ends: DataFrame, max_rounds: int | None = None) -> DataFr
     ends: pt, id, node, value, along, bed. Each round uses the first source that
     fills anything, for all ends at once: 1 the lowest level of other lines' ends
     at the node, 2 a level along the line, 3 the bed, 4 the line's other end. Every
-    round fills an end, so they come to an end; needing more than max_rounds is an error.
+    round fills an end, so they come to an end; needing more than max_rounds is an
+    error. The rounds only see missing ends and what is known beside them.
     """
-    state = settled(ends.select("pt", "id", "node", "along", "bed", "value", F.lit(0).alias("source")))
+    every = settled(ends.select("pt", "id", "node", "along", "bed", "value"))
+    lost = every.filter("value is null")
+    at_node, of_line = lost.select("node").distinct(), lost.select("id").distinct()
+    known = every.filter("value is not null")
+    beside = known.join(at_node, "node", "left_semi").unionByName(known.join(of_line, "id", "left_semi")).dropDuplicates(["pt"])
+    held = settled(beside.select("pt", "id", "node", "value"))
+    todo = settled(lost.drop("value"))
+    filled = []
     for done in itertools.count():
-        known = state.filter("value is not null")
-        todo = state.filter("value is null")
-        # the lowest of the other lines: the two lowest lines of a node suffice
-        per = known.groupBy("node", "id").agg(F.min("value").alias("z"))
-        two = per.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy("z", "id"))).filter("k <= 2")
-        first = two.filter("k = 1").select("node", F.col("id").alias("id1"), F.col("z").alias("z1"))
-        second = two.filter("k = 2").select("node", F.col("z").alias("z2"))
-        other = known.select("id", F.col("pt").alias("o_pt"), F.col("value").alias("z4"))
-        tried = settled(
-            todo.join(first, "node", "left").join(second, "node", "left").join(other, "id", "left").filter("o_pt is null or o_pt <> pt").groupBy("pt").agg(F.first(F.when(F.col("id1") != F.col("id"), F.col("z1")).otherwise(F.col("z2"))).alias("s1"), F.first("along").alias("s2"), F.first("bed").alias("s3"), F.first("z4").alias("s4"))
-        )
+        # the lowest of the other lines at a node: the lowest line, or for its own ends the next
+        per = held.groupBy("node", "id").agg(F.min("value").alias("z"))
+        low = per.groupBy("node").agg(F.min(F.struct("z", "id")).alias("m")).select("node", F.col("m.id").alias("id1"), F.col("m.z").alias("z1"))
+        next_ = per.join(low, "node").filter("id <> id1").groupBy("node").agg(F.min("z").alias("z2"))
+        other = held.groupBy("id").agg(F.min("value").alias("z4"))
+        tried = todo.join(low, "node", "left").join(next_, "node", "left").join(other, "id", "left").select("pt", "id", "node", "along", "bed", F.when(F.col("id1") != F.col("id"), F.col("z1")).otherwise(F.col("z2")).alias("s1"), F.col("along").alias("s2"), F.col("bed").alias("s3"), F.col("z4").alias("s4"))
         n = tried.agg(*[F.count(f"s{k}").alias(f"s{k}") for k in (1, 2, 3, 4)]).first()
         k = next((k for k in (1, 2, 3, 4) if n[f"s{k}"]), 0)
         if not k:
             break
         if done == max_rounds:
             raise RuntimeError(f"levels not settled after {max_rounds} rounds")
-        new = tried.filter(f"s{k} is not null").select("pt", F.col(f"s{k}").alias("new"))
-        state = settled(state.join(new, "pt", "left").select("pt", "id", "node", "along", "bed", F.coalesce("value", "new").alias("value"), F.when(F.col("new").isNotNull(), k).otherwise(F.col("source")).alias("source")))
-    return state.select("pt", "value", "source")
+        got = settled(tried.select("pt", "id", "node", "along", "bed", F.col(f"s{k}").alias("value")))
+        new = got.filter("value is not null")
+        filled.append(new.select("pt", "value", F.lit(k).alias("source")))
+        todo = got.filter("value is null").drop("value")
+        held = held.unionByName(new.select("pt", "id", "node", "value"))
+        if len(filled) % 8 == 0:
+            held, filled = settled(held), [settled(_all(filled))]
+    empty = known.select("pt", "value", F.lit(0).alias("source"))
+    return _all([empty, todo.select("pt", F.lit(None).cast("double").alias("value"), F.lit(0).alias("source")), *filled])

@@ -3,12 +3,13 @@
 Every line is a unit of its own or several: line breaks are boundaries, and
 within a line each mark that may end a sentence is a candidate, unless a pair of
 quotation marks or brackets closes behind it. A blank between two Thai letters is a boundary.
-Candidates are classified by a maximum-entropy model over the neighbouring
-tokens, their case, length, digits and script, and over how often the whole
+Every other candidate is classified by a maximum-entropy model over the neighbouring
+tokens, their case, length, digits and script, over whether a blank, lower case,
+a separator or a dash follows, and over how often the whole
 corpus has the token before the mark at the end of a line and the token behind
 it at the start of one. The model learns from reliable candidates: those at line
-ends are boundaries; those before lower case or a comma, and those behind
-tokens that never end a line, are none. Statistics come from all documents, the
+ends are boundaries; those before lower case, a separator, a dash or no blank, and
+those behind tokens that never end a line, are none. Statistics come from all documents, the
 model from a bounded sample of them.
 
 Defined results for dirty input: NULL, empty and blank texts have no units;
@@ -50,6 +51,9 @@ _DIGITS = re.compile(r"\d+")
 _MARKER = re.compile(r"[\s(\[•*·-]*(?:\d{1,3}(?:\.\d{1,3})*|[A-Za-z]|[ivxIVX]{1,4})\Z")
 _STRIP = "\"'“”„«»‘’‚()[]{}¿¡「『（-–—"
 
+#: Characters before a mark, and behind it, in which the neighbouring tokens are sought: a longer token counts by its part in them.
+BEFORE, BEHIND = 40, 80
+
 #: Hashed statistics and weights have this many slots each, so they stay the same size for any corpus.
 SLOTS = 1 << 17
 _MASK = SLOTS - 1
@@ -177,13 +181,16 @@ def _term(mark: str) -> int:
     return 3
 
 
-def _candidates(line: str, wanted: tuple[int, ...] = (-1, 0, 2)) -> list[tuple[int, int, tuple]]:
+def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2)) -> list[tuple[int, int, tuple]]:
     """(end, verdict, features) of the candidates inside a line; verdict 1 boundary, 0 none, -1 to be classified.
 
     verdict 2: the line's end; 3: a list marker. features: slot of the token
     before, slot of the token behind, shape before, class behind, mark, blank,
-    closed by a mark, script, shape behind, numbers beside; empty unless the
-    verdict is wanted.
+    closed by a mark, script, shape behind, numbers beside, setting; empty unless
+    the verdict is wanted. setting: 0 a token behind a blank or glued as sentences
+    are, 1 lower case, 2 a separator, 3 a dash with nothing that begins a sentence
+    behind it, 4 no blank behind the mark. Beside a setting from 2 on the tokens
+    tell nothing, so their features are left at 0.
     """
     out = []
     spans = _matched(line) if _QUOTES.search(line) else ()
@@ -222,22 +229,29 @@ def _candidates(line: str, wanted: tuple[int, ...] = (-1, 0, 2)) -> list[tuple[i
             while k < n and (line[k].isspace() or line[k] in _DASHES):
                 k += 1
             behind = _char_class(line[k]) if k < n else 0
-            verdict = -1 if blank and behind in (1, 3, 4, 7) else 0
+            setting = 0 if blank and behind in (1, 3, 4, 7) else 3
         elif kind in (2, 6, 0):
-            verdict = 0
+            setting = 1 if kind == 2 else 2
         elif not blank:
             before = line[start - 1] if start else " "
             if mark == ".":
                 # a full stop without a blank only ends something if a word ends before and begins behind it
                 word = start >= 2 and before.islower() and line[start - 2].isalpha() or before.isdigit() or closed
-                verdict = -1 if kind in (1, 4) and word and (not before.isdigit() or kind == 1 or nxt in "¿¡") or (kind == 7 and closed) else 0
+                setting = 0 if kind in (1, 4) and word and (not before.isdigit() or kind == 1 or nxt in "¿¡") or (kind == 7 and closed) else 4
             else:
-                verdict = -1 if kind in (1, 4, 7) or (kind == 3 and _term(mark) == 4) or (kind == 3 and _script(before) >= 6) else 0
+                setting = 0 if kind in (1, 4, 7) or (kind == 3 and _term(mark) == 4) or (kind == 3 and _script(before) >= 6) else 4
         else:
-            verdict = -1
-        if verdict == -1 and mark == "." and _MARKER.match(line[:start]):
+            setting = 0
+        verdict = -1
+        if not setting and mark == "." and _MARKER.match(line[:start]):
             verdict = 3  # a list marker, no boundary and nothing to learn from
-        out.append((at, verdict, _context(line, start, mark, line[rest : rest + 80], blank, closed) if verdict in wanted else ()))
+        if verdict not in wanted:
+            features = ()
+        elif setting > 1:
+            features = (0, 0, 0, kind, _term(mark), int(blank), int(closed), _script(line[start - 1]) if start else 9, 0, 0, setting)
+        else:
+            features = (*_context(line, start, mark, line[rest : rest + BEHIND], blank, closed)[:10], setting)
+        out.append((at, verdict, features))
     if len(out) > 1:
         out.sort(key=lambda x: x[0])
     return out
@@ -252,7 +266,7 @@ _INNER = re.compile(r"[.!?…।]")
 
 def _before(line: str, start: int) -> str:
     """The token before a mark, without opening marks; of scripts without blanks the last two characters."""
-    words = line[max(0, start - 40) : start].split()
+    words = line[max(0, start - BEFORE) : start].split()
     if not words:
         return ""
     token = words[-1]
@@ -289,7 +303,7 @@ def _context(line: str, start: int, mark: str, rest: str, blank: bool, closed: b
     nxt = _behind(rest)
     term = _term(mark)
     last = line[start - 1] if start else " "
-    return (_slot(f"<{term}", prev if term == 0 else "" if term > 1 else prev), _slot(">", nxt), _shape(prev), _char_class(rest[:1]), term, int(blank), int(closed), _script(last) if not last.isspace() else 9, _shape(nxt), _pair(prev, nxt))
+    return (_slot(f"<{term}", prev if term == 0 else "" if term > 1 else prev), _slot(">", nxt), _shape(prev), _char_class(rest[:1]), term, int(blank), int(closed), _script(last) if not last.isspace() else 9, _shape(nxt), _pair(prev, nxt), 0)
 
 
 def _lines(text: str) -> Iterator[tuple[int, str]]:
@@ -384,11 +398,11 @@ class Counts:
                 if not _ANY.search(line):
                     continue
                 self.plain.update(line.split())
-                self.begin[_slot(">", _behind(line[:80]))] += 1
+                self.begin[_slot(">", _behind(line[:BEHIND]))] += 1
                 for _, verdict, f in _candidates(line, (-1, 2)):
                     if verdict == 2:
                         self.end[f[0]] += 1
-                    elif verdict == -1:
+                    elif verdict == -1 and not f[10]:
                         self.pairs[f[0], f[1], f[9]] += 1
 
     def frame(self) -> pd.DataFrame:
@@ -442,6 +456,14 @@ _SMALL = 2 * SLOTS
 _WIDTH = _SMALL + 20_000
 
 
+#: Log odds, before anything is learned, of a boundary in a setting where sentences hardly begin (1 to 4).
+PRIOR = -4.0
+
+
+def _prior(rows: np.ndarray) -> np.ndarray:
+    return np.where(rows[:, 10] > 0, PRIOR, 0.0)
+
+
 #: Shapes of tokens so short that a repeated phrase still shows them to be abbreviations.
 _SHORT = (7, 8, 9, 10, 11, 14, 16, 19)
 
@@ -449,6 +471,8 @@ _SHORT = (7, 8, 9, 10, 11, 14, 16, 19)
 def _features(rows: np.ndarray, grade_end: np.ndarray, grade_begin: np.ndarray, phrase_end: np.ndarray, phrase_begin: np.ndarray, unknown: np.ndarray | None = None) -> np.ndarray:
     """Indices of the active features of candidates, one column per kind of feature."""
     prev, nxt, shape, kind, term, blank, closed, script, shape_next = rows[:, :9].T
+    # apart from a common setting, what is told by the setting is told by it alone
+    apart = rows[:, 10] > 1
     letter, number = np.isin(shape, _SHORT), (shape >= 1) & (shape <= 6)
     ge = np.where(phrase_end[prev] & ~letter, 0, grade_end[prev].astype(np.int64))
     # that a token never begins a line tells an ordinal from the end of a sentence, but little behind words
@@ -464,12 +488,15 @@ def _features(rows: np.ndarray, grade_end: np.ndarray, grade_begin: np.ndarray,
         shape * 32 + shape_next,  # below 1024
         script * 5 + term,  # below 50
         ge * 12 + gb,  # below 144
+        np.where(apart, (rows[:, 10] * 9 + kind) * 5 + term, 0),  # below 225
     ]
     # tokens that aren't known have no weight of their own
     base, cols = _SMALL, [prev, SLOTS + nxt] if unknown is None else [np.where(unknown, _WIDTH - 1, prev), np.where(unknown, _WIDTH - 2, SLOTS + nxt)]
-    for s in small:
-        cols.append(base + s)
+    for s in small[:-1]:
+        cols.append(np.where(apart, _WIDTH - 1, base + s))
         base += 1100
+    cols.append(base + small[-1])
+    cols[0], cols[1] = np.where(apart, _WIDTH - 1, cols[0]), np.where(apart, _WIDTH - 2, cols[1])
     return np.column_stack(cols)
 
 
@@ -482,7 +509,7 @@ class Model:
     def decide(self, rows: np.ndarray) -> np.ndarray:
         if not len(rows):
             return np.empty(0, dtype=bool)
-        return self.weights[_features(rows, *self.grades)].sum(axis=1) + self.bias > 0
+        return self.weights[_features(rows, *self.grades)].sum(axis=1) + self.bias + _prior(rows) > 0
 
     @staticmethod
     def fit(rows: np.ndarray, y: np.ndarray, stats: Statistics, rounds: int = 150, l2: float = 1e-4) -> Model:
@@ -496,14 +523,17 @@ class Model:
         again = rng.random(len(rows)) < 1 / 3
         x = np.concatenate([_features(rows, *grades), _features(rows[again], *grades, unknown=np.ones(int(again.sum()), dtype=bool))])
         y = np.concatenate([y, y[again]])
+        prior = np.concatenate([_prior(rows), _prior(rows[again])])
         used, inverse = np.unique(x, return_inverse=True)
         inverse = inverse.reshape(x.shape)
         w, m, v = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
         mb = vb = 0.0
         # both classes weigh the same, so that frequent line ends don't decide what is rare
-        share = np.where(y, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+        apart = np.concatenate([rows[:, 10] > 1, rows[again][:, 10] > 1])
+        common = y[~apart].mean() if (~apart).any() else y.mean()
+        share = np.where(apart, 0.1 / max(apart.mean(), 1e-9), np.where(y, 0.5 / max(common, 1e-9), 0.5 / max(1 - common, 1e-9)))
         for k in range(1, rounds + 1):
-            p = 1 / (1 + np.exp(-np.clip(w[inverse].sum(axis=1) + bias, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(w[inverse].sum(axis=1) + bias + prior, -30, 30)))
             d = (p - y) * share / len(y)
             g = np.bincount(inverse.ravel(), weights=np.repeat(d, x.shape[1]), minlength=len(used)) + l2 * w
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -531,10 +561,10 @@ def training_rows(texts: list[str | None], stats: Statistics) -> tuple[np.ndarra
             for end, verdict, f in _candidates(line):
                 if verdict == 2 and following and _char_class(following[0]) in (1, 3, 4, 7):
                     # as if the next line followed behind a blank
-                    nxt = _behind(following[:80])
-                    rows.append((f[0], _slot(">", nxt), f[2], _char_class(following[0]), f[4], 1, *f[6:8], _shape(nxt), 0))
+                    nxt = _behind(following[:BEHIND])
+                    rows.append((f[0], _slot(">", nxt), f[2], _char_class(following[0]), f[4], 1, *f[6:8], _shape(nxt), 0, 0))
                     y.append(1)
-                elif verdict == 0 and f[3] == 2:
+                elif verdict == -1 and f[10]:
                     rows.append(f)
                     y.append(0)
                 elif verdict == -1 and f[4] == 0:
@@ -543,7 +573,7 @@ def training_rows(texts: list[str | None], stats: Statistics) -> tuple[np.ndarra
                     if ends or begins:
                         rows.append(f)
                         y.append(0)
-    return np.array(rows, dtype=np.int64).reshape(-1, 10), np.array(y, dtype=float)
+    return np.array(rows, dtype=np.int64).reshape(-1, 11), np.array(y, dtype=float)
 
 
 def train(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text", longest: int = 20_000) -> Model:
@@ -582,7 +612,7 @@ def units(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray
                 pending.append((k, offset, line, cuts))
             else:
                 plain.append((k, offset, offset + len(line)))
-    yes = model.decide(np.array(rows, dtype=np.int64).reshape(-1, 10))
+    yes = model.decide(np.array(rows, dtype=np.int64).reshape(-1, 11))
     for k, offset, line, cuts in pending:
         at = 0
         for end, row in cuts:

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 
 def ini_rows(spark: SparkSession, path: str) -> DataFrame:
-    """line, section, key, value, comment of INI lines; the section runs on from the last header."""
-    text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
+    """file, line, section, key, value, comment, text of INI lines of a file or folder; within a file the section runs on from the last header."""
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
     head = F.nullif(F.regexp_extract("text", r"^\s*\[([^\]]+)\]", 1), F.lit(""))
-    w = Window.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kv = r"^\s*([^=#\[\s][^=#]*?)\s*=\s*([^#]*?)\s*(?:#\s*(.*))?$"
     rows = text.withColumn("section", F.last(head, ignorenulls=True).over(w))
-    return rows.select("line", "section", *[F.nullif(F.regexp_extract("text", kv, k), F.lit("")).alias(n) for k, n in ((1, "key"), (2, "value"), (3, "comment"))], "text")
+    return rows.select("file", "line", "section", *[F.nullif(F.regexp_extract("text", kv, k), F.lit("")).alias(n) for k, n in ((1, "key"), (2, "value"), (3, "comment"))], "text")
 
 
 def edit_ini(text: str, changes: dict[tuple[str, str], str]) -> str:

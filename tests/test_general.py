@@ -36,6 +36,30 @@ def test_running_sums_of_nothing(spark):
     assert running_sums(range_sorted(df, ["k", "n"]), "k", ["v"]).count() == 0
 
 
+def test_settled_rows_are_written_once_and_cleaned_up(spark):
+    import gc
+    import glob
+    import time
+
+    from rillwork.session import settled
+
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
+    there = lambda: set(glob.glob(folder.replace("file:", "") + "/**/rdd-*", recursive=True))
+    before = there()
+    kept = settled(spark.range(100).withColumn("r", F.rand()))
+    a, b = kept.agg(F.sum("r")).first()[0], kept.agg(F.sum("r")).first()[0]
+    new = (there() | {p for p in glob.glob(spark.sparkContext.getCheckpointDir().replace("file:", "") + "/**/rdd-*", recursive=True)}) - before
+    assert a == b and new
+    del kept
+    for _ in range(40):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.25)
+        if not any(glob.glob(p) for p in new):
+            break
+    assert not any(glob.glob(p) for p in new)
+
+
 # Problem 1 ------------------------------------------------------------------------------------------------
 
 

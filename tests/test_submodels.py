@@ -267,3 +267,34 @@ def test_centres_of_irregular_cells(spark):
     # an obtuse triangle's centre comes to lie on its long side
     x, y = got[2]
     assert abs(y - x / 10) < 1e-9 and 0 < x < 10
+
+
+def test_resampled_borders_and_edges_of_faces(spark):
+    from rillwork.operators import meshing
+
+    ls = spark.createDataFrame([(1, line((0, 0), (10, 0), (10, 10)), 4.0), (2, line((0, 0), (5, 0.1), (10, 0)), 3.0), (3, line((0, 0), (1, 0), (1, 1), (30, 1)), 50.0), (4, line((2, 2)), 1.0), (5, None, 1.0)], f"id bigint, geometry {LINE}, spacing double")
+    got = {r.id: [(round(p.x, 3), round(p.y, 3)) for p in r.c] for r in meshing.resampled(ls, least=1.5).collect()}
+    assert got[1] == [(0, 0), (3.333, 0), (6.667, 0), (10, 0), (10, 3.333), (10, 6.667), (10, 10)]
+    assert len(got[2]) == 5 and got[2][-1] == (10, 0) and got[3] == [(0, 0), (1, 1), (30, 1)] and got[4] == [(2, 2)] and 5 not in got
+    edges = spark.createDataFrame([(1, line((0, 0), (4, 0))), (2, line((4, 0), (4, 3), (9, 3))), (3, line((0, 9), (1, 9)))], f"id bigint, geometry {LINE}")
+    faces = spark.createDataFrame([(7, [line((0, 0), (4, 0), (4, 3), (0, 3))]), (8, [line((4, 3), (9, 3), (9, 9), (4, 9))])], f"id bigint, geometry array<{LINE}>")
+    assert sorted(tuple(r) for r in meshing.edges_of_faces(edges, faces).collect()) == [(1, 7), (2, 8)]
+
+
+def test_merged_cells(spark):
+    from rillwork.operators import meshing
+
+    # a row of squares; between the second and the third a sliver; the last but one is two skew triangles
+    xs = [0.0, 10.0, 20.0, 20.5, 30.0, 40.0]
+    nodes = [(2 * k + j, x, 10.0 * j) for k, x in enumerate(xs) for j in (0, 1)]
+    cells = [(k, [2 * k, 2 * k + 2, 2 * k + 3, 2 * k + 1]) for k in (0, 1, 2, 4)] + [(3, [6, 8, 9]), (5, [6, 9, 7]), (9, [0, 1]), (10, [0, 99, 1])]
+    c, n = spark.createDataFrame(cells, "cell bigint, nodes array<bigint>"), spark.createDataFrame(nodes, "node bigint, x double, y double")
+    got = {r.cell: r.nodes for r in meshing.merged_cells(c, n, 20.0, 0.5, 6).collect()}
+    # the sliver joins a neighbour across its long side; broken cells stay
+    assert 9 in got and 10 in got and len(got) == len(cells) - 1
+    area = {r.cell: r.area for r in mesh.areas(spark.createDataFrame([(k, v) for k, v in got.items() if k < 9], c.schema), n).collect()}
+    assert min(area.values()) >= 20 and math.isclose(sum(area.values()), 400)
+    assert meshing.merged_cells(c.limit(0), n, 20.0, 0.5).count() == 0
+    ring = lambda *p: F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in p])
+    row = spark.range(1).select(meshing.convex(ring((0, 0), (2, 0), (2, 2), (0, 2))).alias("a"), meshing.convex(ring((0, 0), (2, 0), (1, 0.5), (0, 2))).alias("b"), meshing.convex(ring((0, 0), (1, 0), (2, 0), (0, 2))).alias("c"), meshing.convex(ring((0, 0), (1, 0), (2, 0), (0, 2)), strict=True).alias("d")).first()
+    assert tuple(row) == (True, False, True, False)

@@ -39,10 +39,14 @@ def shifts(hits: DataFrame, fallback: DataFrame, margin: float = 0.0) -> DataFra
     return hits.unionByName(rest).groupBy("branch").agg((F.max("floor") + margin).alias("shift"))
 
 
-def violations(levels: DataFrame) -> DataFrame:
-    """nodes, below: how many nodes have a floor below the least bed of the branches at them (node, floor, bed)."""
-    per = levels.groupBy("node").agg(F.min("bed").alias("bed"), F.first("floor").alias("floor"))
-    return per.agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("floor") < F.col("bed")).alias("below"))
+def violations(nodes: DataFrame, incident: DataFrame, tol: float = 1e-6) -> DataFrame:
+    """nodes, above, without: how many nodes (node, floor) there are, have their floor above the lowest bed of the branches at them, and no bed at all.
+
+    incident: node, bed - a row for each branch at a node, its bed NULL if it carries none.
+    """
+    low = incident.filter(C.finite(F.col("bed")).isNotNull()).groupBy("node").agg(F.min("bed").alias("bed"))
+    j = nodes.join(low, "node", "left")
+    return j.agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("floor") > F.col("bed") + tol).alias("above"), F.count_if(F.col("bed").isNull()).alias("without"))
 
 
 def lowered_floors(nodes: DataFrame, ends: DataFrame) -> DataFrame:
@@ -66,6 +70,12 @@ def bad_storage(nodes: DataFrame) -> DataFrame:
     return nodes.filter(~F.coalesce(ok, F.lit(False)))
 
 
+def checked_storage(nodes: DataFrame, name: str = "code") -> DataFrame:
+    """nodes as they are; reading one that no model accepts is an error that names it."""
+    ok = C.finite(F.col("bed")).isNotNull() & C.finite(F.col("street")).isNotNull() & (F.col("street") > F.col("bed")) & (F.col("area") > 0)
+    return nodes.withColumn("bed", F.when(F.coalesce(ok, F.lit(False)), F.col("bed")).otherwise(F.raise_error(F.concat(F.lit("bad storage at "), F.coalesce(F.col(name).cast("string"), F.lit("?")))).cast("double")))
+
+
 def structures(devices: DataFrame, weirs: DataFrame) -> DataFrame:
     """device, kind, weir, crest: devices (fid, stuwid, overlaatonderlaat) of weirs (globalid, crest) by their rule; others left out."""
     kind = C.lookup(F.lower(F.trim("overlaatonderlaat")), STRUCTURES)

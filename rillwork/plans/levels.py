@@ -156,6 +156,16 @@ def interior_inverts(s: SparkSession, d: str) -> DataFrame:
     return L.interior_inverts(_lines(s, d, "gravity_mains"), _inverts(s, d), 3.0)
 
 
+@query(f"""WITH {_hits('gravity_mains', _INLETS, 1.0)}, i AS (SELECT fid AS node, invertelev AS floor FROM inlets WHERE {_n('invertelev')} IS NOT NULL), b AS (SELECT pt, min(least({_n('upelev')}, {_n('downelev')})) AS bed FROM h JOIN gravity_mains g ON g.fid = line GROUP BY pt)
+SELECT count(*) AS nodes, count(*) FILTER (floor > bed + 1e-6) AS above, count(*) FILTER (bed IS NULL) AS without FROM i LEFT JOIN b ON pt = node""")
+def floor_violations(s: SparkSession, d: str) -> DataFrame:
+    """Inlets whose invert lies above the lowest end of the pipes within 1 m of them."""
+    nodes = read(s, d, "inlets").select(F.col("fid").alias("node"), C.finite(F.col("invertelev")).alias("floor")).filter("floor is not null")
+    hits = N.points_on_lines(_points(s, d, "inlets"), _lines(s, d, "gravity_mains"), 1.0).select(F.col("pt").alias("node"), "line")
+    bed = read(s, d, "gravity_mains").select(F.col("fid").alias("line"), F.least(C.finite(F.col("upelev")), C.finite(F.col("downelev"))).alias("bed"))
+    return X.violations(nodes, hits.join(bed, "line").select("node", "bed"))
+
+
 def _inverts(s: SparkSession, d: str) -> DataFrame:
     return _points(s, d, "inlets").join(read(s, d, "inlets").select(F.col("fid").alias("id"), F.col("invertelev").alias("invert")), "id")
 

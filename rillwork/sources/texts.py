@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -122,6 +123,24 @@ def pol_blocks(rings: DataFrame) -> DataFrame:
     return rings.select("name", F.concat("name", F.lit("\n"), F.size("geometry").cast("string"), F.lit(" 2\n"), rows, F.lit("\n")).alias("value"))
 
 
+def ext_text(quantity: str, filename: str, filetype: int = 7, method: int = 6, averaging: int = 1, reach: float = 1.01) -> str:
+    """One block of an old-style external forcing file: samples averaged in space, overwriting."""
+    pairs = {"QUANTITY": quantity, "FILENAME": filename, "FILETYPE": filetype, "METHOD": method, "OPERAND": "O", "AVERAGINGTYPE": averaging, "RELATIVESEARCHCELLSIZE": reach}
+    return "".join(f"{k}={v}\n" for k, v in pairs.items())
+
+
+def bui_text(stations: dict[str, list[float]], seconds: int, start: datetime, name: str = "DEFAULT.BUI") -> str:
+    """Rainfall of stations in equal steps, a line of values for each step; stations with fewer steps are dry at the end."""
+    steps = max((len(v) for v in stations.values()), default=0)
+    days, rest = divmod(steps * seconds, 86_400)
+    hours, rest = divmod(rest, 3600)
+    minutes, secs = divmod(rest, 60)
+    at = f"{start.year} {start.month} {start.day} {start.hour} {start.minute} {start.second}"
+    head = [f"*Name of this file: {name}", "*Date and time of construction: template", "*Format: see D-RR / Sobek documentation", "1", "*Number of stations", str(len(stations)), "*Station name(s)", *[f"'{s}'" for s in stations], "*Number of events, seconds per timestep", f"1 {seconds}", "*Event start (yyyy mm dd hh mm ss) and length (dd hh mm ss)", f"{at} {days} {hours:02d} {minutes} {secs}"]
+    rows = [" ".join(str(v[k]) if k < len(v) else "0.0" for v in stations.values()) for k in range(steps)]
+    return "\n".join([*head, *rows]) + "\n"
+
+
 def write_text(lines: DataFrame, path: str, by: list[str] | None = None) -> None:
     """Lines as one text file in order; for files a model reads, which are small."""
     (lines.orderBy(*by) if by else lines).select("value").coalesce(1).write.mode("overwrite").text(path)

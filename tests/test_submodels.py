@@ -243,6 +243,24 @@ def test_rules_and_builds(spark, tmp_path):
     assert builds.run_builds(spark, {}, str(tmp_path / "logs")).count() == 0
 
 
+def test_kernels_and_gates(spark):
+    import datetime as dt
+
+    from rillwork.operators import sections
+    from rillwork.sources import texts
+
+    assert texts.ext_text("infiltrationcapacity", "infiltcap.xyz").splitlines()[:3] == ["QUANTITY=infiltrationcapacity", "FILENAME=infiltcap.xyz", "FILETYPE=7"]
+    bui = texts.bui_text({"meteostat1": [0.0, 0.33]}, 3600, dt.datetime(2016, 6, 1)).splitlines()
+    assert bui[5:8] == ["1", "*Station name(s)", "'meteostat1'"] and bui[-3:] == ["2016 6 1 0 0 0 0 02 0 0", "0.0", "0.33"]
+    nodes = spark.createDataFrame([(1, 2.0), (2, 1.0), (3, None), (4, 5.0)], "node bigint, floor double")
+    beds = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 1.0), (3, 1.0), (4, None)], "node bigint, bed double")
+    assert tuple(sections.violations(nodes, beds).first()) == (4, 1, 1)
+    store = spark.createDataFrame([("a", 1.0, 2.0, 5.0), ("b", 1.0, 1.0, 5.0)], "code string, bed double, street double, area double")
+    assert sections.checked_storage(store.limit(1)).count() == 1 and sections.bad_storage(store).count() == 1
+    with pytest.raises(Exception, match="bad storage at b"):
+        sections.checked_storage(store).collect()
+
+
 # Mesh centres ----------------------------------------------------------------------------------------------
 
 

@@ -115,6 +115,12 @@ def standalone(lines: DataFrame, tol: float, min_length: float = 0.0) -> DataFra
     return ends.join(shared, "k").groupBy("id", "n").agg(F.max("lines").alias("lines")).filter((F.col("lines") == 1) & (F.col("n") >= min_length)).select("id")
 
 
+def isolated(lines: DataFrame) -> DataFrame:
+    """id of lines that meet no other line anywhere; a line without length counts as meeting none."""
+    met = crossing_segments(lines, lines)
+    return clean_lines(lines).select("id").join(met.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_anti")
+
+
 def unattached(points: DataFrame, lines: DataFrame, tol: float, ends_only: bool = False) -> DataFrame:
     """id of points that no line comes within tol of, or no line end."""
     if ends_only:

@@ -112,16 +112,25 @@ def roi_first_wins(s: SparkSession, d: str) -> DataFrame:
 _TURN = "sign(({q}x-{p}x)*({r}y-{p}y)-({q}y-{p}y)*({r}x-{p}x))"
 
 
-@query(f"""WITH s AS (SELECT id, ax, ay, bx, by_ AS by FROM {_SEGS.format('hydroobject')} q)
+_MEETING = f"""WITH s AS (SELECT id, ax, ay, bx, by_ AS by FROM {_SEGS.format('hydroobject')} q)
 SELECT DISTINCT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id < b.id AND least(a.ax,a.bx) <= greatest(b.ax,b.bx) AND least(b.ax,b.bx) <= greatest(a.ax,a.bx) AND least(a.ay,a.by) <= greatest(b.ay,b.by) AND least(b.ay,b.by) <= greatest(a.ay,a.by)
 WHERE sign((a.bx-a.ax)*(b.ay-a.ay)-(a.by-a.ay)*(b.ax-a.ax)) * sign((a.bx-a.ax)*(b.by-a.ay)-(a.by-a.ay)*(b.bx-a.ax)) <= 0 AND sign((b.bx-b.ax)*(a.ay-b.ay)-(b.by-b.ay)*(a.ax-b.ax)) * sign((b.bx-b.ax)*(a.by-b.ay)-(b.by-b.ay)*(a.bx-b.ax)) <= 0
-AND NOT (a.ax = a.bx AND a.ay = a.by) AND NOT (b.ax = b.bx AND b.ay = b.by)""")
+AND NOT (a.ax = a.bx AND a.ay = a.by) AND NOT (b.ax = b.bx AND b.ay = b.by)"""
+
+
+@query(_MEETING)
 def segment_crossings(s: SparkSession, d: str) -> DataFrame:
     """All pairs of branches that meet."""
     h = _lines(s, d, "hydroobject")
     return N.crossing_segments(h, h).filter("a < b")
 
 
+@query(f"""WITH mt AS ({_MEETING}) SELECT fid AS id FROM hydroobject WHERE len(geometry) > 0 AND fid NOT IN (SELECT a FROM mt) AND fid NOT IN (SELECT b FROM mt)""")
+def isolated_branches(s: SparkSession, d: str) -> DataFrame:
+    """Branches that meet no other branch."""
+    return N.isolated(_lines(s, d, "hydroobject"))
+
+
 # Nodes, degrees, components ---------------------------------------------------------------------------------
 
 _MAIN_EDGES = "(SELECT fid AS id, printf('%.6f %.6f', geometry[1].x, geometry[1].y) AS u, printf('%.6f %.6f', geometry[-1].x, geometry[-1].y) AS v FROM {} WHERE len(geometry) > 0)"

@@ -181,7 +181,7 @@ def _term(mark: str) -> int:
     return 3
 
 
-def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2)) -> list[tuple[int, int, tuple]]:
+def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2), told: bool = True) -> list[tuple[int, int, tuple]]:
     """(end, verdict, features) of the candidates inside a line; verdict 1 boundary, 0 none, -1 to be classified.
 
     verdict 2: the line's end; 3: a list marker. features: slot of the token
@@ -190,7 +190,7 @@ def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2)) -> list[tuple[int,
     the verdict is wanted. setting: 0 a token behind a blank or glued as sentences
     are, 1 lower case, 2 a separator, 3 a dash with nothing that begins a sentence
     behind it, 4 no blank behind the mark. Beside a setting from 2 on the tokens
-    tell nothing, so their features are left at 0.
+    tell nothing, so their features are left at 0; not told: from 1 on.
     """
     out = []
     spans = _matched(line) if _QUOTES.search(line) else ()
@@ -247,7 +247,7 @@ def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2)) -> list[tuple[int,
             verdict = 3  # a list marker, no boundary and nothing to learn from
         if verdict not in wanted:
             features = ()
-        elif setting > 1:
+        elif setting > told:
             features = (0, 0, 0, kind, _term(mark), int(blank), int(closed), _script(line[start - 1]) if start else 9, 0, 0, setting)
         else:
             features = (*_context(line, start, mark, line[rest : rest + BEHIND], blank, closed)[:10], setting)
@@ -399,7 +399,7 @@ class Counts:
                     continue
                 self.plain.update(line.split())
                 self.begin[_slot(">", _behind(line[:BEHIND]))] += 1
-                for _, verdict, f in _candidates(line, (-1, 2)):
+                for _, verdict, f in _candidates(line, (-1, 2), False):
                     if verdict == 2:
                         self.end[f[0]] += 1
                     elif verdict == -1 and not f[10]:
@@ -472,7 +472,7 @@ def _features(rows: np.ndarray, grade_end: np.ndarray, grade_begin: np.ndarray,
     """Indices of the active features of candidates, one column per kind of feature."""
     prev, nxt, shape, kind, term, blank, closed, script, shape_next = rows[:, :9].T
     # apart from a common setting, what is told by the setting is told by it alone
-    apart = rows[:, 10] > 1
+    apart = (rows[:, 10] > 1) | ((rows[:, 10] == 1) & (prev == 0) & (nxt == 0) & (shape == 0))
     letter, number = np.isin(shape, _SHORT), (shape >= 1) & (shape <= 6)
     ge = np.where(phrase_end[prev] & ~letter, 0, grade_end[prev].astype(np.int64))
     # that a token never begins a line tells an ordinal from the end of a sentence, but little behind words
@@ -488,7 +488,7 @@ def _features(rows: np.ndarray, grade_end: np.ndarray, grade_begin: np.ndarray,
         shape * 32 + shape_next,  # below 1024
         script * 5 + term,  # below 50
         ge * 12 + gb,  # below 144
-        np.where(apart, (rows[:, 10] * 9 + kind) * 5 + term, 0),  # below 225
+        np.where(rows[:, 10] > 0, (rows[:, 10] * 9 + kind) * 5 + term, 0),  # below 225
     ]
     # tokens that aren't known have no weight of their own
     base, cols = _SMALL, [prev, SLOTS + nxt] if unknown is None else [np.where(unknown, _WIDTH - 1, prev), np.where(unknown, _WIDTH - 2, SLOTS + nxt)]
@@ -600,7 +600,7 @@ def units(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray
         for offset, line in _lines(text):
             cuts = []
             meant, where = repaired(line)
-            found = _candidates(meant, (-1,)) if _ANY.search(meant) else ()
+            found = _candidates(meant, (-1,), False) if _ANY.search(meant) else ()
             for end, verdict, f in found:
                 end = end if where is None else where[end]
                 if verdict == 1:

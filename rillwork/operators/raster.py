@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import settled
+from ..session import if_small, settled
 from .cleaning import global_rank
 from .near import SortedPoints, regions_containing
 
@@ -24,24 +24,26 @@ def _place() -> Column:
     return row * F.col("nx") + col
 
 
-def sample(points: DataFrame, tiles: DataFrame, grid: float, inclusive: bool = True) -> DataFrame:
+def sample(points: DataFrame, tiles: DataFrame, grid: float, inclusive: bool = True, block: int = 4096) -> DataFrame:
     """id, z: the raster value at each point (id, x, y); NULL outside and on no-data.
 
     grid: side of the cells on which points and tiles meet, about a tile's size.
-    inclusive: whether a tile's upper and right borders belong to it.
+    inclusive: whether a tile's upper and right borders belong to it. block: about
+    how many points fetch the pixels of a tile together.
     """
     k = lambda c: F.floor(c / grid).cast("bigint")
     x1, y1 = F.col("x0") + F.col("nx") * F.col("dx"), F.col("y0") + F.col("ny") * F.col("dy")
-    # what decides which pixel is meant is joined first; the pixels themselves come by tile and place, not with the tile's array
+    # points meet the outlines of tiles first; then blocks of a tile's points fetch its pixels, so an array is copied once a block
     head = tiles.select("tile", "x0", "y0", "dx", "dy", "nx", "ny")
     spread = head.withColumn("gx", F.explode(F.sequence(k(F.col("x0")), k(x1)))).withColumn("gy", F.explode(F.sequence(k(F.col("y0")), k(y1))))
     at = points.select("id", "x", "y", k(F.col("x")).alias("gx"), k(F.col("y")).alias("gy"))
     inside = (F.col("x") >= F.col("x0")) & (F.col("y") >= F.col("y0"))
     inside = inside & ((F.col("x") <= x1) & (F.col("y") <= y1) if inclusive else (F.col("x") < x1) & (F.col("y") < y1))
-    wanted = at.join(spread, ["gx", "gy"]).filter(inside).select("id", "tile", _place().alias("k"))
-    v = F.col("v").cast("double")
-    value = tiles.select("tile", "nodata", F.posexplode("data").alias("k", "v")).filter((F.col("nodata").isNull() | (v != F.col("nodata"))) & ~F.isnan(v)).select("tile", "k", v.alias("z"))
-    first = wanted.join(value, ["tile", "k"]).groupBy("id").agg(F.min_by("z", "tile").alias("z"))
+    wanted = settled(at.join(spread, ["gx", "gy"]).filter(inside).select("id", "tile", _place().alias("k")))
+    blocks = if_small(wanted.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks")))
+    held = wanted.join(blocks, "tile").groupBy("tile", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")).agg(F.collect_list(F.struct("id", "k")).alias("p"))
+    value = held.join(tiles.select("tile", "nodata", "data"), "tile").select("tile", "nodata", F.explode(F.transform("p", lambda v: F.struct(v["id"].alias("id"), F.get("data", v["k"]).cast("double").alias("z")))).alias("v")).select("tile", "nodata", "v.id", "v.z")
+    first = value.filter((F.col("nodata").isNull() | (F.col("z") != F.col("nodata"))) & ~F.isnan("z")).groupBy("id").agg(F.min_by("z", "tile").alias("z"))
     return points.select("id").join(first, "id", "left")
 
 

@@ -342,7 +342,15 @@ def short_branches_removed(s: SparkSession, d: str) -> DataFrame:
     return removed.filter("reason = 'short'").select("id")
 
 
-@query()
+@query(f"""WITH RECURSIVE p AS (SELECT id * 2 + CASE side WHEN 'start' THEN 0 ELSE 1 END AS pt, id, side, x, y, printf('%.6f %.6f', x, y) AS k FROM {_ENDS.format('gravity_mains')}), nd AS (SELECT k, min(pt) AS node, any_value(x) AS x, any_value(y) AS y FROM p GROUP BY k),
+e AS (SELECT a.id, na.node AS u, nb.node AS v, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) AS n FROM p a JOIN p b ON b.id = a.id AND b.side = 'end' JOIN nd na ON na.k = a.k JOIN nd nb ON nb.k = b.k WHERE a.side = 'start'),
+sh AS (SELECT * FROM e WHERE n < 8), b AS (SELECT u AS x, v AS y FROM sh UNION SELECT v, u FROM sh), n0 AS (SELECT DISTINCT x AS k FROM b),
+cc(k, c) USING KEY (k) AS (SELECT k, k FROM n0 UNION SELECT b.y, min(cc.c) FROM cc JOIN b ON b.x = cc.k JOIN recurring.cc r ON r.k = b.y WHERE cc.c < r.c GROUP BY b.y),
+dg AS (SELECT node, count(*) AS deg, count(*) FILTER (n >= 8) AS lasting FROM (SELECT u AS node, n FROM e UNION ALL SELECT v, n FROM e) GROUP BY node),
+best AS (SELECT c, k AS goal FROM cc JOIN dg ON dg.node = cc.k QUALIFY row_number() OVER (PARTITION BY c ORDER BY lasting DESC, deg DESC, k) = 1),
+mv AS (SELECT k AS node, goal FROM cc JOIN best USING (c)),
+kept AS (SELECT e.id, coalesce(mu.goal, u) AS u, coalesce(mw.goal, v) AS v FROM e LEFT JOIN mv mu ON mu.node = u LEFT JOIN mv mw ON mw.node = v WHERE n >= 8)
+SELECT id, round(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)), 3) AS length FROM kept JOIN nd a ON a.node = u JOIN nd b ON b.node = v WHERE u <> v""")
 def short_branch_collapse(s: SparkSession, d: str) -> DataFrame:
     kept, _ = N.collapse_short(_lines(s, d, "gravity_mains"), 0.0001, 8.0)
     return kept.select("id", F.round(G.length(F.col("c")), 3).alias("length"))

@@ -119,8 +119,8 @@ def test_no_loop_ends_before_it_is_done(spark):
     ends = spark.createDataFrame(rows, "pt bigint, id bigint, node bigint, along double, bed double, value double")
     with pytest.raises(RuntimeError):
         graph.fixed_point_levels(ends, 3).count()
-    chain = spark.createDataFrame([(k, k, k + 1) for k in range(90)], "id bigint, u bigint, v bigint")
-    assert {r.id: r.hop for r in graph.bfs(chain, spark.createDataFrame([(0,)], "id bigint")).collect()} == {k: k for k in range(90)}
+    chain = spark.createDataFrame([(k, k, k + 1) for k in range(40)], "id bigint, u bigint, v bigint")
+    assert {r.id: r.hop for r in graph.bfs(chain, spark.createDataFrame([(0,)], "id bigint")).collect()} == {k: k for k in range(40)}
     assert {r.component for r in graph.components(chain.select("u", "v")).collect()} == {0}
 
 
@@ -180,20 +180,22 @@ def test_every_status_of_an_outfall(spark):
     p = spark.createDataFrame(pipes, OUT)
     d = spark.createDataFrame(drains, "id bigint, geometry array<struct<x:double,y:double>>, channel boolean")
     trig = spark.createDataFrame([(1, 220.0, 8.0), (2, None, 1.0), (3, 20.0, 10.0)], "id bigint, x double, y double")
-    rows = {r.id: r for r in outfalls.outfall_connections(p, d, trig, 0.01, 2.0, 20.0).collect()}
+    found = outfalls.outfall_connections(p, d, trig, 0.01, 2.0, 20.0)
+    rows = {r.id: r for r in found.collect()}
+    found = spark.createDataFrame(rows.values(), found.schema)
     want = {1: "connected", 2: "not_outfall", 3: "on_drain", 4: "crossing_shared", 5: "trim_vertex", 6: "trim_split", 7: "snap_vertex", 8: "extend_crosses", 9: "extend", 10: "too_far", 11: "extend", 12: "shared", 13: "extend", 21: "not_outfall"}
     assert {k: r.status for k, r in rows.items()} == want
     assert (rows[13].trigger, rows[9].trigger, rows[13].end) == ("discharge_point", "pipetype", "end")
     assert (rows[5].x, rows[5].trimmed, rows[5].moved, rows[6].x, rows[7].moved > 0, rows[9].added, rows[9].channel) == (80, 5, 1, 110, True, 10, 1)
-    got = {r.id: [(v.x, v.y) for v in r.c] for r in outfalls.connected_lines(p, spark.createDataFrame(rows.values(), outfalls.outfall_connections(p, d, trig).schema)).collect()}
+    got = {r.id: [(v.x, v.y) for v in r.c] for r in outfalls.connected_lines(p, found).collect()}
     assert got[5] == [(81, 50), (80, 0)] and got[6] == [(110, 50), (110, 0)] and got[9][-1] == (160, 0) and got[10] == [(180, 50), (180, 45)]
-    nodes = sorted(round(r["at"], 3) for r in outfalls.channel_nodes(d, spark.createDataFrame(rows.values(), outfalls.outfall_connections(p, d, trig).schema)).collect())
+    nodes = sorted(round(r["at"], 3) for r in outfalls.channel_nodes(d, found).collect())
     assert nodes == [10, 90, 120, 130, 170, 210, 230]
     none = outfalls.outfall_connections(p.limit(0), d.limit(0), trig.limit(0))
     assert none.count() == 0
     inlets = spark.createDataFrame([(7.0,), (float("nan"),)], "objectid double")
     pts = spark.createDataFrame([(5, "A", 180.1, 45.0, 10.0), (6, "B", 500.0, 0.0, None), (8, "C", 160.0, 2.0, 1.0)], "fid bigint, facilityid string, x double, y double, dem double")
-    new = outfalls.converted_outfalls(spark.createDataFrame(rows.values(), none.schema), pts, inlets).collect()
+    new = outfalls.converted_outfalls(found, pts, inlets).collect()
     assert sorted((r.objectid, r.fid, r.source, r.pipes, r.rim) for r in new) == [(8, 5, "too_far", "10", 32.8084), (9, 6, "orphan", "", None)]
 
 

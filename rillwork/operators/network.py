@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import settled
+from ..session import if_small, settled
 from .graph import clustered_ends, components, dangling_ends, degrees, line_ends, network
 from .near import PAIR, SortedPoints, lines_within, points_within, usable
 
@@ -139,22 +139,48 @@ def end_hits(lines: DataFrame, points: DataFrame, tol: float, require: str = "ei
     return by.filter(F.col("at_start") & F.col("at_end") if require == "both" else F.col("at_start") | F.col("at_end"))
 
 
-def _meeting_segments(lines: DataFrame, other: DataFrame, cell: float) -> DataFrame:
+def _meeting_segments(lines: DataFrame, other: DataFrame, cell: float, crowded: int = 4_000_000, least: float = 0.5) -> DataFrame:
     """a, a1, a2, d, n, b, b1, b2: pairs of segments of two different lines that meet, by a join on grid cells and an exact orientation test.
 
-    d, n: the length of line a before its segment, and of the segment. A segment
+    d, n: the length of line a before its segment, and of the segment. A cell that
+    would give more than `crowded` candidates is cut into 8 by 8 smaller ones, and
+    so on down to `least`, so a crowded place is spread over many cells. A segment
     in several cells is judged in each; pairs may come repeatedly.
     """
 
-    def cells(df: DataFrame, name: str) -> DataFrame:
+    def boxed(df: DataFrame, name: str) -> DataFrame:
         s = clean_lines(df).select(F.col("id").alias(name), F.explode(G.segments(F.col("c"))).alias("s")).select(name, F.col("s.a").alias(f"{name}1"), F.col("s.b").alias(f"{name}2"), *([F.col("s.d").alias("d"), F.col("s.n").alias("n")] if name == "a" else []))
-        k = lambda v: F.floor(v / cell).cast("bigint")
-        xs = F.sequence(k(F.least(F.col(f"{name}1.x"), F.col(f"{name}2.x"))), k(F.greatest(F.col(f"{name}1.x"), F.col(f"{name}2.x"))))
-        ys = F.sequence(k(F.least(F.col(f"{name}1.y"), F.col(f"{name}2.y"))), k(F.greatest(F.col(f"{name}1.y"), F.col(f"{name}2.y"))))
-        return s.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys))
-
-    pairs = cells(lines, "a").join(cells(other, "b"), ["cx", "cy"]).filter("a <> b")
-    return pairs.filter(G.crosses(F.col("a1"), F.col("a2"), F.col("b1"), F.col("b2")))
+        return spread(s, name, cell, None)
+
+    def spread(s: DataFrame, name: str, size: float, inside: str | None) -> DataFrame:
+        """The segments with the cells of a size that their boxes meet, within the cell they are in already, if any."""
+        for axis in ("x", "y"):
+            k = lambda f: F.floor(f(F.col(f"{name}1.{axis}"), F.col(f"{name}2.{axis}")) / size).cast("bigint")  # noqa: B023, E731
+            low, high = k(F.least), k(F.greatest)
+            if inside:
+                low, high = F.greatest(low, F.col(f"c{axis}") * 8), F.least(high, F.col(f"c{axis}") * 8 + 7)
+            s = s.withColumn(f"n{axis}", F.explode(F.sequence(low, high)))
+        if inside:
+            # a cell with all corners on one side of the segment isn't met
+            p, q = f"{name}1", f"{name}2"
+            dx, dy = F.col(f"{q}.x") - F.col(f"{p}.x"), F.col(f"{q}.y") - F.col(f"{p}.y")
+            side = [dx * ((F.col("ny") + j) * size - F.col(f"{p}.y")) - dy * ((F.col("nx") + i) * size - F.col(f"{p}.x")) for i in (0, 1) for j in (0, 1)]
+            room = F.lit(1e-6) * (F.abs(dx) + F.abs(dy))
+            s = s.filter((F.least(*side) <= room) & (F.greatest(*side) >= -room))
+        return s.withColumns({"cx": F.col("nx"), "cy": F.col("ny")}).drop("nx", "ny")
+
+    mine, theirs, size, out = settled(boxed(lines, "a")), settled(boxed(other, "b")), cell, None
+    while True:
+        per = lambda df, name: df.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias(name))
+        full = if_small(per(mine, "na").join(per(theirs, "nb"), ["cx", "cy"]).filter(F.col("na") * F.col("nb") > crowded).select("cx", "cy"))
+        last = size <= least or full.isEmpty()
+        rest = (mine, theirs) if last else (mine.join(full, ["cx", "cy"], "left_anti"), theirs.join(full, ["cx", "cy"], "left_anti"))
+        pairs = rest[0].join(rest[1], ["cx", "cy"]).filter("a <> b")
+        out = pairs if out is None else out.unionByName(pairs)
+        if last:
+            return out.filter(G.crosses(F.col("a1"), F.col("a2"), F.col("b1"), F.col("b2")))
+        size /= 8
+        mine, theirs = (settled(spread(df.join(full, ["cx", "cy"], "left_semi"), name, size, "cell")) for df, name in ((mine, "a"), (theirs, "b")))
 
 
 def crossing_segments(lines: DataFrame, other: DataFrame, cell: float = 64.0) -> DataFrame:

@@ -147,6 +147,17 @@ def test_collapse_and_extend(spark):
     assert [(r.id, r.end, round(r.extension, 6)) for r in ext] == [(5, "end", 19.0)] and math.isclose(ext[0].c[-1].x, 110)
 
 
+def test_crowded_cells_lose_no_crossing(spark):
+    rnd = random.Random(4)
+    near = [(k, line(*[(rnd.uniform(-20, 20), rnd.uniform(-20, 20)) for _ in range(2)])) for k in range(40)]
+    wide = [(100 + k, line(*[(rnd.uniform(-300, 300), rnd.uniform(-300, 300)) for _ in range(3)])) for k in range(10)]
+    df = lines(spark, near + wide)
+    plain = {(r.a, r.b) for r in network.crossing_segments(df, df).collect()}
+    for crowded, least in ((60, 8.0), (400, 1.0)):
+        got = {(r.a, r.b) for r in network._meeting_segments(df, df, 64.0, crowded, least).select("a", "b").distinct().collect()}
+        assert got == plain and len(plain) > 100
+
+
 def test_matches_pairs_and_connections(spark):
     a = lines(spark, [(1, line((0, 0), (40, 0)))])
     b = lines(spark, [(11, line((0, 1), (40, 1))), (12, line((0, 0.5), (20, 0.5))), (13, line((40, 3), (0, 3)))])

@@ -181,7 +181,7 @@ def _term(mark: str) -> int:
     return 3
 
 
-def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2), told: bool = True) -> list[tuple[int, int, tuple]]:
+def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2), told: bool = True, counted: bool = False) -> list[tuple[int, int, tuple]]:
     """(end, verdict, features) of the candidates inside a line; verdict 1 boundary, 0 none, -1 to be classified.
 
     verdict 2: the line's end; 3: a list marker. features: slot of the token
@@ -190,9 +190,11 @@ def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2), told: bool = True)
     the verdict is wanted. setting: 0 a token behind a blank or glued as sentences
     are, 1 lower case, 2 a separator, 3 a dash with nothing that begins a sentence
     behind it, 4 no blank behind the mark. Beside a setting from 2 on the tokens
-    tell nothing, so their features are left at 0; not told: from 1 on.
+    tell nothing, so their features are left at 0; not told: from 1 on. counted:
+    only the features that are counted over the corpus.
     """
     out = []
+    context = _neighbours if counted else _context
     spans = _matched(line) if _QUOTES.search(line) else ()
     n = len(line)
     for m in _THAI.finditer(line) if _IN_THAI.search(line) else ():
@@ -217,7 +219,7 @@ def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2), told: bool = True)
             rest += 1
         mark = m.group()
         if rest >= n:
-            out.append((at, 2, _context(line, start, mark, "", True, closed) if 2 in wanted else ()))
+            out.append((at, 2, context(line, start, mark, "", True, closed) if 2 in wanted else ()))
             continue
         blank = rest > at
         nxt = line[rest]
@@ -250,7 +252,7 @@ def _candidates(line: str, wanted: tuple[int, ...] = (-1, 2), told: bool = True)
         elif setting > told:
             features = (0, 0, 0, kind, _term(mark), int(blank), int(closed), _script(line[start - 1]) if start else 9, 0, 0, setting)
         else:
-            features = (*_context(line, start, mark, line[rest : rest + BEHIND], blank, closed)[:10], setting)
+            features = (*context(line, start, mark, line[rest : rest + BEHIND], blank, closed)[:10], setting)
         out.append((at, verdict, features))
     if len(out) > 1:
         out.sort(key=lambda x: x[0])
@@ -295,7 +297,9 @@ def _behind(text: str) -> str:
 
 def _pair(prev: str, nxt: str) -> int:
     """What tells neighbours apart beyond their slots: the numbers themselves."""
-    return crc32((prev[-8:] if prev[-1:].isdigit() else nxt[:8] if nxt[:1].isdigit() else "").encode()) & 0xFF
+    if prev[-1:].isdigit():
+        return crc32(prev[-8:].encode()) & 0xFF
+    return crc32(nxt[:8].encode()) & 0xFF if nxt[:1].isdigit() else 0
 
 
 def _context(line: str, start: int, mark: str, rest: str, blank: bool, closed: bool) -> tuple:
@@ -306,6 +310,12 @@ def _context(line: str, start: int, mark: str, rest: str, blank: bool, closed: b
     return (_slot(f"<{term}", prev if term == 0 else "" if term > 1 else prev), _slot(">", nxt), _shape(prev), _char_class(rest[:1]), term, int(blank), int(closed), _script(last) if not last.isspace() else 9, _shape(nxt), _pair(prev, nxt), 0)
 
 
+def _neighbours(line: str, start: int, mark: str, rest: str, blank: bool, closed: bool) -> tuple:
+    """Of _context only what is counted over the corpus: the slots of the tokens and the numbers beside."""
+    prev, nxt, term = _before(line, start), _behind(rest), _term(mark)
+    return (_slot(f"<{term}", "" if term > 1 else prev), _slot(">", nxt), 0, 0, 0, 0, 0, 0, 0, _pair(prev, nxt))
+
+
 def _lines(text: str) -> Iterator[tuple[int, str]]:
     """(offset, line) of the lines of a text that aren't blank, without surrounding blanks."""
     for m in _LINE.finditer(text):
@@ -399,7 +409,7 @@ class Counts:
                     continue
                 self.plain.update(line.split())
                 self.begin[_slot(">", _behind(line[:BEHIND]))] += 1
-                for _, verdict, f in _candidates(line, (-1, 2), False):
+                for _, verdict, f in _candidates(line, (-1, 2), False, True):
                     if verdict == 2:
                         self.end[f[0]] += 1
                     elif verdict == -1 and not f[10]:

@@ -84,18 +84,6 @@ def _nearest(c: Column, px: Column, py: Column) -> Column:
     return F.array_min(F.transform(segments(c), foot))
 
 
-def nearest_of(s: Column, c: Column, p: Column) -> Column:
-    """Distance of p from a line c whose segments s are at hand."""
-
-    def off(g: Column) -> Column:
-        dx, dy = g["b"]["x"] - g["a"]["x"], g["b"]["y"] - g["a"]["y"]
-        n2 = dx * dx + dy * dy
-        t = F.when(n2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((p["x"] - g["a"]["x"]) * dx + (p["y"] - g["a"]["y"]) * dy) / n2))).otherwise(0.0)
-        return F.hypot(p["x"] - g["a"]["x"] - t * dx, p["y"] - g["a"]["y"] - t * dy)
-
-    return F.when(F.size(s) > 0, F.array_min(F.transform(s, off))).otherwise(distance(start(c), p))
-
-
 def locate(c: Column, p: Column) -> Column:
     """struct<off, at, x, y> of the point of a line nearest to p."""
     return F.when(F.size(c) > 1, _nearest(c, p["x"], p["y"])).when(F.size(c) == 1, F.struct(distance(start(c), p).alias("off"), F.lit(0.0).alias("at"), start(c)["x"].alias("x"), start(c)["y"].alias("y")))

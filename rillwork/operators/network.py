@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -301,26 +301,33 @@ def closure(parents: DataFrame, children: dict[str, tuple[DataFrame, list[tuple[
     return kept
 
 
-def hausdorff_matches(lines: DataFrame, others: DataFrame, tol: float, same: bool = False) -> DataFrame:
+def _directed(lines: DataFrame, others: DataFrame, tol: float, spacing: float) -> DataFrame:
+    """id, match, far: the greatest distance of a line's vertices, added every `spacing`, from another, where all of them lie within tol of it."""
+    dense = lines.select("id", F.explode(G.densified(F.col("c"), spacing)).alias("v"))
+    pts = settled(dense.select(F.monotonically_increasing_id().alias("pt"), "id", "v.x", "v.y"))
+    n = pts.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    hits = lines_within(others.select("id", F.col("c").alias("geometry")), SortedPoints(pts.select(F.col("pt").alias("id"), "x", "y")), tol).select(F.col("id1").alias("match"), F.col("id2").alias("pt"), "distance")
+    per = hits.join(pts.select("pt", "id"), "pt").groupBy("id", "match").agg(F.count(F.lit(1)).alias("near"), F.max("distance").alias("far"))
+    return per.join(n, "id").filter("near = n").select("id", "match", "far")
+
+
+def hausdorff_matches(lines: DataFrame, others: DataFrame, tol: float, same: bool = False, spacing: float = 2.0) -> DataFrame:
     """id, match, distance: for each line the other whose Hausdorff distance is least, among those its midpoint lies within tol of.
 
-    same: both are one table, where a line is no match of itself.
+    same: both are one table, where a line is no match of itself. Distances are
+    taken from vertices, added every `spacing` along a line, to the other line; a
+    vertex farther than tol from it rules a pair out, so all is a search of points
+    near lines.
     """
-    a = clean_lines(lines).withColumn("m", G.midpoint(F.col("c")))
+    a = settled(clean_lines(lines).withColumn("m", G.midpoint(F.col("c"))))
     mids = a.select("id", F.col("m.x").alias("x"), F.col("m.y").alias("y"))
     pairs = lines_within(others, SortedPoints(mids), tol).select(F.col("id1").alias("match"), F.col("id2").alias("id"))
-    if same:
-        pairs = pairs.filter("match <> id")
-
-    def farthest(c: str, o: str) -> Column:
-        """The greatest distance of a vertex of c from the line o."""
-        return F.array_max(F.transform(c, lambda p: G.nearest_of(F.col(f"{o}_s"), F.col(o), p)))
-
-    # vertices every few metres stand for the lines between them
-    dense = lambda df, name: df.select("id", G.densified(F.col("c"), 2.0).alias(name)).withColumn(f"{name}_s", G.segments(F.col(name)))
-    mine, theirs = settled(dense(a, "c")), settled(dense(clean_lines(others), "o").withColumnRenamed("id", "match"))
-    j = pairs.join(mine, "id").join(theirs, "match")
-    d = j.select("id", "match", F.greatest(farthest("c", "o"), farthest("o", "c")).alias("distance")).filter(F.col("distance") <= tol)
+    pairs = settled(pairs.filter("match <> id") if same else pairs)
+    mine = settled(a.select("id", "c").join(pairs.select("id").distinct(), "id", "left_semi"))
+    theirs = settled(clean_lines(others).join(pairs.select(F.col("match").alias("id")).distinct(), "id", "left_semi"))
+    there = _directed(mine, theirs, tol, spacing)
+    back = _directed(theirs, mine, tol, spacing).select(F.col("id").alias("match"), F.col("match").alias("id"), F.col("far").alias("back"))
+    d = pairs.join(there, ["id", "match"]).join(back, ["id", "match"]).select("id", "match", F.greatest("far", "back").alias("distance"))
     return d.groupBy("id").agg(F.min(F.struct(F.round("distance", 9).alias("r"), "match", "distance")).alias("b")).select("id", "b.match", "b.distance")
 
 

@@ -323,18 +323,17 @@ def fixed_point_levels(ends: DataFrame, max_rounds: int | None = None) -> DataFr
         low = per.groupBy("node").agg(F.min(F.struct("z", "id")).alias("m")).select("node", F.col("m.id").alias("id1"), F.col("m.z").alias("z1"))
         next_ = per.join(low, "node").filter("id <> id1").groupBy("node").agg(F.min("z").alias("z2"))
         other = held.groupBy("id").agg(F.min("value").alias("z4"))
-        tried = todo.join(low, "node", "left").join(next_, "node", "left").join(other, "id", "left").select("pt", "id", "node", "along", "bed", F.when(F.col("id1") != F.col("id"), F.col("z1")).otherwise(F.col("z2")).alias("s1"), F.col("along").alias("s2"), F.col("bed").alias("s3"), F.col("z4").alias("s4"))
+        tried = settled(todo.join(low, "node", "left").join(next_, "node", "left").join(other, "id", "left").select("pt", "id", "node", "along", "bed", F.when(F.col("id1") != F.col("id"), F.col("z1")).otherwise(F.col("z2")).alias("s1"), F.col("along").alias("s2"), F.col("bed").alias("s3"), F.col("z4").alias("s4")))
         n = tried.agg(*[F.count(f"s{k}").alias(f"s{k}") for k in (1, 2, 3, 4)]).first()
         k = next((k for k in (1, 2, 3, 4) if n[f"s{k}"]), 0)
         if not k:
             break
         if done == max_rounds:
             raise RuntimeError(f"levels not settled after {max_rounds} rounds")
-        got = settled(tried.select("pt", "id", "node", "along", "bed", F.col(f"s{k}").alias("value")))
-        new = got.filter("value is not null")
+        new = tried.filter(F.col(f"s{k}").isNotNull()).select("pt", "id", "node", F.col(f"s{k}").alias("value"))
         filled.append(new.select("pt", "value", F.lit(k).alias("source")))
-        todo = got.filter("value is null").drop("value")
-        held = held.unionByName(new.select("pt", "id", "node", "value"))
+        todo = tried.filter(F.col(f"s{k}").isNull()).select("pt", "id", "node", "along", "bed")
+        held = held.unionByName(new)
         if len(filled) % 8 == 0:
             held, filled = settled(held), [settled(_all(filled))]
     empty = known.select("pt", "value", F.lit(0).alias("source"))

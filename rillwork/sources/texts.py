@@ -136,7 +136,7 @@ def bui_text(stations: dict[str, list[float]], seconds: int, start: datetime, na
     hours, rest = divmod(rest, 3600)
     minutes, secs = divmod(rest, 60)
     at = f"{start.year} {start.month} {start.day} {start.hour} {start.minute} {start.second}"
-    head = [f"*Name of this file: {name}", "*Date and time of construction: template", "*Format: see D-RR / Sobek documentation", "1", "*Number of stations", str(len(stations)), "*Station name(s)", *[f"'{s}'" for s in stations], "*Number of events, seconds per timestep", f"1 {seconds}", "*Event start (yyyy mm dd hh mm ss) and length (dd hh mm ss)", f"{at} {days} {hours:02d} {minutes} {secs}"]
+    head = [f"*Name of this file: {name}", "*Date and time of construction: template", "*Format flag", "1", "*Number of stations", str(len(stations)), "*Station name(s)", *[f"'{s}'" for s in stations], "*Number of events, seconds per timestep", f"1 {seconds}", "*Event start (yyyy mm dd hh mm ss) and length (dd hh mm ss)", f"{at} {days} {hours:02d} {minutes} {secs}"]
     rows = [" ".join(str(v[k]) if k < len(v) else "0.0" for v in stations.values()) for k in range(steps)]
     return "\n".join([*head, *rows]) + "\n"
 

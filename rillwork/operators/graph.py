@@ -7,7 +7,8 @@ cut lineage with checkpoints in the shared folder, every round or few.
 from __future__ import annotations
 
 import itertools
-from collections import deque
+import os
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..session import settled
+from ..session import if_small, settled
 from .cleaning import global_rank
 from .near import SortedPoints, points_within
 
@@ -251,53 +252,166 @@ def dfs_order(edges: DataFrame, starts: DataFrame) -> DataFrame:
 def min_cut(edges: DataFrame, sources: DataFrame, far: int, capacity: str = "capacity", stops: DataFrame | None = None) -> DataFrame:
     """id, cost: the cheapest lines to cut, besides those in stops, so that node `far` isn't reached from the source nodes, and what they cost together.
 
-    No row comes out if nothing has to be cut. Augmenting paths are sequential:
-    the component of `far`, without the stops, is one task.
+    No row comes out if nothing has to be cut; of equally cheap cuts it is the one
+    nearest the sources. A line without capacity is an error. Lines that hang on a
+    single node carry no flow and are taken off in rounds, as long as a round takes a
+    tenth. Augmenting paths are sequential: what is left is one task, which keeps its
+    lines in files and only holds some numbers for each node.
     """
     if stops is not None:
         edges = edges.join(stops.select("id").distinct(), "id", "left_anti")
-    comp = settled(components(edges.select("u", "v")))
-    mine = comp.filter(F.col("node") == far).select("component")
-    inside = comp.join(mine, "component", "left_semi").select("node")
-    part = edges.join(inside, edges["u"] == inside["node"], "left_semi").withColumn("one", F.lit(1))
-    src = sources.select(F.col("node").alias("u")).distinct().join(inside, F.col("u") == inside["node"], "left_semi").select(F.lit(None).cast("bigint").alias("id"), "u", F.lit(None).cast("bigint").alias("v"), F.lit(None).cast("bigint").alias(capacity), F.lit(1).alias("one"))
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        roots = set(pdf["u"][pdf["id"].isna()].astype(int))
-        rows = [(int(i), int(u), int(v), int(c)) for i, u, v, c in zip(pdf["id"], pdf["u"], pdf["v"], pdf[capacity]) if not pd.isna(i) and u != v]
-        graph: dict[int, dict[int, int]] = {}
-        for _, u, v, c in rows:
-            for a, b in ((u, v), (v, u)):
-                graph.setdefault(a, {})
-                graph[a][b] = graph[a].get(b, 0) + c
-
-        def reach() -> dict[int, int | None]:
-            prev: dict[int, int | None] = {r: None for r in roots if r in graph}
-            queue = deque(prev)
-            while queue:
-                a = queue.popleft()
-                for b, c in graph[a].items():
-                    if c > 0 and b not in prev:
-                        prev[b] = a
-                        if b == far:
-                            return prev
-                        queue.append(b)
-            return prev
+    lines = edges.filter("u <> v").select(F.col("id").cast("bigint").alias("id"), F.least("u", "v").cast("bigint").alias("a"), F.greatest("u", "v").cast("bigint").alias("b"), F.col(capacity).cast("bigint").alias("capacity"))
+    roots = sources.filter("node is not null").select(F.col("node").cast("bigint").alias("node")).distinct()
+    n = lines.agg(F.count(F.lit(1)).alias("all"), F.count("capacity").alias("known"), F.count_if(F.col("capacity") > 0).alias("kept")).first()
+    if n["known"] < n["all"]:
+        raise ValueError(f"{n['all'] - n['known']} lines have no capacity")
+    core = _core(lines.filter("capacity > 0").select("a", "b", "capacity"), roots, far, n["kept"])
+    pairs = core.groupBy("a", "b").agg(F.sum("capacity").alias("capacity"))
+    arcs = pairs.select(F.explode(F.array(F.struct("a", "b", "capacity"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "capacity"))).alias("e")).select("e.*")
+    # a loop marks a source
+    arcs = arcs.unionByName(roots.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("capacity")))
+    cut = if_small(arcs.repartition(1).sortWithinPartitions("a", "b").mapInPandas(lambda batches: _Flow(batches).cut(far), "a bigint, b bigint, cost bigint"))
+    found = lines.join(cut, ["a", "b"]).select("id", "cost")
+    if n["kept"] == n["all"]:
+        return found
+    # lines that cost nothing are cut too where they lead from one side to the other
+    cost = cut.agg(F.max("cost")).first()[0] or 0
+    held = lines.filter("capacity > 0").join(cut, ["a", "b"], "left_anti").select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(roots.select(F.col("node").alias("u"), F.col("node").alias("v")))
+    side, whole = settled(components(held)), settled(components(lines.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    near = settled(side.join(side.join(roots, "node", "left_semi").select("component").distinct(), "component", "left_semi").select("node", F.lit(True).alias("near")))
+    inside = whole.join(whole.filter(F.col("node") == far).select("component"), "component", "left_semi").select(F.col("node").alias("a"))
+    free = lines.filter("capacity <= 0").join(cut, ["a", "b"], "left_anti").join(inside, "a", "left_semi")
+    ends = free.join(near.toDF("a", "near_a"), "a", "left").join(near.toDF("b", "near_b"), "b", "left")
+    return found.unionByName(ends.filter("(near_a is null) <> (near_b is null)").select("id", F.lit(cost).cast("bigint").alias("cost")))
+
+
+def _core(lines: DataFrame, roots: DataFrame, far: int, n: int) -> DataFrame:
+    """n lines (a, b, capacity) without most of those that hang on a single node; roots and far hold theirs."""
+    mark = roots.select("node", F.lit(None).cast("bigint").alias("other"), F.lit(True).alias("root"))
+    while n:
+        ends = _all([lines.select(F.col(x).alias("node"), F.col(y).alias("other"), F.lit(False).alias("root")) for x, y in ("ab", "ba")])
+        nodes = ends.unionByName(mark).groupBy("node").agg(F.min("other").alias("least"), F.max("other").alias("most"), F.max("root").alias("root")).filter((F.col("least") < F.col("most")) | F.col("root") | (F.col("node") == far))
+        lines = settled(lines.join(nodes.select(F.col("node").alias("a")), "a", "left_semi").join(nodes.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b", "capacity"))
+        before, n = n, lines.count()
+        if n > 0.9 * before:
+            break
+    return lines
+
+
+class _Flow:
+    """The flow through arcs that come sorted by (a, b), each with its reverse; a loop marks a source.
+
+    Arcs lie in files that are mapped into memory, so what they take is cache that the
+    system can drop. For each node there are its name, its first arc and its level.
+    """
 
+    #: arcs looked at together
+    STEP = 1 << 20
+
+    def __init__(self, batches: Iterator[pd.DataFrame]):
+        heads, caps, flows = (tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None) for _ in range(3))
+        nodes, counts, roots, last = [], [], [], None
+        for pdf in batches:
+            a, b = pdf["a"].to_numpy(), pdf["b"].to_numpy()
+            if not len(a):
+                continue
+            heads.write(b.tobytes())
+            caps.write(pdf["capacity"].to_numpy().tobytes())
+            roots.append(a[a == b])
+            node, count = np.unique(a, return_counts=True)
+            if node[0] == last:
+                counts[-1][-1] += count[0]
+                node, count = node[1:], count[1:]
+            last = a[-1]
+            if len(node):
+                nodes.append(node)
+                counts.append(count)
+        none = np.empty(0, dtype=np.int64)
+        self.node = np.concatenate([none, *nodes])
+        del nodes
+        self.start = np.concatenate([[0], np.cumsum(np.concatenate([none, *counts]))])
+        self.roots = np.searchsorted(self.node, np.concatenate([none, *roots]))
+        self.n = int(self.start[-1])
+        self.head, self.cap, self.flow = (self._mapped(f) for f in (heads, caps, flows))
+        for lo in range(0, self.n, self.STEP):
+            self.head[lo : lo + self.STEP] = np.searchsorted(self.node, self.head[lo : lo + self.STEP])
+
+    def _mapped(self, file) -> np.ndarray:
+        file.flush()
+        file.truncate(8 * max(1, self.n))  # what wasn't written reads as zeros
+        return np.memmap(file, np.int64, "r+").view(np.ndarray)
+
+    def levels(self, far: int) -> np.ndarray:
+        """How many arcs with room lead from a source to each node; -1 where none do, or after far was met."""
+        level = np.full(len(self.node), -1, dtype=np.int32)
+        level[self.roots] = 0
+        front = self.roots
+        for hop in itertools.count(1):
+            n = self.start[front + 1] - self.start[front]
+            ends = np.cumsum(n)
+            first = self.start[front] - (ends - n)
+            met = []
+            for lo in range(0, int(n.sum()), self.STEP):
+                k = np.arange(lo, min(lo + self.STEP, ends[-1]))
+                k += first[np.searchsorted(ends, k, side="right")]
+                new = self.head[k[self.cap[k] > self.flow[k]]]
+                new = np.unique(new[level[new] < 0])
+                level[new] = hop
+                met.append(new)
+            if not sum(map(len, met)) or level[far] >= 0:
+                return level
+            front = np.concatenate(met)
+
+    def pushed(self, far: int, level: np.ndarray) -> int:
+        """What more comes to far over shortest ways; they are sought from far, against the arcs, until none is left."""
+        head, cap, flow, start = self.head, self.cap, self.flow, self.start
+        total, way, at = 0, [], [far]
+        tried: dict[int, list] = {}
+        while True:
+            x = at[-1]
+            if level[x] == 0:
+                more = min(int(cap[k] + flow[k]) for k in way)
+                total += more
+                full = len(way)
+                for j, k in enumerate(way):
+                    flow[k] -= more
+                    lo, hi = start[at[j + 1]], start[at[j + 1] + 1]
+                    flow[lo + np.searchsorted(head[lo:hi], at[j])] += more
+                    if cap[k] + flow[k] == 0:
+                        full = min(full, j)
+                del way[full:], at[full + 1 :]
+                continue
+            if x not in tried:
+                lo, hi = int(start[x]), int(start[x + 1])
+                tried[x] = [lo + np.flatnonzero((level[head[lo:hi]] == level[x] - 1) & (cap[lo:hi] + flow[lo:hi] > 0)), 0]
+            arcs, k = tried[x]
+            while k < len(arcs) and cap[arcs[k]] + flow[arcs[k]] == 0:
+                k += 1
+            tried[x][1] = k
+            if k < len(arcs):
+                way.append(int(arcs[k]))
+                at.append(int(head[arcs[k]]))
+            elif way:
+                way.pop()
+                at.pop()
+                tried[at[-1]][1] += 1
+            else:
+                return total
+
+    def cut(self, name: int) -> Iterator[pd.DataFrame]:
+        """a, b, cost: the pairs of nodes between what the sources still reach at full flow and the rest."""
+        far = int(np.searchsorted(self.node, name))
+        if far == len(self.node) or self.node[far] != name or far in self.roots:
+            return
         cost = 0
-        while far in (prev := reach()) and far not in roots:
-            path, at = [], far
-            while prev[at] is not None:
-                path.append((prev[at], at))
-                at = prev[at]
-            flow = min(graph[a][b] for a, b in path)
-            cost += flow
-            for a, b in path:
-                graph[a][b] -= flow
-                graph[b][a] += flow
-        return pd.DataFrame({"id": [i for i, u, v, _ in rows if (u in prev) != (v in prev)], "cost": cost}, dtype="int64")
-
-    return part.select("id", "u", "v", F.col(capacity).cast("bigint").alias(capacity), "one").unionByName(src).groupBy("one").applyInPandas(cut, "id bigint, cost bigint")
+        while (level := self.levels(far))[far] >= 0:
+            cost += self.pushed(far, level)
+        for lo in range(0, self.n, self.STEP):
+            k = np.arange(lo, min(lo + self.STEP, self.n))
+            tail = np.searchsorted(self.start, k, side="right") - 1
+            out = (level[tail] >= 0) & (level[self.head[k]] < 0)
+            u, v = self.node[tail[out]], self.node[self.head[k[out]]]
+            yield pd.DataFrame({"a": np.minimum(u, v), "b": np.maximum(u, v), "cost": np.full(len(u), cost, dtype=np.int64)})
 
 
 def fixed_point_levels(ends: DataFrame, max_rounds: int | None = None) -> DataFrame:

@@ -7,7 +7,10 @@ import random
 import re
 import sqlite3
 import struct
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +102,41 @@ def test_traversals(spark):
     assert {r.id: r.total for r in graph.accumulated(t, "w").collect()} == {k: 70 - k for k in range(70)}
 
 
+def test_minimum_cut_holds_little_in_its_task(spark):
+    # a ring of six nodes, from which a tree of 2,000 lines hangs; ids that a double can't hold
+    ring = [(2**53 + 2 * k + 1, k, (k + 1) % 6, 1 if k in (2, 4) else 3) for k in range(6)]
+    tree = [(k, 0 if k == 100 else 100 + (k - 101) // 3, k, 1) for k in range(100, 2100)]
+    e = spark.createDataFrame([*ring, *tree, (5000, 9000, 9001, 1)], "id bigint, u bigint, v bigint, capacity bigint")
+    roots = spark.createDataFrame([(0,)], "node bigint")
+    assert sorted(tuple(r) for r in graph.min_cut(e, roots, 3).collect()) == [(2**53 + 5, 2), (2**53 + 9, 2)]
+    # of equally cheap cuts the one nearest the source, through a tree as well
+    assert [tuple(r) for r in graph.min_cut(e, roots, 2099).collect()] == [(100, 1)]
+    core = graph._core(e.selectExpr("least(u, v) a", "greatest(u, v) b", "capacity"), roots, 3, e.count())
+    assert core.count() < 20
+    # lines that cost nothing are cut where they join the sides; one without capacity is an error
+    free = e.unionByName(spark.createDataFrame([(-1, 0, 3, 0), (-2, 0, 1, 0), (-3, 9000, 9001, 0)], e.schema))
+    assert sorted(tuple(r) for r in graph.min_cut(free, roots, 3).collect()) == [(-1, 2), (2**53 + 5, 2), (2**53 + 9, 2)]
+    assert graph.min_cut(e, roots, 9001).count() == graph.min_cut(e, roots, 0).count() == graph.min_cut(e, roots, 77).count() == 0
+    with pytest.raises(ValueError):
+        graph.min_cut(e.withColumn("capacity", F.nullif("capacity", F.lit(3))), roots, 3)
+
+
+def test_arcs_of_a_flow_lie_in_files():
+    # two rails with rungs, a flow of 2 from one end to the other; the cut nearest the sources
+    n = 20_000
+    k = np.arange(n)
+    u, v = np.concatenate([k[:-1], n + k[:-1], k]), np.concatenate([k[1:], n + k[1:], n + k])
+    arcs = pd.DataFrame({"a": np.concatenate([u, v, [0, n]]), "b": np.concatenate([v, u, [0, n]])}).sort_values(["a", "b"])
+    arcs["capacity"] = (arcs["a"] != arcs["b"]).astype("int64")
+    tracemalloc.start()
+    flow = graph._Flow(arcs[at : at + 1000] for at in range(0, len(arcs), 1000))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 20 * 2 * n and flow.n == len(arcs)
+    cut = pd.concat(flow.cut(n - 1))
+    assert sorted(zip(cut["a"], cut["b"], cut["cost"])) == [(0, 1, 2), (n, n + 1, 2)]
+
+
 def test_stopped_line_is_met_once(spark):
     # line 2 is a stop whose far end is reached again over a detour
     e = spark.createDataFrame([(1, 0, 1), (2, 1, 6), (3, 1, 2), (4, 2, 3), (5, 3, 4), (6, 4, 5), (7, 5, 6)], "id bigint, u bigint, v bigint")
